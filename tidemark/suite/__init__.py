@@ -1,4 +1,4 @@
 """Registered analyses, one module per domain.  Importing fills
 ``tidemark.registry.REGISTRY``."""
 
-from . import warehouse  # noqa: F401
+from . import finops, warehouse  # noqa: F401
