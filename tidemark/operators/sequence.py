@@ -56,25 +56,43 @@ def prev_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
 
 
 def rank_values(df: DataFrame, group: Sequence[str], value: str,
-                ranks: dict[str, Column], n_name: str = "n") -> DataFrame:
+                ranks: dict[str, Column], n_name: str = "n", per_octave: int = 64) -> DataFrame:
     """Exact order statistics per group.
 
     ``ranks`` maps an output name to a 1-based rank expression in terms of
     the group size column ``n_name`` (e.g. ``nearest_rank(99, 'n')``).
     Returns one row per group: group columns, ``n`` and one column per rank.
     NULL values are ignored, as percentile functions do.
+
+    Plan (all distributed, exact):
+      1. value histogram per group (partial aggregation: a value repeated a
+         billion times is one row after the map side);
+      2. the distinct values are cut into log-scale ranges (``per_octave``
+         ranges per power of two, data independent, monotone in the value);
+      3. cumulative counts over the (group, range) totals -- a few hundred
+         rows per group;
+      4. the ordered running count inside each (group, range) only, so no
+         single task sorts all values of a large group.
     """
     group = list(group)
-    hist = (df.where(F.col(value).isNotNull())
-            .groupBy(*group, value).agg(F.count(F.lit(1)).alias("_cnt")))
+    base = df.where(F.col(value).isNotNull())
+    hist = base.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_cnt"))
+    v = F.col(value).cast("double")
+    hist = hist.withColumn("_b", (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * per_octave)).cast("bigint"))
+    bk = hist.groupBy(*group, "_b").agg(F.sum("_cnt").alias("_bc"))
     wg = Window.partitionBy(*group)
-    wc = wg.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = (hist.withColumn("_cum", F.sum("_cnt").over(wc))
-         .withColumn(n_name, F.sum("_cnt").over(wg)))
+    wb = wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bk = (bk.withColumn("_bcum", F.sum("_bc").over(wb))
+          .withColumn(n_name, F.sum("_bc").over(wg)))
+    h = hist.join(bk, [*group, "_b"])
+    wv = Window.partitionBy(*group, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = h.withColumn("_cum", F.col("_bcum") - F.col("_bc") + F.sum("_cnt").over(wv))
     aggs = [F.max(n_name).alias(n_name)]
     for name, r in ranks.items():
         hit = (F.col("_cum") >= r) & ((F.col("_cum") - F.col("_cnt")) < r)
         aggs.append(F.max(F.when(hit, F.col(value))).alias(name))
+    if not group:
+        return h.agg(*aggs)
     return h.groupBy(*group).agg(*aggs)
 
 
