@@ -11,6 +11,8 @@ Catalyst prune the parquet columns each query actually reads.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,7 +97,9 @@ def v_fx_rates(t: Tables) -> DataFrame:
     exp = days.withColumn("r_regionkey", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
     return (exp.join(r, "r_regionkey")
             .select(F.col("r_name").alias("currency"), "rate_date",
-                    (1 + F.col("r_regionkey") * 0.1 + F.dayofmonth("rate_date") * 0.001).alias("rate")))
+                    # decimal arithmetic, then double: the exact rate rounded once
+                    (F.lit(1) + F.col("r_regionkey") * F.lit(Decimal("0.1"))
+                     + F.dayofmonth("rate_date") * F.lit(Decimal("0.001"))).cast("double").alias("rate")))
 
 
 def v_billing(t: Tables) -> DataFrame:
