@@ -55,6 +55,23 @@ def prev_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
     return d.drop(b, "_is_first", "_carry")
 
 
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, bucket: Column,
+                name: str = "running") -> DataFrame:
+    """Running ``sum(value)`` per key along ``order`` (inclusive of the
+    current row), bucket-split: in-bucket running sum plus the total of all
+    earlier buckets of the key (one row per bucket)."""
+    keys = list(keys)
+    b = "_bkt"
+    d = df.withColumn(b, bucket)
+    w = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_in", F.sum(value).over(w))
+    tot = d.groupBy(*keys, b).agg(F.sum(value).alias("_bt"))
+    wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(*keys, b, F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_before"))
+    d = d.join(tot, [*keys, b], "left")
+    return d.withColumn(name, F.col("_before") + F.col("_in")).drop(b, "_in", "_before")
+
+
 def rank_values(df: DataFrame, group: Sequence[str], value: str,
                 ranks: dict[str, Column], n_name: str = "n", per_octave: int = 64) -> DataFrame:
     """Exact order statistics per group.

@@ -1,4 +1,4 @@
 """Registered analyses, one module per domain.  Importing fills
 ``tidemark.registry.REGISTRY``."""
 
-from . import finops, jobs, joins, warehouse  # noqa: F401
+from . import finops, jobs, joins, slo, warehouse  # noqa: F401
