@@ -1,4 +1,4 @@
 """Registered analyses, one module per domain.  Importing fills
 ``tidemark.registry.REGISTRY``."""
 
-from . import finops, jobs, joins, security, slo, warehouse  # noqa: F401
+from . import events, finops, jobs, joins, security, slo, warehouse  # noqa: F401
