@@ -103,11 +103,11 @@ def good_minutes_sli(requests: DataFrame, max_error_rate: float = 0.01) -> DataF
             .withColumn("good_minute_sli", F.col("good_minutes") / F.col("minutes")))
 
 
-def error_budget(requests: DataFrame, key: str, goal: float, window_days: int, lo: str, hi: str,
-                 elapsed_days: float) -> DataFrame:
-    """AG50: allowed bad events, used fraction, burn rate, days to exhaustion
-    at the current burn and the policy bucket, per key over ``[lo, hi)``.
-    A goal of 1.0 leaves no budget and is rejected."""
+def error_budget(requests: DataFrame, key: str, goal: float, window_days: int, lo: str, hi: str) -> DataFrame:
+    """AG50: allowed bad events, used fraction, burn rate, days to exhaust a
+    full ``window_days`` budget at that burn (``window_days / burn``), days
+    left for the remaining budget, and the policy bucket, per key over
+    ``[lo, hi)``.  A goal of 1.0 leaves no budget and is rejected."""
     if not 0 < goal < 1:
         raise ValueError("SLO goal must be in (0, 1); 1.0 leaves no error budget")
     budget = round(1 - goal, 12)
@@ -122,8 +122,9 @@ def error_budget(requests: DataFrame, key: str, goal: float, window_days: int, l
         policy = F.when(used >= th, name).otherwise(policy)
     return g.select(key, "valid", "bad", allowed.alias("allowed_bad"), used.alias("budget_used"),
                     burn.alias("burn_rate"),
-                    F.when(burn > 0, F.lit(float(window_days)) * (1 - used) / burn
-                           * F.lit(elapsed_days / window_days)).alias("days_to_exhaustion"),
+                    F.when(burn > 0, F.lit(float(window_days)) / burn).alias("days_to_exhaustion"),
+                    F.when(burn > 0, F.greatest(F.lit(0.0), F.lit(float(window_days)) * (1 - used) / burn))
+                    .alias("days_left"),
                     policy.alias("policy"))
 
 

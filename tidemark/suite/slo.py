@@ -103,12 +103,13 @@ WITH g AS (SELECT tenant_id, count(*) FILTER (WHERE status IS NOT NULL) AS valid
 c AS (SELECT *, valid * CAST(0.001 AS DOUBLE) AS allowed_bad FROM g),
 u AS (SELECT *, bad / allowed_bad AS budget_used, (bad / valid) / CAST(0.001 AS DOUBLE) AS burn_rate FROM c)
 SELECT tenant_id, valid, bad, allowed_bad, budget_used, burn_rate,
-       CASE WHEN burn_rate > 0 THEN CAST(28.0 AS DOUBLE) * (1 - budget_used) / burn_rate * CAST(1.0 AS DOUBLE) END AS days_to_exhaustion,
+       CASE WHEN burn_rate > 0 THEN CAST(28.0 AS DOUBLE) / burn_rate END AS days_to_exhaustion,
+       CASE WHEN burn_rate > 0 THEN greatest(CAST(0 AS DOUBLE), CAST(28.0 AS DOUBLE) * (1 - budget_used) / burn_rate) END AS days_left,
        CASE WHEN budget_used >= 1.0 THEN 'exhausted' WHEN budget_used >= 0.9 THEN 'freeze'
             WHEN budget_used >= 0.75 THEN 'slow_down' WHEN budget_used >= 0.5 THEN 'review' ELSE 'ok' END AS policy
 FROM u""")
 def ag50(spark, sf):
-    return slo.error_budget(v_requests(_t(spark, sf)), "tenant_id", 0.999, 28, "2024-01-01", "2024-01-29", 28.0)
+    return slo.error_budget(v_requests(_t(spark, sf)), "tenant_id", 0.999, 28, "2024-01-01", "2024-01-29")
 
 
 _BURN_SQL = f"""b AS (SELECT endpoint, CAST(floor(epoch(ts) / 300) * 300 AS BIGINT) AS bucket_epoch,
