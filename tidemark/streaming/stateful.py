@@ -113,8 +113,12 @@ def _ms(v) -> int:
     return int(pd.Timestamp(v).value // 1_000_000)
 
 
-def _ts(ms: int) -> pd.Timestamp:
-    return pd.Timestamp(ms, unit="ms")
+def _us(v) -> int:
+    return int(pd.Timestamp(v).value // 1_000)
+
+
+def _ts(us: int) -> pd.Timestamp:
+    return pd.Timestamp(us, unit="us")
 
 
 # ---- SS4: global window with a count trigger ---------------------------------
@@ -156,7 +160,7 @@ class DeliveryAttempts(Rule):
         for r in rows.itertuples(index=False):
             if st["done"]:
                 break
-            ms = _ms(getattr(r, self.ts))
+            ms = _us(getattr(r, self.ts))
             st["attempts"] += 1
             st["first_ms"] = ms if st["first_ms"] is None else min(st["first_ms"], ms)
             if bool(getattr(r, self.ok)):
