@@ -47,6 +47,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
@@ -75,6 +76,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return cur
 
 
+def ship_code(spark: SparkSession) -> str | None:
+    """Make this package importable on every executor (Python workers
+    unpickle rules, processors and UDFs by module name).
+
+    The package is zipped in memory, written through the Hadoop FileSystem
+    into the shared checkpoint folder and added with ``addPyFile``; done once
+    per SparkContext."""
+    import hashlib
+    import io
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", None):
+        return sc._tidemark_shipped
+    root = Path(__file__).resolve().parent
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"tidemark/{f.relative_to(root)}")
+    data = buf.getvalue()
+    digest = hashlib.sha1(data).hexdigest()[:12]
+    dest = scratch_path(spark, f"code/tidemark-{digest}.zip")
+    jvm = sc._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(dest)
+    fs = hp.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(hp):
+        out = fs.create(hp, True)
+        out.write(bytearray(data))
+        out.close()
+    sc.addPyFile(dest)
+    sc._tidemark_shipped = dest
+    return dest
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate
     tables (lineage cuts that must survive executor loss)."""

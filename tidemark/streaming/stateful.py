@@ -433,3 +433,17 @@ def tail_sampling(spans: DataFrame, trace: str = "trace_id", **kw) -> DataFrame:
     return spans.groupBy(trace).transformWithStateInPandas(
         statefulProcessor=TailSamplingProcessor(rule, [trace], timers=True),
         outputStructType=_out_struct(rule, [trace], kt), outputMode="Append", timeMode="EventTime")
+
+
+def _pickle_by_value() -> None:
+    """Stateful processors are also unpickled by a driver-side Python worker
+    that does not see ``addPyFile`` code; pickle this module's classes by
+    value so no import of this package is needed there."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_pickle_by_value()
