@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import sum_money
 from .warehouse import daily_rollup
 
 ROLLUP_KEYS = ("event_date", "tenant_id", "event_type")
@@ -68,12 +69,13 @@ def answer(spark: SparkSession, rollup_path: str, base: DataFrame, group_cols: S
 
     if set(group_cols) <= set(ROLLUP_KEYS):
         r = day_filter(spark.read.parquet(rollup_path))
-        out = r.groupBy(*group_cols).agg(F.sum("events").alias("events"), F.sum("amount").alias("amount"),
+        out = r.groupBy(*group_cols).agg(F.sum("events").alias("events"), sum_money("amount").alias("amount"),
                                          F.sum("purchases").alias("purchases"))
         return out, "rollup"
-    b = build_rollup(day_filter(base))
-    return b.groupBy(*group_cols).agg(F.sum("events").alias("events"), F.sum("amount").alias("amount"),
-                                      F.sum("purchases").alias("purchases")), "base"
+    b = day_filter(base).groupBy(*group_cols).agg(
+        F.count(F.lit(1)).alias("events"), sum_money("amount").alias("amount"),
+        F.count_if(F.col("event_type") == "purchase").alias("purchases"))
+    return b, "base"
 
 
 def answer_fresh(spark: SparkSession, rollup_path: str, base: DataFrame, group_cols: Sequence[str],

@@ -97,18 +97,17 @@ def _footer_bytes(paths: pd.Series, columns: list[str] | None) -> pd.DataFrame:
 def estimate_scan_bytes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """PF7: bytes a query would read, per column, after partition pruning.
 
-    ``df`` is the (filtered, projected) query over parquet; its pruned input
-    files are read from the plan, and each column chunk's compressed size is
-    summed from the footers in ``mapInPandas`` tasks.  Row-group skipping by
+    ``df`` is the (filtered, projected) query over parquet.  Its input files
+    after pruning are found by a distributed job over the query itself
+    (``input_file_name`` of the pruned scan; the file list never passes
+    through the driver), and each column chunk's compressed size is summed
+    from the footers in ``mapInPandas`` tasks.  Row-group skipping by
     min/max is not modelled, so clustered tables are over-estimated, as the
     reference notes for its dry run.  Returns (column_name, bytes, files)."""
     spark = df.sparkSession
-    files = df.inputFiles()
     cols = list(columns) if columns is not None else [f.name for f in df.schema.fields]
-    if not files:
-        return spark.createDataFrame([], "column_name string, bytes bigint, files bigint")
-    n = max(1, min(len(files), spark.sparkContext.defaultParallelism * 4))
-    fl = spark.createDataFrame([(f,) for f in files], "path string").repartition(n)
+    fl = (df.select(F.input_file_name().alias("path")).where(F.col("path") != "").distinct()
+          .repartition(spark.sparkContext.defaultParallelism * 4))
 
     def read(it):
         for pdf in it:
@@ -132,10 +131,25 @@ def max_bytes_guard(df: DataFrame, limit_bytes: int, columns: Sequence[str] | No
     return df
 
 
-def limit_does_not_cut_scan(df: DataFrame, n: int, columns: Sequence[str] | None = None) -> tuple[int, int]:
-    """SL4: scan bytes of a query with and without ``LIMIT n``; a limit on
-    top of a scan does not shrink the files/columns the scan must read."""
-    return total_scan_bytes(df, columns), total_scan_bytes(df.limit(n), columns)
+def scan_signature(df: DataFrame) -> list[tuple[str, str, str]]:
+    """(ReadSchema, PartitionFilters, PushedFilters) of every file scan."""
+    out = []
+    for ln in scan_nodes(df):
+        parts = []
+        for key in ("ReadSchema: ", "PartitionFilters: ", "PushedFilters: "):
+            m = re.search(re.escape(key) + r"(\S+(?:, \S+)*?)(?:, [A-Z][A-Za-z]+: |$)", ln)
+            parts.append(m.group(1) if m else "")
+        out.append(tuple(parts))
+    return out
+
+
+def limit_does_not_cut_scan(df: DataFrame, n: int) -> bool:
+    """SL4: ``LIMIT n`` on top of a query leaves its scans unchanged -- same
+    columns, same partition and pushed filters -- so the bytes the scan is
+    planned to read (``estimate_scan_bytes`` of the query) do not shrink.
+    (At run time Spark may stop a plain limit early; with an ``ORDER BY``
+    the whole pruned input is read, as in the reference.)"""
+    return scan_signature(df) == scan_signature(df.limit(n))
 
 
 def has_pushed_filters(df: DataFrame) -> bool:
