@@ -156,52 +156,68 @@ def multiwindow_alerts(burn: DataFrame, key: str) -> DataFrame:
     return x.where("_a.open").select(key, "bucket_start", F.col("_a.alert").alias("alert"))
 
 
-def streaks(df: DataFrame, keys: Sequence[str], order_col: str, flag: str, bucket: Column) -> DataFrame:
-    """Gaps-and-islands over an ordered series, bucket-split (see
-    ``sequence``): adds ``island_start`` (order value of the island's first
-    row), ``pos`` (1-based position in the island) and
-    ``prev_island_start`` (island of the previous row).  ``order_col`` must be
-    unique and sortable within a key."""
+def runs(df: DataFrame, keys: Sequence[str], seq: str, flag: str, bucket: Column) -> tuple[DataFrame, DataFrame]:
+    """Gaps-and-islands over an ordered series, bucket-split.
+
+    Returns ``(rows, runs)``: ``rows`` adds ``run_start`` (``seq`` of the
+    first row of the row's run of equal ``flag``) and ``pos`` (1-based
+    position in the run); ``runs`` has one row per run with its flag,
+    length, end and the previous run (``prev_run_start``, ``prev_flag``,
+    ``prev_length``).  ``seq`` must be unique and sortable per key, and
+    ``bucket`` non-decreasing in ``seq`` (e.g. the day of the timestamp).
+
+    Plan: one exchange on (keys, bucket) for the row windows (the classic
+    ``row_number() - row_number() per flag`` islands inside each bucket);
+    run pieces are aggregated on the same partitioning; pieces (one row per
+    run and bucket, far fewer than rows) are stitched across bucket
+    boundaries by a window per key; rows get their run back by an equi-join.
+    No window ever sorts all rows of a key in one task."""
     keys = list(keys)
-    d = prev_within(df, keys, [order_col], [flag], bucket)
-    d = d.withColumn("_b", bucket).withColumn(
-        "_st", F.when(F.col("prev_" + flag).isNull() | (F.col("prev_" + flag) != F.col(flag)), F.col(order_col)))
-    w = Window.partitionBy(*keys, "_b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_st_run", F.max("_st").over(w))
-    carry = d.groupBy(*keys, "_b").agg(F.max("_st").alias("_bmax"))
-    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = carry.select(*keys, "_b", F.max("_bmax").over(wb).alias("_carry"))
-    d = d.join(carry, [*keys, "_b"], "left").withColumn(
-        "island_start", F.coalesce(F.col("_st_run"), F.col("_carry")))
-    # position inside the island: rows of the same island in earlier buckets
-    cnt = d.groupBy(*keys, "island_start", "_b").agg(F.count(F.lit(1)).alias("_c"))
-    wi = Window.partitionBy(*keys, "island_start").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cnt = cnt.select(*keys, "island_start", "_b", F.coalesce(F.sum("_c").over(wi), F.lit(0)).alias("_off"))
-    d = d.join(cnt, [*keys, "island_start", "_b"], "left")
-    wr = Window.partitionBy(*keys, "island_start", "_b").orderBy(order_col)
-    d = d.withColumn("pos", F.col("_off") + F.row_number().over(wr))
-    d = prev_within(d.drop("_st", "_st_run", "_carry", "_off", "prev_" + flag), keys, [order_col],
-                    ["island_start"], F.col("_b"))
-    return d.drop("_b")
+    d = df.withColumn("_b", bucket)
+    w = Window.partitionBy(*keys, "_b").orderBy(seq)
+    wf = Window.partitionBy(*keys, "_b", flag).orderBy(seq)
+    d = d.withColumn("_rf", F.row_number().over(wf)).withColumn("_g", F.row_number().over(w) - F.col("_rf"))
+    pieces = d.groupBy(*keys, "_b", flag, "_g").agg(
+        F.min(seq).alias("_s"), F.max(seq).alias("_e"), F.count(F.lit(1)).alias("_n"), F.min("_rf").alias("_rf0"))
+    wp = Window.partitionBy(*keys).orderBy("_s")
+    wrun = wp.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = (pieces.withColumn("_new", F.coalesce(F.lag(flag).over(wp) != F.col(flag), F.lit(True)))
+              .withColumn("_cum", F.sum("_n").over(wrun)))
+    pieces = (pieces.withColumn("run_start", F.max(F.when(F.col("_new"), F.col("_s"))).over(wrun))
+              .withColumn("_off", F.col("_cum") - F.col("_n")
+                          - F.max(F.when(F.col("_new"), F.col("_cum") - F.col("_n"))).over(wrun)))
+    run_tbl = pieces.groupBy(*keys, "run_start", flag).agg(
+        F.sum("_n").alias("length"), F.max("_e").alias("run_end"))
+    wr = Window.partitionBy(*keys).orderBy("run_start")
+    run_tbl = (run_tbl.withColumn("prev_run_start", F.lag("run_start").over(wr))
+               .withColumn("prev_flag", F.lag(flag).over(wr)).withColumn("prev_length", F.lag("length").over(wr)))
+    rows = d.join(pieces.select(*keys, "_b", flag, "_g", "run_start", "_off", "_rf0"), [*keys, "_b", flag, "_g"])
+    rows = rows.withColumn("pos", F.col("_off") + F.col("_rf") - F.col("_rf0") + 1).drop(
+        "_b", "_rf", "_g", "_off", "_rf0")
+    return rows, run_tbl
 
 
 def breach_timeline(probes: DataFrame, seq: str = "seq", ts: str = "ts", ok: str = "ok",
                     hysteresis: int = 3, bucket: Column | None = None) -> DataFrame:
     """WI5: per incident, impact = the ``hysteresis``-th consecutive bad
-    probe, recovery = the ``hysteresis``-th consecutive good probe of the
-    island right after it.  An incident with no such recovery keeps NULLs."""
+    probe, recovery = the ``hysteresis``-th consecutive good probe of the run
+    right after it.  An incident with no such recovery keeps NULLs.
+
+    The pairing is one aggregate: bad hits group under their own run, good
+    hits under the run before theirs (no self-join)."""
     b = bucket if bucket is not None else F.col(ts).cast("date")
-    s = streaks(probes.select(F.lit(1).alias("_series"), seq, ts, ok), ["_series"], seq, ok, b)
-    impact = s.where(~F.col(ok) & (F.col("pos") == hysteresis)).select(
-        F.col("island_start").alias("_isl"), F.col(seq).alias("impact_seq"), F.col(ts).alias("impact_ts"))
-    starts = s.where(F.col("pos") == 1).select(F.col("island_start").alias("_g"),
-                                               F.col("prev_island_start").alias("_isl"))
-    rec = (s.where(F.col(ok) & (F.col("pos") == hysteresis))
-           .select(F.col("island_start").alias("_g"), F.col(seq).alias("recover_seq"), F.col(ts).alias("recover_ts"))
-           .join(starts, "_g").drop("_g"))
-    j = impact.join(rec, "_isl", "left")
+    rows, run_tbl = runs(probes.select(F.lit(1).alias("_series"), seq, ts, ok), ["_series"], seq, ok, b)
+    hits = rows.where(F.col("pos") == hysteresis).join(
+        run_tbl.select("_series", "run_start", "prev_run_start"), ["_series", "run_start"])
+    pair = F.when(F.col(ok), F.col("prev_run_start")).otherwise(F.col("run_start"))
+    g = hits.groupBy(pair.alias("_isl")).agg(
+        F.max(F.when(~F.col(ok), F.col(seq))).alias("impact_seq"),
+        F.max(F.when(~F.col(ok), F.col(ts))).alias("impact_ts"),
+        F.max(F.when(F.col(ok), F.col(seq))).alias("recover_seq"),
+        F.max(F.when(F.col(ok), F.col(ts))).alias("recover_ts"))
+    g = g.where(F.col("impact_seq").isNotNull())
     rs = (F.unix_micros(F.col("recover_ts").cast("timestamp")) - F.unix_micros(F.col("impact_ts").cast("timestamp"))) / 1e6
-    return j.select("impact_seq", "impact_ts", "recover_seq", "recover_ts", rs.alias("recovery_s"))
+    return g.select("impact_seq", "impact_ts", "recover_seq", "recover_ts", rs.alias("recovery_s"))
 
 
 def drill_verdict(incidents: DataFrame, attempts: DataFrame, ts: str = "ts", acked: str = "acked",
@@ -212,8 +228,13 @@ def drill_verdict(incidents: DataFrame, attempts: DataFrame, ts: str = "ts", ack
 
     The "count of rows before t" is a running count over one ordered series
     of messages and incident markers, bucket-split by day, so no non-equi
-    join is planned."""
+    join is planned.  The incident table (small: one row per incident) is
+    used three times, so it is checkpointed to the shared checkpoint folder
+    first."""
+    from ..session import ensure_checkpoint_dir
     from .sequence import running_sum
+    ensure_checkpoint_dir(incidents.sparkSession)
+    incidents = incidents.checkpoint(eager=True)
     msgs = attempts.where(~F.col(acked)).select(F.col(ts).alias("_t"), F.lit(1).alias("_kind"),
                                                 F.lit(1).alias("_v"), F.lit(None).cast("bigint").alias("_inc"),
                                                 F.lit(None).cast("string").alias("_tag"))
