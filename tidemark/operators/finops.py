@@ -163,13 +163,14 @@ def budget_crossings(df: DataFrame, thresholds: Sequence[float] = (0.5, 0.9, 1.0
         monthly = daily.groupBy("invoice_month").agg(F.sum("_c").alias("_m"))
         budget_cents = monthly.select(F.avg("_m")).scalar()
     w = Window.partitionBy("invoice_month").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    r = daily.withColumn("_cum", F.sum("_c").over(w))
+    # the budget (a scalar subquery) is attached once and referenced by name
+    r = daily.withColumn("_cum", F.sum("_c").over(w)).withColumn("_budget", budget_cents)
     forecast = F.col("_cum") / F.dayofmonth("day") * F.dayofmonth(F.last_day("day"))
     rows = r.select("invoice_month", "day", F.explode(F.array(
         *[F.struct(F.lit("actual").alias("kind"), F.lit(float(t)).alias("threshold"),
-                   (F.col("_cum") >= F.lit(float(t)) * budget_cents).alias("hit")) for t in thresholds],
+                   (F.col("_cum") >= F.lit(float(t)) * F.col("_budget")).alias("hit")) for t in thresholds],
         F.struct(F.lit("forecast").alias("kind"), F.lit(1.0).alias("threshold"),
-                 (forecast >= budget_cents).alias("hit")))).alias("x"))
+                 (forecast >= F.col("_budget")).alias("hit")))).alias("x"))
     return (rows.where("x.hit").groupBy("invoice_month", F.col("x.kind").alias("kind"),
                                          F.col("x.threshold").alias("threshold"))
             .agg(F.min("day").alias("first_day")))

@@ -73,22 +73,21 @@ def left_group_totals(parent: DataFrame, child: DataFrame, key: str, amount: str
 def manifest_check(published: DataFrame, landed: DataFrame, id_col: str,
                    dead_letter: DataFrame | None = None) -> DataFrame:
     """JO9: lost ids (published, not landed), unexpected ids (landed, never
-    published), duplicate landings, and dead-letter parity (one row)."""
-    p = published.select(id_col).distinct()
-    l_counts = landed.groupBy(id_col).agg(F.count(F.lit(1)).alias("_k"))
-    lost = p.join(l_counts.select(id_col), id_col, "left_anti")
-    unexpected = l_counts.join(p, id_col, "left_anti")
-    one = published.sparkSession.range(1)
-    cols = [
-        published.select(F.count(F.lit(1))).scalar().alias("published"),
-        landed.select(F.count(F.lit(1))).scalar().alias("landed"),
-        lost.select(F.count(F.lit(1))).scalar().alias("lost"),
-        unexpected.select(F.count(F.lit(1))).scalar().alias("unexpected"),
-        l_counts.select(F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).cast("bigint")).scalar().alias("duplicates"),
-    ]
+    published), duplicate landings, and dead-letter parity -- one row, from
+    one full outer join of the per-id counts of both sides (each side is
+    scanned once and partially aggregated)."""
+    p = published.groupBy(id_col).agg(F.count(F.lit(1)).alias("_p"))
+    l_counts = landed.groupBy(id_col).agg(F.count(F.lit(1)).alias("_l"))
+    j = p.join(l_counts, id_col, "full_outer")
+    out = j.agg(
+        F.coalesce(F.sum("_p"), F.lit(0)).cast("bigint").alias("published"),
+        F.coalesce(F.sum("_l"), F.lit(0)).cast("bigint").alias("landed"),
+        F.count_if(F.col("_l").isNull()).alias("lost"),
+        F.count_if(F.col("_p").isNull()).alias("unexpected"),
+        F.coalesce(F.sum(F.greatest(F.col("_l") - 1, F.lit(0))), F.lit(0)).cast("bigint").alias("duplicates"))
     if dead_letter is not None:
-        cols.append(dead_letter.select(F.count(F.lit(1))).scalar().alias("dead_lettered"))
-    return one.select(*cols)
+        out = out.withColumn("dead_lettered", dead_letter.select(F.count(F.lit(1))).scalar())
+    return out
 
 
 def lost_ids(published: DataFrame, landed: DataFrame, id_col: str) -> DataFrame:
@@ -179,6 +178,6 @@ def shadow_stats(compare_base: DataFrame, key: str, matched: Column, lag: str) -
     n = F.col("n")
     p = rank_values(compare_base.select(lag), [], lag, {
         "p50_lag_s": F.greatest(F.lit(1), F.ceil(n * 0.5)), "p95_lag_s": F.greatest(F.lit(1), F.ceil(n * 0.95))})
-    return s.select("comparisons", "matches", "never_converged",
-                    p.select("p50_lag_s").scalar().alias("p50_lag_s"),
-                    p.select("p95_lag_s").scalar().alias("p95_lag_s"))
+    q = p.select(F.struct("p50_lag_s", "p95_lag_s")).scalar()   # one subquery for both
+    return s.withColumn("_q", q).select("comparisons", "matches", "never_converged",
+                                        F.col("_q.p50_lag_s").alias("p50_lag_s"), F.col("_q.p95_lag_s").alias("p95_lag_s"))

@@ -96,6 +96,11 @@ def rank_values(df: DataFrame, group: Sequence[str], value: str,
     hist = base.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_cnt"))
     v = F.col(value).cast("double")
     hist = hist.withColumn("_b", (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * per_octave)).cast("bigint"))
+    # the histogram feeds two branches (range totals and the per-value
+    # running count); a reliable checkpoint makes the base scan happen once
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    hist = hist.checkpoint(eager=True)
     bk = hist.groupBy(*group, "_b").agg(F.sum("_cnt").alias("_bc"))
     wg = Window.partitionBy(*group)
     wb = wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -113,12 +113,13 @@ def recommend_lateness(df: DataFrame, skew_col: str, bounds: Sequence[int] = ROU
     (evaluated once, broadcast as a value), not a join."""
     p999 = skew_percentiles(df, skew_col).select("p999")
     arr = F.array(*[F.lit(b) for b in bounds])
-    bound = p999.select(F.coalesce(F.array_min(F.filter(arr, lambda b: b > F.col("p999"))),
-                                   F.lit(max(bounds))).alias("bound_s"))
-    b = bound.scalar()
-    agg = df.agg(F.count(F.lit(1)).alias("events"),
-                 F.count_if(F.col(skew_col) > b).alias("dropped"))
-    return agg.select(b.alias("bound_s"), p999.scalar().alias("p999"), "events", "dropped",
+    pick = p999.select(F.struct(
+        F.coalesce(F.array_min(F.filter(arr, lambda b: b > F.col("p999"))), F.lit(max(bounds))).alias("bound_s"),
+        "p999")).scalar()                            # one subquery, used by name below
+    d = df.select(skew_col).withColumn("_pick", pick)
+    agg = d.groupBy(F.col("_pick.bound_s").alias("bound_s"), F.col("_pick.p999").alias("p999")).agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(F.col(skew_col) > F.col("_pick.bound_s")).alias("dropped"))
+    return agg.select("bound_s", "p999", "events", "dropped",
                       F.round(F.col("dropped") / F.col("events") * 100, 4).alias("dropped_pct"))
 
 
