@@ -60,7 +60,7 @@ def with_balanced_weights(df: DataFrame, label: str = "purchased") -> DataFrame:
 
 
 def train_logistic(train: DataFrame, label: str = "purchased", numeric: Sequence[str] = NUMERIC,
-                   max_iter: int = 50) -> PipelineModel:
+                   max_iter: int = 25) -> PipelineModel:
     """ML1: StringIndexer + OneHotEncoder (tenant, weekday) + VectorAssembler
     + LogisticRegression with balanced class weights."""
     idx = StringIndexer(inputCols=["tenant_id"], outputCols=["tenant_ix"], handleInvalid="keep")
