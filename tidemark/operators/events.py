@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sequence import prev_within, running_sum
+from .sequence import prev_within, running_sum, time_bucket
 
 # Raw message schema: every field read as text first, so type problems are
 # detected by this operator instead of silently turning into NULLs.
@@ -104,9 +104,9 @@ def sessions(df: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
 def sessions_by_gap(df: DataFrame, key: str, ts: str, tie: str, gap_s: int) -> DataFrame:
     """WI10: batch sessionization by ``lag`` + running count of session
     starts; same result as ``sessions`` (checked in the tests).  Both the lag
-    and the running count are bucket-split (per day), so one key with many
+    and the running count are bucket-split (per hour), so one key with many
     events is not sorted in one task."""
-    b = F.col(ts).cast("date")
+    b = time_bucket(ts)
     d = prev_within(df.select(key, ts, tie), [key], [ts, tie], [ts], b)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     start = F.col("prev_" + ts).isNull() | (us - F.unix_micros(F.col("prev_" + ts).cast("timestamp")) > gap_s * 1_000_000)
@@ -141,14 +141,14 @@ def apply_changes(changes: DataFrame, key: str, version: str, op: str, cols: Seq
 def order_inversions(df: DataFrame, key: str, seq: str, arrival: str, tie: str) -> DataFrame:
     """WI7: per ordering key, messages that arrived after a higher sequence
     number (``seq < lag(seq)`` in arrival order)."""
-    d = prev_within(df.select(key, seq, arrival, tie), [key], [arrival, tie], [seq], F.col(arrival).cast("date"))
+    d = prev_within(df.select(key, seq, arrival, tie), [key], [arrival, tie], [seq], time_bucket(arrival))
     return d.groupBy(key).agg(F.count(F.lit(1)).alias("messages"),
                               F.count_if(F.col(seq) < F.col("prev_" + seq)).alias("inversions"))
 
 
 def inter_event_gap(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
     """WI8: seconds since the previous event of the same key."""
-    d = prev_within(df.select(key, ts, tie), [key], [ts, tie], [ts], F.col(ts).cast("date"))
+    d = prev_within(df.select(key, ts, tie), [key], [ts, tie], [ts], time_bucket(ts))
     gap = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("prev_" + ts).cast("timestamp"))) / 1e6
     return d.select(tie, key, ts, gap.alias("gap_s"))
 

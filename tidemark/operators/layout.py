@@ -1,10 +1,10 @@
 """Table layout: partitioned and sorted writes, pruned scans, partition
 retention and partition statistics (SO3-SO9, PF1-PF3, AG34, AG35).
 
-Writes use ``repartition(partition_col, cluster keys...)`` +
-``sortWithinPartitions`` so each task writes few, internally sorted files;
-row-group min/max statistics then let later range filters on the cluster
-keys skip row groups, and partition filters prune whole folders.
+Writes range-partition by (partition column, cluster keys) and sort within
+each task, so files hold disjoint, sorted cluster-key ranges; row-group
+min/max statistics then let range filters on the cluster keys skip row
+groups, and partition filters prune whole folders.
 """
 
 from __future__ import annotations
@@ -58,27 +58,25 @@ def null_partition(df: DataFrame, part_col: str, name: str = "partition_id") ->
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str,
                       cluster: Sequence[str] = (), mode: str = "overwrite",
-                      files_per_partition: int | None = None) -> None:
+                      max_records_per_file: int = 5_000_000) -> None:
     """CTAS into day (or other) partitions, sorted by up to 4 cluster keys (SO5).
 
-    ``repartition`` on the partition column (plus a spread key when a single
-    partition value is large) keeps the file count per folder bounded, and
-    ``sortWithinPartitions`` orders rows by the cluster keys inside each
-    file.  ``partitionOverwriteMode=dynamic`` replaces only the partitions
-    present in ``df``.
+    ``repartitionByRange(partition_col, *cluster)`` samples the data and cuts
+    it into ranges of (partition value, cluster keys): a day holding a third
+    of the rows is split over many tasks, and each task writes files whose
+    cluster-key ranges do not overlap, which is what row-group min/max
+    skipping needs.  ``sortWithinPartitions`` orders rows inside each file;
+    ``maxRecordsPerFile`` bounds file size; dynamic partition overwrite
+    replaces only the partitions present in ``df``.
     """
     if len(cluster) > 4:
         raise ValueError("at most 4 cluster keys")
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    if files_per_partition and files_per_partition > 1:
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in (cluster or df.columns[:1])]),
-                        F.lit(files_per_partition))
-        d = df.repartition(F.col(partition_col), spread)
-    else:
-        d = df.repartition(F.col(partition_col))
+    d = df.repartitionByRange(F.col(partition_col), *[F.col(c) for c in cluster])
     d = d.sortWithinPartitions(partition_col, *cluster)
-    d.write.mode(mode).partitionBy(partition_col).parquet(path)
+    (d.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy(partition_col).parquet(path))
 
 
 def expire_partitions(spark: SparkSession, path: str, partition_col: str, as_of: str,

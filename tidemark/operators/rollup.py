@@ -33,7 +33,7 @@ def write_rollup(rollup: DataFrame, path: str, refreshed_at: dt.datetime, days:
     and record the refresh time next to the data."""
     spark = rollup.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (rollup.repartition("event_date").sortWithinPartitions("event_date", "tenant_id")
+    (rollup.repartitionByRange("event_date", "tenant_id").sortWithinPartitions("event_date", "tenant_id")
      .write.mode("overwrite").partitionBy("event_date").parquet(path))
     meta = spark.createDataFrame([(refreshed_at, json.dumps(list(days) if days else None))],
                                  "refreshed_at timestamp_ntz, days string")

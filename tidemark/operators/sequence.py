@@ -24,6 +24,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Width of the time buckets that split ordered per-key work.  One bucket of
+# one key is sorted in one task: an hour keeps that bounded even for a key
+# holding a large share of a year of events; the per-bucket summary tables
+# stay at one row per key and hour.
+BUCKET_UNIT = "hour"
+
+
+def time_bucket(ts, unit: str = BUCKET_UNIT) -> Column:
+    """Monotone time bucket of an order timestamp (for ``prev_within``,
+    ``running_sum`` and the island helpers)."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.date_trunc(unit, c.cast("timestamp"))
+
+
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import nearest_rank
 from .finops import API_USD_PER_M_IN, API_USD_PER_M_OUT
-from .sequence import prev_within, rank_values
+from .sequence import prev_within, rank_values, time_bucket
 
 
 def latency_percentiles(df: DataFrame, group: Sequence[str], latency: str,
@@ -43,7 +43,7 @@ def cold_start_share(df: DataFrame, key: str, ts: str, tie: str, idle_s: int = 9
                      slo_share: float = 0.01) -> DataFrame:
     """AG28: a request is a cold start when it is the first of its key or
     follows an idle gap longer than ``idle_s``; share per key vs the 1% SLO."""
-    g = prev_within(df.select(key, ts, tie), [key], [ts, tie], [ts], F.col(ts).cast("date"))
+    g = prev_within(df.select(key, ts, tie), [key], [ts, tie], [ts], time_bucket(ts))
     gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("prev_" + ts).cast("timestamp"))
     cold = F.col("prev_" + ts).isNull() | (gap > idle_s * 1_000_000)
     c = g.groupBy(key).agg(F.count(F.lit(1)).alias("requests"), F.count_if(cold).alias("cold_starts"))

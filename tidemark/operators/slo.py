@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import at_least_severity
-from .sequence import prev_within, rank_values
+from .sequence import prev_within, rank_values, time_bucket
 
 # ---- fixed values: burn-rate alert pairs of the reference ------------------
 # (name, long lookback s, short lookback s, burn threshold)
@@ -205,7 +205,7 @@ def breach_timeline(probes: DataFrame, seq: str = "seq", ts: str = "ts", ok: str
 
     The pairing is one aggregate: bad hits group under their own run, good
     hits under the run before theirs (no self-join)."""
-    b = bucket if bucket is not None else F.col(ts).cast("date")
+    b = bucket if bucket is not None else time_bucket(ts)
     rows, run_tbl = runs(probes.select(F.lit(1).alias("_series"), seq, ts, ok), ["_series"], seq, ok, b)
     hits = rows.where(F.col("pos") == hysteresis).join(
         run_tbl.select("_series", "run_start", "prev_run_start"), ["_series", "run_start"])
@@ -244,7 +244,7 @@ def drill_verdict(incidents: DataFrame, attempts: DataFrame, ts: str = "ts", ack
         F.col("recover_ts").alias("_t"), F.lit(0).alias("_kind"), F.lit(0).alias("_v"),
         F.col("impact_seq").alias("_inc"), F.lit("recover").alias("_tag"))
     u = msgs.unionByName(mk_i).unionByName(mk_r).withColumn("_series", F.lit(1))
-    r = running_sum(u, ["_series"], ["_t", "_kind", "_inc", "_tag"], "_v", F.col("_t").cast("date"), "_depth")
+    r = running_sum(u, ["_series"], ["_t", "_kind", "_inc", "_tag"], "_v", time_bucket("_t"), "_depth")
     m = r.where(F.col("_kind") == 0).groupBy(F.col("_inc").alias("impact_seq")).agg(
         F.max(F.when(F.col("_tag") == "impact", F.col("_depth"))).alias("dlq_at_impact"),
         F.max(F.when(F.col("_tag") == "recover", F.col("_depth"))).alias("dlq_at_recovery"))

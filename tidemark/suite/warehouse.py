@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import between_inclusive, date_equals, sum_money, year_range
 from ..operators import layout, warehouse as wh
+from ..operators.sequence import time_bucket
 from ..registry import register
 from ..session import scratch_path
 from ..sources.fixtures import v_events, v_jobs, v_logs, v_requests, v_trips, v_attempts
@@ -225,7 +226,7 @@ SELECT max(n) AS gaps,
 FROM r""")
 def ag8(spark, sf):
     d = v_events(_t(spark, sf))
-    return wh.gap_distribution(d, "user_id", "ts", "event_id", F.col("ts").cast("date"))
+    return wh.gap_distribution(d, "user_id", "ts", "event_id", time_bucket("ts"))
 
 
 @register("ag9_error_share_literal", """
