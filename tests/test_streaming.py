@@ -264,3 +264,19 @@ def test_stream_batch_reconcile(spark, tmp_path):
     r = {x.ws.replace(tzinfo=None): x for x in reconcile(stream, b, ["ws"], "total").collect()}
     alerts = sorted(k for k, v in r.items() if v.alert)
     assert len(alerts) == 3     # the three windows that lost late data diverge by more than 1%
+
+
+def test_early_on_time_late_firings(spark, tmp_path):
+    """The reference's trace: A 100, B 50 early; on-time when the watermark
+    passes the window end; C 25 late -> 100, 150, 150, 175."""
+    base = int(dt.datetime(2024, 1, 1, 12, 3, 0, tzinfo=dt.timezone.utc).timestamp())
+    steps = [[(base + 2, 100)], [(base + 40, 50)], [(base + 240, 0)], [(base + 241, 0)], [(base + 47, 25)]]
+    src = str(tmp_path / "src")
+    _write_steps(src, [[{"event_time_s": t, "revenue": v} for t, v in s] for s in steps])
+    s = _lateness_stream(spark, src).withWatermark("ts", "600 seconds")
+    out = []
+    q = st.window_firings(s, "ts", "revenue", 60, 600)
+    sw.run_available(q, lambda b, i: out.extend(b.collect()), str(tmp_path / "ck"), mode="append")
+    trace = [(r.total, r.kind) for r in sorted(out, key=lambda r: r.firing)
+             if r.window_start.replace(tzinfo=None) == dt.datetime(2024, 1, 1, 12, 3)]
+    assert trace == [(100.0, "early"), (150.0, "early"), (150.0, "on_time"), (175.0, "late")]

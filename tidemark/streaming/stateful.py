@@ -435,6 +435,80 @@ def tail_sampling(spans: DataFrame, trace: str = "trace_id", **kw) -> DataFrame:
         outputStructType=_out_struct(rule, [trace], kt), outputMode="Append", timeMode="EventTime")
 
 
+# ---- SS7/SS8: early, on-time and late firings of an event-time window --------
+
+class WindowFiringsProcessor(StatefulProcessor):
+    """Per event-time window (the grouping key is the window start):
+
+    * every arrival re-emits the running total -- ``early`` while the
+      on-time watermark is before the window end, ``late`` after it;
+    * when the on-time watermark passes the window end, the total is emitted
+      once more as ``on_time`` (an event-time timer);
+    * state is dropped when the window end is ``lateness`` behind.
+
+    The input stream carries ``withWatermark(ts, lateness)``, so Spark keeps
+    late rows up to the allowed lateness; the on-time watermark is that
+    watermark plus the lateness.  ``accumulate=False`` emits each firing's
+    own increment instead (discarding mode)."""
+
+    def __init__(self, size_s: int, lateness_s: int, value: str = "value", accumulate: bool = True):
+        self.size_ms, self.late_ms, self.value, self.acc = size_s * 1000, lateness_s * 1000, value, accumulate
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("w", "total double, emitted double, firing long")
+
+    def _out(self, key, total, kind, firing):
+        return pd.DataFrame({"window_start": [key[0]], "total": [total], "kind": [kind], "firing": [firing]})
+
+    def handleInputRows(self, key, rows, timerValues):
+        add = float(sum(float(pdf[self.value].sum()) for pdf in rows))
+        start_ms = _ms(key[0])
+        end_ms = start_ms + self.size_ms
+        if self.state.exists():
+            total, emitted, firing = self.state.get()
+        else:
+            total, emitted, firing = 0.0, 0.0, 0
+            self.handle.registerTimer(end_ms - self.late_ms)   # on-time firing
+            self.handle.registerTimer(end_ms)                  # lateness over: drop state
+        total += add
+        firing += 1
+        on_time_wm = timerValues.getCurrentWatermarkInMs() + self.late_ms
+        kind = "early" if on_time_wm < end_ms else "late"
+        out = total if self.acc else total - emitted
+        self.state.update((total, total, firing))
+        yield self._out(key, out, kind, firing)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        end_ms = _ms(key[0]) + self.size_ms
+        if not self.state.exists():
+            return
+        total, emitted, firing = self.state.get()
+        if expiredTimerInfo.getExpiryTimeInMs() < end_ms:
+            firing += 1
+            self.state.update((total, total, firing))
+            yield self._out(key, total if self.acc else total - emitted, "on_time", firing)
+        else:
+            self.state.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def window_firings(stream: DataFrame, ts: str, value: str, size_s: int, lateness_s: int,
+                   accumulate: bool = True) -> DataFrame:
+    """SS7: early / on-time / late firings per tumbling window (see
+    ``WindowFiringsProcessor``).  ``stream`` must carry
+    ``withWatermark(ts, f"{lateness_s} seconds")``."""
+    from pyspark.sql import functions as F
+    _ = stream.sparkSession.streams.active
+    keyed = stream.select(F.window(F.col(ts), f"{size_s} seconds").start.alias("window_start"), ts, value)
+    return keyed.groupBy("window_start").transformWithStateInPandas(
+        statefulProcessor=WindowFiringsProcessor(size_s, lateness_s, value, accumulate),
+        outputStructType="window_start timestamp, total double, kind string, firing long",
+        outputMode="Append", timeMode="EventTime")
+
+
 def _pickle_by_value() -> None:
     """Stateful processors are also unpickled by a driver-side Python worker
     that does not see ``addPyFile`` code; pickle this module's classes by
