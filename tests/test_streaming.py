@@ -280,3 +280,15 @@ def test_early_on_time_late_firings(spark, tmp_path):
     trace = [(r.total, r.kind) for r in sorted(out, key=lambda r: r.firing)
              if r.window_start.replace(tzinfo=None) == dt.datetime(2024, 1, 1, 12, 3)]
     assert trace == [(100.0, "early"), (150.0, "early"), (150.0, "on_time"), (175.0, "late")]
+
+
+def test_read_events_source(spark, tmp_path):
+    src = str(tmp_path / "src")
+    msgs = [{"event_id": f"e{i}", "event_time": f"2024-01-01T00:0{i}:00Z", "amount": float(i)} for i in range(3)]
+    _write_steps(src, [msgs])
+    s = sio.read_events(spark, src, "event_id string, event_time string, amount double", "event_time",
+                        "5 minutes", max_files_per_trigger=1)
+    agg = sw.windowed_sum(s, "event_ts", "amount", "1 minute")
+    out = []
+    sw.run_available(agg, lambda b, i: out.extend(b.collect()), str(tmp_path / "ck"))
+    assert sorted(r.total for r in out) == [0.0, 1.0, 2.0]
