@@ -292,3 +292,21 @@ def test_read_events_source(spark, tmp_path):
     out = []
     sw.run_available(agg, lambda b, i: out.extend(b.collect()), str(tmp_path / "ck"))
     assert sorted(r.total for r in out) == [0.0, 1.0, 2.0]
+
+
+def test_cdc_apply_stream_and_cascade(spark, tmp_path):
+    from tidemark.operators.events import apply_changes, cascade_deletes
+    src = str(tmp_path / "src")
+    steps = [[{"id": 1, "version": 1, "op": "I", "payload": 1.0}, {"id": 2, "version": 1, "op": "I", "payload": 2.0}],
+             [{"id": 1, "version": 2, "op": "U", "payload": 10.0}, {"id": 2, "version": 2, "op": "D", "payload": 0.0}],
+             [{"id": 1, "version": 1, "op": "U", "payload": 99.0}]]     # stale replay: ignored
+    _write_steps(src, steps)
+    s = spark.readStream.schema("id long, version long, op string, payload double").option("maxFilesPerTrigger", 1).json(src)
+    tgt = str(tmp_path / "tgt")
+    sw.run_available(s, sio.cdc_apply(tgt, "id", "version"), str(tmp_path / "ck"), mode="append")
+    assert [(r.id, r.version, r.payload) for r in spark.read.parquet(tgt).collect()] == [(1, 2, 10.0)]
+    allc = spark.createDataFrame([r for st in steps for r in st])
+    batch = apply_changes(allc, "id", "version", "op", ["payload"]).collect()
+    assert [(r.id, r.payload) for r in batch] == [(1, 10.0)]
+    kids = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "id long, child string")
+    assert [r.child for r in cascade_deletes(kids, "id", allc, "id", "version", "op").collect()] == ["a"]

@@ -138,6 +138,15 @@ def apply_changes(changes: DataFrame, key: str, version: str, op: str, cols: Seq
     return last.where(F.col(op) != "D").drop(op)
 
 
+def cascade_deletes(children: DataFrame, parent_key: str, changes: DataFrame, key: str, version: str,
+                    op: str) -> DataFrame:
+    """SS20 cascade: child rows whose parent's latest change is a delete are
+    removed (``left_anti`` against the deleted parent keys)."""
+    last = latest_per_key(changes, key, version, [op])
+    deleted = last.where(F.col(op) == "D").select(F.col(key).alias(parent_key))
+    return children.join(deleted, parent_key, "left_anti")
+
+
 def order_inversions(df: DataFrame, key: str, seq: str, arrival: str, tie: str) -> DataFrame:
     """WI7: per ordering key, messages that arrived after a higher sequence
     number (``seq < lag(seq)`` in arrival order)."""

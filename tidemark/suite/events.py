@@ -222,3 +222,21 @@ SELECT count(*) AS counted, count(*) FILTER (WHERE skew_s > 300) AS dropped,
 def ag42(spark, sf):
     e = v_events(_t(spark, sf))
     return undercount(e, e.where(F.col("skew_s") > 300))
+
+
+@register("ss20b_cdc_cascade_children", """
+WITH last AS (SELECT id, arg_max(op, version) AS op FROM v_changes GROUP BY id),
+kids AS (SELECT l_orderkey % 1000 AS id, l_orderkey, l_linenumber FROM lineitem)
+SELECT kids.id, count(*) AS children FROM kids
+WHERE NOT EXISTS (SELECT 1 FROM last WHERE last.id = kids.id AND last.op = 'D') GROUP BY kids.id""")
+def ss20b(spark, sf):
+    t = _t(spark, sf)
+    kids = t.lineitem.select((F.col("l_orderkey") % 1000).alias("id"), "l_orderkey", "l_linenumber")
+    left = ev.cascade_deletes(kids, "id", v_changes(t), "id", "version", "op")
+    return left.groupBy("id").agg(F.count(F.lit(1)).alias("children"))
+
+
+@register("ag6b_skew_percentiles_approx")
+def ag6b(spark, sf):
+    from ..operators.warehouse import skew_percentiles_approx
+    return skew_percentiles_approx(v_events(_t(spark, sf)), "skew_s")
