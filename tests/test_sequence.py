@@ -8,6 +8,8 @@ import random
 
 import pandas as pd
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators.sequence import prev_within, rank_values, running_sum, time_bucket
@@ -84,3 +86,25 @@ def test_rank_values_match_sorted(series):
         assert r.p50 == vals[max(1, -(-m * 50 // 100)) - 1]
         assert r.p99 == vals[max(1, -(-m * 99 // 100)) - 1]
         assert r.mx == vals[-1]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["x", "y"]), st.integers(0, 10 * 3600), st.booleans()),
+                min_size=1, max_size=60, unique_by=lambda t: (t[0], t[1])))
+def test_runs_and_prev_property(spark, events):
+    """Random series (gaps of hours, two keys): bucket-split results equal the
+    plain per-key computation."""
+    rows = [(k, i, T0 + dt.timedelta(seconds=s), ok) for i, (k, s, ok) in enumerate(sorted(events, key=lambda e: e[1]))]
+    pdf = pd.DataFrame(rows, columns=["k", "seq", "ts", "ok"])
+    df = spark.createDataFrame(pdf)
+    got = {r.seq: r.prev_seq for r in prev_within(df, ["k"], ["ts", "seq"], ["seq"], time_bucket("ts")).collect()}
+    exp = pdf.sort_values(["k", "ts", "seq"]).assign(p=lambda d: d.groupby("k")["seq"].shift(1))
+    assert all((got[s] is None and pd.isna(p)) or got[s] == p for s, p in zip(exp["seq"], exp["p"]))
+    r, _ = runs(df, ["k"], "seq", "ok", time_bucket("ts"))
+    pos = {x.seq: x.pos for x in r.collect()}
+    for _, g in pdf.sort_values(["k", "seq"]).groupby("k"):
+        p, prev = 0, None
+        for s, ok in zip(g["seq"], g["ok"]):
+            p = p + 1 if ok == prev else 1
+            prev = ok
+            assert pos[s] == p
