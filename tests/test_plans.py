@@ -91,3 +91,11 @@ def test_expire_partitions(spark, tmp_path):
     gone = expire_partitions(spark, path, "event_date", "2024-01-10", 3)
     assert gone == [f"2024-01-0{d}" for d in range(1, 7)]
     assert spark.read.parquet(path).count() == 4
+
+
+def test_partition_storage_matches_counts(spark, events_table):
+    t = spark.read.parquet(events_table)
+    st = {r.partition_id: r for r in g.partition_storage(t, "event_date").collect()}
+    counts = {str(r.event_date): r["count"] for r in t.groupBy("event_date").count().collect()}
+    assert {k: v.total_rows for k, v in st.items()} == counts
+    assert all(v.total_bytes > 0 and v.files >= 1 for v in st.values())

@@ -117,6 +117,28 @@ def estimate_scan_bytes(df: DataFrame, columns: Sequence[str] | None = None) ->
     return per.groupBy("column_name").agg(F.sum("bytes").alias("bytes"), F.countDistinct("path").alias("files"))
 
 
+def partition_storage(df: DataFrame, partition_col: str) -> DataFrame:
+    """AG34 (storage side): rows, files and compressed bytes per partition
+    of a partitioned parquet table, from the footers of its files (a
+    distributed job: the file list comes from the scan, footers are read in
+    ``mapInPandas`` tasks).  The partition value is taken from the file path
+    (``col=value``); NULL partitions are Hive's default partition name."""
+    spark = df.sparkSession
+    fl = (df.select(F.input_file_name().alias("path")).where(F.col("path") != "").distinct()
+          .repartition(spark.sparkContext.defaultParallelism * 4))
+
+    def read(it):
+        for pdf in it:
+            per = _footer_bytes(pdf["path"], None)
+            yield per.groupby("path", as_index=False).agg(bytes=("bytes", "sum"), file_rows=("file_rows", "max"))
+
+    per = fl.mapInPandas(read, "path string, bytes long, file_rows long")
+    part = F.regexp_extract("path", rf"{partition_col}=([^/]+)/", 1)
+    return (per.groupBy(part.alias("partition_id"))
+            .agg(F.sum("file_rows").alias("total_rows"), F.sum("bytes").alias("total_bytes"),
+                 F.count(F.lit(1)).alias("files")))
+
+
 def total_scan_bytes(df: DataFrame, columns: Sequence[str] | None = None) -> int:
     est = estimate_scan_bytes(df, columns)
     v = est.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]

@@ -272,3 +272,13 @@ def ag40(spark, sf):
 SELECT tenant_id, count(*) AS n, CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS total FROM v_events GROUP BY tenant_id""")
 def ag41(spark, sf):
     return wh.salted_sum(v_events(_t(spark, sf)), "tenant_id", "amount", "event_id", 16)
+
+
+@register("ag34b_partition_storage")
+def ag34b(spark, sf):
+    """AG34 with storage: rows, bytes and files per day partition of the
+    event table written with the SO5 layout (footer statistics, R check)."""
+    from ..plans.guards import partition_storage
+    path = scratch_path(spark, f"ag34b-{uuid.uuid4().hex}")
+    layout.write_partitioned(v_events(_t(spark, sf)), path, "event_date", cluster=["tenant_id"])
+    return partition_storage(spark.read.parquet(path), "event_date")
