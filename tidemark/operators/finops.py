@@ -270,7 +270,9 @@ def on_demand_vs_reservation(jobs: DataFrame, ts: str, bytes_col: str, slot_ms:
                              slots: int = 100, window_hours: float = 1.0) -> DataFrame:
     """AG30: per nightly batch window (day), on-demand cost of the bytes
     scanned vs a reservation of ``slots`` for ``window_hours``; capacity
-    check (slot-ms needed vs bought), breakeven TiB and the choice."""
+    check (slot-ms needed vs bought), breakeven TiB and the choice; plus the
+    autoscaling variant (pay for the slot-hours used, baseline 0) and the
+    three-way choice."""
     from ..functions.columns import TIB, USD_PER_TIB
     g = jobs.groupBy(F.col(ts).cast("date").alias("day")).agg(
         F.sum(bytes_col).alias("bytes"), F.sum(slot_ms).alias("slot_ms"), F.count(F.lit(1)).alias("jobs"))
@@ -283,7 +285,13 @@ def on_demand_vs_reservation(jobs: DataFrame, ts: str, bytes_col: str, slot_ms:
         (F.col("slot_ms") <= bought_ms).alias("fits_reservation"),
         F.lit(round(reserve / USD_PER_TIB, 4)).alias("breakeven_tib"),
         F.when((on_demand > reserve) & (F.col("slot_ms") <= bought_ms), "reservation")
-         .otherwise("on_demand").alias("choice"))
+         .otherwise("on_demand").alias("choice"),
+        F.round(F.col("slot_ms") / 3600000.0 * SLOT_HOUR_USD, 6).alias("autoscale_usd"),
+        F.when((F.col("slot_ms") / 3600000.0 * SLOT_HOUR_USD <= on_demand)
+               & ((F.col("slot_ms") > bought_ms) | (F.col("slot_ms") / 3600000.0 * SLOT_HOUR_USD <= reserve)),
+               "autoscale")
+         .when((F.col("slot_ms") <= bought_ms) & (F.lit(reserve) < on_demand), "reservation")
+         .otherwise("on_demand").alias("choice_3way"))
 
 
 def reservation_idle(jobs: DataFrame, ts: str, slot_ms: str, slots: int = 100) -> DataFrame:

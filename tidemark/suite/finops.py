@@ -223,7 +223,13 @@ SELECT CAST(creation_time AS DATE) AS day, count(*) AS jobs, round(sum(total_byt
        round(sum(total_bytes_billed) / 1099511627776.0 * 6.25, 4) AS on_demand_usd, CAST(6.0 AS DOUBLE) AS reservation_usd,
        sum(total_slot_ms) <= 360000000 AS fits_reservation, CAST(0.96 AS DOUBLE) AS breakeven_tib,
        CASE WHEN sum(total_bytes_billed) / 1099511627776.0 * 6.25 > 6.0 AND sum(total_slot_ms) <= 360000000
-            THEN 'reservation' ELSE 'on_demand' END AS choice
+            THEN 'reservation' ELSE 'on_demand' END AS choice,
+       round(sum(total_slot_ms) / 3600000.0 * CAST(0.06 AS DOUBLE), 6) AS autoscale_usd,
+       CASE WHEN sum(total_slot_ms) / 3600000.0 * CAST(0.06 AS DOUBLE) <= sum(total_bytes_billed) / 1099511627776.0 * 6.25
+                 AND (sum(total_slot_ms) > 360000000 OR sum(total_slot_ms) / 3600000.0 * CAST(0.06 AS DOUBLE) <= 6.0)
+            THEN 'autoscale'
+            WHEN sum(total_slot_ms) <= 360000000 AND 6.0 < sum(total_bytes_billed) / 1099511627776.0 * 6.25 THEN 'reservation'
+            ELSE 'on_demand' END AS choice_3way
 FROM v_jobs GROUP BY 1""")
 def ag30(spark, sf):
     return fo.on_demand_vs_reservation(v_jobs(_t(spark, sf)), "creation_time", "total_bytes_billed", "total_slot_ms")
