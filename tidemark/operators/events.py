@@ -94,7 +94,11 @@ def sliding_sum(df: DataFrame, ts: str, value: Column, size: str, slide: str) ->
 
 
 def sessions(df: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
-    """SS3: session windows per key: a gap larger than ``gap`` splits."""
+    """SS3: session windows per key: a gap larger than ``gap`` splits.
+
+    Spark merges sessions after sorting each key's rows in one task; for
+    batch backfills over keys that may hold a large share of the rows use
+    ``sessions_by_gap`` (same result, bucket-split)."""
     return (df.groupBy(key, F.session_window(F.col(ts).cast("timestamp"), gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("events"))
             .select(key, F.col("s.start").cast("timestamp_ntz").alias("session_start"),

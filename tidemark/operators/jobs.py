@@ -102,6 +102,7 @@ def layout_advice(jobs: DataFrame, column_types: DataFrame, filters: str = "filt
     g = e.groupBy("column_name").agg(F.count(F.lit(1)).alias("uses"), F.sum("_b").alias("bytes"))
     g = g.join(F.broadcast(column_types), "column_name", "left")
     g = g.withColumn("score", F.col("uses").cast("double") * F.col("bytes").cast("double"))
+    # one row per distinct filter column (bounded by the table's width)
     w = Window.orderBy(F.desc("score"), F.asc("column_name"))
     g = g.withColumn("rank", F.row_number().over(w).cast("bigint"))
     part_ok = F.col("data_type").isin("TIMESTAMP", "DATE", "INT64")
