@@ -184,7 +184,7 @@ def train_kmeans(df: DataFrame, numeric: Sequence[str], k: int = 4, seed: int =
 
 def train_gbt(df: DataFrame, label: str, numeric: Sequence[str], seed: int = 7):
     vec = VectorAssembler(inputCols=list(numeric), outputCol="features")
-    return Pipeline(stages=[vec, GBTClassifier(labelCol=label, maxIter=10, seed=seed)]).fit(df)
+    return Pipeline(stages=[vec, GBTClassifier(labelCol=label, maxIter=5, maxDepth=4, seed=seed)]).fit(df)
 
 
 def train_als(df: DataFrame, user: str, item: str, rating: str, seed: int = 7):
