@@ -254,3 +254,15 @@ def test_count_trigger(spark):
     df = spark.createDataFrame([("k", i, 1.0) for i in range(250)], "key string, seq long, v double")
     out = st.apply_rule(df, ["key"], st.CountTrigger(100, "v", ["seq"])).orderBy("fired_at_count").collect()
     assert [(x.fired_at_count, x.running_total) for x in out] == [(100, 100.0), (200, 200.0)]
+
+
+@pytest.mark.parametrize("err_pct,fires", [(1, False), (2, True)])
+def test_injected_errors_fast_page(spark, err_pct, fires):
+    """Fault test: 1% errors for 6 hours does not open the fast page
+    (14.4x over 1 h and 5 min), 2% does."""
+    n = 6 * 3600
+    rows = [(i, T0 + dt.timedelta(seconds=i), "api", 503 if i % 100 < err_pct else 200, 10.0) for i in range(n)]
+    req = spark.createDataFrame(rows, "request_id long, ts timestamp_ntz, endpoint string, status int, latency_ms double")
+    alerts = slo.multiwindow_alerts(slo.burn_rates(req, "endpoint", 0.999), "endpoint")
+    fast = alerts.where(F.col("alert") == "PAGE_FAST").count()
+    assert (fast > 0) == fires

@@ -310,3 +310,19 @@ def test_cdc_apply_stream_and_cascade(spark, tmp_path):
     assert [(r.id, r.payload) for r in batch] == [(1, 10.0)]
     kids = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "id long, child string")
     assert [r.child for r in cascade_deletes(kids, "id", allc, "id", "version", "op").collect()] == ["a"]
+
+
+def test_rule_state_carries_across_micro_batches(spark, tmp_path):
+    """A ban decided in one micro-batch holds in the next (state store)."""
+    src = str(tmp_path / "src")
+    first = [{"ip": "1.2.3.4", "request_id": i, "t": 1000 + i} for i in range(4)]      # 4th exceeds limit 3
+    second = [{"ip": "1.2.3.4", "request_id": 10, "t": 1100}, {"ip": "5.6.7.8", "request_id": 11, "t": 1100}]
+    _write_steps(src, [first, second])
+    s = (spark.readStream.schema("ip string, request_id long, t long").option("maxFilesPerTrigger", 1).json(src)
+         .withColumn("ts", F.timestamp_seconds("t")))
+    out = []
+    q = st.apply_rule(s, ["ip"], st.RateLimit(limit=3, window_s=60, ban_s=600), key_types={"ip": "string"})
+    sw.run_available(q, lambda b, i: out.extend(b.collect()), str(tmp_path / "ck"), mode="append")
+    d = {r.request_id: (r.decision, r.reason) for r in out}
+    assert d[3] == ("deny", "rate_exceeded")
+    assert d[10] == ("deny", "banned") and d[11][0] == "allow"
