@@ -108,3 +108,13 @@ def test_runs_and_prev_property(spark, events):
             p = p + 1 if ok == prev else 1
             prev = ok
             assert pos[s] == p
+
+
+def test_percent_rank_matches_pandas(series):
+    from tidemark.operators.sequence import percent_rank_of
+    df, pdf = series
+    got = {r.seq: r.pct_rank for r in percent_rank_of(df, ["k"], "v").collect()}
+    exp = pdf.groupby("k")["v"].rank(method="min") - 1
+    n = pdf.groupby("k")["v"].transform("count") - 1
+    for s, e, m in zip(pdf["seq"], exp, n):
+        assert abs(got[s] - (e / m if m > 0 else 0.0)) < 1e-12

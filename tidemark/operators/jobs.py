@@ -81,13 +81,16 @@ def fanout_stages(jobs: DataFrame, min_ratio: float = 4.0, stages: str = "job_st
 
 def slot_fingerprint(jobs: DataFrame, pct: float = 0.9, bytes_col: str = "total_bytes_billed",
                      slot_col: str = "total_slot_ms") -> DataFrame:
-    """AG33: slot-ms per billed byte; jobs at or above the ``pct`` nearest-rank
-    percentile are flagged as low-bytes/high-slot."""
-    from .sequence import rank_values
+    """AG33: slot-ms per billed byte, its percentile rank among all jobs
+    (``percent_rank`` computed from the distributed value histogram), and a
+    low-bytes/high-slot flag for jobs at or above the ``pct`` nearest-rank
+    percentile."""
+    from .sequence import percent_rank_of, rank_values
     d = jobs.select("job_id", (F.col(slot_col) / billed_bytes(bytes_col)).alias("slot_ms_per_byte"))
     p = rank_values(d, [], "slot_ms_per_byte", {"_p": F.greatest(F.lit(1), F.ceil(F.col("n") * pct))})
     cut = p.select("_p").scalar()
-    return d.select("job_id", "slot_ms_per_byte", (F.col("slot_ms_per_byte") >= cut).alias("high_slot"))
+    d = percent_rank_of(d, [], "slot_ms_per_byte")
+    return d.select("job_id", "slot_ms_per_byte", "pct_rank", (F.col("slot_ms_per_byte") >= cut).alias("high_slot"))
 
 
 def layout_advice(jobs: DataFrame, column_types: DataFrame, filters: str = "filter_columns",

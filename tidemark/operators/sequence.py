@@ -132,6 +132,32 @@ def rank_values(df: DataFrame, group: Sequence[str], value: str,
     return h.groupBy(*group).agg(*aggs)
 
 
+def percent_rank_of(df: DataFrame, group: Sequence[str], value: str, name: str = "pct_rank",
+                    per_octave: int = 64) -> DataFrame:
+    """``percent_rank()`` of ``value`` within each group -- (rows with a
+    smaller value) / (n - 1) -- without a window over all rows of a group:
+    the counts come from the bucketed value histogram (as ``rank_values``)
+    and are joined back to the rows by (group, value)."""
+    group = list(group)
+    base = df.where(F.col(value).isNotNull())
+    hist = base.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_cnt"))
+    v = F.col(value).cast("double")
+    hist = hist.withColumn("_b", (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * per_octave)).cast("bigint"))
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    hist = hist.checkpoint(eager=True)
+    bk = hist.groupBy(*group, "_b").agg(F.sum("_cnt").alias("_bc"))
+    wg = Window.partitionBy(*group)
+    wb = wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bk = bk.withColumn("_bcum", F.sum("_bc").over(wb)).withColumn("_n", F.sum("_bc").over(wg))
+    h = hist.join(bk, [*group, "_b"])
+    wv = Window.partitionBy(*group, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = h.withColumn("_below", F.col("_bcum") - F.col("_bc") + F.sum("_cnt").over(wv) - F.col("_cnt"))
+    pr = F.when(F.col("_n") > 1, F.col("_below") / (F.col("_n") - 1)).otherwise(F.lit(0.0))
+    ranks = h.select(*group, value, pr.alias(name))
+    return df.join(ranks, [*group, value], "left")
+
+
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
           rank_name: str | None = None) -> DataFrame:
     """Rows ranked 1..k per group by ``order`` (add a tie-break to ``order``)."""

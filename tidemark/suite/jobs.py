@@ -69,7 +69,8 @@ def ag32(spark, sf):
 WITH d AS (SELECT job_id, total_slot_ms / greatest(total_bytes_billed, 10485760) AS v FROM v_jobs),
 r AS (SELECT v, row_number() OVER (ORDER BY v) AS rn, count(*) OVER () AS n FROM d),
 p AS (SELECT max(v) FILTER (WHERE rn = greatest(1, CAST(ceil(n * 0.9) AS BIGINT))) AS cut FROM r)
-SELECT job_id, v AS slot_ms_per_byte, v >= (SELECT cut FROM p) AS high_slot FROM d""")
+SELECT job_id, v AS slot_ms_per_byte, percent_rank() OVER (ORDER BY v) AS pct_rank,
+       v >= (SELECT cut FROM p) AS high_slot FROM d""")
 def ag33(spark, sf):
     return jo.slot_fingerprint(v_jobs(_t(spark, sf)), 0.9)
 
