@@ -56,17 +56,19 @@ def prev_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
     w = Window.partitionBy(*keys, b).orderBy(*order)
     for c in cols:
         d = d.withColumn(prefix + c, F.lag(c).over(w))
-    d = d.withColumn("_is_first", F.row_number().over(w) == 1)
-    # last row of each (key, bucket): one row per bucket, partial-aggregated
-    last = d.groupBy(*keys, b).agg(
-        F.max_by(F.struct(*cols), F.struct(*order)).alias("_last"))
+    wall = Window.partitionBy(*keys, b)
+    d = (d.withColumn("_rn", F.row_number().over(w))
+         .withColumn("_is_first", F.col("_rn") == 1).withColumn("_rows", F.count(F.lit(1)).over(wall)))
+    # last row of each (key, bucket), read off the windowed rows (no second
+    # aggregation; the per-bucket table is one row per key and bucket)
+    last = d.where(F.col("_rn") == F.col("_rows")).select(*keys, b, F.struct(*cols).alias("_last"))
     wb = Window.partitionBy(*keys).orderBy(b)
     carry = last.select(*keys, b, F.lag("_last").over(wb).alias("_carry"))
     d = d.join(carry, [*keys, b], "left")
     for c in cols:
         d = d.withColumn(prefix + c, F.when(F.col("_is_first"), F.col("_carry")[c])
                          .otherwise(F.col(prefix + c)))
-    return d.drop(b, "_is_first", "_carry")
+    return d.drop(b, "_is_first", "_carry", "_rn", "_rows")
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, bucket: Column,
@@ -78,12 +80,15 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     b = "_bkt"
     d = df.withColumn(b, bucket)
     w = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("_in", F.sum(value).over(w))
-    tot = d.groupBy(*keys, b).agg(F.sum(value).alias("_bt"))
+    d = (d.withColumn("_in", F.sum(value).over(w))
+         .withColumn("_bt", F.sum(value).over(Window.partitionBy(*keys, b)))
+         .withColumn("_rn1", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order))))
+    # bucket totals read off the windowed rows (one row per key and bucket)
+    tot = d.where(F.col("_rn1") == 1).select(*keys, b, "_bt")
     wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*keys, b, F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_before"))
     d = d.join(tot, [*keys, b], "left")
-    return d.withColumn(name, F.col("_before") + F.col("_in")).drop(b, "_in", "_before")
+    return d.withColumn(name, F.col("_before") + F.col("_in")).drop(b, "_in", "_before", "_bt", "_rn1")
 
 
 def rank_values(df: DataFrame, group: Sequence[str], value: str,
