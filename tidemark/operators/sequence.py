@@ -38,6 +38,21 @@ def time_bucket(ts, unit: str = BUCKET_UNIT) -> Column:
     return F.date_trunc(unit, c.cast("timestamp"))
 
 
+def _join_back(d: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join of the row table with a per-(key, bucket) table on
+    null-safe key equality.  Null-safe equality keeps NULL keys correct and
+    stops the optimizer from adding an ``isnotnull`` filter to one branch
+    only, so both branches keep the same scan + exchange and Spark reuses
+    it (one scan of the input)."""
+    ren = small.select(*[F.col(c).alias(f"{c}__r") for c in on],
+                       *[F.col(c) for c in small.columns if c not in on])
+    cond = None
+    for c in on:
+        e = F.col(c).eqNullSafe(F.col(f"{c}__r"))
+        cond = e if cond is None else cond & e
+    return d.join(ren, cond, "left").drop(*[f"{c}__r" for c in on])
+
+
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -64,7 +79,7 @@ def prev_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
     last = d.where(F.col("_rn") == F.col("_rows")).select(*keys, b, F.struct(*cols).alias("_last"))
     wb = Window.partitionBy(*keys).orderBy(b)
     carry = last.select(*keys, b, F.lag("_last").over(wb).alias("_carry"))
-    d = d.join(carry, [*keys, b], "left")
+    d = _join_back(d, carry, [*keys, b])
     for c in cols:
         d = d.withColumn(prefix + c, F.when(F.col("_is_first"), F.col("_carry")[c])
                          .otherwise(F.col(prefix + c)))
@@ -87,7 +102,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     tot = d.where(F.col("_rn1") == 1).select(*keys, b, "_bt")
     wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*keys, b, F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_before"))
-    d = d.join(tot, [*keys, b], "left")
+    d = _join_back(d, tot, [*keys, b])
     return d.withColumn(name, F.col("_before") + F.col("_in")).drop(b, "_in", "_before", "_bt", "_rn1")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import at_least_severity
-from .sequence import prev_within, rank_values, time_bucket
+from .sequence import _join_back, prev_within, rank_values, time_bucket
 
 # ---- fixed values: burn-rate alert pairs of the reference ------------------
 # (name, long lookback s, short lookback s, burn threshold)
@@ -191,7 +191,7 @@ def runs(df: DataFrame, keys: Sequence[str], seq: str, flag: str, bucket: Column
     wr = Window.partitionBy(*keys).orderBy("run_start")
     run_tbl = (run_tbl.withColumn("prev_run_start", F.lag("run_start").over(wr))
                .withColumn("prev_flag", F.lag(flag).over(wr)).withColumn("prev_length", F.lag("length").over(wr)))
-    rows = d.join(pieces.select(*keys, "_b", flag, "_g", "run_start", "_off", "_rf0"), [*keys, "_b", flag, "_g"])
+    rows = _join_back(d, pieces.select(*keys, "_b", flag, "_g", "run_start", "_off", "_rf0"), [*keys, "_b", flag, "_g"])
     rows = rows.withColumn("pos", F.col("_off") + F.col("_rf") - F.col("_rf0") + 1).drop(
         "_b", "_rf", "_g", "_off", "_rf0")
     return rows, run_tbl
