@@ -266,3 +266,10 @@ def test_injected_errors_fast_page(spark, err_pct, fires):
     alerts = slo.multiwindow_alerts(slo.burn_rates(req, "endpoint", 0.999), "endpoint")
     fast = alerts.where(F.col("alert") == "PAGE_FAST").count()
     assert (fast > 0) == fires
+
+
+def test_label_cardinality_exact_and_sketch(spark):
+    df = spark.range(5000).select((F.col("id") % 37).alias("a"), (F.col("id") % 3).alias("b"))
+    ex = {r.label: r.distinct_values for r in slo.label_cardinality(df, ["a", "b"], 10).collect()}
+    ap = {r.label: r.distinct_values for r in slo.label_cardinality(df, ["a", "b"], 10, approx=True).collect()}
+    assert ex == {"a": 37, "b": 3} and abs(ap["a"] - 37) <= 2 and ap["b"] == 3

@@ -289,10 +289,14 @@ def guarded_ratio(requests: DataFrame, ts: str = "ts", unit: str = "hour", min_r
                                               F.col("errors") / F.col("requests")))
 
 
-def label_cardinality(df: DataFrame, labels: Sequence[str], bound: int) -> DataFrame:
-    """AG59: distinct values per metric label against a cardinality bound
-    (exact ``count(DISTINCT)``; ``approx_count_distinct`` at scale)."""
-    a = df.agg(*[F.countDistinct(c).alias(c) for c in labels])
+def label_cardinality(df: DataFrame, labels: Sequence[str], bound: int, approx: bool = False,
+                      rsd: float = 0.02) -> DataFrame:
+    """AG59: distinct values per metric label against a cardinality bound.
+    Exact ``count(DISTINCT)`` by default (one expand + two-level aggregate);
+    ``approx=True`` uses HyperLogLog++ sketches (``approx_count_distinct``,
+    fixed memory per label, one pass) for very wide tables."""
+    agg = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.countDistinct
+    a = df.agg(*[agg(c).alias(c) for c in labels])
     x = a.select(F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("distinct_values"))
                                      for c in labels])).alias("_x")).select("_x.*")
     return x.withColumn("over_bound", F.col("distinct_values") > bound)
