@@ -273,3 +273,18 @@ def test_label_cardinality_exact_and_sketch(spark):
     ex = {r.label: r.distinct_values for r in slo.label_cardinality(df, ["a", "b"], 10).collect()}
     ap = {r.label: r.distinct_values for r in slo.label_cardinality(df, ["a", "b"], 10, approx=True).collect()}
     assert ex == {"a": 37, "b": 3} and abs(ap["a"] - 37) <= 2 and ap["b"] == 3
+
+
+def test_rules_stream_through_small_batches(spark):
+    """Batch form with tiny Arrow batches: a key's rows arrive in many
+    chunks, in event order, and the rule gives the same decisions."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = [(i, T0 + dt.timedelta(seconds=i * 0.5)) for i in range(101)]
+        rows += [(1001, T0 + dt.timedelta(seconds=300)), (1002, T0 + dt.timedelta(seconds=700))]
+        df = spark.createDataFrame([("ip1", i, t) for i, t in rows[::-1]], "ip string, request_id long, ts timestamp_ntz")
+        out = {x.request_id: x.decision for x in st.apply_rule(df, ["ip"], st.RateLimit()).collect()}
+        assert all(out[i] == "allow" for i in range(100))
+        assert out[100] == "deny" and out[1001] == "deny" and out[1002] == "allow"
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -45,10 +45,11 @@ class Rule:
 
 
 class RuleProcessor(StatefulProcessor):
-    def __init__(self, rule: Rule, key_names: Sequence[str], timers: bool = False):
+    def __init__(self, rule: Rule, key_names: Sequence[str], timers: bool = False, presorted: bool = False):
         self.rule = rule
         self.key_names = list(key_names)
         self.timers = timers
+        self.presorted = presorted
         self.out_cols = [f.name for f in _out_struct(rule, key_names).fields]
 
     def init(self, handle) -> None:
@@ -66,11 +67,21 @@ class RuleProcessor(StatefulProcessor):
             yield pdf[self.out_cols]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        if self.rule.order:
-            pdf = pdf.sort_values(list(self.rule.order), kind="mergesort").reset_index(drop=True)
         st = self._load()
-        st, outs = self.rule.step(st, pdf)
+        if self.presorted:
+            # batch input arrives sorted by (key, order): step through the
+            # Arrow batches one at a time, so a key with a huge share of the
+            # rows never has to fit in memory at once
+            for pdf in rows:
+                st, outs = self.rule.step(st, pdf.reset_index(drop=True))
+                yield from self._emit(key, outs)
+            outs = []
+        else:
+            # a micro-batch of one key (bounded by the trigger): order it here
+            pdf = pd.concat(list(rows), ignore_index=True)
+            if self.rule.order:
+                pdf = pdf.sort_values(list(self.rule.order), kind="mergesort").reset_index(drop=True)
+            st, outs = self.rule.step(st, pdf)
         self.state.update((json.dumps(st),))
         if self.timers and st.get("_timer_ms") and not st.get("_timer_set"):
             self.handle.registerTimer(int(st["_timer_ms"]))
@@ -99,12 +110,22 @@ def _out_struct(rule: Rule, key_names: Sequence[str], key_types: dict[str, str]
 
 def apply_rule(df: DataFrame, keys: Sequence[str], rule: Rule, output_mode: str = "Append",
                time_mode: str = "None", key_types: dict[str, str] | None = None) -> DataFrame:
-    """Run ``rule`` per key over ``df`` (streaming or batch)."""
+    """Run ``rule`` per key over ``df`` (streaming or batch).
+
+    Batch input is hash-partitioned by the keys and sorted by (keys, rule
+    order) before the stateful operator -- the partitioning and ordering it
+    requires, so Spark adds no other exchange or sort -- and the processor
+    then consumes each key's rows batch by batch in event order.  Streaming
+    micro-batches are ordered inside the processor."""
     spark: SparkSession = df.sparkSession
     _ = spark.streams.active  # registers the state-store coordinator (batch use)
     kt = key_types or {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name in keys}
     schema = _out_struct(rule, keys, kt)
-    proc = RuleProcessor(rule, keys, timers=(time_mode == "EventTime"))
+    presorted = (not df.isStreaming) and bool(rule.order) and time_mode == "None"
+    if presorted:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(n, *keys).sortWithinPartitions(*keys, *rule.order)
+    proc = RuleProcessor(rule, keys, timers=(time_mode == "EventTime"), presorted=presorted)
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=schema, outputMode=output_mode, timeMode=time_mode)
 
