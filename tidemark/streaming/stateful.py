@@ -382,10 +382,10 @@ class LateSplit(Rule):
 
 class LateSplitProcessor(RuleProcessor):
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True)
         wm = timerValues.getCurrentWatermarkInMs()
-        _, outs = self.rule.step({"_wm": wm}, pdf)
-        yield from self._emit(key, outs)
+        for pdf in rows:                       # row-local test: no need to gather the key
+            _, outs = self.rule.step({"_wm": wm}, pdf)
+            yield from self._emit(key, outs)
 
 
 def late_rows(df: DataFrame, keys: Sequence[str], ts: str = "ts", tie: str = "event_id") -> DataFrame:
