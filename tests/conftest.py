@@ -19,8 +19,11 @@ def spark():
 
     from tidemark.session import CORE_CONF, ensure_checkpoint_dir, ship_code
 
+    event_log = tempfile.mkdtemp(prefix="tidemark-eventlog-")
     b = (SparkSession.builder.master("local[*]").appName("tidemark-tests")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
+         .config("spark.eventLog.compress", "false")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false"))
     for k, v in CORE_CONF.items():
         b = b.config(k, v)
