@@ -21,6 +21,19 @@ class GuardError(RuntimeError):
     """A query failed a cost or safety guard."""
 
 
+# Largest table (rows) the library broadcasts on its own; above it the join
+# is left to AQE, which broadcasts only under its runtime size threshold.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only after checking the row count (one small job);
+    a table over the bound is returned unhinted, so the join falls back to
+    a shuffle join (or AQE's own size-checked broadcast)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def physical_plan(df: DataFrame) -> str:
     """Text of the physical plan Spark will execute (AQE initial plan)."""
     return df._jdf.queryExecution().executedPlan().toString()

@@ -16,6 +16,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.guards import bounded_broadcast
 from .tables import Tables
 
 
@@ -65,10 +66,10 @@ def _lineitem_customer(t: Tables) -> DataFrame:
 
 
 def v_trips(t: Tables) -> DataFrame:
-    # nation (25 rows) and region (5 rows) are fixed-size dimensions of the
-    # TPC-H schema: broadcasting them is size-bounded by construction.
-    n = F.broadcast(t.nation.select("n_nationkey", "n_regionkey"))
-    r = F.broadcast(t.region.select("r_regionkey", "r_name"))
+    # nation (25 rows) and region (5 rows): fixed-size dimensions, broadcast
+    # after a row-count check
+    n = bounded_broadcast(t.nation.select("n_nationkey", "n_regionkey"))
+    r = bounded_broadcast(t.region.select("r_regionkey", "r_name"))
     lc = (_lineitem_customer(t)
           .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
@@ -93,7 +94,7 @@ def v_fx_rates(t: Tables) -> DataFrame:
     days = t.lineitem.select(F.col("l_shipdate").cast("date").alias("rate_date")).distinct()
     keys = t.region.agg(F.min("r_regionkey").alias("lo"), F.max("r_regionkey").alias("hi"))
     lo, hi = keys.first()
-    r = F.broadcast(t.region.select("r_regionkey", "r_name"))
+    r = bounded_broadcast(t.region.select("r_regionkey", "r_name"))
     exp = days.withColumn("r_regionkey", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
     return (exp.join(r, "r_regionkey")
             .select(F.col("r_name").alias("currency"), "rate_date",

@@ -48,8 +48,8 @@ def enrich(stream: DataFrame, static: DataFrame, key: str, max_rows: int = 1_000
     """JO8: stream-static enrichment from a cached dimension.  The dimension
     is broadcast only after its row count is checked against ``max_rows``;
     a larger one is joined by key with a shuffle."""
-    n = static.count()
-    side = F.broadcast(static) if n <= max_rows else static
+    from ..plans.guards import bounded_broadcast
+    side = bounded_broadcast(static, max_rows)
     return stream.join(side, key, "left")
 
 
