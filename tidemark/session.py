@@ -31,6 +31,21 @@ CORE_CONF = {
 }
 
 
+# Settings for a large cluster (100 TB inputs, ~1000 executors): many
+# initial shuffle partitions that AQE coalesces towards ~256 MB each, scan
+# splits of 256 MB, skew splitting from 256 MB, and a shared checkpoint
+# folder supplied by the cluster (``spark.checkpoint.dir``).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tidemark") -> SparkSession:
     """Local/test session. ``master`` defaults to ``local[$BENCH_CPUS or 8]``."""
@@ -51,9 +66,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable core settings to an existing session."""
-    for k, v in CORE_CONF.items():
+def tune(spark: SparkSession, cluster: bool = False) -> SparkSession:
+    """Apply the runtime-settable core settings to an existing session
+    (and, with ``cluster=True``, the large-cluster sizing above)."""
+    conf = dict(CORE_CONF, **(CLUSTER_CONF if cluster else {}))
+    for k, v in conf.items():
         if k.startswith("spark.sql.streaming.stateStore"):
             continue
         spark.conf.set(k, v)
