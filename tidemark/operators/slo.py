@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import at_least_severity
-from .sequence import _join_back, prev_within, rank_values, time_bucket
+from .sequence import _join_back, rank_values, time_bucket
 
 # ---- fixed values: burn-rate alert pairs of the reference ------------------
 # (name, long lookback s, short lookback s, burn threshold)

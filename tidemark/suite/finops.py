@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import cents, label_value, sum_money
+from ..functions.columns import cents, label_value
 from ..operators import finops as fo
 from ..registry import register
-from ..sources.fixtures import v_billing, v_calls, v_events, v_jobs, v_requests
+from ..sources.fixtures import v_billing, v_calls, v_jobs, v_requests
 from ..sources.tables import Tables
 
 # SQL fragments mirroring the integer-cents arithmetic of the operators

@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import sum_money
 from ..operators import ml, rollup
 from ..registry import register
 from ..session import scratch_path
@@ -99,8 +98,6 @@ def ag38(spark, sf):
                       "amount", F.col("purchases").cast("bigint").alias("purchases"))
 
 
-__all__ = ["sum_money"]
-
 
 @register("pf12_unenriched_batch_pull", """
 SELECT conv_id * 1000 + turn AS msg_id, conv_id, turn, length(text) AS n_chars
