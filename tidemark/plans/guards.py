@@ -27,11 +27,19 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the row count (one small job);
-    a table over the bound is returned unhinted, so the join falls back to
-    a shuffle join (or AQE's own size-checked broadcast)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Broadcast hint only after checking the row count (one small job,
+    remembered per plan for the session -- the hint only picks the join
+    strategy, never the result); a table over the bound is returned
+    unhinted, so the join falls back to a shuffle join (or AQE's own
+    size-checked broadcast)."""
+    sc = df.sparkSession.sparkContext
+    cache = getattr(sc, "_tidemark_row_bounds", None)
+    if cache is None:
+        cache = sc._tidemark_row_bounds = {}
+    key = (df.semanticHash(), max_rows)
+    if key not in cache:
+        cache[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if cache[key] else df
 
 
 def physical_plan(df: DataFrame) -> str:
