@@ -96,7 +96,7 @@ def lost_ids(published: DataFrame, landed: DataFrame, id_col: str) -> DataFrame:
 
 
 def reconcile(stream: DataFrame, batch: DataFrame, key: Sequence[str], value: str, tol: float = 0.01) -> DataFrame:
-    """JO10: per key (window), streaming vs batch value, divergence and an
+    """JO10 / SS24: per key (window), streaming vs batch value, divergence and an
     alert flag when it exceeds ``tol`` (NULL-safe: a key missing on one side
     counts as 0 there)."""
     s = stream.select(*key, F.col(value).alias("stream_value"))

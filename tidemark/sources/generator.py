@@ -20,6 +20,8 @@ EVENT_TYPES = ["view", "click", "add_to_cart", "purchase", "signup", "logout"]
 def generate_events(spark: SparkSession, n: int, days: int = 90, tenants: int = 20, bad_rate: float = 0.02,
                     seed: int = 42, start: dt.datetime = dt.datetime(2024, 1, 1),
                     partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """SO17: ``n`` synthetic messages over ``days`` and ``tenants`` with a
+    ``bad_rate`` malformed share, and the manifest of published ids."""
     ids = spark.range(0, n, numPartitions=partitions or spark.sparkContext.defaultParallelism)
     h = lambda salt: F.pmod(F.xxhash64(F.col("id"), F.lit(seed), F.lit(salt)), F.lit(1 << 30))
     types = F.array(*[F.lit(t) for t in EVENT_TYPES])

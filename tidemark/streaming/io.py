@@ -49,7 +49,7 @@ def _staged(df: DataFrame) -> DataFrame:
 
 
 def upsert(target_path: str, keys: Sequence[str], order: str, partition_col: str | None = None) -> Callable:
-    """SO10: replace-by-key sink for update-mode (accumulating) firings.
+    """SO10 / SS8: replace-by-key sink for update-mode (accumulating) firings.
 
     Per batch: the last value per key (by ``order``), merged over the
     existing rows of the affected partitions (anti-join + union), written with
@@ -100,7 +100,7 @@ def cdc_apply(target_path: str, key: str, version: str, op: str = "op") -> Calla
 
 
 def append_deltas(target_path: str) -> Callable:
-    """SO11: append each batch's (discarding) firings with the batch id;
+    """SO11 / SS8: append each batch's (discarding) firings with the batch id;
     readers sum by key (``read_deltas``).  A replayed batch replaces its own
     partition (``batch_id``), so it is not counted twice."""
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -518,7 +518,7 @@ class WindowFiringsProcessor(StatefulProcessor):
 
 def window_firings(stream: DataFrame, ts: str, value: str, size_s: int, lateness_s: int,
                    accumulate: bool = True) -> DataFrame:
-    """SS7: early / on-time / late firings per tumbling window (see
+    """SS7 / SS8: early / on-time / late firings per tumbling window, accumulating or discarding (see
     ``WindowFiringsProcessor``).  ``stream`` must carry
     ``withWatermark(ts, f"{lateness_s} seconds")``."""
     from pyspark.sql import functions as F
