@@ -70,8 +70,14 @@ def test_runs_match_pandas(series):
             prev = ok
             exp[s] = (start, pos)
     assert got == exp
-    n_runs = run_tbl.count()
-    assert n_runs == len({(k, v[0]) for k, v in zip(pdf["k"], [exp[s] for s in pdf["seq"]])})
+    starts = {}
+    for k, s_ in zip(pdf["k"], pdf["seq"]):
+        starts.setdefault(k, [])
+        if exp[s_][1] == 1:
+            starts[k].append(s_)
+    exp_prev = {(k, st[i]): (st[i - 1] if i else None) for k, st in starts.items() for i in range(len(st))}
+    got_prev = {(r.k, r.run_start): r.prev_run_start for r in run_tbl.collect()}
+    assert got_prev == exp_prev
 
 
 def test_rank_values_match_sorted(series):
@@ -100,8 +106,9 @@ def test_runs_and_prev_property(spark, events):
     got = {r.seq: r.prev_seq for r in prev_within(df, ["k"], ["ts", "seq"], ["seq"], time_bucket("ts")).collect()}
     exp = pdf.sort_values(["k", "ts", "seq"]).assign(p=lambda d: d.groupby("k")["seq"].shift(1))
     assert all((got[s] is None and pd.isna(p)) or got[s] == p for s, p in zip(exp["seq"], exp["p"]))
-    r, _ = runs(df, ["k"], "seq", "ok", time_bucket("ts"))
+    r, rt = runs(df, ["k"], "seq", "ok", time_bucket("ts"))
     pos = {x.seq: x.pos for x in r.collect()}
+    assert sum(x.length for x in rt.collect()) == len(pdf)
     for _, g in pdf.sort_values(["k", "seq"]).groupby("k"):
         p, prev = 0, None
         for s, ok in zip(g["seq"], g["ok"]):

@@ -162,16 +162,19 @@ def runs(df: DataFrame, keys: Sequence[str], seq: str, flag: str, bucket: Column
     Returns ``(rows, runs)``: ``rows`` adds ``run_start`` (``seq`` of the
     first row of the row's run of equal ``flag``) and ``pos`` (1-based
     position in the run); ``runs`` has one row per run with its flag,
-    length, end and the previous run (``prev_run_start``, ``prev_flag``,
-    ``prev_length``).  ``seq`` must be unique and sortable per key, and
-    ``bucket`` non-decreasing in ``seq`` (e.g. the day of the timestamp).
-
-    Plan: one exchange on (keys, bucket) for the row windows (the classic
-    ``row_number() - row_number() per flag`` islands inside each bucket);
-    run pieces are aggregated on the same partitioning; pieces (one row per
-    run and bucket, far fewer than rows) are stitched across bucket
-    boundaries by a window per key; rows get their run back by an equi-join.
-    No window ever sorts all rows of a key in one task."""
+    length, end and the run before it (``prev_run_start``).  ``seq`` must
+    be unique and sortable per key, and ``bucket`` non-decreasing in
+    ``seq`` (e.g. the hour of the timestamp).
+
+    Plan (no window ever orders all rows, pieces or runs of a key):
+      1. rows: the classic ``row_number() - row_number() per flag`` islands
+         inside each (key, bucket) -- one exchange;
+      2. pieces: one row per island and bucket, aggregated on the same
+         partitioning, ordered inside their bucket;
+      3. buckets: one row per key and bucket (first and last piece); a
+         window over buckets per key carries a run across bucket borders,
+         through buckets that are one single continuing piece;
+      4. rows get their run and offset back by a null-safe equi-join."""
     keys = list(keys)
     d = df.withColumn("_b", bucket)
     w = Window.partitionBy(*keys, "_b").orderBy(seq)
@@ -179,18 +182,37 @@ def runs(df: DataFrame, keys: Sequence[str], seq: str, flag: str, bucket: Column
     d = d.withColumn("_rf", F.row_number().over(wf)).withColumn("_g", F.row_number().over(w) - F.col("_rf"))
     pieces = d.groupBy(*keys, "_b", flag, "_g").agg(
         F.min(seq).alias("_s"), F.max(seq).alias("_e"), F.count(F.lit(1)).alias("_n"), F.min("_rf").alias("_rf0"))
-    wp = Window.partitionBy(*keys).orderBy("_s")
-    wrun = wp.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pieces = (pieces.withColumn("_new", F.coalesce(F.lag(flag).over(wp) != F.col(flag), F.lit(True)))
-              .withColumn("_cum", F.sum("_n").over(wrun)))
-    pieces = (pieces.withColumn("run_start", F.max(F.when(F.col("_new"), F.col("_s"))).over(wrun))
-              .withColumn("_off", F.col("_cum") - F.col("_n")
-                          - F.max(F.when(F.col("_new"), F.col("_cum") - F.col("_n"))).over(wrun)))
+    wpb = Window.partitionBy(*keys, "_b").orderBy("_s")
+    pieces = pieces.withColumn("_pi", F.row_number().over(wpb))
+    piece = F.struct(F.col(flag).alias("f"), F.col("_s").alias("s"), F.col("_n").alias("n"))
+    bs = pieces.groupBy(*keys, "_b").agg(
+        F.min_by(piece, F.col("_s")).alias("_first"), F.max_by(piece, F.col("_s")).alias("_last"),
+        F.count(F.lit(1)).alias("_np"), F.sum("_n").alias("_bn"))
+    wk = Window.partitionBy(*keys).orderBy("_b")
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    bs = (bs.withColumn("_cont", F.coalesce(F.lag("_last.f").over(wk) == F.col("_first.f"), F.lit(False)))
+          .withColumn("_pass", (F.col("_np") == 1) & F.col("_cont"))
+          .withColumn("_cum", F.sum("_bn").over(wk.rowsBetween(Window.unboundedPreceding, 0))))
+    # the latest earlier bucket that is not one continuing piece: the run of
+    # this bucket's first piece (when it continues) starts at its last piece
+    anchor = F.when(~F.col("_pass"), F.struct(F.col("_last.s").alias("s"), F.col("_last.n").alias("n"),
+                                                F.col("_cum").alias("cum")))
+    bs = bs.withColumn("_anc", F.last(anchor, ignorenulls=True).over(before))
+    carried = F.col("_anc.n") + (F.col("_cum") - F.col("_bn") - F.col("_anc.cum"))
+    bs = (bs.withColumn("_first_rs", F.when(F.col("_cont"), F.col("_anc.s")).otherwise(F.col("_first.s")))
+          .withColumn("_first_off", F.when(F.col("_cont"), carried).otherwise(F.lit(0)).cast("bigint")))
+    last_rs = F.when(F.col("_np") == 1, F.col("_first_rs")).otherwise(F.col("_last.s"))
+    bs = bs.withColumn("_prev_last_rs", F.lag(last_rs).over(wk))
+    pieces = pieces.join(bs.select(*keys, "_b", "_cont", "_first_rs", "_first_off", "_prev_last_rs"), [*keys, "_b"])
+    first = F.col("_pi") == 1
+    pieces = (pieces.withColumn("run_start", F.when(first, F.col("_first_rs")).otherwise(F.col("_s")))
+              .withColumn("_off", F.when(first, F.col("_first_off")).otherwise(F.lit(0)).cast("bigint"))
+              .withColumn("_new", ~(first & F.col("_cont"))))
+    pieces = pieces.withColumn("_prev_rs", F.when(first, F.col("_prev_last_rs"))
+                               .otherwise(F.lag("run_start").over(wpb)))
     run_tbl = pieces.groupBy(*keys, "run_start", flag).agg(
-        F.sum("_n").alias("length"), F.max("_e").alias("run_end"))
-    wr = Window.partitionBy(*keys).orderBy("run_start")
-    run_tbl = (run_tbl.withColumn("prev_run_start", F.lag("run_start").over(wr))
-               .withColumn("prev_flag", F.lag(flag).over(wr)).withColumn("prev_length", F.lag("length").over(wr)))
+        F.sum("_n").alias("length"), F.max("_e").alias("run_end"),
+        F.max(F.when(F.col("_new"), F.col("_prev_rs"))).alias("prev_run_start"))
     rows = _join_back(d, pieces.select(*keys, "_b", flag, "_g", "run_start", "_off", "_rf0"), [*keys, "_b", flag, "_g"])
     rows = rows.withColumn("pos", F.col("_off") + F.col("_rf") - F.col("_rf0") + 1).drop(
         "_b", "_rf", "_g", "_off", "_rf0")
