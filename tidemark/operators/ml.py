@@ -86,26 +86,28 @@ def evaluate(model: PipelineModel, test: DataFrame, label: str = "purchased") ->
 
 def feature_info(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     """ML3: per feature: min, max, mean, median (nearest rank), stddev,
-    distinct count and null count.  One aggregate pass per feature family;
-    medians come from the distributed value histogram."""
-    rows = []
-    for c in numeric:
-        s = df.agg(F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
-                   F.round(F.avg(c), 6).alias("mean"), F.round(F.stddev_samp(c), 6).alias("stddev"),
-                   F.countDistinct(c).alias("distinct_values"), F.count_if(F.col(c).isNull()).alias("nulls"))
-        med = rank_values(df.select(F.col(c).cast("double").alias(c)), [], c,
-                          {"median": F.greatest(F.lit(1), F.ceil(F.col("n") * 0.5))})
-        rows.append(s.select(F.lit(c).alias("feature"), "min", "max", "mean", med.select("median").scalar().alias("median"),
-                             "stddev", "distinct_values", "nulls"))
-    for c in categorical:
-        rows.append(df.agg(F.countDistinct(c).alias("distinct_values"), F.count_if(F.col(c).isNull()).alias("nulls"))
-                    .select(F.lit(c).alias("feature"), F.lit(None).cast("double").alias("min"),
-                            F.lit(None).cast("double").alias("max"), F.lit(None).cast("double").alias("mean"),
-                            F.lit(None).cast("double").alias("median"), F.lit(None).cast("double").alias("stddev"),
-                            "distinct_values", "nulls"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+    distinct count and null count.
+
+    The features are unpivoted into (feature, value) rows, so one grouped
+    aggregate computes every numeric feature's statistics in a single pass,
+    and one value histogram (grouped by feature) gives all medians."""
+    num = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
+                                        for c in numeric])).alias("x")).select("x.*")
+    stats = num.groupBy("feature").agg(
+        F.min("value").alias("min"), F.max("value").alias("max"), F.round(F.avg("value"), 6).alias("mean"),
+        F.round(F.stddev_samp("value"), 6).alias("stddev"), F.countDistinct("value").alias("distinct_values"),
+        F.count_if(F.col("value").isNull()).alias("nulls"))
+    med = rank_values(num, ["feature"], "value", {"median": F.greatest(F.lit(1), F.ceil(F.col("n") * 0.5))})
+    out = stats.join(med.select("feature", "median"), "feature", "left").select(
+        "feature", "min", "max", "mean", "median", "stddev", "distinct_values", "nulls")
+    if categorical:
+        cat = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
+                                            for c in categorical])).alias("x")).select("x.*")
+        none = F.lit(None).cast("double")
+        cs = cat.groupBy("feature").agg(F.countDistinct("value").alias("distinct_values"),
+                                        F.count_if(F.col("value").isNull()).alias("nulls"))
+        out = out.unionByName(cs.select("feature", none.alias("min"), none.alias("max"), none.alias("mean"),
+                                        none.alias("median"), none.alias("stddev"), "distinct_values", "nulls"))
     return out
 
 
