@@ -123,8 +123,11 @@ def recommend_lateness(df: DataFrame, skew_col: str, bounds: Sequence[int] = ROU
                       F.round(F.col("dropped") / F.col("events") * 100, 4).alias("dropped_pct"))
 
 
-def gap_distribution(df: DataFrame, key: str, ts_col: str, tie: str, bucket: Column) -> DataFrame:
-    """AG8: inter-event gap per key (seconds) and its percentiles."""
+def gap_distribution(df: DataFrame, key: str, ts_col: str, tie: str, bucket: Column,
+                     per_key: bool = False) -> DataFrame:
+    """AG8: inter-event gaps within each key (seconds) and their percentiles,
+    over all keys or (``per_key``) for every key -- the input for choosing a
+    session gap."""
     from .sequence import prev_within
     g = prev_within(df.select(key, ts_col, tie), [key], [ts_col, tie], [ts_col], bucket)
     gaps = g.where(F.col("prev_" + ts_col).isNotNull()).select(
@@ -132,7 +135,7 @@ def gap_distribution(df: DataFrame, key: str, ts_col: str, tie: str, bucket: Col
               - F.unix_micros(F.col("prev_" + ts_col).cast("timestamp"))).cast("double").alias("_us"))
     gaps = gaps.select(key, (F.col("_us") / 1e6).alias("gap_s"))
     n = F.col("gaps")
-    return rank_values(gaps, [], "gap_s", {
+    return rank_values(gaps, [key] if per_key else [], "gap_s", {
         "p50_gap_s": F.greatest(F.lit(1), F.ceil(n * 0.5)),
         "p90_gap_s": F.greatest(F.lit(1), F.ceil(n * 0.9)),
         "p99_gap_s": F.greatest(F.lit(1), F.ceil(n * 0.99)),

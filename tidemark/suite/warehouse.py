@@ -282,3 +282,18 @@ def ag34b(spark, sf):
     path = scratch_path(spark, f"ag34b-{uuid.uuid4().hex}")
     layout.write_partitioned(v_events(_t(spark, sf)), path, "event_date", cluster=["tenant_id"])
     return partition_storage(spark.read.parquet(path), "event_date")
+
+
+@register("ag8b_session_gap_per_key", """
+WITH g AS (SELECT tenant_id, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY tenant_id ORDER BY ts, event_id))) / 1e6 AS gap_s
+           FROM v_events),
+r AS (SELECT tenant_id, gap_s, row_number() OVER (PARTITION BY tenant_id ORDER BY gap_s) AS rn,
+             count(*) OVER (PARTITION BY tenant_id) AS n FROM g WHERE gap_s IS NOT NULL)
+SELECT tenant_id, max(n) AS gaps,
+       max(gap_s) FILTER (WHERE rn = greatest(1, CAST(ceil(n * 0.5) AS BIGINT))) AS p50_gap_s,
+       max(gap_s) FILTER (WHERE rn = greatest(1, CAST(ceil(n * 0.9) AS BIGINT))) AS p90_gap_s,
+       max(gap_s) FILTER (WHERE rn = greatest(1, CAST(ceil(n * 0.99) AS BIGINT))) AS p99_gap_s
+FROM r GROUP BY tenant_id""")
+def ag8b(spark, sf):
+    d = v_events(_t(spark, sf))
+    return wh.gap_distribution(d, "tenant_id", "ts", "event_id", time_bucket("ts"), per_key=True)
