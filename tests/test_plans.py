@@ -99,3 +99,12 @@ def test_partition_storage_matches_counts(spark, events_table):
     counts = {str(r.event_date): r["count"] for r in t.groupBy("event_date").count().collect()}
     assert {k: v.total_rows for k, v in st.items()} == counts
     assert all(v.total_bytes > 0 and v.files >= 1 for v in st.values())
+
+
+def test_read_date_shards(spark, tmp_path):
+    root = str(tmp_path / "logs")
+    for d in range(1, 6):
+        spark.createDataFrame([(d, "ERROR")] * d, "v int, severity string").write.parquet(f"{root}/app_logs_2024010{d}")
+    got = layout.read_shards(spark, root, "app_logs_", "2024-01-02", "2024-01-04")
+    rows = {str(r.shard_date): r["count"] for r in got.groupBy("shard_date").count().collect()}
+    assert rows == {"2024-01-02": 2, "2024-01-03": 3, "2024-01-04": 4}

@@ -36,6 +36,36 @@ def day_range(df: DataFrame, ts_col: str, date_col: str, d0: str, d1: str) -> Da
                     & (F.col(date_col) < F.lit(d1).cast("date")))
 
 
+def read_shards(spark: SparkSession, root: str, prefix: str, day_from: str, day_to: str,
+                fmt: str = "parquet") -> DataFrame:
+    """SO4 (path form): date-sharded tables ``<root>/<prefix>YYYYMMDD`` read
+    for a bounded suffix range ``[day_from, day_to]`` (inclusive, like a
+    wildcard table with a suffix filter).  Only the shard folder names are
+    listed (Hadoop ``globStatus``); the shards are read as one DataFrame with
+    the suffix as ``shard_date``.  A single table partitioned by date with a
+    partition filter is the better layout (SO3/SO5); this reads existing
+    shards."""
+    import datetime as dt
+    jvm = spark.sparkContext._jvm
+    pat = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{prefix}*")
+    fs = pat.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    lo, hi = dt.date.fromisoformat(day_from), dt.date.fromisoformat(day_to)
+    paths = []
+    for st in fs.globStatus(pat) or []:
+        suffix = st.getPath().getName()[len(prefix):]
+        try:
+            d = dt.datetime.strptime(suffix, "%Y%m%d").date()
+        except ValueError:
+            continue
+        if lo <= d <= hi:
+            paths.append(st.getPath().toString())
+    if not paths:
+        raise FileNotFoundError(f"no shards {prefix}YYYYMMDD in [{day_from}, {day_to}] under {root}")
+    df = spark.read.format(fmt).load(paths)
+    return df.withColumn("shard_date", F.to_date(F.regexp_extract(F.input_file_name(), rf"{prefix}(\d{{8}})", 1),
+                                                 "yyyyMMdd"))
+
+
 def with_partition(df: DataFrame, ts_col: str, unit: str = "DAY", name: str = "event_date",
                    keep_nulls: bool = True) -> DataFrame:
     """Add the partition column for DAY/HOUR/MONTH/YEAR granularity (SO6).
