@@ -111,3 +111,14 @@ def test_generator_deterministic_with_bad_share(spark):
     bad = parsed.where(F.col("error").isNotNull()).count()
     assert 0.01 < bad / 20000 < 0.03
     assert man.where("malformed").count() == bad
+
+
+def test_append_rollup_equals_full(spark, tmp_path):
+    e = v_events(Tables(spark, SMALL))
+    cut = F.col("event_id") % 3 == 0          # rows arriving later
+    path = str(tmp_path / "r")
+    rollup.write_rollup(rollup.build_rollup(e.where(~cut)), path, dt.datetime(2024, 2, 1))
+    rollup.append_rollup(e.where(cut), path, dt.datetime(2024, 2, 2))
+    stored = spark.read.parquet(path).select("event_date", "tenant_id", "event_type", "events", "amount", "purchases")
+    full = rollup.build_rollup(e).select("event_date", "tenant_id", "event_type", "events", "amount", "purchases")
+    assert _sorted(stored) == _sorted(full)

@@ -49,6 +49,25 @@ def refresh_rollup(events: DataFrame, path: str, changed_days: Sequence[str], re
     write_rollup(build_rollup(part), path, refreshed_at, changed_days)
 
 
+def append_rollup(new_events: DataFrame, path: str, refreshed_at: dt.datetime) -> None:
+    """AG37 (append-only input): add the new rows' partial sums to the stored
+    rows of the days they touch instead of recomputing those days from the
+    base table.  Counts and sums are additive, so the result equals a full
+    recompute; the merged partitions are checkpointed before they overwrite
+    the ones they were read from."""
+    from ..session import ensure_checkpoint_dir
+    spark = new_events.sparkSession
+    delta = build_rollup(new_events)
+    cur = spark.read.parquet(path).join(delta.select("event_date").distinct(), "event_date", "left_semi")
+    keys = list(ROLLUP_KEYS)
+    merged = (cur.select(*keys, *ADDITIVE).unionByName(delta.select(*keys, *ADDITIVE))
+              .groupBy(*keys).agg(F.sum("events").alias("events"), sum_money("amount").alias("amount"),
+                                  F.sum("purchases").alias("purchases")))
+    ensure_checkpoint_dir(spark)
+    merged = merged.checkpoint(eager=True)
+    write_rollup(merged, path, refreshed_at)
+
+
 def last_refresh(spark: SparkSession, path: str) -> dt.datetime | None:
     m = spark.read.parquet(path.rstrip("/") + "_meta")
     return m.agg(F.max("refreshed_at")).first()[0]
