@@ -288,3 +288,11 @@ def test_rules_stream_through_small_batches(spark):
         assert out[100] == "deny" and out[1001] == "deny" and out[1002] == "allow"
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_breakeven_with_commitment_rate(spark):
+    jobs = spark.createDataFrame([(T0, 40 * 2 ** 40, 100 * 3600 * 1000)],
+                                 "creation_time timestamp_ntz, bytes long, slot_ms long")
+    r = fo.on_demand_vs_reservation(jobs, "creation_time", "bytes", "slot_ms",
+                                    commit_usd_per_slot_hour=0.048).first()
+    assert r.commit_usd == 4.8 and r.breakeven_commit_tib == 0.768 and r.breakeven_tib == 0.96

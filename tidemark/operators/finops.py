@@ -268,19 +268,22 @@ def line_item_bill(usage: DataFrame, price: DataFrame, key: str = "component") -
 
 
 def on_demand_vs_reservation(jobs: DataFrame, ts: str, bytes_col: str, slot_ms: str,
-                             slots: int = 100, window_hours: float = 1.0) -> DataFrame:
+                             slots: int = 100, window_hours: float = 1.0,
+                             commit_usd_per_slot_hour: float | None = None) -> DataFrame:
     """AG30: per nightly batch window (day), on-demand cost of the bytes
     scanned vs a reservation of ``slots`` for ``window_hours``; capacity
     check (slot-ms needed vs bought), breakeven TiB and the choice; plus the
     autoscaling variant (pay for the slot-hours used, baseline 0) and the
-    three-way choice."""
+    three-way choice.  With ``commit_usd_per_slot_hour`` (a multi-year
+    commitment rate) the committed window cost and its breakeven TiB are
+    added."""
     from ..functions.columns import TIB, USD_PER_TIB
     g = jobs.groupBy(F.col(ts).cast("date").alias("day")).agg(
         F.sum(bytes_col).alias("bytes"), F.sum(slot_ms).alias("slot_ms"), F.count(F.lit(1)).alias("jobs"))
     reserve = slots * window_hours * SLOT_HOUR_USD
     on_demand = F.col("bytes") / float(TIB) * USD_PER_TIB
     bought_ms = slots * window_hours * 3600 * 1000
-    return g.select(
+    out = g.select(
         "day", "jobs", F.round(F.col("bytes") / float(TIB), 6).alias("tib"),
         F.round(on_demand, 4).alias("on_demand_usd"), F.lit(round(reserve, 4)).alias("reservation_usd"),
         (F.col("slot_ms") <= bought_ms).alias("fits_reservation"),
@@ -293,6 +296,11 @@ def on_demand_vs_reservation(jobs: DataFrame, ts: str, bytes_col: str, slot_ms:
                "autoscale")
          .when((F.col("slot_ms") <= bought_ms) & (F.lit(reserve) < on_demand), "reservation")
          .otherwise("on_demand").alias("choice_3way"))
+    if commit_usd_per_slot_hour is not None:
+        commit = slots * window_hours * commit_usd_per_slot_hour
+        out = out.withColumn("commit_usd", F.lit(round(commit, 4))).withColumn(
+            "breakeven_commit_tib", F.lit(round(commit / USD_PER_TIB, 4)))
+    return out
 
 
 def reservation_idle(jobs: DataFrame, ts: str, slot_ms: str, slots: int = 100) -> DataFrame:
