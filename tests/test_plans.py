@@ -108,3 +108,29 @@ def test_read_date_shards(spark, tmp_path):
     got = layout.read_shards(spark, root, "app_logs_", "2024-01-02", "2024-01-04")
     rows = {str(r.shard_date): r["count"] for r in got.groupBy("shard_date").count().collect()}
     assert rows == {"2024-01-02": 2, "2024-01-03": 3, "2024-01-04": 4}
+
+
+def test_bounded_broadcast_checks_size(spark):
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(100).withColumnRenamed("id", "k")
+    facts = spark.range(1000).select((F.col("id") % 10).alias("k"))
+    j1 = facts.join(g.bounded_broadcast(small, max_rows=50), "k")
+    j2 = facts.join(g.bounded_broadcast(big, max_rows=50), "k")
+    assert "BroadcastHashJoin" in g.physical_plan(j1) or "broadcast" in g.optimized_plan(j1).lower()
+    assert "ResolvedHint (strategy=broadcast)" not in j2._jdf.queryExecution().analyzed().toString()
+    assert j1.count() == 1000 and j2.count() == 1000
+
+
+def test_cluster_tuning(spark):
+    from tidemark.session import CLUSTER_CONF, tune
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        tune(spark, cluster=True)
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "8192"
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
