@@ -89,7 +89,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not cur:
         cur = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
-    sc.setCheckpointDir(cur)
+    # setCheckpointDir makes a fresh sub-folder on every call: do it once
+    # per context (and again only if the setting changed)
+    if getattr(sc, "_tidemark_ckpt_dir", None) != cur or sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(cur)
+        sc._tidemark_ckpt_dir = cur
     return cur
 
 
