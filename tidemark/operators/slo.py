@@ -249,7 +249,7 @@ def drill_verdict(incidents: DataFrame, attempts: DataFrame, ts: str = "ts", ack
     recovery took under ``max_recovery_s`` and the depth did not change.
 
     The "count of rows before t" is a running count over one ordered series
-    of messages and incident markers, bucket-split by day, so no non-equi
+    of messages and incident markers, bucket-split by hour, so no non-equi
     join is planned.  The incident table (small: one row per incident) is
     used three times, so it is checkpointed to the shared checkpoint folder
     first."""
