@@ -170,6 +170,26 @@ def merge_enrichment(spark: SparkSession, target_path: str, updates: DataFrame,
     _staged(merged).write.mode("overwrite").parquet(target_path)
 
 
+def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], op: str | None = None) -> None:
+    """SO10 / SO15 / SS20 on a table format with row-level operations (a v2
+    catalog table such as Delta or Iceberg): ``MERGE INTO`` by key --
+    matched rows are updated (or deleted when ``op`` is ``'D'``), new rows
+    inserted.  Needs such a table format on the cluster; the parquet paths
+    above (anti-join + overwrite) are the fallback used without one."""
+    src = source.alias("s")
+    cond = None
+    for k in keys:
+        e = F.col(f"t.{k}") == F.col(f"s.{k}")
+        cond = e if cond is None else cond & e
+    w = src.mergeInto(f"{table} AS t" if " " not in table else table, cond)
+    if op is not None:
+        w = w.whenMatched(F.col(f"s.{op}") == "D").delete()
+        w = w.whenMatched().updateAll().whenNotMatched(F.col(f"s.{op}") != "D").insertAll()
+    else:
+        w = w.whenMatched().updateAll().whenNotMatched().insertAll()
+    w.merge()
+
+
 def replay(spark: SparkSession, path: str, ts: str, from_ts: str, transform: Callable[[DataFrame], DataFrame],
            sink: Callable[[DataFrame, int], None], batch_id: int) -> None:
     """SO16: re-read a time range through a corrected transform into an
