@@ -134,3 +134,35 @@ def test_cluster_tuning(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    """One key holds a third of the rows: with the session settings, AQE
+    splits the skewed sort-merge-join partition (broadcast disabled here to
+    force the shuffle join)."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        n = 30000
+        facts = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                                      F.col("id").alias("v"))
+        dim = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        j = facts.join(dim, "k")
+        assert j.count() == n
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        j._jdf.queryExecution().toRdd().count()
+        final = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert "skew=true" in final
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
