@@ -166,3 +166,13 @@ def test_hot_key_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_aggregates_combine_before_the_shuffle(spark):
+    """Grouped measures are partial-aggregated map-side (a hot key costs one
+    row per map task in the exchange)."""
+    from tidemark.operators.warehouse import daily_rollup
+    e = v_events(Tables(spark, MEDIUM))
+    plan = g.physical_plan(daily_rollup(e, "event_date", ["tenant_id", "event_type"], "amount", "event_type"))
+    ex = plan.index("Exchange hashpartitioning")
+    assert "partial_count" in plan[ex:] and "partial_sum" in plan[ex:]
