@@ -175,20 +175,24 @@ def score_batch(df: DataFrame, text: str, key: str, primary: Callable[[pd.Series
 # ---- ML6: other model families (thin wrappers) --------------------------------
 
 def train_linear(df: DataFrame, label: str, numeric: Sequence[str]):
+    """ML6: linear regression on numeric features."""
     vec = VectorAssembler(inputCols=list(numeric), outputCol="features")
     return Pipeline(stages=[vec, LinearRegression(labelCol=label, maxIter=20)]).fit(df)
 
 
 def train_kmeans(df: DataFrame, numeric: Sequence[str], k: int = 4, seed: int = 7):
+    """ML6: k-means clustering of feature rows."""
     vec = VectorAssembler(inputCols=list(numeric), outputCol="features")
     return Pipeline(stages=[vec, KMeans(k=k, seed=seed)]).fit(df)
 
 
 def train_gbt(df: DataFrame, label: str, numeric: Sequence[str], seed: int = 7):
+    """ML6: gradient-boosted trees classifier."""
     vec = VectorAssembler(inputCols=list(numeric), outputCol="features")
     return Pipeline(stages=[vec, GBTClassifier(labelCol=label, maxIter=5, maxDepth=4, seed=seed)]).fit(df)
 
 
 def train_als(df: DataFrame, user: str, item: str, rating: str, seed: int = 7):
+    """ML6: implicit-feedback matrix factorisation (ALS)."""
     return ALS(userCol=user, itemCol=item, ratingCol=rating, implicitPrefs=True, rank=4, maxIter=5,
                seed=seed, coldStartStrategy="drop").fit(df)

@@ -69,6 +69,7 @@ def append_rollup(new_events: DataFrame, path: str, refreshed_at: dt.datetime) -
 
 
 def last_refresh(spark: SparkSession, path: str) -> dt.datetime | None:
+    """AG39: time of the latest refresh recorded next to the rollup."""
     m = spark.read.parquet(path.rstrip("/") + "_meta")
     return m.agg(F.max("refreshed_at")).first()[0]
 

@@ -110,6 +110,7 @@ def append_deltas(target_path: str) -> Callable:
 
 
 def read_deltas(spark: SparkSession, path: str, keys: Sequence[str], value: str) -> DataFrame:
+    """SO11 reader: the discarding firings summed per key."""
     return spark.read.parquet(path).groupBy(*keys).agg(F.sum(value).alias(value))
 
 

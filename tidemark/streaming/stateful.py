@@ -45,6 +45,8 @@ class Rule:
 
 
 class RuleProcessor(StatefulProcessor):
+    """Runs a ``Rule`` per key with its state in a ValueState (JSON)."""
+
     def __init__(self, rule: Rule, key_names: Sequence[str], timers: bool = False, presorted: bool = False):
         self.rule = rule
         self.key_names = list(key_names)
@@ -168,6 +170,9 @@ class CountTrigger(Rule):
 # ---- SS13: delivery attempts -> dead letter after N failures -----------------
 
 class DeliveryAttempts(Rule):
+    """SS13: count delivery attempts per message; after ``max_failures``
+    failed attempts the message is dead-lettered, an ack delivers it."""
+
     def __init__(self, max_failures: int = 5, ts: str = "ts", ok: str = "acked", attempt: str = "attempt_id"):
         self.max, self.ts, self.ok, self.attempt = max_failures, ts, ok, attempt
         self.order = [ts, attempt]
@@ -448,6 +453,8 @@ class TailSamplingProcessor(RuleProcessor):
 
 
 def tail_sampling(spans: DataFrame, trace: str = "trace_id", **kw) -> DataFrame:
+    """SS17: tail sampling of a watermarked span stream (event-time timer
+    per trace)."""
     rule = TailSampling(**kw)
     _ = spans.sparkSession.streams.active
     kt = {f.name: f.dataType.simpleString() for f in spans.schema.fields if f.name == trace}
