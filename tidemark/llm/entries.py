@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join
+from . import jaccard_join, quality_bands
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op4_ngram_jaccard_join")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_documents(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+
+
+@query("op5_compression_bands")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_bands.score(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "ratio", "odd_chunks")
