@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, quality_bands
+from . import jaccard_join, quality_bands, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_bands.score(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept", "ratio", "odd_chunks")
+
+
+@query("op8_secret_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy")
