@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, quality_bands, secret_scan
+from . import jaccard_join, length_buckets, quality_bands, secret_scan, source_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,3 +41,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy")
+
+
+@query("op7_source_mix")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = source_mix.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source", "epochs", "part")
+
+
+@query("op2_length_buckets")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_buckets.pack(table(spark, sf_dir, "documents"))
