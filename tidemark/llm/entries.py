@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, length_buckets, quality_bands, secret_scan, source_mix
+from . import jaccard_join, length_buckets, quality_bands, secret_scan, source_mix, tag_paths
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_length_buckets")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_buckets.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op1_tag_path_ratios")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.extract(table(spark, sf_dir, "pages"))
