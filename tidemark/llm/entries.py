@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, length_buckets, quality_bands, secret_scan, source_mix, tag_paths
+from . import jaccard_join, length_buckets, quality_bands, secret_scan, source_mix, tag_paths, warc_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_tag_path_ratios")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tag_paths.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op3_warc_index", """
+    WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+    d AS (SELECT page_id, url, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+    r AS (SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS k,
+                 first_value(page_id) OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS f FROM d)
+    SELECT page_id, url, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND k > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND k > 1 THEN f END AS refers_to
+    FROM r""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_index.round_trip(table(spark, sf_dir, "pages"))
