@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard_join, length_buckets, quality_bands, secret_scan, source_mix, tag_paths, warc_index
+from . import (jaccard_join, length_buckets, posting_lists, quality_bands, quote_links, secret_scan, source_mix, tag_paths,
+               warc_index)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +72,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM r""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_index.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op6_quotation_linking")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_links.link_quotes(table(spark, sf_dir, "conversations"))
+
+
+@query("op9_posting_lists")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
