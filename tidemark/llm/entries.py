@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (jaccard_join, length_buckets, posting_lists, quality_bands, quote_links, secret_scan, source_mix, tag_paths,
+from . import (jaccard_join, language_spans, length_buckets, posting_lists, quality_bands, quote_links, secret_scan, source_mix, tag_paths,
                warc_index)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_posting_lists")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posting_lists.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op10_language_spans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = language_spans.split_and_identify(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("bigint").alias("n_spans"))
