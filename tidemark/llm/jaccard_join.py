@@ -22,11 +22,11 @@ Documents of one text are one *class*; the join works on classes.
    that still holds several components is joined exactly, in blocks of
    ``BLOCK`` classes, by counting shared shingles; only a forest of the links
    found leaves a task, never all pairs.
-4. **Recursion.**  Members of a region beyond ``CELL`` of its pivot form the
-   region of the next round.  Up to ``LEAF`` classes are compared directly;
-   more are cut again into slices under another hash seed and get new pivots.
-   Every round takes at least the pivot out of a region, so it ends, without
-   caps.
+4. **Recursion.**  Members of a region beyond ``CELL`` of its pivot form a
+   region of their own (one for all regions with the same such members).  Up
+   to ``MANY`` classes are joined exactly in blocks like a cell; more are cut
+   again into slices under another hash seed and get new pivots.  Every round
+   takes at least the pivot out of a region, so it ends, without caps.
 
 Pairs whose classes are already in one component are not compared again.
 Shingles and classes are 64-bit hashes; a link is decided by exact counts.
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from . import textops as tx
 from .common import Scratch, components, prepare
 
-LEAF = 8
+MANY = 2048
 CELL = 0.5
 BLOCK = 256
 RATIO = 1.6
@@ -221,7 +221,7 @@ def _compare(space: Space, pairs: DataFrame, texts: DataFrame, scratch: Scratch,
                          .withColumn("d", 1 - F.col("inter") / union), name)
 
 
-def _cell_links(space: Space):
+def _group_links(space: Space):
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         cls = table.column("cls").to_numpy()
@@ -257,29 +257,16 @@ def _cell_links(space: Space):
     return run
 
 
-def _join_cells(space: Space, cell: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """Links (a, b) that connect whatever is linked inside a pivot's cell.
-    A cell of several blocks is joined block by block pair."""
+def _join_groups(space: Space, groups: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Links (a, b) that connect whatever is linked inside a group.  A group
+    of several blocks is joined block by block pair."""
     own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
     task = F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
                                  lambda j: F.struct(F.least(j, F.col("own")).alias("i"),
                                                     F.greatest(j, F.col("own")).alias("j"))))
-    rows = (cell.withColumn("own", own).select("pivot", "cls", task.alias("t"))
-            .select("pivot", "t.i", "t.j", "cls").join(texts, "cls"))
-    return scratch.write(rows.groupBy("pivot", "i", "j").applyInArrow(_cell_links(space), "a bigint, b bigint"), name)
-
-
-def _reslice(space: Space, seed: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cls = b.column(0).to_pylist()
-            sets = list(tx.shingle_sets(b.column(1), space.n))
-            keep = [i for i, u in enumerate(sets) if class_hash(u) == cls[i]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([cls[i] for i in keep], pa.int64()),
-                 pa.array([_as_long(space.regions(sets[i], seed)) for i in keep], pa.list_(pa.int64()))],
-                names=["cls", "keys"])
-    return run
+    rows = (groups.withColumn("own", own).select("grp", "cls", task.alias("t"))
+            .select("grp", "t.i", "t.j", "cls").join(texts, "cls"))
+    return scratch.write(rows.groupBy("grp", "i", "j").applyInArrow(_group_links(space), "a bigint, b bigint"), name)
 
 
 def link_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, text: str = "text",
@@ -322,29 +309,22 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, t
         near = dist.where(F.col("d") <= CELL + eps + TINY)
         rim = near.where("NOT link").groupBy("pivot").agg((F.min("d") - eps - TINY).alias("rim"))
         cell = near.join(rim, "pivot").where(F.col("d") >= F.col("rim"))
-        mixed = (cell.groupBy("pivot").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-                 .where("r0 <> r1").select("pivot", F.ceil(F.col("m") / BLOCK).cast("int").alias("parts")))
-        cell = s.write(cell.join(mixed, "pivot").select("pivot", "cls", "parts"), f"cell{r}")
-        if not cell.isEmpty():
-            links = links.unionByName(_join_cells(space, cell, texts, s, f"found{r}"))
-        # regions beyond the cell of their pivot
-        far = (region.where("cls <> pivot").join(dist.where(F.col("d") > CELL), ["cls", "pivot"])
-               .select("key", "cls", "n", "d", "root"))
-        size = (far.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-                .where("r0 <> r1").select("key", "m"))
-        rest = s.write(far.join(size, "key"), f"far{r}")
-        small = rest.where(F.col("m") <= LEAF)
-        other = small.select("key", F.col("cls").alias("z"), F.col("n").alias("zn"), F.col("d").alias("zd"),
-                             F.col("root").alias("zroot"))
-        alike = F.least("n", "zn") * den >= F.greatest("n", "zn") * num
-        leaf = (small.join(other, "key").where(F.col("cls") > F.col("z"))
-                .where((F.col("root") != F.col("zroot")) & alike & (F.abs(F.col("d") - F.col("zd")) <= eps + TINY))
-                .select("cls", F.col("z").alias("pivot")))
-        direct = s.write(leaf.distinct(), f"direct{r}")
-        if not direct.isEmpty():
-            more = _compare(space, direct, texts, s, f"pairs{r}")
-            links = links.unionByName(more.where("link").select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
-        large = s.write(rest.where(F.col("m") > LEAF).select("key", "cls"), f"large{r}")
+        several = [F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1")]
+        blocks = F.ceil(F.col("m") / BLOCK).cast("int").alias("parts")
+        mixed = cell.groupBy("pivot").agg(*several).where("r0 <> r1").select("pivot", blocks)
+        cell = cell.join(mixed, "pivot").select(F.xxhash64(F.lit("cell"), "pivot").alias("grp"), "cls", "parts")
+        # members beyond the cell of their region's pivot, a region per set of members
+        far = s.write(region.where("cls <> pivot").join(dist.where(F.col("d") > CELL), ["cls", "pivot"])
+                      .select("key", "cls", "root"), f"far{r}")
+        name = [F.bit_xor(F.xxhash64("cls")).alias("x"), F.sum(F.xxhash64(F.lit(1), "cls").cast("decimal(38,0)")).alias("y")]
+        size = (far.groupBy("key").agg(*several, *name).where("r0 <> r1")
+                .groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key", "m", blocks))
+        rest = far.join(size, "key")
+        apart = rest.where(F.col("m") <= MANY).select(F.xxhash64(F.lit("far"), "key").alias("grp"), "cls", "parts")
+        groups = s.write(cell.unionByName(apart), f"groups{r}")
+        links = comp.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
+            _join_groups(space, groups, texts, s, f"found{r}"))
+        large = s.write(rest.where(F.col("m") > MANY).select("key", "cls"), f"large{r}")
         if large.isEmpty():
             break
         r += 1
