@@ -207,14 +207,13 @@ def _compare(space: Space, pairs: DataFrame, texts: DataFrame, scratch: Scratch,
     """Exact intersection sizes of class pairs (cls, pivot).  A pivot with
     many partners is dealt over several tasks."""
     salt = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
-    parts = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / PER_TASK).alias("parts"))
-    members = (pairs.join(texts, "cls").join(parts, "pivot")
-               .select("pivot", salt.alias("part"), "cls", "text"))
-    pivots = (parts.join(texts.withColumnRenamed("cls", "pivot"), "pivot")
-              .select("pivot", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("part"),
-                      F.lit(None).cast("bigint").alias("cls"), "text"))
-    d = (members.unionByName(pivots).repartition("pivot", "part")
-         .sortWithinPartitions("pivot", "part", F.col("cls").asc_nulls_first())
+    parts = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / PER_TASK).cast("int").alias("parts"))
+    # ids first, the text once at the end: a row per pair, and per pivot and part
+    members = pairs.join(parts, "pivot").select("pivot", salt.alias("part"), "cls", F.col("cls").alias("of"))
+    pivots = parts.select("pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                          F.lit(None).cast("bigint").alias("cls"), F.col("pivot").alias("of"))
+    d = (members.unionByName(pivots).join(texts.withColumnRenamed("cls", "of"), "of").select("pivot", "part", "cls", "text")
+         .repartition("pivot", "part").sortWithinPartitions("pivot", "part", F.col("cls").asc_nulls_first())
          .mapInArrow(_distances(space), "cls bigint, pivot bigint, n bigint, np bigint, inter bigint"))
     union = F.col("n") + F.col("np") - F.col("inter")
     return scratch.write(d.withColumn("link", space.den * F.col("inter") >= space.num * union)
@@ -286,11 +285,13 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, t
     eps = (den - num) / den
     s = Scratch(spark, "jaccard")
     base = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    prints = s.write(base.mapInArrow(_fingerprints(space), "doc_id bigint, n_shingles bigint, cls bigint, keys array<bigint>"),
-                     "prints")
+    full = s.write(base.mapInArrow(_fingerprints(space), "doc_id bigint, n_shingles bigint, cls bigint, keys array<bigint>"),
+                   "fingerprints")
+    prints = s.write(full.drop("keys"), "prints")
     # doc_id is null only where no other row of the class has one
     classes = s.write(prints.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep")), "classes")
-    region = _regions(prints.select(F.explode("keys").alias("key"), "cls"), s, "regions0")
+    region = _regions(full.select(F.explode("keys").alias("key"), "cls"), s, "regions0")
+    s.drop("fingerprints")
     texts = s.write(region.select("cls").distinct().join(classes, "cls")
                     .join(base.withColumnRenamed("doc_id", "rep"), "rep").select("cls", "text"), "texts")
     links, r = None, 0

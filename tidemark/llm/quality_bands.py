@@ -119,7 +119,7 @@ def ratios(raw: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple[
     return whole, share, low <= whole <= high and share <= bands.chunk_share
 
 
-def _judge(bands: Bands):
+def _judge(bands: Bands, text_too: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=bands.level, write_content_size=False)
         for b in batches:
@@ -136,9 +136,9 @@ def _judge(bands: Bands):
                     fine.append(k)
             cols = [pa.array(np.concatenate(p) if p else np.zeros(0), pa.int64()) for p in parts]
             cols += [pa.array(ratio, pa.float64()), pa.array(odd, pa.float64()), pa.array(fine, pa.bool_())]
-            keep = [b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*keep, *cols],
-                                             names=[*b.schema.names[:-1], *[x.split()[0] for x in FIELDS.split(", ")]])
+            n = b.num_columns - (not text_too)
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(n)], *cols],
+                                             names=[*b.schema.names[:n], *[x.split()[0] for x in FIELDS.split(", ")]])
     return run
 
 
@@ -150,8 +150,12 @@ def score(docs: DataFrame, bands: Bands = Bands(), text: str = "text", keep: tup
     has none and fails.  Repeated rows are judged alike, one result each."""
     prepare(docs.sparkSession)
     rows = docs.select(*keep, F.col(text).cast("string").alias("__text"))
-    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    out = rows.mapInArrow(_judge(bands), f"{head}, {FIELDS}")
+    return _verdict(rows, bands, False)
+
+
+def _verdict(rows: DataFrame, bands: Bands, text_too: bool) -> DataFrame:
+    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:None if text_too else -1])
+    out = rows.mapInArrow(_judge(bands, text_too), f"{head}, {FIELDS}")
     failed = (F.col("n_words") < bands.min_words) | \
         (100 * F.col("n_repeat_words") > bands.repeat_percent * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & F.col("band_ok"))
@@ -160,8 +164,9 @@ def score(docs: DataFrame, bands: Bands = Bands(), text: str = "text", keep: tup
 def keep_good(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
     prepare(docs.sparkSession)
-    # one narrow Python pass over the text; the verdict travels with the row
     cols = docs.columns
-    boxed = docs.select(F.struct(*cols).alias("__row"), F.col("text").alias("__text"))
-    good = score(boxed, bands, "__text", ("__row",)).where("kept").select("__row.*")
-    return good.select(*cols)
+    # the other columns travel in a struct, so no name can clash
+    rest = F.struct(F.lit(0).alias("__any"), *[c for c in cols if c != "text"]).alias("__row")
+    rows = docs.select(rest, F.col("text").alias("__text"))
+    good = _verdict(rows, bands, True).where("kept")
+    return good.select(*[F.col("__text").alias(c) if c == "text" else F.col("__row").getField(c).alias(c) for c in cols])
