@@ -19,5 +19,6 @@ def prose(rng: random.Random, n: int, letters: str = "abcdefghijklmnopqrstuvwxyz
     return ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n)]
 
 
+# the no-break space of the last row is part of a word
 ODD = [(1, None, None, None), (2, "", "en", "a"), (3, " \t\n ", "en", "a"), (None, "some words here", None, "b"),
-       (4, "x" * 300_000, "en", "b"), (5, "one two", "en", None), (5, "one two", "en", None), (6, "é ß \U0001F600", "de", "b")]
+       (4, "x" * 300_000, "en", "b"), (5, "one two", "en", None), (5, "one two", "en", None), (6, "é\u00a0ß \U0001F600", "de", "b")]

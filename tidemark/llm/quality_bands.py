@@ -89,9 +89,10 @@ def base_counts(data: np.ndarray, offs: np.ndarray):
             repeat[hit + j] = True
     # lines: between breaks and row ends
     brk = np.flatnonzero(data == 0x0A)
-    l0 = np.sort(np.concatenate([offs[:-1], brk + 1]))
+    # a break at the end of a row opens an empty line at the start of the next
+    # one, which counts once; past the last row there is no line
+    l0 = np.unique(np.concatenate([offs[:-1], brk + 1]))
     row_of = np.searchsorted(offs, l0, "right") - 1
-    # a break at the end of a row opens an empty line past it; it has no word
     ok = row_of < rows
     l0, row_of = l0[ok], row_of[ok]
     nxt = np.searchsorted(brk, l0)

@@ -50,6 +50,7 @@ STATES = frozenset("has with without no is show hide open enable disable".split(
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar "
                   "tablist status".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+_TAG_START = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ/!?")
 _SPACE = re.compile(r"\s+")
 _PUNCT = re.compile(r"[.,;:!?。，、；：！？…]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -196,6 +197,9 @@ def main_text(html: str | None, share: float = 0.5, most: float = 0.7, link_limi
     if not html:
         return "", 0
     parser = PageParser()
+    last = html.rfind("<")  # a tag that the page breaks off in is no text
+    if last >= 0 and html[last + 1:last + 2] in _TAG_START and ">" not in html[last:]:
+        html = html[:last]
     parser.feed(html)
     parser.close()
     found = [(b, _SPACE.sub(" ", "".join(b.parts)).strip()) for b in parser.blocks]
