@@ -31,7 +31,7 @@ def expected(t):
             if entropy(m[0]) >= next(b for p, b in ss.LIMITS if re.search(p, m[0])) - 1e-9:
                 out.append((m.start(), 3, m.end()))
     name = lambda x: ",".join(f"{ss.KINDS[k]}:{s}:{e}" for s, k, e in x)
-    return hashlib.sha256(name(base).encode()).hexdigest(), name(sorted(out))
+    return hashlib.sha256(name(base).encode()).hexdigest(), name(sorted(out)), *[sum(k == i for _, k, _ in out) for i in range(4)]
 
 
 def texts():
@@ -50,7 +50,7 @@ def texts():
 
 def test_equals_plain_python(docs_of):
     rows = texts()
-    got = {r.doc_id: (r.base_sha256, r.spans) for r in ss.scan(docs_of([(i, t, None, None) for i, t in enumerate(rows)])).collect()}
+    got = {r.doc_id: (r.base_sha256, r.spans, r.n_assign, r.n_access, r.n_hex, r.n_entropy) for r in ss.scan(docs_of([(i, t, None, None) for i, t in enumerate(rows)])).collect()}
     assert got == {i: expected(t) for i, t in enumerate(rows)}
 
 

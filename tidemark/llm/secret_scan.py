@@ -112,6 +112,10 @@ def spans(text: Column) -> Column:
         _located(t, CANDIDATE, 3, _random)))
 
 
+def _of_kind(kind: int) -> Column:
+    return F.size(F.filter("secrets", lambda x: x["k"] == kind))
+
+
 def _named(found: Column) -> Column:
     kinds = F.array(*[F.lit(k) for k in KINDS])
     return F.concat_ws(",", F.transform(found, lambda x: F.concat_ws(
@@ -126,7 +130,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     prepare(docs.sparkSession)
     d = docs.withColumn("secrets", spans(F.col(text)))
     for i, k in enumerate(KINDS):
-        d = d.withColumn(f"n_{k}", F.size(F.filter("secrets", lambda x, i=i: x["k"] == i)).cast("bigint"))
+        d = d.withColumn(f"n_{k}", _of_kind(i).cast("bigint"))
     base = F.filter("secrets", lambda x: x["k"] < 3)
     return d.withColumn("base_sha256", F.sha2(_named(base), 256)).withColumn("spans", _named(F.col("secrets")))
 
