@@ -202,11 +202,92 @@ def test_skew_bound(spark):
 
 
 def test_ordered_poison(spark):
-    rows = [("k", 1, True, 1), ("k", 2, False, 2), ("k", 3, True, 3)] + [("k", 2, False, 3 + i) for i in range(1, 5)]
+    """Message 2 fails five times and holds 3, which succeeded long before."""
+    from tidemark.operators.events import held_delivery
+    rows = [("k", 1, True, 1), ("k", 2, False, 2), ("k", 3, True, 3)] + [("k", 2, False, 3 + i) for i in range(1, 5)] + [("j", 3, True, 9), ("j", 2, True, 5)]
     df = spark.createDataFrame([(k, s, ok, T0 + dt.timedelta(seconds=t), t) for k, s, ok, t in rows],
                                "ordering_key string, seq long, ok boolean, ts timestamp_ntz, attempt_id long")
-    out = st.apply_rule(df, ["ordering_key"], st.OrderedDelivery()).orderBy("out_no").collect()
-    assert [(x.seq, x.outcome) for x in out] == [(1, "processed"), (2, "dead_letter"), (3, "processed")]
+    for block in (1, 2, 10_000):
+        out = {(x.ordering_key, x.seq): x for x in held_delivery(df, "ordering_key", "seq", "ts", "ok", "attempt_id", block=block).collect()}
+        assert [out["k", s].outcome for s in (1, 2, 3)] == ["processed", "dead_letter", "processed"]
+        assert [(out["k", s].released_at - T0).seconds for s in (1, 2, 3)] == [1, 7, 7]
+        assert out["k", 3].held_s == 4.0 and out["j", 3].held_s == 0.0 and (out["j", 2].released_at - T0).seconds == 5
+
+
+def test_undecided_message_holds_the_rest(spark):
+    from tidemark.operators.events import held_delivery
+    df = spark.createDataFrame([("k", 1, False, T0, 1), ("k", 2, True, T0, 2)],
+                               "ordering_key string, seq long, ok boolean, ts timestamp_ntz, attempt_id long")
+    out = held_delivery(df, "ordering_key", "seq", "ts", "ok", "attempt_id").orderBy("seq").collect()
+    assert [(x.outcome, x.released_at) for x in out] == [(None, None), ("processed", None)]
+
+
+def test_breaker_counts_failures_in_a_row(spark):
+    calls = [(i, T0 + dt.timedelta(seconds=i), i % 2 == 0) for i in range(20)]      # ten failures, never two in a row
+    df = spark.createDataFrame([("dep", c, t, f) for c, t, f in calls], "dep string, call_id long, ts timestamp_ntz, failed boolean")
+    assert all(x.state == "closed" for x in st.apply_rule(df, ["dep"], st.CircuitBreaker()).collect())
+
+
+@pytest.mark.parametrize("probes,want", [("1100011011111", [(4, 10)]), ("11000110001111", [(4, 12)]),
+                                         ("0001110001", [(2, 5), (8, None)]), ("1101011", []), ("000", [(2, None)])])
+def test_breach_and_recovery_by_hand(spark, probes, want):
+    df = spark.createDataFrame([(i, T0 + dt.timedelta(minutes=25 * i), c == "1") for i, c in enumerate(probes)],
+                               "seq long, ts timestamp_ntz, ok boolean")
+    got = sorted((r.impact_seq, r.recover_seq) for r in slo.breach_timeline(df).collect())
+    assert got == want
+
+
+def test_recovery_counts_from_the_fault(spark):
+    probes = "111" + "11000110111" + "1111"     # the fault comes before probe 3; a second one is absorbed
+    df = spark.createDataFrame([(i, T0 + dt.timedelta(seconds=10 * i), c == "1") for i, c in enumerate(probes)],
+                               "seq long, ts timestamp_ntz, ok boolean")
+    faults = spark.createDataFrame([(T0 + dt.timedelta(seconds=30),), (T0 + dt.timedelta(seconds=140),)], "fault_ts timestamp_ntz")
+    a, b = slo.fault_recovery(df, faults).orderBy("fault_ts").collect()
+    assert (a.impact_ts - T0).seconds == 70 and a.recovery_s == 100.0
+    assert b.impact_ts is None and b.recover_ts == b.fault_ts and b.recovery_s == 0.0
+
+
+def test_alert_episode_closes_half_an_hour_after_its_last_bucket(spark):
+    at = [0, 300, 600, 2700, 6000]      # pauses of 1800 s and 3000 s
+    df = spark.createDataFrame([("api", "PAGE_FAST", T0 + dt.timedelta(seconds=s)) for s in at],
+                               "endpoint string, alert string, bucket_start timestamp_ntz")
+    got = [((r.opened_at - T0).seconds, (r.closed_at - T0).seconds, r.open_buckets)
+           for r in slo.alert_episodes(df, "endpoint").orderBy("opened_at").collect()]
+    assert got == [(0, 2700 + 2100, 4), (6000, 6000 + 2100, 1)]
+
+
+def test_backlog_age_of_a_late_ack(spark):
+    df = spark.createDataFrame([(T0, True, 10_080), (T0 + dt.timedelta(minutes=5), True, 1)], "ts timestamp_ntz, acked boolean, lag int")
+    got = slo.backlog(df, "ts", "acked", F.col("lag")).orderBy("bucket_end").collect()
+    assert [(r.depth, r.oldest_unacked_age_s) for r in got] == [(1, 3600), (1, 7200), (0, None)]
+
+
+def test_traffic_that_stopped_is_reported(spark):
+    df = spark.createDataFrame([("a", T0), ("b", T0 + dt.timedelta(hours=3))], "svc string, ts timestamp_ntz")
+    end = (T0 + dt.timedelta(hours=5)).isoformat(sep=" ")
+    got = sorted((r.svc, (r.bucket - T0).seconds // 3600) for r in slo.traffic_floor(df, floor=1, keys=["svc"], as_of=end).collect())
+    assert got == [("a", 1), ("a", 2), ("a", 3), ("a", 4), ("b", 4)]
+
+
+def test_undercount_is_the_share_missed(spark):
+    df = spark.createDataFrame([(100.0, i >= 95) for i in range(100)], "amount double, late boolean")
+    r = wh.undercount(df, df.where(~F.col("late")), "amount").first()
+    assert (r.counting_total, r.dropping_total, r.dropped, r.undercount_pct) == (10000.0, 9500.0, 5, 5.0)
+
+
+def test_lateness_bound_beyond_the_ladder(spark):
+    df = spark.createDataFrame([(500_000,)] * 10, "skew_s long")
+    r = wh.recommend_lateness(df, "skew_s").first()
+    assert r.bound_s == 518_400 and r.dropped == 0
+
+
+def test_parent_sampling_decision_stands(spark):
+    from tidemark.operators.events import head_sample
+    df = spark.createDataFrame([(f"{i:032x}", p) for i, p in enumerate([True, False, None] * 200)], "trace_id string, parent boolean")
+    got = head_sample(df, "trace_id", 0.3, parent="parent").collect()
+    assert all(r.sampled == r.parent for r in got if r.parent is not None)
+    own = [r.sampled for r in got if r.parent is None]
+    assert 30 < sum(own) < 90
 
 
 def test_ban(spark):

@@ -118,7 +118,33 @@ def test_append_rollup_equals_full(spark, tmp_path):
     cut = F.col("event_id") % 3 == 0          # rows arriving later
     path = str(tmp_path / "r")
     rollup.write_rollup(rollup.build_rollup(e.where(~cut)), path, dt.datetime(2024, 2, 1))
-    rollup.append_rollup(e.where(cut), path, dt.datetime(2024, 2, 2))
+    assert rollup.append_rollup(e.where(cut), path, dt.datetime(2024, 2, 2), "late-1")
+    assert not rollup.append_rollup(e.where(cut), path, dt.datetime(2024, 2, 2), "late-1")   # a replay counts once
     stored = spark.read.parquet(path).select("event_date", "tenant_id", "event_type", "events", "amount", "purchases")
     full = rollup.build_rollup(e).select("event_date", "tenant_id", "event_type", "events", "amount", "purchases")
     assert _sorted(stored) == _sorted(full)
+
+
+def test_refresh_empties_a_day_without_events(spark, tmp_path):
+    e = v_events(Tables(spark, SMALL))
+    path = str(tmp_path / "r")
+    rollup.write_rollup(rollup.build_rollup(e), path, dt.datetime(2024, 2, 1))
+    gone = F.col("event_date") == F.lit("2024-01-05").cast("date")
+    left = e.where(~gone)
+    for _ in range(2):
+        rollup.refresh_rollup(left, path, ["2024-01-05", "2024-01-06"], dt.datetime(2024, 2, 2))
+    cols = ["event_date", "tenant_id", "event_type", "events", "amount", "purchases"]
+    assert _sorted(spark.read.parquet(path).select(*cols)) == _sorted(rollup.build_rollup(left).select(*cols))
+
+
+def test_append_survives_a_crash_between_commit_and_move(spark, tmp_path, monkeypatch):
+    from tidemark import commits
+    e = v_events(Tables(spark, SMALL))
+    cut, path = F.col("event_id") % 3 == 0, str(tmp_path / "r")
+    rollup.write_rollup(rollup.build_rollup(e.where(~cut)), path, dt.datetime(2024, 2, 1))
+    with monkeypatch.context() as m:
+        m.setattr(commits, "recover", lambda spark, path: None)
+        rollup.append_rollup(e.where(cut), path, dt.datetime(2024, 2, 2), "b1")
+    assert not rollup.append_rollup(e.where(cut), path, dt.datetime(2024, 2, 2), "b1")
+    cols = ["event_date", "tenant_id", "event_type", "events", "amount", "purchases"]
+    assert _sorted(spark.read.parquet(path).select(*cols)) == _sorted(rollup.build_rollup(e).select(*cols))

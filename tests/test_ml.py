@@ -31,16 +31,24 @@ def test_feature_info_median(spark):
 
 
 def test_scoring_primary_and_fallback(spark):
-    rows = [(1, "please refund my invoice"), (2, "the service is down"), (3, "x" * 30), (4, None)]
+    rows = [(1, "please refund my invoice"), (2, "the service is down"), (3, "x" * 30_000), (4, None)]
     df = spark.createDataFrame(rows, "msg_id long, text string")
-    out = {r.msg_id: r for r in ml.score_batch(df, "text", "msg_id", max_primary_chars=25).collect()}
-    assert out[1].label == "billing" and out[1].path == "primary"
-    assert out[2].label == "outage"
-    assert out[3].path == "fallback" and out[3].label == "short"
-    assert out[1].input_tokens == 4
+    out = {r.msg_id: r for r in ml.score_batch(df, "text", "msg_id").collect()}
+    assert out[1].label == "billing" and out[2].label == "outage"
+    assert all(r.path == "primary" and r.reason is None for r in out.values())   # size is no failure
+    assert out[1].input_tokens == 4 and out[1].output_tokens == 1
 
     def broken(_: pd.Series) -> pd.Series:
         raise RuntimeError("primary down")
 
-    out2 = ml.score_batch(df, "text", "msg_id", primary=broken).collect()
-    assert all(r.path == "fallback" for r in out2)
+    out2 = {r.msg_id: r for r in ml.score_batch(df, "text", "msg_id", primary=broken).collect()}
+    assert all(r.path == "fallback" and r.reason == "RuntimeError: primary down" for r in out2.values())
+    assert out2[1].label == "billing" and out2[4].label == "other"
+
+    def picky(t: pd.Series) -> pd.Series:
+        if t.str.contains("down").any():
+            raise ValueError("cannot take this")
+        return ml.keyword_scorer(t)
+
+    out3 = {r.msg_id: r for r in ml.score_batch(df, "text", "msg_id", primary=picky).collect()}
+    assert [k for k, r in out3.items() if r.path == "fallback"] == [2] and out3[2].label == "outage"

@@ -110,15 +110,51 @@ def test_read_date_shards(spark, tmp_path):
     assert rows == {"2024-01-02": 2, "2024-01-03": 3, "2024-01-04": 4}
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(100).withColumnRenamed("id", "k")
-    facts = spark.range(1000).select((F.col("id") % 10).alias("k"))
-    j1 = facts.join(g.bounded_broadcast(small, max_rows=50), "k")
-    j2 = facts.join(g.bounded_broadcast(big, max_rows=50), "k")
-    assert "BroadcastHashJoin" in g.physical_plan(j1) or "broadcast" in g.optimized_plan(j1).lower()
-    assert "ResolvedHint (strategy=broadcast)" not in j2._jdf.queryExecution().analyzed().toString()
-    assert j1.count() == 1000 and j2.count() == 1000
+def test_no_join_carries_a_broadcast_hint(spark):
+    """Broadcasts are left to the engine's size threshold."""
+    from tidemark.sources.fixtures import v_fx_rates, v_trips
+    t = Tables(spark, MEDIUM)
+    for df in (v_trips(t), v_fx_rates(t)):
+        assert "strategy=broadcast" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_scan_guards_read_plans_not_data(spark, events_table):
+    t = spark.read.parquet(events_table)
+    # an aggregate is priced by the columns its scan reads, filters included
+    with pytest.raises(g.GuardError):
+        g.max_bytes_guard(t.groupBy("tenant_id").count(), 0)
+    q = t.where((F.col("event_date") == F.lit("2024-01-05").cast("date")) & (F.col("amount") > 1)).select("tenant_id")
+    est = {r.column_name: r for r in g.estimate_scan_bytes(q).collect()}
+    assert set(est) == {"tenant_id", "amount"} and all(r.bytes > 0 for r in est.values())
+    day = [f for f in t.inputFiles() if "event_date=2024-01-05" in f]
+    assert {r.files for r in est.values()} == {len(day)}
+
+
+def test_partition_filter_must_bound_the_scan(spark, events_table):
+    t = spark.read.parquet(events_table)
+    plain = spark.range(3).withColumnRenamed("id", "k")
+    with pytest.raises(g.GuardError):
+        g.require_partition_filter(t.where(F.col("event_date").isNotNull()), ["event_date"])
+    one = t.where(F.col("event_date") == F.lit("2024-01-05").cast("date"))
+    g.require_partition_filter(one.join(plain, F.col("event_id") == F.col("k")), ["event_date"])
+    with pytest.raises(g.GuardError):
+        g.require_partition_filter(one.select("event_id").unionByName(t.select("event_id")), ["event_date"])
+
+
+def test_shared_folder_is_asked_for_off_the_local_master(spark, monkeypatch):
+    from tidemark import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
 
 
 def test_cluster_tuning(spark):

@@ -125,3 +125,17 @@ def test_percent_rank_matches_pandas(series):
     n = pdf.groupby("k")["v"].transform("count") - 1
     for s, e, m in zip(pdf["seq"], exp, n):
         assert abs(got[s] - (e / m if m > 0 else 0.0)) < 1e-12
+
+
+def test_ranges_follow_the_data(spark):
+    """Tiny values, NULL groups and NaN: several ranges, no group lost."""
+    from tidemark.operators.sequence import _ranged, percent_rank_of
+    df = spark.range(5000).select((F.col("id") * 1e-8).alias("v"), F.when(F.col("id") % 2 == 0, F.lit("a")).alias("g"))
+    assert _ranged(df, [], "v").select("_b").distinct().count() > 100
+    got = {r.g: (r.n, r.mid) for r in rank_values(df, ["g"], "v", {"mid": F.ceil(F.col("n") / 2)}).collect()}
+    assert got == {"a": (2500, 2498 * 1e-8), None: (2500, 2499 * 1e-8)}
+    pr = {(r.g, r.v): r.pct_rank for r in percent_rank_of(df, ["g"], "v").collect()}
+    assert pr["a", 0.0] == 0.0 and pr[None, 4999 * 1e-8] == 1.0 and len(pr) == 5000
+    odd = spark.createDataFrame([(float("nan"),), (1.0,), (None,), (-5.0,), (float("inf"),)], "v double")
+    r = rank_values(odd, [], "v", {f"r{i}": F.lit(i) for i in range(1, 5)}).first()
+    assert (r.n, r.r1, r.r2, r.r3) == (4, -5.0, 1.0, float("inf")) and r.r4 != r.r4

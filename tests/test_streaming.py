@@ -168,16 +168,72 @@ def test_new_objects_once(spark, tmp_path):
 
 
 def test_late_side_output(spark, tmp_path):
+    """The three late events come out; counted and late make 900."""
     src = str(tmp_path / "src")
-    _write_steps(src, [[{"event_id": 1, "t": 100}], [{"event_id": 2, "t": 1000}], [{"event_id": 3, "t": 50}]])
-    s = (spark.readStream.schema("event_id long, t long").option("maxFilesPerTrigger", 1).json(src)
-         .withColumn("ts", F.timestamp_seconds("t")).withColumn("k", F.lit("all")).withWatermark("ts", "0 seconds"))
+    _write_steps(src, [[{"event_time_s": t, "revenue": v} for t, v in step] for step in (ON_TIME, SENTINEL, LATE)])
+    good, late, clock = (str(tmp_path / x) for x in ("good", "late", "clock"))
+    sink = sio.late_side_output(sio.append_deltas(good), late, clock, "ts", lateness_s=0, window_s=60)
+    sw.run_available(_lateness_stream(spark, src), sink, str(tmp_path / "ck"), mode="append")
+    out = spark.read.parquet(late)
+    assert sorted(r.event_time_s for r in out.collect()) == [15, 95, 135]
+    counted = spark.read.parquet(good).agg(F.sum("revenue")).first()[0]
+    assert counted == 825.0 and counted + out.agg(F.sum("revenue")).first()[0] == 900.0
+    # a replayed batch is split as it was the first time
+    batch = spark.createDataFrame([(t, float(v)) for t, v in LATE], "event_time_s long, revenue double").withColumn(
+        "ts", F.timestamp_seconds("event_time_s"))
+    sink(batch, 2)
+    assert spark.read.parquet(late).count() == 3
+
+
+def test_drain_closes_the_last_windows(spark, tmp_path):
+    src = str(tmp_path / "src")
+    _write_steps(src, [[{"event_time_s": t, "revenue": v} for t, v in ON_TIME]])
     out = []
-    sw.run_available(st.late_rows(s, ["k"], "ts", "event_id"), lambda b, i: out.extend(b.collect()),
-                     str(tmp_path / "ck"), mode="append")
-    flags = {r.event_id: r.is_late for r in out}
-    assert flags[1] is False and flags[2] is False
-    assert flags.get(3, True) is True   # late: flagged (or dropped upstream by the watermark)
+    sw.drain(lambda s: sw.windowed_sum(s, "ts", "revenue", "60 seconds", lateness="0 seconds"), _lateness_stream(spark, src),
+             lambda: _write_steps(src, [[{"event_time_s": 10**9, "revenue": 0}]], name="z-last"),
+             lambda b, i: out.extend(b.collect()), str(tmp_path / "ck"))
+    assert sum(r.total for r in out) == 825.0
+
+
+def test_decoded_messages_and_ids(spark):
+    msgs = spark.createDataFrame([(bytearray(b'{"id": "a", "at": "2024-01-01T00:00:00Z"}'), 7), (bytearray(b"no json"), 8)],
+                                 "value binary, offset long")
+    got = sio.decode_messages(msgs, "id string, at string").orderBy("offset").collect()
+    assert [(r.id, r.offset) for r in got] == [("a", 7), (None, 8)]
+
+
+def test_upsert_refuses_other_columns_and_survives_a_crash(spark, tmp_path, monkeypatch):
+    from tidemark import commits
+    tgt = str(tmp_path / "t")
+    for part in (None, "d"):
+        path = tgt + str(part)
+        sink = sio.upsert(path, ["k"], "v", part)
+        sink(spark.createDataFrame([(1, 1, "x"), (2, 1, "y")], "k long, v long, d string"), 0)
+        with pytest.raises(Exception):
+            sink(spark.createDataFrame([(3, 1, "x", 1)], "k long, v long, d string, extra int"), 1)
+        assert spark.read.parquet(path).count() == 2
+        # the writer dies after its content is ready, before it is in place
+        with monkeypatch.context() as m:
+            m.setattr(commits, "recover", lambda spark, path: None)
+            sink(spark.createDataFrame([(1, 5, "x")], "k long, v long, d string"), 2)
+        sink(spark.createDataFrame([(2, 7, "y")], "k long, v long, d string"), 3)
+        assert sorted((r.k, r.v) for r in spark.read.parquet(path).collect()) == [(1, 5), (2, 7)]
+
+
+def test_tail_sampling_keeps_whole_traces_and_its_decision(spark, tmp_path):
+    src = str(tmp_path / "src")
+    span = lambda tr, i, t, s="OK": {"trace_id": tr, "span_id": i, "t": t, "status": s, "duration_ms": 1.0}
+    steps = [[span("a" * 32, i, 1000) for i in range(20_000)] + [span("a" * 32, 20_000, 1001, "ERROR"), span("b" * 32, 1, 1000)],
+             [span("c" * 32, 2, 1100)], [span("c" * 32, 3, 1101), span("a" * 32, 30_000, 1101)], [span("c" * 32, 4, 1102)]]
+    _write_steps(src, steps)
+    s = (spark.readStream.schema("trace_id string, span_id long, t long, status string, duration_ms double")
+         .option("maxFilesPerTrigger", 1).json(src)
+         .withColumn("start_time", F.timestamp_seconds("t")).withWatermark("start_time", "0 seconds"))
+    out = []
+    sw.run_available(st.tail_sampling(s, keep_ratio=0.0), lambda b, i: out.extend(b.collect()), str(tmp_path / "ck"), mode="append")
+    mine = [r.span_id for r in out if r.trace_id == "a" * 32]
+    assert len(mine) == len(set(mine)) == 20_002 and 30_000 in mine
+    assert not any(r.trace_id == "b" * 32 for r in out)
 
 
 def test_tail_sampling_timer(spark, tmp_path):
@@ -304,7 +360,10 @@ def test_cdc_apply_stream_and_cascade(spark, tmp_path):
     s = spark.readStream.schema("id long, version long, op string, payload double").option("maxFilesPerTrigger", 1).json(src)
     tgt = str(tmp_path / "tgt")
     sw.run_available(s, sio.cdc_apply(tgt, "id", "version"), str(tmp_path / "ck"), mode="append")
-    assert [(r.id, r.version, r.payload) for r in spark.read.parquet(tgt).collect()] == [(1, 2, 10.0)]
+    assert [(r.id, r.version, r.payload) for r in sio.read_changes(spark, tgt).collect()] == [(1, 2, 10.0)]
+    late = spark.createDataFrame([(2, 1, "U", 7.0)], "id long, version long, op string, payload double")
+    sio.cdc_apply(tgt, "id", "version")(late, 9)      # older than the delete: the row stays away
+    assert [r.id for r in sio.read_changes(spark, tgt).collect()] == [1]
     allc = spark.createDataFrame([r for st in steps for r in st])
     batch = apply_changes(allc, "id", "version", "op", ["payload"]).collect()
     assert [(r.id, r.payload) for r in batch] == [(1, 10.0)]

@@ -80,19 +80,6 @@ def nearest_rank(p: float, n) -> Column:
     return F.greatest(F.lit(1).cast("bigint"), F.least(col(n).cast("bigint"), r))
 
 
-def hash_sampled(trace_id, ratio: float) -> Column:
-    """Head sampling by trace-id ratio: every span of a trace agrees because
-    only the trace id is hashed."""
-    return F.pmod(F.xxhash64(col(trace_id)), F.lit(10000)) < F.lit(int(round(ratio * 10000)))
-
-
-def window_label(win) -> Column:
-    """``[start, end)`` text of a window struct."""
-    w = col(win)
-    return F.format_string("[%s, %s)", F.date_format(w["start"], "yyyy-MM-dd HH:mm:ss"),
-                           F.date_format(w["end"], "yyyy-MM-dd HH:mm:ss"))
-
-
 def range_bucket(c, start: int, end: int, step: int) -> Column:
     """RANGE_BUCKET-style integer-range partition label: bucket index as
     text, ``__NULL__`` for NULL, ``__UNPARTITIONED__`` outside [start, end)."""

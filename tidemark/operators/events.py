@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,10 +172,10 @@ def delivery_quarantine(attempts: DataFrame, msg: str, ts: str, ok: str, max_fai
 
 
 def id_bucket(c) -> Column:
-    """Deterministic sampling bucket 0..9999 of an integer id (the same
-    arithmetic in SQL, so sampled sets can be checked)."""
+    """Sampling bucket 0..9999 of an id of any type: a hash of its text (the
+    same in SQL and in Python, so sampled sets can be checked)."""
     x = F.col(c) if isinstance(c, str) else c
-    return F.pmod(F.pmod(x, F.lit(1000003)) * F.lit(2654435761), F.lit(10000))
+    return F.conv(F.substring(F.md5(x.cast("string")), 1, 8), 16, 10).cast("bigint") % 10000
 
 
 def tail_sample(spans: DataFrame, trace: str, status: str, duration: str, slow_ms: float, keep_ratio: float) -> DataFrame:
@@ -189,10 +189,13 @@ def tail_sample(spans: DataFrame, trace: str, status: str, duration: str, slow_m
     return g.select(trace, "spans", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
-def head_sample(spans: DataFrame, trace: str, ratio: float) -> DataFrame:
-    """SS18: head sampling by trace-id ratio; only the trace id is hashed, so
-    every span of a trace gets the parent's decision."""
-    return spans.withColumn("sampled", id_bucket(trace) < int(ratio * 10000))
+def head_sample(spans: DataFrame, trace: str, ratio: float, parent: str | None = None) -> DataFrame:
+    """SS18: head sampling by trace-id ratio.  Only the trace id is hashed,
+    so every span of a trace gets one decision; where a caller's decision came
+    with the request (``parent``, a boolean, null for a new trace), it
+    stands."""
+    own = id_bucket(trace) < int(ratio * 10000)
+    return spans.withColumn("sampled", F.coalesce(F.col(parent), own) if parent else own)
 
 
 def window_labels(windows: DataFrame) -> DataFrame:
@@ -235,3 +238,36 @@ def arrival_vs_event_windows(df: DataFrame, ts: str, skew_s: str, unit: str = "h
     return j.select("window_start", F.coalesce("by_event_time", F.lit(0)).alias("by_event_time"),
                     F.coalesce("by_arrival_time", F.lit(0)).alias("by_arrival_time")).withColumn(
         "differs", F.col("by_event_time") != F.col("by_arrival_time"))
+
+
+def held_delivery(attempts: DataFrame, key: str, seq: str, ts: str, ok: str, tie: str, max_failures: int = 5,
+                  block: int = 10_000) -> DataFrame:
+    """SS14: per-key ordered processing, read off the delivery log.  A message
+    is decided at its first success, or dead-lettered at its ``max_failures``th
+    failure; with delivery in sequence it is released when it and all earlier
+    messages of its key are decided.  An undecided message holds all later
+    ones (``released_at`` null).
+
+    Attempts of one message are ordered together; the running maximum over a
+    key is taken inside blocks of ``block`` sequence numbers and over the
+    block maxima, so a hot key is many tasks."""
+    w = Window.partitionBy(key, seq).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = attempts.select(key, seq, ts, tie, F.col(ok).alias("_ok")).withColumn("_fails", F.sum((~F.col("_ok")).cast("int")).over(w))
+    won = F.min(F.when(F.col("_ok") & (F.col("_fails") < max_failures), F.col(ts)))
+    lost = F.min(F.when(~F.col("_ok") & (F.col("_fails") == max_failures), F.col(ts)))
+    m = d.groupBy(key, seq).agg(F.min(ts).alias("first_publish"), won.alias("_won"), lost.alias("_lost"))
+    # fewer failures than the limit before it, so a success comes first
+    m = m.withColumn("decided_at", F.coalesce("_won", "_lost")).withColumn(
+        "outcome", F.when(F.col("_won").isNotNull(), "processed").when(F.col("_lost").isNotNull(), "dead_letter"))
+    m = m.withColumn("_blk", F.floor(F.col(seq) / block)).withColumn("_open", F.col("decided_at").isNull().cast("int"))
+    wk = Window.partitionBy(key, "_blk").orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    m = m.withColumn("_in", F.max("decided_at").over(wk)).withColumn("_stuck", F.sum("_open").over(wk))
+    before = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    b = (m.groupBy(key, "_blk").agg(F.max("decided_at").alias("_max"), F.sum("_open").alias("_n"))
+         .select(key, "_blk", F.max("_max").over(before).alias("_prev"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    from .sequence import _join_back
+    m = _join_back(m, b, [key, "_blk"])
+    free = (F.col("_stuck") + F.col("_before")) == 0
+    return m.select(key, seq, "first_publish", "decided_at", "outcome",
+                    F.when(free, F.greatest("_in", "_prev")).alias("released_at")).withColumn(
+        "held_s", (F.unix_micros(F.col("released_at").cast("timestamp")) - F.unix_micros(F.col("decided_at").cast("timestamp"))) / 1e6)

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import cents, credits_total, label_value
-from ..plans.guards import bounded_broadcast
 
 # ---- fixed values (public list prices the reference works with) -------------
 # Request-priced service: USD per vCPU-second, per GiB-second, per request.
@@ -238,7 +237,7 @@ def perf_per_dollar(df: DataFrame, key: str, price: DataFrame, ts: str, baseline
     g = df.groupBy(key).agg(F.count(F.lit(1)).alias("requests"),
                             (F.unix_seconds(F.max(ts).cast("timestamp"))
                              - F.unix_seconds(F.min(ts).cast("timestamp"))).alias("_span"))
-    g = g.join(bounded_broadcast(price), key)
+    g = g.join(price, key)
     rate = F.col("requests") / F.col("_span")
     per = rate * 3600 / F.col("usd_per_hour")
     out = g.select(key, F.round(rate, 6).alias("req_per_s"), F.round(per, 4).alias("req_per_usd_hour"))
@@ -259,7 +258,7 @@ def line_item_bill(usage: DataFrame, price: DataFrame, key: str = "component") -
 
     ``usage`` is aggregated from the logs (one row per component); the price
     list is a literal table; total and largest item are scalar subqueries."""
-    b = usage.join(bounded_broadcast(price), key).withColumn(
+    b = usage.join(price, key).withColumn(
         "monthly_usd", F.round(F.col("quantity") * F.col("unit_price"), 4))
     total = b.select(F.sum("monthly_usd")).scalar()
     largest = b.select(F.max_by(key, F.struct("monthly_usd", key))).scalar()

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import TIB, USD_PER_TIB, billed_bytes, on_demand_usd
-from ..plans.guards import bounded_broadcast
 
 
 def query_snippet(q, n: int) -> Column:
@@ -104,7 +103,7 @@ def layout_advice(jobs: DataFrame, column_types: DataFrame, filters: str = "filt
     partial aggregate over the exploded job rows."""
     e = jobs.select(F.explode(filters).alias("column_name"), F.col(bytes_col).alias("_b"))
     g = e.groupBy("column_name").agg(F.count(F.lit(1)).alias("uses"), F.sum("_b").alias("bytes"))
-    g = g.join(bounded_broadcast(column_types), "column_name", "left")
+    g = g.join(column_types, "column_name", "left")
     g = g.withColumn("score", F.col("uses").cast("double") * F.col("bytes").cast("double"))
     # one row per distinct filter column (bounded by the table's width)
     w = Window.orderBy(F.desc("score"), F.asc("column_name"))

@@ -101,25 +101,14 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str,
     """
     if len(cluster) > 4:
         raise ValueError("at most 4 cluster keys")
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    d = df.repartitionByRange(F.col(partition_col), *[F.col(c) for c in cluster])
+    # the hash breaks ties, so a range can end inside equal cluster keys
+    tie = F.xxhash64(*[c for c in df.columns if c != partition_col])
+    d = df.repartitionByRange(F.col(partition_col), *[F.col(c) for c in cluster], tie)
     d = d.sortWithinPartitions(partition_col, *cluster)
-    (d.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    (d.write.mode(mode).option("maxRecordsPerFile", max_records_per_file).option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
-def expire_partitions(spark: SparkSession, path: str, partition_col: str, as_of: str,
-                      keep_days: int) -> DataFrame:
-    """Drop partitions older than ``keep_days`` before ``as_of`` (SO9).
-
-    Returns the retained rows; the caller writes them back (or, with a table
-    format, drops the expired partitions).  Retention is a partition filter,
-    so only retained folders are read."""
-    cutoff = F.date_sub(F.lit(as_of).cast("date"), keep_days)
-    return spark.read.parquet(path).where(F.col(partition_col) >= cutoff)
-
-
 def partition_stats(df: DataFrame, partition_col: str) -> DataFrame:
     """Rows per partition, NULL partition kept under ``__NULL__`` (AG34)."""
     return (null_partition(df, partition_col)

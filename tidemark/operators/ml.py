@@ -138,38 +138,51 @@ def keyword_scorer(texts: pd.Series) -> pd.Series:
     return out
 
 
-def length_scorer(texts: pd.Series) -> pd.Series:
-    """Default fallback scorer (cheap, always available)."""
-    n = texts.fillna("").str.len()
-    return pd.Series(["long" if x > 2000 else "short" for x in n], index=texts.index, dtype=object)
+def first_word_scorer(texts: pd.Series) -> pd.Series:
+    """Default fallback classifier (cheap, always available): the category
+    that the first keyword of the text belongs to."""
+    where = {w: cat for cat, words in TICKET_KEYWORDS.items() for w in words}
+    pat = "(" + "|".join(re.escape(w) for w in sorted(where, key=len, reverse=True)) + ")"
+    return texts.fillna("").str.lower().str.extract(pat, expand=False).map(where).fillna("other").astype(object)
 
 
 def score_batch(df: DataFrame, text: str, key: str, primary: Callable[[pd.Series], pd.Series] = keyword_scorer,
-                fallback: Callable[[pd.Series], pd.Series] = length_scorer,
-                max_primary_chars: int = 20000) -> DataFrame:
-    """ML5: score every row with the primary scorer, route rows it cannot
-    take (too long, or the scorer raised) to the fallback, and record the
-    path and whitespace token counts.  Arrow batches through
-    ``mapInPandas``; the scorers are plain functions of a text column."""
+                fallback: Callable[[pd.Series], pd.Series] = first_word_scorer) -> DataFrame:
+    """ML5: score every row with the primary scorer.  Rows whose call fails
+    go to the fallback, whatever their size: a failing batch is tried again
+    row by row, so one bad row does not take the others with it.  Each row
+    records its path, the reason of a failure and the tokens (white-space
+    words) in and out."""
+    def one(fn, t):
+        out = fn(t)
+        if len(out) != len(t):
+            raise ValueError("the scorer must give one label per row")
+        return list(out)
+
     def run(it):
         for pdf in it:
             t = pdf[text].fillna("")
-            ok = t.str.len() <= max_primary_chars
-            label = pd.Series([None] * len(t), index=t.index, dtype=object)
-            path = pd.Series(["fallback"] * len(t), index=t.index, dtype=object)
+            why: list[str | None] = [None] * len(t)
             try:
-                if ok.any():
-                    label[ok] = primary(t[ok])
-                    path[ok] = "primary"
-            except Exception:  # noqa: BLE001 - primary outage: whole batch to fallback
-                ok[:] = False
-            if (~ok).any():
-                label[~ok] = fallback(t[~ok])
-                path[~ok] = "fallback"
-            yield pd.DataFrame({key: pdf[key], "label": label, "path": path,
-                                "input_tokens": t.str.split().str.len().astype("int64")})
-
-    return df.select(key, text).mapInPandas(run, f"{key} long, label string, path string, input_tokens long")
+                label = one(primary, t)
+            except Exception:  # noqa: BLE001 - the scorer is the caller's; every failure is recorded
+                label = [None] * len(t)
+                for i in range(len(t)):
+                    try:
+                        label[i] = one(primary, t.iloc[i:i + 1])[0]
+                    except Exception as e:  # noqa: BLE001
+                        why[i] = f"{type(e).__name__}: {e}"
+            failed = [i for i, w in enumerate(why) if w is not None]
+            if failed:
+                for i, x in zip(failed, one(fallback, t.iloc[failed])):
+                    label[i] = x
+            yield pd.DataFrame({key: pdf[key], "label": label, "path": ["primary" if w is None else "fallback" for w in why],
+                                "reason": why, "input_tokens": t.str.split().str.len().astype("int64"),
+                                "output_tokens": [len(str(x).split()) for x in label]})
+
+    kind = dict(df.dtypes)[key]
+    return df.select(key, text).mapInPandas(
+        run, f"{key} {kind}, label string, path string, reason string, input_tokens long, output_tokens long")
 
 
 # ---- ML6: other model families (thin wrappers) --------------------------------

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import commits
 from ..functions.columns import sum_money
 from .warehouse import daily_rollup
 
@@ -28,44 +29,47 @@ def build_rollup(events: DataFrame) -> DataFrame:
     return daily_rollup(events, "event_date", ["tenant_id", "event_type"], "amount", "event_type")
 
 
-def write_rollup(rollup: DataFrame, path: str, refreshed_at: dt.datetime, days: Sequence[str] | None = None) -> None:
-    """Write (or replace) rollup partitions with dynamic partition overwrite,
-    and record the refresh time next to the data."""
+def write_rollup(rollup: DataFrame, path: str, refreshed_at: dt.datetime, days: Sequence[str] | None = None,
+                 batch: str | None = None) -> None:
+    """Write (or replace) rollup partitions in one commit and record the
+    refresh time next to the data.  Of the ``days`` named, those without a
+    row in ``rollup`` are emptied."""
     spark = rollup.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (rollup.repartitionByRange("event_date", "tenant_id").sortWithinPartitions("event_date", "tenant_id")
-     .write.mode("overwrite").partitionBy("event_date").parquet(path))
+    d = rollup.repartitionByRange("event_date", "tenant_id").sortWithinPartitions("event_date", "tenant_id")
+    commits.replace_partitions(d, path, "event_date", tuple(days or ()), batch)
     meta = spark.createDataFrame([(refreshed_at, json.dumps(list(days) if days else None))],
                                  "refreshed_at timestamp_ntz, days string")
     meta.coalesce(1).write.mode("append").parquet(path.rstrip("/") + "_meta")
 
 
 def refresh_rollup(events: DataFrame, path: str, changed_days: Sequence[str], refreshed_at: dt.datetime) -> None:
-    """AG37: recompute only the days touched by new or changed input and
-    overwrite exactly those partitions.  Re-running with the same input
-    gives the same table (idempotent)."""
+    """AG37: recompute only the days touched by new, changed or removed input
+    and replace exactly those partitions; a day that lost all its events loses
+    its partition.  Re-running with the same input gives the same table."""
     days = [dt.date.fromisoformat(d) for d in changed_days]
     part = events.where(F.col("event_date").isin(days))
     write_rollup(build_rollup(part), path, refreshed_at, changed_days)
 
 
-def append_rollup(new_events: DataFrame, path: str, refreshed_at: dt.datetime) -> None:
+def append_rollup(new_events: DataFrame, path: str, refreshed_at: dt.datetime, batch_id: str) -> bool:
     """AG37 (append-only input): add the new rows' partial sums to the stored
     rows of the days they touch instead of recomputing those days from the
     base table.  Counts and sums are additive, so the result equals a full
-    recompute; the merged partitions are checkpointed before they overwrite
-    the ones they were read from."""
-    from ..session import ensure_checkpoint_dir
+    recompute.  ``batch_id`` names the new rows; it is noted in the commit of
+    the sums, and a batch that was applied before is skipped (returns False)."""
     spark = new_events.sparkSession
-    delta = build_rollup(new_events)
-    cur = spark.read.parquet(path).join(delta.select("event_date").distinct(), "event_date", "left_semi")
+    if commits.applied(spark, path, batch_id):
+        return False
     keys = list(ROLLUP_KEYS)
-    merged = (cur.select(*keys, *ADDITIVE).unionByName(delta.select(*keys, *ADDITIVE))
-              .groupBy(*keys).agg(F.sum("events").alias("events"), sum_money("amount").alias("amount"),
-                                  F.sum("purchases").alias("purchases")))
-    ensure_checkpoint_dir(spark)
-    merged = merged.checkpoint(eager=True)
-    write_rollup(merged, path, refreshed_at)
+    merged = build_rollup(new_events).select(*keys, *ADDITIVE)
+    stored = commits.read(spark, path)
+    if stored is not None:
+        cur = stored.join(merged.select("event_date").distinct(), "event_date", "left_semi")
+        merged = (cur.select(*keys, *ADDITIVE).unionByName(merged)
+                  .groupBy(*keys).agg(F.sum("events").alias("events"), sum_money("amount").alias("amount"),
+                                      F.sum("purchases").alias("purchases")))
+    write_rollup(merged, path, refreshed_at, batch=batch_id)
+    return True
 
 
 def last_refresh(spark: SparkSession, path: str) -> dt.datetime | None:

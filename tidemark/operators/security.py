@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..plans.guards import bounded_broadcast
 
 # ---- fixed values that must equal the reference's ---------------------------
 # Basic roles and the permission counts the audit assigns to them.
@@ -38,7 +37,7 @@ def blast_radius(bindings: DataFrame, sizes: DataFrame, accounts: DataFrame | No
     list is a set; accounts with no binding keep 0."""
     b = (bindings.where(F.col("member").startswith("serviceAccount:"))
          .withColumn("email", F.split(F.col("member"), ":", 2)[1])
-         .join(bounded_broadcast(sizes), "role", "left")
+         .join(sizes, "role", "left")
          .withColumn("permissions", F.coalesce("permissions", F.lit(UNKNOWN_ROLE_PERMISSIONS))))
     g = b.groupBy("email").agg(F.sum("permissions").cast("bigint").alias("permission_count"),
                                F.array_join(F.array_sort(F.collect_set("role")), ", ").alias("roles"))

@@ -8,9 +8,9 @@ work inside ``(key, bucket)``, and repair the bucket boundaries with a small
 per-bucket summary table (one row per key and bucket).  The result is exact.
 
 * ``prev_within``  -- LAG over a key, bucket-split.
-* ``rank_values``  -- exact k-th smallest value per group from a value
-  histogram (partial aggregation before the shuffle; one row per distinct
-  value, not per input row, reaches the ordered step).
+* ``rank_values``  -- exact k-th smallest value per group: the values are cut
+  into ranges by a quantile sketch, and only the ranges that hold a wanted
+  rank are ordered.
 * ``top_k``        -- ``row_number() <= k``; Spark plans a partial
   ``WindowGroupLimit`` before the shuffle, so a hot group ships at most
   k rows per map task.
@@ -53,10 +53,6 @@ def _join_back(d: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
     return d.join(ren, cond, "left").drop(*[f"{c}__r" for c in on])
 
 
-def _cols(xs) -> list[Column]:
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
-
-
 def prev_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
                 bucket: Column, prefix: str = "prev_") -> DataFrame:
     """Add ``prev_<c>`` = value of ``c`` on the previous row of the same key
@@ -106,76 +102,99 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     return d.withColumn(name, F.col("_before") + F.col("_in")).drop(b, "_in", "_before", "_bt", "_rn1")
 
 
+CUTS = 128  # ranges that the values of a group are cut into
+
+
+def _ranged(df: DataFrame, group: list[str], value: str) -> DataFrame:
+    """Rows with a non-null value and ``_b``, the number of cut points below
+    the value.  The cuts are approximate quantiles of the group's own values,
+    so ranges hold similar shares of any distribution; the counts per range
+    that the callers use are exact.  NaN sorts above every number."""
+    base = df.where(F.col(value).isNotNull())
+    at = [i / CUTS for i in range(1, CUTS)]
+    ren = [F.col(c).alias(f"{c}__r") for c in group]
+    cuts = F.array_sort(F.array_distinct(F.percentile_approx(value, at, 20 * CUTS))).alias("_cuts")
+    if group:
+        sk = base.groupBy(*group).agg(cuts).select(*ren, "_cuts")
+        d = base.join(sk, _same(group), "left").drop(*[f"{c}__r" for c in group])
+    else:
+        d = base.withColumn("_cuts", base.select(cuts).scalar())
+    below = F.aggregate("_cuts", F.lit(0), lambda n, c: n + (c < F.col(value)).cast("int"))
+    return d.withColumn("_b", below).drop("_cuts")
+
+
+def _same(cols: Sequence[str]) -> Column:
+    """Null-safe equality of ``c`` and ``c__r`` for all columns."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"{c}__r"))
+    return cond
+
+
+def _ranges(hist: DataFrame, group: list[str]) -> DataFrame:
+    """Counts of each range, up to its start and of the group."""
+    wg = Window.partitionBy(*group)
+    wb = wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (hist.groupBy(*group, "_b").agg(F.sum("_cnt").alias("_bc"))
+            .withColumn("_from", F.sum("_bc").over(wb) - F.col("_bc")).withColumn("_all", F.sum("_bc").over(wg)))
+
+
 def rank_values(df: DataFrame, group: Sequence[str], value: str,
-                ranks: dict[str, Column], n_name: str = "n", per_octave: int = 64) -> DataFrame:
+                ranks: dict[str, Column], n_name: str = "n") -> DataFrame:
     """Exact order statistics per group.
 
     ``ranks`` maps an output name to a 1-based rank expression in terms of
     the group size column ``n_name`` (e.g. ``nearest_rank(99, 'n')``).
     Returns one row per group: group columns, ``n`` and one column per rank.
-    NULL values are ignored, as percentile functions do.
-
-    Plan (all distributed, exact):
-      1. value histogram per group (partial aggregation: a value repeated a
-         billion times is one row after the map side);
-      2. the distinct values are cut into log-scale ranges (``per_octave``
-         ranges per power of two, data independent, monotone in the value);
-      3. cumulative counts over the (group, range) totals -- a few hundred
-         rows per group;
-      4. the ordered running count inside each (group, range) only, so no
-         single task sorts all values of a large group.
+    NULL values are ignored, as percentile functions do; a NULL group is a
+    group; NaN ranks above every number.
+
+    Plan (all distributed, lazy and exact):
+      1. a quantile sketch per group cuts its values into ``CUTS`` ranges;
+      2. exact counts per (group, range), summed over the ranges before (a
+         hundred rows a group), tell which range holds each wanted rank;
+      3. only the values of those ranges are histogrammed (a value repeated a
+         billion times is one row after the map side) and ordered, one range
+         in one task.
     """
     group = list(group)
-    base = df.where(F.col(value).isNotNull())
-    hist = base.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    v = F.col(value).cast("double")
-    hist = hist.withColumn("_b", (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * per_octave)).cast("bigint"))
-    # the histogram feeds two branches (range totals and the per-value
-    # running count); a reliable checkpoint makes the base scan happen once
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    hist = hist.checkpoint(eager=True)
-    bk = hist.groupBy(*group, "_b").agg(F.sum("_cnt").alias("_bc"))
-    wg = Window.partitionBy(*group)
-    wb = wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bk = (bk.withColumn("_bcum", F.sum("_bc").over(wb))
-          .withColumn(n_name, F.sum("_bc").over(wg)))
-    h = hist.join(bk, [*group, "_b"])
+    rows = _ranged(df, group, value)
+    rg = _ranges(rows.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_cnt")), group)
+    rg = rg.withColumn(n_name, F.col("_all"))
+    want = F.array(*[F.struct(F.lit(k).alias("name"), r.cast("bigint").alias("rank")) for k, r in ranks.items()])
+    hit = rg.select(*group, "_b", "_bc", "_from", n_name, F.explode(want).alias("_w")).where(
+        (F.col("_w.rank") > F.col("_from")) & (F.col("_w.rank") <= F.col("_from") + F.col("_bc")))
+    wanted = hit.groupBy(*group, "_b").agg(F.first("_from").alias("_from"), F.first(n_name).alias(n_name),
+                                           F.collect_list("_w").alias("_w"))
+    ren = wanted.select(*[F.col(c).alias(f"{c}__r") for c in [*group, "_b"]], "_from", n_name, "_w")
+    h = (rows.join(ren, _same([*group, "_b"]), "inner")
+         .groupBy(*group, "_b", value).agg(F.count(F.lit(1)).alias("_cnt"), F.first("_from").alias("_from"),
+                                           F.first(n_name).alias(n_name), F.first("_w").alias("_w")))
     wv = Window.partitionBy(*group, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = h.withColumn("_cum", F.col("_bcum") - F.col("_bc") + F.sum("_cnt").over(wv))
+    h = h.withColumn("_cum", F.col("_from") + F.sum("_cnt").over(wv))
     aggs = [F.max(n_name).alias(n_name)]
-    for name, r in ranks.items():
-        hit = (F.col("_cum") >= r) & ((F.col("_cum") - F.col("_cnt")) < r)
-        aggs.append(F.max(F.when(hit, F.col(value))).alias(name))
-    if not group:
-        return h.agg(*aggs)
-    return h.groupBy(*group).agg(*aggs)
+    for name in ranks:
+        rank = F.try_element_at(F.map_from_entries("_w"), F.lit(name))
+        mine = (rank <= F.col("_cum")) & (rank > F.col("_cum") - F.col("_cnt"))
+        aggs.append(F.max(F.when(mine, F.col(value))).alias(name))
+    return h.groupBy(*group).agg(*aggs) if group else h.agg(*aggs)
 
 
-def percent_rank_of(df: DataFrame, group: Sequence[str], value: str, name: str = "pct_rank",
-                    per_octave: int = 64) -> DataFrame:
+def percent_rank_of(df: DataFrame, group: Sequence[str], value: str, name: str = "pct_rank") -> DataFrame:
     """``percent_rank()`` of ``value`` within each group -- (rows with a
     smaller value) / (n - 1) -- without a window over all rows of a group:
-    the counts come from the bucketed value histogram (as ``rank_values``)
-    and are joined back to the rows by (group, value)."""
+    the counts come from the range-cut value histogram (as ``rank_values``)
+    and are joined back to the rows by (group, value), null-safe."""
     group = list(group)
-    base = df.where(F.col(value).isNotNull())
-    hist = base.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    v = F.col(value).cast("double")
-    hist = hist.withColumn("_b", (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * per_octave)).cast("bigint"))
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    hist = hist.checkpoint(eager=True)
-    bk = hist.groupBy(*group, "_b").agg(F.sum("_cnt").alias("_bc"))
-    wg = Window.partitionBy(*group)
-    wb = wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bk = bk.withColumn("_bcum", F.sum("_bc").over(wb)).withColumn("_n", F.sum("_bc").over(wg))
-    h = hist.join(bk, [*group, "_b"])
+    hist = _ranged(df, group, value).groupBy(*group, "_b", value).agg(F.count(F.lit(1)).alias("_cnt"))
+    rg = _ranges(hist, group)
+    ren = rg.select(*[F.col(c).alias(f"{c}__r") for c in [*group, "_b"]], "_from", "_all")
+    h = hist.join(ren, _same([*group, "_b"]), "inner")
     wv = Window.partitionBy(*group, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = h.withColumn("_below", F.col("_bcum") - F.col("_bc") + F.sum("_cnt").over(wv) - F.col("_cnt"))
-    pr = F.when(F.col("_n") > 1, F.col("_below") / (F.col("_n") - 1)).otherwise(F.lit(0.0))
-    ranks = h.select(*group, value, pr.alias(name))
-    return df.join(ranks, [*group, value], "left")
+    below = F.col("_from") + F.sum("_cnt").over(wv) - F.col("_cnt")
+    pr = F.when(F.col("_all") > 1, below / (F.col("_all") - 1)).otherwise(F.lit(0.0))
+    ranks = h.select(*[F.col(c).alias(f"{c}__r") for c in [*group, value]], pr.alias(name))
+    return df.join(ranks, _same([*group, value]), "left").drop(*[f"{c}__r" for c in [*group, value]])
 
 
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,

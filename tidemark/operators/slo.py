@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import at_least_severity
-from .sequence import _join_back, rank_values, time_bucket
+from .sequence import _join_back, prev_within, rank_values, running_sum, time_bucket
 
 # ---- fixed values: burn-rate alert pairs of the reference ------------------
 # (name, long lookback s, short lookback s, burn threshold)
@@ -146,8 +146,8 @@ def burn_rates(requests: DataFrame, key: str, goal: float, bucket_s: int = 300,
 
 def multiwindow_alerts(burn: DataFrame, key: str) -> DataFrame:
     """WI4: an alert is open in a bucket when both its long and short
-    lookback burn rates exceed the threshold; it auto-closes as soon as the
-    short window drops below.  Returns the open (key, bucket, alert) rows."""
+    lookback burn rates exceed the threshold.  Returns the open (key,
+    bucket, alert) rows; ``alert_episodes`` joins them to episodes."""
     rows = []
     for name, long_s, short_s, th in BURN_ALERTS:
         fire = (F.col(f"burn_{long_s}s") > th) & (F.col(f"burn_{short_s}s") > th)
@@ -156,6 +156,22 @@ def multiwindow_alerts(burn: DataFrame, key: str) -> DataFrame:
     return x.where("_a.open").select(key, "bucket_start", F.col("_a.alert").alias("alert"))
 
 
+def alert_episodes(alerts: DataFrame, key: str, bucket_s: int = 300, auto_close_s: int = 1800) -> DataFrame:
+    """WI4: episodes of an alert.  An episode opens with its first open
+    bucket, stays open over pauses (buckets below the threshold or without
+    traffic) of up to ``auto_close_s`` and closes that long after the end of
+    its last open bucket.  Input: one row per key, alert and open bucket."""
+    e = alerts.select(key, "alert", "bucket_start", _epoch_s("bucket_start").alias("_e"))
+    day = F.floor(F.col("_e") / 86400)
+    e = prev_within(e, [key, "alert"], ["_e"], ["_e"], day)
+    new = F.col("prev__e").isNull() | (F.col("_e") - F.col("prev__e") - bucket_s > auto_close_s)
+    e = running_sum(e.withColumn("_new", new.cast("int")), [key, "alert"], ["_e"], "_new", day, "_episode")
+    g = e.groupBy(key, "alert", "_episode").agg(F.min("_e").alias("_a"), F.max("_e").alias("_z"), F.count(F.lit(1)).alias("open_buckets"))
+    stamp = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz")
+    return g.select(key, "alert", stamp(F.col("_a")).alias("opened_at"),
+                    stamp(F.col("_z") + bucket_s + auto_close_s).alias("closed_at"), "open_buckets")
+
+
 def runs(df: DataFrame, keys: Sequence[str], seq: str, flag: str, bucket: Column) -> tuple[DataFrame, DataFrame]:
     """Gaps-and-islands over an ordered series, bucket-split.
 
@@ -220,26 +236,52 @@ def runs(df: DataFrame, keys: Sequence[str], seq: str, flag: str, bucket: Column
 
 
 def breach_timeline(probes: DataFrame, seq: str = "seq", ts: str = "ts", ok: str = "ok",
-                    hysteresis: int = 3, bucket: Column | None = None) -> DataFrame:
-    """WI5: per incident, impact = the ``hysteresis``-th consecutive bad
-    probe, recovery = the ``hysteresis``-th consecutive good probe of the run
-    right after it.  An incident with no such recovery keeps NULLs.
-
-    The pairing is one aggregate: bad hits group under their own run, good
-    hits under the run before theirs (no self-join)."""
+                    hysteresis: int = 3, bucket: Column | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """WI5: incidents of a probe series.  An incident opens at the
+    ``hysteresis``-th bad probe in a row (impact) and closes at the first
+    later ``hysteresis``-th good probe in a row (recovery); shorter runs in
+    between change nothing.  An incident without recovery keeps NULLs.
+
+    Only runs of that length matter, one row each (the probe that completes
+    it); where their state changes, an incident opens or closes."""
     b = bucket if bucket is not None else time_bucket(ts)
-    rows, run_tbl = runs(probes.select(F.lit(1).alias("_series"), seq, ts, ok), ["_series"], seq, ok, b)
-    hits = rows.where(F.col("pos") == hysteresis).join(
-        run_tbl.select("_series", "run_start", "prev_run_start"), ["_series", "run_start"])
-    pair = F.when(F.col(ok), F.col("prev_run_start")).otherwise(F.col("run_start"))
-    g = hits.groupBy(pair.alias("_isl")).agg(
-        F.max(F.when(~F.col(ok), F.col(seq))).alias("impact_seq"),
-        F.max(F.when(~F.col(ok), F.col(ts))).alias("impact_ts"),
-        F.max(F.when(F.col(ok), F.col(seq))).alias("recover_seq"),
-        F.max(F.when(F.col(ok), F.col(ts))).alias("recover_ts"))
-    g = g.where(F.col("impact_seq").isNotNull())
+    k = [*keys] or ["_series"]
+    d = probes if keys else probes.withColumn("_series", F.lit(1))
+    rows, _ = runs(d.select(*k, seq, ts, ok), k, seq, ok, b)
+    full = rows.where(F.col("pos") == hysteresis).select(*k, seq, ts, ok)
+    full = prev_within(full, k, [seq], [ok], b)
+    turn = full.where(F.coalesce(F.col("prev_" + ok) != F.col(ok), ~F.col(ok))).select(*k, seq, ts, ok)
+    turn = prev_within(turn, k, [seq], [seq, ts], b)
+    opened = turn.where(~F.col(ok)).select(*k, F.col(seq).alias("impact_seq"), F.col(ts).alias("impact_ts"))
+    closed = turn.where(F.col(ok)).select(*[F.col(c).alias(f"{c}__r") for c in k], F.col("prev_" + seq).alias("impact_seq__r"),
+                                          F.col(seq).alias("recover_seq"), F.col(ts).alias("recover_ts"))
+    cond = F.col("impact_seq") == F.col("impact_seq__r")
+    for c in k:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"{c}__r"))
+    g = opened.join(closed, cond, "left")
     rs = (F.unix_micros(F.col("recover_ts").cast("timestamp")) - F.unix_micros(F.col("impact_ts").cast("timestamp"))) / 1e6
-    return g.select("impact_seq", "impact_ts", "recover_seq", "recover_ts", rs.alias("recovery_s"))
+    return g.select(*keys, "impact_seq", "impact_ts", "recover_seq", "recover_ts", rs.alias("recovery_s"))
+
+
+def fault_recovery(probes: DataFrame, faults: DataFrame, seq: str = "seq", ts: str = "ts", ok: str = "ok",
+                   hysteresis: int = 3) -> DataFrame:
+    """WI5 against injected faults (``faults(fault_ts)``): of the probes from
+    a fault to the next one the first incident; recovery is counted from the
+    fault.  A fault without a sustained breach was absorbed: its recovery is
+    the fault time."""
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    null = F.lit(None)
+    marks = faults.select(null.cast("bigint").alias(seq), F.col("fault_ts").alias(ts), null.cast("boolean").alias(ok), F.lit(1).alias("_mark"))
+    u = probes.select(F.col(seq).cast("bigint").alias(seq), ts, ok, F.lit(0).alias("_mark")).unionByName(marks).withColumn("_series", F.lit(1))
+    u = u.withColumn("_first", F.when(F.col("_mark") == 1, 0).otherwise(1))
+    u = running_sum(u, ["_series"], [ts, "_first", seq], "_mark", time_bucket(ts), "fault_no")
+    named = u.where("_mark = 1").select("fault_no", F.col(ts).alias("fault_ts"))
+    inc = breach_timeline(u.where("_mark = 0 AND fault_no > 0"), seq, ts, ok, hysteresis, keys=["fault_no"])
+    first = inc.groupBy("fault_no").agg(F.min(F.struct("impact_seq", "impact_ts", "recover_seq", "recover_ts")).alias("_i"))
+    j = named.join(first, "fault_no", "left").select("fault_ts", F.col("_i.impact_ts").alias("impact_ts"),
+                                                     F.when(F.col("_i").isNull(), F.col("fault_ts")).otherwise(F.col("_i.recover_ts"))
+                                                     .alias("recover_ts"))
+    return j.withColumn("recovery_s", (us("recover_ts") - us("fault_ts")) / 1e6)
 
 
 def drill_verdict(incidents: DataFrame, attempts: DataFrame, ts: str = "ts", acked: str = "acked",
@@ -254,7 +296,6 @@ def drill_verdict(incidents: DataFrame, attempts: DataFrame, ts: str = "ts", ack
     used three times, so it is checkpointed to the shared checkpoint folder
     first."""
     from ..session import ensure_checkpoint_dir
-    from .sequence import running_sum
     ensure_checkpoint_dir(incidents.sparkSession)
     incidents = incidents.checkpoint(eager=True)
     msgs = attempts.where(~F.col(acked)).select(F.col(ts).alias("_t"), F.lit(1).alias("_kind"),
@@ -291,15 +332,24 @@ def threshold_islands(df: DataFrame, key: str, ts: str, value: str, threshold: f
         F.timestamp_seconds((F.col("_e") + 1) * bucket_s).cast("timestamp_ntz").alias("episode_end"), "buckets")
 
 
-def traffic_floor(requests: DataFrame, ts: str = "ts", unit: str = "hour", floor: int = 3) -> DataFrame:
-    """AG57: a time spine from first to last bucket (``sequence``; its size
-    is the time span, not the row count) left-joined to the counts; buckets
-    below ``floor`` requests (including empty ones) are reported."""
-    c = requests.groupBy(F.date_trunc(unit, ts).cast("timestamp_ntz").alias("bucket")).agg(
+def traffic_floor(requests: DataFrame, ts: str = "ts", unit: str = "hour", floor: int = 3,
+                  keys: Sequence[str] = (), as_of: str | None = None) -> DataFrame:
+    """AG57: buckets below ``floor`` requests, empty ones included, per series
+    (``keys``).  The spine of a series runs from its first bucket to the last
+    whole one before ``as_of`` (without it to the last bucket of the table), so traffic that
+    fell to nothing and stayed there is reported; its size is the time span."""
+    c = requests.groupBy(*keys, F.date_trunc(unit, ts).cast("timestamp_ntz").alias("bucket")).agg(
         F.count(F.lit(1)).alias("requests"))
-    span = c.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
-    spine = span.select(F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL 1 {unit.upper()}"))).alias("bucket"))
-    j = spine.join(c, "bucket", "left").select("bucket", F.coalesce("requests", F.lit(0)).alias("requests"))
+    one = F.expr(f"INTERVAL 1 {unit.upper()}")
+    end = (F.date_trunc(unit, F.lit(as_of).cast("timestamp_ntz")).cast("timestamp_ntz") - one if as_of
+           else c.select(F.max("bucket")).scalar())
+    span = (c.groupBy(*keys) if keys else c).agg(F.min("bucket").alias("_lo")).where(F.col("_lo") <= end)
+    spine = span.select(*[F.col(k).alias(f"{k}__r") for k in keys], F.explode(F.sequence("_lo", end, one)).alias("bucket__r"))
+    cond = F.col("bucket") == F.col("bucket__r")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"{k}__r"))
+    j = spine.join(c, cond, "left").select(*[F.col(f"{k}__r").alias(k) for k in keys], F.col("bucket__r").alias("bucket"),
+                                           F.coalesce("requests", F.lit(0)).alias("requests"))
     return j.where(F.col("requests") < floor)
 
 
@@ -352,24 +402,28 @@ def backlog(attempts: DataFrame, ts: str, acked: str, ack_lag_s: Column, bucket_
     the age of the oldest unacked message; plus the verdict ``climbing`` /
     ``flat`` from the slope of depth over buckets (scalar subquery).
 
-    Acks arrive ``ack_lag_s`` (< bucket) after publish; never-acked messages
-    stay open.  The oldest open message at a bucket end is the least of the
-    oldest never-acked one so far (running min over buckets) and the oldest
-    of this bucket's publishes whose ack lands after the bucket end."""
+    A message is open at every bucket end from its publish to its ack,
+    however long that takes.  Never-acked ones stay open (running minimum);
+    the others are first reduced to the oldest publish per (publish bucket,
+    ack bucket) and those rows, one per pair of buckets, are spread over the
+    bucket ends between.  Buckets in which nothing was published or acked
+    are on the spine too."""
     e = _epoch_s(ts)
     d = attempts.select(F.floor(e / bucket_s).cast("bigint").alias("_k"), e.alias("_pub"),
                         F.when(F.col(acked), e + ack_lag_s).alias("_ack"))
-    end = (F.col("_k") + 1) * bucket_s
-    pub = d.groupBy("_k").agg(
-        F.count(F.lit(1)).alias("published"),
-        F.min(F.when(F.col("_ack").isNull(), F.col("_pub"))).alias("_min_never"),
-        F.min(F.when(F.col("_ack") >= end, F.col("_pub"))).alias("_min_cross"))
-    ack = (d.where(F.col("_ack").isNotNull())
-           .groupBy(F.floor(F.col("_ack") / bucket_s).cast("bigint").alias("_k"))
-           .agg(F.count(F.lit(1)).alias("acked")))
-    g = pub.join(ack, "_k", "full_outer").select(
-        "_k", F.coalesce("published", F.lit(0)).alias("published"), F.coalesce("acked", F.lit(0)).alias("acked"),
-        "_min_never", "_min_cross")
+    d = d.withColumn("_ka", F.floor(F.col("_ack") / bucket_s).cast("bigint"))
+    pub = d.groupBy("_k").agg(F.count(F.lit(1)).alias("published"),
+                              F.min(F.when(F.col("_ack").isNull(), F.col("_pub"))).alias("_min_never"))
+    ack = d.where(F.col("_ack").isNotNull()).groupBy(F.col("_ka").alias("_k")).agg(F.count(F.lit(1)).alias("acked"))
+    held = (d.where(F.col("_ka") > F.col("_k")).groupBy("_k", "_ka").agg(F.min("_pub").alias("_pub"))
+            .select(F.explode(F.sequence(F.col("_k"), F.col("_ka") - 1)).alias("_k"), "_pub")
+            .groupBy("_k").agg(F.min("_pub").alias("_min_cross")))
+    last = F.greatest(F.max("_k"), F.max("_ka"))
+    spine = d.agg(F.min("_k").alias("_lo"), last.alias("_hi")).where("_lo IS NOT NULL").select(
+        F.explode(F.sequence("_lo", "_hi")).alias("_k"))
+    g = (spine.join(pub, "_k", "left").join(ack, "_k", "left").join(held, "_k", "left")
+         .select("_k", F.coalesce("published", F.lit(0)).alias("published"), F.coalesce("acked", F.lit(0)).alias("acked"),
+                 "_min_never", "_min_cross"))
     w = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
     g = (g.withColumn("depth", F.sum(F.col("published") - F.col("acked")).over(w))
          .withColumn("_never_run", F.min("_min_never").over(w)))

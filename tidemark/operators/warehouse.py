@@ -108,13 +108,13 @@ ROUND_BOUNDS_S = [60, 120, 300, 600, 900, 1800, 3600, 7200, 21600, 43200, 86400,
 
 
 def recommend_lateness(df: DataFrame, skew_col: str, bounds: Sequence[int] = ROUND_BOUNDS_S) -> DataFrame:
-    """AG7: smallest round bound above p99.9 of the skew, and the share of
-    events that bound would still drop.  The bound is a scalar subquery
+    """AG7: smallest round bound above p99.9 of the skew (whole days beyond
+    the largest of ``bounds``), and the share of events that bound would still drop.  The bound is a scalar subquery
     (evaluated once, broadcast as a value), not a join."""
     p999 = skew_percentiles(df, skew_col).select("p999")
     arr = F.array(*[F.lit(b) for b in bounds])
     pick = p999.select(F.struct(
-        F.coalesce(F.array_min(F.filter(arr, lambda b: b > F.col("p999"))), F.lit(max(bounds))).alias("bound_s"),
+        F.coalesce(F.array_min(F.filter(arr, lambda b: b > F.col("p999"))), ((F.floor(F.col("p999") / 86400) + 1) * 86400)).cast("bigint").alias("bound_s"),
         "p999")).scalar()                            # one subquery, used by name below
     d = df.select(skew_col).withColumn("_pick", pick)
     agg = d.groupBy(F.col("_pick.bound_s").alias("bound_s"), F.col("_pick.p999").alias("p999")).agg(
@@ -174,11 +174,13 @@ def salted_sum(df: DataFrame, key: str, value: str, salt_col: str, salts: int =
     return s1.groupBy(key).agg(F.sum("_n").alias("n"), (F.sum("_s") / 100.0).alias("total"))
 
 
-def undercount(counted: DataFrame, dropped: DataFrame) -> DataFrame:
-    """AG42: ``(counted - dropped) / counted * 100`` and the dropped count,
-    from two Spark-side counts combined as scalar subqueries."""
-    c = counted.select(F.count(F.lit(1))).scalar()
-    d = dropped.select(F.count(F.lit(1))).scalar()
-    one = counted.sparkSession.range(1)
-    return one.select(c.alias("counted"), d.alias("dropped"),
-                      F.round((c - d) / c * 100, 4).alias("kept_pct"))
+def undercount(counting: DataFrame, dropping: DataFrame, value: str) -> DataFrame:
+    """AG42: what a pipeline that drops late rows misses against one that
+    counts them: (counting total - dropping total) / counting total * 100, and
+    the rows dropped.  Totals in cents, as scalar subqueries."""
+    cents = F.sum(F.round(F.col(value) * 100).cast("bigint"))
+    c, d = counting.select(cents).scalar(), dropping.select(cents).scalar()
+    rows = counting.select(F.count(F.lit(1))).scalar() - dropping.select(F.count(F.lit(1))).scalar()
+    one = counting.sparkSession.range(1)
+    return one.select((c / 100.0).alias("counting_total"), (d / 100.0).alias("dropping_total"), rows.alias("dropped"),
+                      F.round((c - d) / c * 100, 4).alias("undercount_pct"))

@@ -2,9 +2,9 @@
 
 All checks read Spark's own plans (the optimized logical plan and the
 physical plan chosen for execution) or parquet footers; none parses SQL
-text.  Byte estimates read footers in a distributed job: the pruned file
-list (file paths only) is parallelised and each task opens the footers of
-its files, so no data and no footer content passes through the driver.
+text.  A byte estimate takes the files after partition pruning and the columns
+to be read from the scan nodes, without running the query, and reads the
+footers of those files in tasks.
 """
 
 from __future__ import annotations
@@ -21,27 +21,6 @@ class GuardError(RuntimeError):
     """A query failed a cost or safety guard."""
 
 
-# Largest table (rows) the library broadcasts on its own; above it the join
-# is left to AQE, which broadcasts only under its runtime size threshold.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the row count (one small job,
-    remembered per plan for the session -- the hint only picks the join
-    strategy, never the result); a table over the bound is returned
-    unhinted, so the join falls back to a shuffle join (or AQE's own
-    size-checked broadcast)."""
-    sc = df.sparkSession.sparkContext
-    cache = getattr(sc, "_tidemark_row_bounds", None)
-    if cache is None:
-        cache = sc._tidemark_row_bounds = {}
-    key = (df.semanticHash(), max_rows)
-    if key not in cache:
-        cache[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if cache[key] else df
-
-
 def physical_plan(df: DataFrame) -> str:
     """Text of the physical plan Spark will execute (AQE initial plan)."""
     return df._jdf.queryExecution().executedPlan().toString()
@@ -66,16 +45,49 @@ def partition_filters(df: DataFrame) -> list[str]:
     return out
 
 
+def _file_scans(df: DataFrame) -> list:
+    """File scan nodes of the physical plan (before adaptive execution)."""
+    out, todo = [], [df._jdf.queryExecution().sparkPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            out.append(node)
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return out
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _seq(df: DataFrame, items: list):
+    return df.sparkSession._jvm.PythonUtils.toSeq(items)
+
+
+def _bounds(expr, cols: Sequence[str]) -> bool:
+    """Whether a filter expression bounds one of the columns (being not null
+    is no bound)."""
+    refs = expr.references().toSeq()
+    names = {a.name() for a in _items(refs)}
+    return bool(names & set(cols)) and expr.getClass().getSimpleName() != "IsNotNull"
+
+
 def require_partition_filter(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
-    """PF4: refuse a query whose scans of a partitioned table carry no
-    partition filter on ``partition_cols`` (the table option "require
-    partition filter").  Returns ``df`` unchanged when it passes."""
-    scans = scan_nodes(df)
-    if not scans:
-        raise GuardError("no file scan in plan")
-    for ln, pf in zip(scans, partition_filters(df)):
-        if "PartitionFilters" in ln and not any(c in pf for c in partition_cols):
-            raise GuardError(f"scan without a partition filter on {list(partition_cols)}: {ln.strip()[:200]}")
+    """PF4: refuse a query that scans a table partitioned by
+    ``partition_cols`` without a filter that bounds one of them (the table
+    option "require partition filter").  Scans of other tables pass.
+    Returns ``df`` unchanged when it passes."""
+    found = False
+    for scan in _file_scans(df):
+        parts = set(scan.relation().partitionSchema().fieldNames())
+        if not parts & set(partition_cols):
+            continue
+        found = True
+        if not any(_bounds(e, partition_cols) for e in _items(scan.partitionFilters())):
+            raise GuardError(f"scan without a partition filter on {list(partition_cols)}")
+    if not found:
+        raise GuardError(f"no scan of a table partitioned by {list(partition_cols)}")
     return df
 
 
@@ -96,43 +108,54 @@ def join_on(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFr
     return forbid_cartesian(left.join(right, on, how))
 
 
-def _footer_bytes(paths: pd.Series, columns: list[str] | None) -> pd.DataFrame:
+def _footer_bytes(paths: pd.Series, columns: list[list[str] | None]) -> pd.DataFrame:
     import pyarrow.parquet as pq
+    from pyarrow import fs
     rows = []
-    for p in paths:
-        local = p[5:] if p.startswith("file:") else p
-        md = pq.ParquetFile(local).metadata
+    for p, cols in zip(paths, columns):
+        store, where = fs.FileSystem.from_uri(p)
+        md = pq.ParquetFile(store.open_input_file(where)).metadata
         sizes: dict[str, int] = {}
         for rg in range(md.num_row_groups):
             g = md.row_group(rg)
             for ci in range(g.num_columns):
                 c = g.column(ci)
                 name = c.path_in_schema.split(".")[0]
-                if columns is None or name in columns:
+                if cols is None or name in cols:
                     sizes[name] = sizes.get(name, 0) + c.total_compressed_size
         for name, b in sizes.items():
             rows.append((p, name, int(b), int(md.num_rows)))
     return pd.DataFrame(rows, columns=["path", "column_name", "bytes", "file_rows"])
 
 
+def planned_files(df: DataFrame) -> DataFrame:
+    """Files that the scans of a query would open after partition pruning,
+    with the columns read from each: (path, columns).  Taken from the plan;
+    the query does not run."""
+    rows = []
+    for scan in _file_scans(df):
+        cols = list(scan.requiredSchema().fieldNames())
+        static = [e for e in _items(scan.partitionFilters()) if "subquery" not in e.toString().lower()]
+        listed = scan.relation().location().listFiles(_seq(df, static), _seq(df, []))
+        for part in _items(listed):
+            rows += [(f.getPath().toString(), cols) for f in _items(part.files())]
+    return df.sparkSession.createDataFrame(rows, "path string, columns array<string>")
+
+
 def estimate_scan_bytes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """PF7: bytes a query would read, per column, after partition pruning.
-
-    ``df`` is the (filtered, projected) query over parquet.  Its input files
-    after pruning are found by a distributed job over the query itself
-    (``input_file_name`` of the pruned scan; the file list never passes
-    through the driver), and each column chunk's compressed size is summed
-    from the footers in ``mapInPandas`` tasks.  Row-group skipping by
-    min/max is not modelled, so clustered tables are over-estimated, as the
-    reference notes for its dry run.  Returns (column_name, bytes, files)."""
+    """PF7: bytes a query would read, per column, after partition pruning:
+    the compressed column chunks of every column its scans need (filter
+    columns too), or of ``columns`` only, summed from the footers in tasks.
+    Row-group skipping by min/max is not modelled, so clustered tables are
+    over-estimated, as the reference notes for its dry run.  Returns
+    (column_name, bytes, files)."""
     spark = df.sparkSession
-    cols = list(columns) if columns is not None else [f.name for f in df.schema.fields]
-    fl = (df.select(F.input_file_name().alias("path")).where(F.col("path") != "").distinct()
-          .repartition(spark.sparkContext.defaultParallelism * 4))
+    only = set(columns) if columns is not None else None
+    fl = planned_files(df).repartition(spark.sparkContext.defaultParallelism * 4)
 
     def read(it):
         for pdf in it:
-            yield _footer_bytes(pdf["path"], cols)
+            yield _footer_bytes(pdf["path"], [[c for c in x if only is None or c in only] for x in pdf["columns"]])
 
     per = fl.mapInPandas(read, "path string, column_name string, bytes long, file_rows long")
     return per.groupBy("column_name").agg(F.sum("bytes").alias("bytes"), F.countDistinct("path").alias("files"))
@@ -140,17 +163,15 @@ def estimate_scan_bytes(df: DataFrame, columns: Sequence[str] | None = None) ->
 
 def partition_storage(df: DataFrame, partition_col: str) -> DataFrame:
     """AG34 (storage side): rows, files and compressed bytes per partition
-    of a partitioned parquet table, from the footers of its files (a
-    distributed job: the file list comes from the scan, footers are read in
-    ``mapInPandas`` tasks).  The partition value is taken from the file path
+    of a partitioned parquet table, from the footers of its files (the file
+    list comes from the plan, footers are read in ``mapInPandas`` tasks).  The partition value is taken from the file path
     (``col=value``); NULL partitions are Hive's default partition name."""
     spark = df.sparkSession
-    fl = (df.select(F.input_file_name().alias("path")).where(F.col("path") != "").distinct()
-          .repartition(spark.sparkContext.defaultParallelism * 4))
+    fl = planned_files(df).select("path").distinct().repartition(spark.sparkContext.defaultParallelism * 4)
 
     def read(it):
         for pdf in it:
-            per = _footer_bytes(pdf["path"], None)
+            per = _footer_bytes(pdf["path"], [None] * len(pdf))
             yield per.groupby("path", as_index=False).agg(bytes=("bytes", "sum"), file_rows=("file_rows", "max"))
 
     per = fl.mapInPandas(read, "path string, bytes long, file_rows long")
@@ -207,6 +228,3 @@ def read_schema(df: DataFrame) -> list[str]:
         out.append(m.group(1) if m else "")
     return out
 
-
-def session_setting(spark: SparkSession, key: str) -> str | None:
-    return spark.conf.get(key, None)

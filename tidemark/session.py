@@ -66,6 +66,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop FileSystem of its path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def tune(spark: SparkSession, cluster: bool = False) -> SparkSession:
     """Apply the runtime-settable core settings to an existing session
     (and, with ``cluster=True``, the large-cluster sizing above)."""
@@ -87,6 +93,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     cur = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not cur:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         cur = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     # setCheckpointDir makes a fresh sub-folder on every call: do it once

@@ -16,7 +16,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.guards import bounded_broadcast
 from .tables import Tables
 
 
@@ -66,10 +65,8 @@ def _lineitem_customer(t: Tables) -> DataFrame:
 
 
 def v_trips(t: Tables) -> DataFrame:
-    # nation (25 rows) and region (5 rows): fixed-size dimensions, broadcast
-    # after a row-count check
-    n = bounded_broadcast(t.nation.select("n_nationkey", "n_regionkey"))
-    r = bounded_broadcast(t.region.select("r_regionkey", "r_name"))
+    n = t.nation.select("n_nationkey", "n_regionkey")
+    r = t.region.select("r_regionkey", "r_name")
     lc = (_lineitem_customer(t)
           .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
@@ -92,10 +89,10 @@ def v_fx_rates(t: Tables) -> DataFrame:
     and then equi-joined to region, so no Cartesian operator is planned.
     """
     days = t.lineitem.select(F.col("l_shipdate").cast("date").alias("rate_date")).distinct()
-    keys = t.region.agg(F.min("r_regionkey").alias("lo"), F.max("r_regionkey").alias("hi"))
-    lo, hi = keys.first()
-    r = bounded_broadcast(t.region.select("r_regionkey", "r_name"))
-    exp = days.withColumn("r_regionkey", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
+    lo = t.region.select(F.min("r_regionkey")).scalar()
+    hi = t.region.select(F.max("r_regionkey")).scalar()
+    r = t.region.select("r_regionkey", "r_name")
+    exp = days.withColumn("r_regionkey", F.explode(F.sequence(lo, hi)))
     return (exp.join(r, "r_regionkey")
             .select(F.col("r_name").alias("currency"), "rate_date",
                     # decimal arithmetic, then double: the exact rate rounded once
@@ -244,6 +241,3 @@ BUILDERS = {
     "v_audit": v_audit,
 }
 
-
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return BUILDERS[name](Tables(spark, sf_dir))

@@ -3,8 +3,9 @@
 Sinks are ``foreachBatch`` functions: each micro-batch is written with the
 batch id in the output (or as its own folder), so a batch replayed after a
 failure overwrites its own earlier attempt instead of appending twice.
-Merges that read and rewrite the same table cut lineage with a reliable
-``checkpoint()`` into the shared ``spark.checkpoint.dir`` before writing.
+Merges that read and rewrite the same table commit through
+``tidemark.commits``: the new content is complete beside the table before
+anything of the old one goes.
 """
 
 from __future__ import annotations
@@ -16,21 +17,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .. import commits
 from ..session import ensure_checkpoint_dir
 
 
-def read_events(spark: SparkSession, path: str, schema: StructType | str, event_time: str,
+def read_events(spark: SparkSession, path: str | None, schema: StructType | str, event_time: str,
                 lateness: str, fmt: str = "json", max_files_per_trigger: int | None = None,
-                time_format: str | None = None) -> DataFrame:
+                time_format: str | None = None, id_col: str | None = None,
+                options: dict[str, str] | None = None) -> DataFrame:
     """SO1: message stream with an explicit schema (no inference), event time
-    taken from the payload and a watermark of ``lateness`` on it.  In
-    production ``fmt='kafka'`` with the same downstream code."""
-    r = spark.readStream.schema(schema).format(fmt)
+    taken from the payload and a watermark of ``lateness`` on it; with
+    ``id_col`` copies of a message within the watermark are dropped.
+
+    A file format reads ``path``.  Without a path the format is a message
+    source set up by ``options`` (a broker); its binary ``value`` is decoded
+    (``decode_messages``)."""
+    r = spark.readStream.format(fmt).options(**(options or {}))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.load(path)
+    df = r.schema(schema).load(path) if path else decode_messages(r.load(), schema)
+    return with_event_time(df, event_time, lateness, time_format, id_col)
+
+
+def decode_messages(messages: DataFrame, schema: StructType | str) -> DataFrame:
+    """The JSON payload of a binary ``value`` column as columns of ``schema``,
+    the source's own columns (key, offset, ...) beside it."""
+    body = F.from_json(F.col("value").cast("string"), schema if isinstance(schema, str) else schema.simpleString())
+    return messages.withColumn("_body", body).select("_body.*", *[c for c in messages.columns if c != "value"])
+
+
+def with_event_time(df: DataFrame, event_time: str, lateness: str, time_format: str | None = None,
+                    id_col: str | None = None) -> DataFrame:
     t = F.to_timestamp(F.col(event_time), time_format) if time_format else F.col(event_time).cast("timestamp")
-    return df.withColumn("event_ts", t).withWatermark("event_ts", lateness)
+    out = df.withColumn("event_ts", t).withWatermark("event_ts", lateness)
+    return out.dropDuplicatesWithinWatermark([id_col]) if id_col else out
 
 
 def read_new_objects(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -48,64 +68,69 @@ def _staged(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _put(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write a micro-batch under its batch id; a replay replaces it."""
+    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
 def upsert(target_path: str, keys: Sequence[str], order: str, partition_col: str | None = None) -> Callable:
     """SO10 / SS8: replace-by-key sink for update-mode (accumulating) firings.
 
     Per batch: the last value per key (by ``order``), merged over the
-    existing rows of the affected partitions (anti-join + union), written with
-    dynamic partition overwrite.  Re-running a batch gives the same table."""
+    existing rows of the affected partitions (anti-join + union) and
+    committed as one replacement.  Re-running a batch gives the same table.
+    A batch whose columns differ from the table's is refused."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         last = batch.groupBy(*keys).agg(F.max_by(F.struct(*batch.columns), F.col(order)).alias("_r")).select("_r.*")
-        try:
-            cur = spark.read.parquet(target_path)
+        cur = commits.read(spark, target_path)
+        merged = last
+        if cur is not None:
             if partition_col:
                 # only the partitions this batch touches (semi-join: the
                 # partition values stay in the cluster)
                 cur = cur.join(last.select(partition_col).distinct(), partition_col, "left_semi")
             merged = cur.join(last.select(*keys), list(keys), "left_anti").unionByName(last)
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            merged = last
-        merged = _staged(merged)
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        w = merged.write.mode("overwrite")
         if partition_col:
-            w = w.partitionBy(partition_col)
-        w.parquet(target_path)
+            commits.replace_partitions(merged, target_path, partition_col)
+        else:
+            commits.replace(merged, target_path)
     return write
 
 
+TOMBSTONES = "_deleted"
+
+
 def cdc_apply(target_path: str, key: str, version: str, op: str = "op") -> Callable:
     """SS20 (stream form): apply each micro-batch of change events in commit
-    order: the latest change per key in the batch replaces the stored row if
-    its version is newer; a delete removes the key.  The merged table is
-    checkpointed before it overwrites the target (a replayed batch gives the
-    same table)."""
+    order: the latest change per key replaces the stored row unless that is
+    newer.  A delete stays in the table as a tombstone with its version, so a
+    late older change cannot bring the row back; ``read_changes`` hides them.
+    A replayed batch gives the same table."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         last = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.col(version)).alias("_r")).select("_r.*")
-        try:
-            cur = spark.read.parquet(target_path)
-        except Exception:  # noqa: BLE001 - first batch: empty table
-            cur = None
-        if cur is None:
-            merged = last.where(F.col(op) != "D").drop(op)
-        else:
-            newer = last.join(cur.select(key, F.col(version).alias("_cv")), key, "left").where(
-                F.col("_cv").isNull() | (F.col(version) > F.col("_cv"))).drop("_cv")
-            kept = cur.join(newer.select(key), key, "left_anti")
-            merged = kept.unionByName(newer.where(F.col(op) != "D").drop(op))
-        _staged(merged).write.mode("overwrite").parquet(target_path)
+        last = last.withColumn(TOMBSTONES, F.col(op) == "D").drop(op)
+        cur = commits.read(batch.sparkSession, target_path)
+        if cur is not None:
+            last = (cur.unionByName(last).groupBy(key)
+                    .agg(F.max_by(F.struct(*cur.columns), F.col(version)).alias("_r")).select("_r.*"))
+        commits.replace(last, target_path)
     return write
 
 
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """SS20 reader: the live rows of a ``cdc_apply`` table."""
+    commits.recover(spark, path)
+    return spark.read.parquet(path).where(~F.col(TOMBSTONES)).drop(TOMBSTONES)
+
+
 def append_deltas(target_path: str) -> Callable:
     """SO11 / SS8: append each batch's (discarding) firings with the batch id;
     readers sum by key (``read_deltas``).  A replayed batch replaces its own
     partition (``batch_id``), so it is not counted twice."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id").parquet(target_path)
+        _put(batch, target_path, batch_id)
     return write
 
 
@@ -120,9 +145,7 @@ def exactly_once(target_path: str, id_col: str) -> Callable:
     (a replay overwrites it), and cross-batch duplicates are removed upstream
     by ``dropDuplicatesWithinWatermark`` (state in the checkpoint)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        (batch.dropDuplicates([id_col]).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").partitionBy("batch_id").parquet(target_path))
+        _put(batch.dropDuplicates([id_col]), target_path, batch_id)
     return write
 
 
@@ -133,15 +156,13 @@ def parse_and_route(good_path: str, dead_path: str, parse: Callable[[DataFrame],
     output, both keyed by batch id so a replay is idempotent.  ``extra`` adds
     more writers on the same parsed batch (e.g. windowed counts, SS21)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         p = _staged(parse(batch).withColumn("batch_id", F.lit(batch_id)))
         good = p.where(F.col("error").isNull()).drop(raw_col, "error")
         dead = p.where(F.col("error").isNotNull()).select(
             F.col(raw_col).alias("raw"), F.col("error").alias("reason"), "batch_id",
             F.current_timestamp().alias("failed_at"))
-        good.write.mode("overwrite").partitionBy("batch_id").parquet(good_path)
-        dead.write.mode("overwrite").partitionBy("batch_id").parquet(dead_path)
+        _put(good, good_path, batch_id)
+        _put(dead, dead_path, batch_id)
         if extra:
             extra(p, batch_id)
     return write
@@ -151,10 +172,9 @@ def route(routes: dict[str, tuple[Callable[[DataFrame], DataFrame], str]]) -> Ca
     """SO14 / SO18: one read, several filtered writers per batch
     (``name -> (filter function, path)``), each idempotent by batch id."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         b = _staged(batch) if len(routes) > 1 else batch
         for _, (f, path) in routes.items():
-            f(b).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id").parquet(path)
+            _put(f(b), path, batch_id)
     return write
 
 
@@ -162,13 +182,43 @@ def merge_enrichment(spark: SparkSession, target_path: str, updates: DataFrame,
     """SO15: idempotent write-back of enrichment columns by key: rows of the
     target not updated are kept, updated rows replaced; a rerun with the
     same updates leaves the same table."""
+    commits.recover(spark, target_path)
     cur = spark.read.parquet(target_path)
     upd = updates.dropDuplicates([key])
     cols = cur.columns
     merged = (cur.join(upd.select(key), key, "left_anti")
               .unionByName(cur.join(upd, key, "inner").select(
                   *[F.coalesce(upd[c], cur[c]).alias(c) if c in upd.columns and c != key else cur[c] for c in cols])))
-    _staged(merged).write.mode("overwrite").parquet(target_path)
+    commits.replace(merged, target_path)
+
+
+def late_side_output(sink: Callable[[DataFrame, int], None], late_path: str, clock_path: str, ts: str,
+                     lateness_s: int, window_s: int = 0) -> Callable:
+    """SS10: split off the rows that a windowed aggregate with ``lateness_s``
+    would drop, and keep them.
+
+    The watermark of a batch is the latest event time of the batches before
+    it less the lateness, as the engine's own; it is kept per batch under
+    ``clock_path``, so a replayed batch is split as it was the first time.  A
+    row is late when its window (``window_s`` 0: its own time) has ended by
+    then.  Late rows go to ``late_path`` with the watermark, the others to
+    ``sink``; both by batch id."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        clock = commits.read(spark, clock_path)
+        seen = clock.where(F.col("batch_id") < batch_id).agg(F.max("latest_us")).first()[0] if clock is not None else None
+        us = F.unix_micros(F.col(ts).cast("timestamp"))
+        size = window_s * 1_000_000
+        end = (F.floor(us / size) + 1) * size if size else us + 1
+        if seen is None:
+            sink(batch, batch_id)
+        else:
+            mark = seen - lateness_s * 1_000_000
+            late = F.coalesce(end <= mark, F.lit(False))
+            _put(batch.where(late).withColumn("watermark_us", F.lit(mark)), late_path, batch_id)
+            sink(batch.where(~late), batch_id)
+        _put(batch.agg(F.max(us).alias("latest_us")), clock_path, batch_id)
+    return write
 
 
 def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], op: str | None = None) -> None:
@@ -194,10 +244,12 @@ def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], op: str
 
 
 def replay(spark: SparkSession, path: str, ts: str, from_ts: str, transform: Callable[[DataFrame], DataFrame],
-           sink: Callable[[DataFrame, int], None], batch_id: int) -> None:
-    """SO16: re-read a time range through a corrected transform into an
-    idempotent sink (same keys replaced, no duplicates)."""
-    src = spark.read.parquet(path).where(F.col(ts) >= F.to_timestamp_ntz(F.lit(from_ts)))
+           sink: Callable[[DataFrame, int], None], batch_id: int, to_ts: str | None = None, fmt: str = "parquet") -> None:
+    """SO16: re-read the time range ``[from_ts, to_ts)`` through a corrected
+    transform into an idempotent sink (same keys replaced, no duplicates)."""
+    src = spark.read.format(fmt).load(path).where(F.col(ts) >= F.to_timestamp_ntz(F.lit(from_ts)))
+    if to_ts is not None:
+        src = src.where(F.col(ts) < F.to_timestamp_ntz(F.lit(to_ts)))
     sink(transform(src), batch_id)
 
 

@@ -1,5 +1,5 @@
-"""Per-key stateful rules on ``transformWithStateInPandas`` (SS4, SS10,
-SS13-SS17, SS19).
+"""Per-key stateful rules on ``transformWithStateInPandas`` (SS4, SS7, SS13,
+SS15-SS17, SS19).
 
 Each rule is a small object with a ``step(state, rows) -> (state, out)``
 function over one key's rows in event order; ``RuleProcessor`` keeps the
@@ -16,6 +16,7 @@ per-trigger input limit so each micro-batch stays bounded.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterator, Sequence
 
@@ -183,9 +184,9 @@ class DeliveryAttempts(Rule):
 
     def step(self, st, rows):
         outs = []
+        if st["done"]:
+            return st, outs
         for r in rows.itertuples(index=False):
-            if st["done"]:
-                break
             ms = _us(getattr(r, self.ts))
             st["attempts"] += 1
             st["first_ms"] = ms if st["first_ms"] is None else min(st["first_ms"], ms)
@@ -193,58 +194,14 @@ class DeliveryAttempts(Rule):
                 st["done"] = True
                 outs.append({"outcome": "delivered", "attempts": st["attempts"], "failures": st["failures"],
                              "first_publish": _ts(st["first_ms"]), "decided_at": _ts(ms)})
+                return {"done": True}, outs  # all that later attempts need
             else:
                 st["failures"] += 1
                 if st["failures"] >= self.max:
                     st["done"] = True
                     outs.append({"outcome": "dead_letter", "attempts": st["attempts"], "failures": st["failures"],
                                  "first_publish": _ts(st["first_ms"]), "decided_at": _ts(ms)})
-        return st, outs
-
-
-# ---- SS14: per-key ordered processing with a poison message ------------------
-
-class OrderedDelivery(Rule):
-    """Messages of one ordering key are released in sequence order; a message
-    that keeps failing holds later ones until it is dead-lettered after
-    ``max_failures``.  Buffered messages per key are capped (``max_pending``)."""
-
-    def __init__(self, seq: str = "seq", ok: str = "ok", arrival: str = "ts", tie: str = "attempt_id",
-                 max_failures: int = 5, max_pending: int = 10000):
-        self.seq, self.ok, self.max, self.max_pending = seq, ok, max_failures, max_pending
-        self.order = [arrival, tie]
-        self.out_schema = "out_no long, seq long, outcome string"
-
-    def initial(self):
-        return {"pending": {}, "done": [], "out_no": 0}
-
-    def step(self, st, rows):
-        outs = []
-        pending = st["pending"]
-        done = set(st["done"])
-        for r in rows.itertuples(index=False):
-            s = str(int(getattr(r, self.seq)))
-            if int(s) in done:
-                continue
-            p = pending.setdefault(s, {"fail": 0, "ok": False})
-            if bool(getattr(r, self.ok)):
-                p["ok"] = True
-            else:
-                p["fail"] += 1
-            while pending:
-                head = min(pending, key=int)
-                hp = pending[head]
-                if hp["ok"] or hp["fail"] >= self.max:
-                    st["out_no"] += 1
-                    outs.append({"out_no": st["out_no"], "seq": int(head),
-                                 "outcome": "processed" if hp["ok"] else "dead_letter"})
-                    done.add(int(head))
-                    del pending[head]
-                else:
-                    break
-            if len(pending) > self.max_pending:
-                raise RuntimeError("ordering-key buffer over its bound")
-        st["done"] = sorted(done)[-self.max_pending:]
+                    return {"done": True}, outs
         return st, outs
 
 
@@ -257,8 +214,8 @@ class RateLimit(Rule):
 
     def __init__(self, limit: int = 100, window_s: int = 60, ban_s: int = 600, mode: str = "ban",
                  ts: str = "ts", tie: str = "request_id"):
-        self.limit, self.window_ms, self.ban_ms, self.mode, self.ts, self.tie = (
-            limit, window_s * 1000, ban_s * 1000, mode, ts, tie)
+        self.limit, self.window_us, self.ban_us, self.mode, self.ts, self.tie = (
+            limit, window_s * 1_000_000, ban_s * 1_000_000, mode, ts, tie)
         self.order = [ts, tie]
         self.out_schema = f"{tie} long, decision string, reason string"
 
@@ -269,18 +226,18 @@ class RateLimit(Rule):
         outs = []
         recent = st["recent"]
         for r in rows.itertuples(index=False):
-            ms = _ms(getattr(r, self.ts))
+            us = _us(getattr(r, self.ts))
             rid = int(getattr(r, self.tie))
-            if st["ban_until"] is not None and ms < st["ban_until"]:
+            if st["ban_until"] is not None and us < st["ban_until"]:
                 outs.append({self.tie: rid, "decision": "deny", "reason": "banned"})
                 continue
-            recent = [t for t in recent if t > ms - self.window_ms]
+            recent = [t for t in recent if t > us - self.window_us]
             if len(recent) >= self.limit:
                 if self.mode == "ban":
-                    st["ban_until"] = ms + self.ban_ms
+                    st["ban_until"] = us + self.ban_us
                 outs.append({self.tie: rid, "decision": "deny", "reason": "rate_exceeded"})
                 continue
-            recent.append(ms)
+            recent.append(us)
             outs.append({self.tie: rid, "decision": "allow", "reason": None})
         st["recent"] = recent
         return st, outs
@@ -292,12 +249,13 @@ class CircuitBreaker(Rule):
     """closed -> open after ``threshold`` failures within ``window_s``;
     open routes to the fallback; after ``cooldown_s`` one trial call goes to
     the primary (half-open): success closes, failure re-opens.  A slow
-    success is not a failure."""
+    success is not a failure.  A success in the closed state forgets the
+    failures before it, so the threshold counts failures in a row."""
 
     def __init__(self, threshold: int = 5, window_s: int = 60, cooldown_s: int = 30,
                  ts: str = "ts", tie: str = "call_id", failed: str = "failed"):
         self.th, self.win, self.cool, self.ts, self.tie, self.failed = (
-            threshold, window_s * 1000, cooldown_s * 1000, ts, tie, failed)
+            threshold, window_s * 1_000_000, cooldown_s * 1_000_000, ts, tie, failed)
         self.order = [ts, tie]
         self.out_schema = f"{tie} long, route string, state string, transition string"
 
@@ -307,11 +265,11 @@ class CircuitBreaker(Rule):
     def step(self, st, rows):
         outs = []
         for r in rows.itertuples(index=False):
-            ms = _ms(getattr(r, self.ts))
+            us = _us(getattr(r, self.ts))
             cid = int(getattr(r, self.tie))
             bad = bool(getattr(r, self.failed))
             trans = None
-            if st["mode"] == "open" and ms - st["opened"] >= self.cool:
+            if st["mode"] == "open" and us - st["opened"] >= self.cool:
                 st["mode"] = "half_open"
                 trans = "open->half_open"
             if st["mode"] == "open":
@@ -319,18 +277,16 @@ class CircuitBreaker(Rule):
                 continue
             if st["mode"] == "half_open":
                 if bad:
-                    st["mode"], st["opened"] = "open", ms
+                    st["mode"], st["opened"] = "open", us
                     trans = "half_open->open"
                 else:
                     st["mode"], st["fails"] = "closed", []
                     trans = "half_open->closed"
                 outs.append({self.tie: cid, "route": "primary", "state": "half_open", "transition": trans})
                 continue
-            fails = [t for t in st["fails"] if t > ms - self.win]
-            if bad:
-                fails.append(ms)
+            fails = [t for t in st["fails"] if t > us - self.win] + [us] if bad else []
             if len(fails) >= self.th:
-                st["mode"], st["opened"], fails = "open", ms, []
+                st["mode"], st["opened"], fails = "open", us, []
                 trans = "closed->open"
             st["fails"] = fails
             outs.append({self.tie: cid, "route": "primary", "state": "closed", "transition": trans})
@@ -366,101 +322,95 @@ class VersionedUpsert(Rule):
         return st, outs
 
 
-# ---- SS10: exact late-row side output (event-time mode) ----------------------
-
-class LateSplit(Rule):
-    """Each row is emitted with ``is_late`` = event time behind the current
-    watermark: the exact count of rows a windowed aggregate would drop."""
-
-    def __init__(self, ts: str = "ts", tie: str = "event_id"):
-        self.ts, self.tie = ts, tie
-        self.order = [ts, tie]
-        self.out_schema = f"{tie} long, is_late boolean, watermark_ms long"
-        self.watermark_ms = -1
-
-    def step(self, st, rows):
-        wm = st.get("_wm", -1)
-        outs = [{self.tie: int(getattr(r, self.tie)), "is_late": _ms(getattr(r, self.ts)) < wm, "watermark_ms": wm}
-                for r in rows.itertuples(index=False)]
-        return st, outs
-
-
-class LateSplitProcessor(RuleProcessor):
-    def handleInputRows(self, key, rows, timerValues):
-        wm = timerValues.getCurrentWatermarkInMs()
-        for pdf in rows:                       # row-local test: no need to gather the key
-            _, outs = self.rule.step({"_wm": wm}, pdf)
-            yield from self._emit(key, outs)
-
-
-def late_rows(df: DataFrame, keys: Sequence[str], ts: str = "ts", tie: str = "event_id") -> DataFrame:
-    """SS10: exact late side output of a watermarked stream."""
-    rule = LateSplit(ts, tie)
-    _ = df.sparkSession.streams.active
-    kt = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name in keys}
-    return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=LateSplitProcessor(rule, keys), outputStructType=_out_struct(rule, keys, kt),
-        outputMode="Append", timeMode="EventTime")
-
-
 # ---- SS17: tail sampling with an event-time timer ----------------------------
 
-class TailSampling(Rule):
-    """Buffer a trace's spans for ``wait_s`` of event time after its first
+class TailSamplingProcessor(StatefulProcessor):
+    """Hold a trace's spans for ``wait_s`` of event time after its first
     span; then keep it if any span errored or was slower than ``slow_ms``,
-    else keep ``keep_ratio`` of traces by trace-id hash."""
+    else keep ``keep_ratio`` of traces by a hash of the trace id.
+
+    Spans wait in a list state, however many they are.  The decision stays
+    for ``keep_s`` after it was made, so spans that come later follow it; a
+    second timer then clears it."""
 
-    def __init__(self, wait_s: int = 10, slow_ms: float = 500.0, keep_ratio: float = 0.05,
+    def __init__(self, trace: str, wait_s: int = 10, slow_ms: float = 500.0, keep_ratio: float = 0.05,
                  ts: str = "start_time", span: str = "span_id", status: str = "status", duration: str = "duration_ms",
-                 max_spans: int = 10000):
-        self.wait_ms, self.slow, self.ratio = wait_s * 1000, slow_ms, keep_ratio
-        self.ts, self.span, self.status, self.duration, self.max_spans = ts, span, status, duration, max_spans
-        self.order = [ts, span]
-        self.out_schema = f"{span} long, reason string"
+                 keep_s: int = 3600):
+        self.trace, self.wait_ms, self.keep_ms, self.slow, self.ratio = trace, wait_s * 1000, keep_s * 1000, slow_ms, keep_ratio
+        self.ts, self.span, self.status, self.duration = ts, span, status, duration
 
-    def initial(self):
-        return {"spans": [], "first_ms": None, "error": False, "max_ms": 0.0}
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.facts = handle.getValueState("facts", "error boolean, slowest double")
+        self.verdict = handle.getValueState("verdict", "reason string, until long")
+        self.spans = handle.getListState("spans", "span long")
 
-    def step(self, st, rows):
-        for r in rows.itertuples(index=False):
-            ms = _ms(getattr(r, self.ts))
-            st["first_ms"] = ms if st["first_ms"] is None else min(st["first_ms"], ms)
-            st["spans"].append(int(getattr(r, self.span)))
-            st["error"] = st["error"] or getattr(r, self.status) == "ERROR"
-            st["max_ms"] = max(st["max_ms"], float(getattr(r, self.duration)))
-        if len(st["spans"]) > self.max_spans:
-            st["spans"] = st["spans"][: self.max_spans]
-        st["_timer_ms"] = st["first_ms"] + self.wait_ms
-        return st, []
-
-    def decide(self, trace_id: int, st: dict) -> str | None:
-        if st["error"]:
+    def _out(self, key, ids, reason):
+        return pd.DataFrame({self.trace: [key[0]] * len(ids), self.span: ids, "reason": [reason] * len(ids)})
+
+    def handleInputRows(self, key, rows, timerValues):
+        if self.verdict.exists():
+            reason = self.verdict.get()[0]
+            for pdf in rows:
+                if reason and len(pdf):
+                    yield self._out(key, pdf[self.span].astype("int64").tolist(), reason)
+            return
+        error, slowest, first = False, 0.0, None
+        new = not self.facts.exists()
+        if not new:
+            error, slowest = self.facts.get()
+        for pdf in rows:
+            if len(pdf):
+                error = bool(error or (pdf[self.status] == "ERROR").any())
+                slowest = max(slowest, float(pdf[self.duration].max()))
+                at = _ms(pdf[self.ts].min())
+                first = at if first is None else min(first, at)
+                self.spans.appendList([(x,) for x in pdf[self.span].astype("int64").tolist()])
+        self.facts.update((error, slowest))
+        if new and first is not None:
+            self.handle.registerTimer(first + self.wait_ms)
+
+    def decide(self, trace_id, error: bool, slowest: float) -> str | None:
+        if error:
             return "error"
-        if st["max_ms"] > self.slow:
+        if slowest > self.slow:
             return "slow"
-        if ((trace_id % 1000003) * 2654435761) % 10000 < int(self.ratio * 10000):
-            return "sampled"
-        return None
-
+        bucket = int(hashlib.md5(str(trace_id).encode()).hexdigest()[:8], 16) % 10000
+        return "sampled" if bucket < int(self.ratio * 10000) else None
 
-class TailSamplingProcessor(RuleProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        st = self._load()
-        reason = self.rule.decide(int(key[0]), st)
-        self.state.clear()
-        outs = [{self.rule.span: s, "reason": reason} for s in st["spans"]] if reason else []
-        yield from self._emit(key, outs)
+        if self.verdict.exists():
+            self.verdict.clear()
+            return
+        reason = self.decide(key[0], *self.facts.get())
+        until = expiredTimerInfo.getExpiryTimeInMs() + self.keep_ms
+        self.verdict.update((reason or "", until))
+        self.handle.registerTimer(until)
+        if reason:
+            ids = []
+            for (x,) in self.spans.get():
+                ids.append(x)
+                if len(ids) == 10_000:
+                    yield self._out(key, ids, reason)
+                    ids = []
+            if ids:
+                yield self._out(key, ids, reason)
+        self.spans.clear()
+        self.facts.clear()
+
+    def close(self) -> None:
+        pass
 
 
 def tail_sampling(spans: DataFrame, trace: str = "trace_id", **kw) -> DataFrame:
-    """SS17: tail sampling of a watermarked span stream (event-time timer
-    per trace)."""
-    rule = TailSampling(**kw)
+    """SS17: tail sampling of a watermarked span stream (see
+    ``TailSamplingProcessor``); the trace id may be of any type."""
+    proc = TailSamplingProcessor(trace, **kw)
     _ = spans.sparkSession.streams.active
-    kt = {f.name: f.dataType.simpleString() for f in spans.schema.fields if f.name == trace}
+    kind = dict(spans.dtypes)[trace]
     return spans.groupBy(trace).transformWithStateInPandas(
-        statefulProcessor=TailSamplingProcessor(rule, [trace], timers=True),
-        outputStructType=_out_struct(rule, [trace], kt), outputMode="Append", timeMode="EventTime")
+        statefulProcessor=proc, outputStructType=f"{trace} {kind}, {proc.span} long, reason string",
+        outputMode="Append", timeMode="EventTime")
 
 
 # ---- SS7/SS8: early, on-time and late firings of an event-time window --------

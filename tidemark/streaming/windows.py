@@ -13,7 +13,7 @@ each batch), so tests feed one file per arrival step.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,13 +44,10 @@ def dedup(stream: DataFrame, id_col: str, ts: str, lateness: str) -> DataFrame:
     return stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([id_col])
 
 
-def enrich(stream: DataFrame, static: DataFrame, key: str, max_rows: int = 1_000_000) -> DataFrame:
-    """JO8: stream-static enrichment from a cached dimension.  The dimension
-    is broadcast only after its row count is checked against ``max_rows``;
-    a larger one is joined by key with a shuffle."""
-    from ..plans.guards import bounded_broadcast
-    side = bounded_broadcast(static, max_rows)
-    return stream.join(side, key, "left")
+def enrich(stream: DataFrame, static: DataFrame, key: str) -> DataFrame:
+    """JO8: stream-static enrichment by key; the engine picks the join from
+    the size of the dimension."""
+    return stream.join(static, key, "left")
 
 
 def match_arrivals(source: DataFrame, target: DataFrame, key: str, written: str, arrived: str,
@@ -69,7 +66,7 @@ def match_arrivals(source: DataFrame, target: DataFrame, key: str, written: str,
 
 
 def run_available(df: DataFrame, sink, checkpoint: str, mode: str = "update", name: str | None = None):
-    """SS11 (drain): process everything available, then stop.  ``sink`` is a
+    """SS11: process everything available, then stop.  ``sink`` is a
     ``foreachBatch`` function; the checkpoint makes a restart continue where
     the previous run committed (SS12)."""
     w = (df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
@@ -81,6 +78,18 @@ def run_available(df: DataFrame, sink, checkpoint: str, mode: str = "update", na
     return q
 
 
+def drain(make: Callable[[DataFrame], DataFrame], source: DataFrame, flush: Callable[[], None], sink,
+          checkpoint: str) -> None:
+    """SS11 (drain): consume what is there, then close the windows still
+    open.  ``flush`` hands the source one last row far ahead of any event
+    time (intake is stopped, so nothing follows it); the watermark passes all
+    windows and append mode emits them.  The last row's own window stays
+    open and is never emitted."""
+    run_available(make(source), sink, checkpoint, mode="append")
+    flush()
+    run_available(make(source), sink, checkpoint, mode="append")
+
+
 class ProgressRecorder(StreamingQueryListener):
     """SS22: keep each micro-batch's progress (batch id, input rows,
     watermark) so stuck watermarks can be found with a DataFrame query."""

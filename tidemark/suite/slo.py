@@ -3,6 +3,8 @@ AG65-AG68, WI3-WI5, SS23)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import slo
@@ -144,14 +146,29 @@ def wi4(spark, sf):
     return slo.multiwindow_alerts(slo.burn_rates(v_requests(_t(spark, sf)), "endpoint", 0.999), "endpoint")
 
 
+@register("wi4b_alert_episodes", f"""
+WITH {_BURN_SQL},
+al AS (SELECT endpoint, bucket_start, 'PAGE_FAST' AS alert FROM br WHERE burn_3600s > 14.4 AND burn_300s > 14.4
+       UNION ALL SELECT endpoint, bucket_start, 'PAGE_SLOW' FROM br WHERE burn_21600s > 6.0 AND burn_1800s > 6.0
+       UNION ALL SELECT endpoint, bucket_start, 'TICKET' FROM br WHERE burn_259200s > 1.0 AND burn_21600s > 1.0),
+n AS (SELECT *, CASE WHEN bucket_start - lag(bucket_start) OVER (PARTITION BY endpoint, alert ORDER BY bucket_start)
+                          <= INTERVAL 2100 SECOND THEN 0 ELSE 1 END AS new FROM al),
+e AS (SELECT *, sum(new) OVER (PARTITION BY endpoint, alert ORDER BY bucket_start) AS episode FROM n)
+SELECT endpoint, alert, min(bucket_start) AS opened_at, max(bucket_start) + INTERVAL 2100 SECOND AS closed_at,
+       count(*) AS open_buckets FROM e GROUP BY endpoint, alert, episode""")
+def wi4b(spark, sf):
+    burn = slo.burn_rates(v_requests(_t(spark, sf)), "endpoint", 0.999)
+    return slo.alert_episodes(slo.multiwindow_alerts(burn, "endpoint"), "endpoint")
+
+
 _WI5_SQL = """p AS (SELECT seq, ts, ok, lag(ok) OVER (ORDER BY seq) AS pok FROM v_probes),
 s AS (SELECT *, max(CASE WHEN pok IS NULL OR pok <> ok THEN seq END) OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING) AS isl FROM p),
-q AS (SELECT *, row_number() OVER (PARTITION BY isl ORDER BY seq) AS pos, lag(isl) OVER (ORDER BY seq) AS prev_isl FROM s),
-imp AS (SELECT isl, seq AS impact_seq, ts AS impact_ts FROM q WHERE NOT ok AND pos = 3),
-st AS (SELECT isl AS g, prev_isl FROM q WHERE pos = 1),
-rec AS (SELECT st.prev_isl AS isl, q.seq AS recover_seq, q.ts AS recover_ts FROM q JOIN st ON q.isl = st.g WHERE q.ok AND q.pos = 3),
-inc AS (SELECT impact_seq, impact_ts, recover_seq, recover_ts, (epoch_us(recover_ts) - epoch_us(impact_ts)) / 1e6 AS recovery_s
-        FROM imp LEFT JOIN rec ON imp.isl = rec.isl)"""
+q AS (SELECT *, row_number() OVER (PARTITION BY isl ORDER BY seq) AS pos FROM s),
+f AS (SELECT seq, ts, ok, lag(ok) OVER (ORDER BY seq) AS before FROM q WHERE pos = 3),
+t AS (SELECT seq, ts, ok FROM f WHERE coalesce(before <> ok, NOT ok)),
+n AS (SELECT *, lead(seq) OVER (ORDER BY seq) AS recover_seq, lead(ts) OVER (ORDER BY seq) AS recover_ts FROM t),
+inc AS (SELECT seq AS impact_seq, ts AS impact_ts, recover_seq, recover_ts, (epoch_us(recover_ts) - epoch_us(ts)) / 1e6 AS recovery_s
+        FROM n WHERE NOT ok)"""
 
 
 @register("wi5_breach_recovery_timeline", f"WITH {_WI5_SQL} SELECT * FROM inc")
@@ -185,12 +202,12 @@ def ag56(spark, sf):
 
 
 @register("ag57_traffic_floor", """
-WITH c AS (SELECT date_trunc('hour', ts) AS bucket, count(*) AS requests FROM v_requests GROUP BY 1),
-s AS (SELECT unnest(generate_series((SELECT min(bucket) FROM c), (SELECT max(bucket) FROM c), INTERVAL 1 HOUR)) AS bucket)
-SELECT s.bucket, coalesce(c.requests, 0) AS requests FROM s LEFT JOIN c ON s.bucket = c.bucket
-WHERE coalesce(c.requests, 0) < 8""")
+WITH c AS (SELECT endpoint, date_trunc('hour', ts) AS bucket, count(*) AS requests FROM v_requests GROUP BY 1, 2),
+s AS (SELECT endpoint, unnest(generate_series(min(bucket), TIMESTAMP '2024-02-01 23:00:00', INTERVAL 1 HOUR)) AS bucket FROM c GROUP BY endpoint)
+SELECT s.endpoint, s.bucket, coalesce(c.requests, 0) AS requests FROM s LEFT JOIN c ON s.bucket = c.bucket AND s.endpoint = c.endpoint
+WHERE coalesce(c.requests, 0) < 2""")
 def ag57(spark, sf):
-    return slo.traffic_floor(v_requests(_t(spark, sf)), floor=8)
+    return slo.traffic_floor(v_requests(_t(spark, sf)), floor=2, keys=["endpoint"], as_of="2024-02-02 00:30:00")
 
 
 @register("ag58_min_request_guard", """
@@ -231,23 +248,37 @@ def ag68(spark, sf):
 
 
 @register("ag55_backlog_depth", f"""
-WITH d AS (SELECT CAST(floor(epoch(ts) / 3600) AS BIGINT) AS k, CAST(floor(epoch(ts)) AS BIGINT) AS pub,
-                  CASE WHEN acked THEN CAST(floor(epoch(ts)) AS BIGINT) + attempt_id % 30 END AS ack FROM v_attempts),
-pb AS (SELECT k, count(*) AS published, min(CASE WHEN ack IS NULL THEN pub END) AS min_never,
-              min(CASE WHEN ack >= (k + 1) * 3600 THEN pub END) AS min_cross FROM d GROUP BY k),
-ak AS (SELECT CAST(floor(ack / 3600) AS BIGINT) AS k, count(*) AS acked FROM d WHERE ack IS NOT NULL GROUP BY 1),
-g AS (SELECT coalesce(pb.k, ak.k) AS k, coalesce(published, 0) AS published, coalesce(acked, 0) AS acked, min_never, min_cross
-      FROM pb FULL OUTER JOIN ak ON pb.k = ak.k),
-r AS (SELECT *, sum(published - acked) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS depth,
-             min(min_never) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS never_run FROM g),
-o AS (SELECT {EPOCH_TS.format(x='(k + 1) * 3600')} AS bucket_end, published, acked, CAST(depth AS BIGINT) AS depth,
-             (k + 1) * 3600 - least(never_run, min_cross) AS oldest_unacked_age_s, k FROM r)
-SELECT bucket_end, published, acked, depth, oldest_unacked_age_s,
-       CASE WHEN (SELECT regr_slope(CAST(depth AS DOUBLE), CAST(k AS DOUBLE)) FROM o) > 0.01 THEN 'climbing' ELSE 'flat' END AS verdict
-FROM o""")
+WITH d AS (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS pub,
+                  CASE WHEN acked THEN CAST(floor(epoch(ts)) AS BIGINT) + attempt_id % 30 * 700 END AS ack FROM v_attempts),
+k AS (SELECT unnest(generate_series((SELECT min(pub) // 3600 FROM d), (SELECT greatest(max(pub), max(ack)) // 3600 FROM d))) AS k),
+g AS (SELECT k.k, count(*) FILTER (WHERE pub // 3600 = k.k) AS published, count(*) FILTER (WHERE ack // 3600 = k.k) AS acked,
+             count(*) FILTER (WHERE pub < (k.k + 1) * 3600) - count(*) FILTER (WHERE ack < (k.k + 1) * 3600) AS depth,
+             min(pub) FILTER (WHERE pub < (k.k + 1) * 3600 AND (ack IS NULL OR ack >= (k.k + 1) * 3600)) AS oldest
+      FROM k, d GROUP BY k.k)
+SELECT {EPOCH_TS.format(x='(k + 1) * 3600')} AS bucket_end, published, acked, depth, (k + 1) * 3600 - oldest AS oldest_unacked_age_s,
+       CASE WHEN (SELECT regr_slope(CAST(depth AS DOUBLE), CAST(k AS DOUBLE)) FROM g) > 0.01 THEN 'climbing' ELSE 'flat' END AS verdict
+FROM g""")
 def ag55(spark, sf):
     a = v_attempts(_t(spark, sf))
-    return slo.backlog(a, "ts", "acked", F.col("attempt_id") % 30)
+    return slo.backlog(a, "ts", "acked", F.col("attempt_id") % 30 * 700)
+
+
+@register("wi5b_fault_recovery", f"""
+WITH w AS (SELECT * FROM (VALUES (TIMESTAMP '2024-01-05 00:00:00'), (TIMESTAMP '2024-01-12 06:30:00'), (TIMESTAMP '2024-01-20 12:00:00')) v(fault_ts)),
+z AS (SELECT v_probes.*, (SELECT max(fault_ts) FROM w WHERE w.fault_ts <= v_probes.ts) AS fault_ts FROM v_probes),
+p AS (SELECT *, lag(ok) OVER (PARTITION BY fault_ts ORDER BY seq) AS pok FROM z WHERE fault_ts IS NOT NULL),
+s AS (SELECT *, max(CASE WHEN pok IS NULL OR pok <> ok THEN seq END) OVER (PARTITION BY fault_ts ORDER BY seq ROWS UNBOUNDED PRECEDING) AS isl FROM p),
+q AS (SELECT *, row_number() OVER (PARTITION BY fault_ts, isl ORDER BY seq) AS pos FROM s),
+i AS (SELECT fault_ts, min(seq) AS impact_seq FROM q WHERE pos = 3 AND NOT ok GROUP BY 1),
+r AS (SELECT i.fault_ts, i.impact_seq, min(q.seq) AS recover_seq FROM i JOIN q ON q.fault_ts = i.fault_ts AND q.ok AND q.pos = 3 AND q.seq > i.impact_seq GROUP BY 1, 2)
+SELECT w.fault_ts, a.ts AS impact_ts, CASE WHEN i.impact_seq IS NULL THEN w.fault_ts ELSE b.ts END AS recover_ts,
+       (epoch_us(CASE WHEN i.impact_seq IS NULL THEN w.fault_ts ELSE b.ts END) - epoch_us(w.fault_ts)) / 1e6 AS recovery_s
+FROM w LEFT JOIN i ON i.fault_ts = w.fault_ts LEFT JOIN r ON r.fault_ts = w.fault_ts
+LEFT JOIN z a ON a.seq = i.impact_seq LEFT JOIN z b ON b.seq = r.recover_seq""")
+def wi5b(spark, sf):
+    at = [dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 12, 6, 30), dt.datetime(2024, 1, 20, 12)]
+    faults = spark.createDataFrame([(t,) for t in at], "fault_ts timestamp_ntz")
+    return slo.fault_recovery(v_probes(_t(spark, sf)), faults)
 
 
 @register("ss23_freshness_per_batch", """

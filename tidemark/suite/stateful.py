@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.events import held_delivery
 from ..registry import register
 from ..sources.fixtures import v_attempts, v_calls, v_changes, v_events, v_requests
 from ..sources.tables import Tables
@@ -42,11 +43,21 @@ def ss13s(spark, sf):
     return st.apply_rule(a, ["message_id"], st.DeliveryAttempts(5))
 
 
-@register("ss14_ordered_delivery")
+@register("ss14_held_delivery", """
+WITH o AS (SELECT ordering_key, message_id, ts, acked, attempt_id,
+                  sum(CASE WHEN acked THEN 0 ELSE 1 END) OVER (PARTITION BY ordering_key, message_id ORDER BY ts, attempt_id
+                      ROWS UNBOUNDED PRECEDING) AS fails FROM v_attempts),
+m AS (SELECT ordering_key, message_id AS seq, min(ts) AS first_publish, min(ts) FILTER (WHERE acked AND fails < 5) AS won,
+             min(ts) FILTER (WHERE NOT acked AND fails = 5) AS lost FROM o GROUP BY 1, 2),
+d AS (SELECT ordering_key, seq, first_publish, coalesce(won, lost) AS decided_at,
+             CASE WHEN won IS NOT NULL THEN 'processed' WHEN lost IS NOT NULL THEN 'dead_letter' END AS outcome FROM m),
+r AS (SELECT *, max(decided_at) OVER w AS latest, count(*) FILTER (WHERE decided_at IS NULL) OVER w AS stuck FROM d
+      WINDOW w AS (PARTITION BY ordering_key ORDER BY seq ROWS UNBOUNDED PRECEDING))
+SELECT ordering_key, seq, first_publish, decided_at, outcome, CASE WHEN stuck = 0 THEN latest END AS released_at,
+       CASE WHEN stuck = 0 THEN (epoch_us(latest) - epoch_us(decided_at)) / 1e6 END AS held_s FROM r""")
 def ss14(spark, sf):
-    a = v_attempts(_t(spark, sf)).select("ordering_key", F.col("message_id").alias("seq"),
-                                         F.col("acked").alias("ok"), "ts", "attempt_id")
-    return st.apply_rule(a, ["ordering_key"], st.OrderedDelivery())
+    a = v_attempts(_t(spark, sf)).select("ordering_key", F.col("message_id").alias("seq"), "acked", "ts", "attempt_id")
+    return held_delivery(a, "ordering_key", "seq", "ts", "acked", "attempt_id", block=100)
 
 
 @register("ss15_rate_limit_ban")

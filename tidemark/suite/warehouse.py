@@ -208,7 +208,7 @@ def ag6(spark, sf):
 @register("ag7_recommend_lateness", """
 WITH r AS (SELECT skew_s, row_number() OVER (ORDER BY skew_s) AS rn, count(*) OVER () AS n FROM v_events),
 p AS (SELECT max(skew_s) FILTER (WHERE rn = greatest(1, CAST(ceil(n * 0.999) AS BIGINT))) AS p999 FROM r),
-b AS (SELECT p999, coalesce((SELECT min(x) FROM unnest([60, 120, 300, 600, 900, 1800, 3600, 7200, 21600, 43200, 86400, 172800]) t(x) WHERE x > p999), 172800) AS bound_s FROM p)
+b AS (SELECT p999, coalesce((SELECT min(x) FROM unnest([60, 120, 300, 600, 900, 1800, 3600, 7200, 21600, 43200, 86400, 172800]) t(x) WHERE x > p999), (CAST(floor(p999 / 86400) AS BIGINT) + 1) * 86400) AS bound_s FROM p)
 SELECT b.bound_s, b.p999, count(*) AS events, count(*) FILTER (WHERE e.skew_s > b.bound_s) AS dropped,
        round(count(*) FILTER (WHERE e.skew_s > b.bound_s) / count(*) * 100, 4) AS dropped_pct
 FROM v_events e, b GROUP BY b.bound_s, b.p999""")
