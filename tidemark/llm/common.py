@@ -3,6 +3,7 @@ shared folder, exact distributed numbering and component labelling."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -44,6 +45,12 @@ class Scratch:
     def read(self, name: str, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
+    def free(self) -> None:
+        """Let go of the shuffle files of finished steps: Spark deletes them
+        once the driver has collected the plans that made them."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         for n in names:
             delete(self.spark, self.path(n))

@@ -121,26 +121,44 @@ def class_hash(u: np.ndarray) -> int:
     return int(_as_long(tx.mix(tx.mix(both[:1]) * U(3) + both[1:2] + both[2:]))[0])
 
 
-def _fingerprints(space: Space):
+def _prints(space: Space):
+    """(doc_id, text) to (doc_id, set size, class)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # classes whose regions this task has given
         for b in batches:
-            n, cls, keys = [], [], []
-            for u in tx.shingle_sets(b.column(1), space.n):
-                n.append(len(u))
+            sets = tx.shingle_sets(b.column(1), space.n)
+            rows = [(len(u), class_hash(u) if len(u) else None) for u in sets]
+            n, cls = zip(*rows) if rows else ((), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64())],
+                                             names=["doc_id", "n_shingles", "cls"])
+    return run
+
+
+def _keys(space: Space):
+    """Texts to the region keys of their classes, once per class and task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for b in batches:
+            keys, cls = [], []
+            for u in tx.shingle_sets(b.column(0), space.n):
                 c = class_hash(u) if len(u) else None
-                cls.append(c)
                 if c is None or c in seen:
-                    keys.append(None)
-                else:
-                    seen.add(c)
-                    keys.append(_as_long(space.regions(u)))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "cls", "keys"])
+                    continue
+                seen.add(c)
+                k = space.regions(u)
+                keys.append(_as_long(k))
+                cls.append(np.full(len(k), c, np.int64))
+                if sum(map(len, keys[-64:])) > 1 << 18 or len(keys) >= 512:
+                    yield _pair_batch(keys, cls)
+                    keys, cls = [], []
+            if keys:
+                yield _pair_batch(keys, cls)
     return run
 
 
+def _pair_batch(keys: list, cls: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(cls))], names=["key", "cls"])
+
+
 def _shared_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by (key, cls): the regions of two or more classes as
     (key, cls, pivot); the pivot has the least class hash."""
@@ -298,19 +316,20 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, t
     eps = (den - num) / den
     s = Scratch(spark, "jaccard")
     base = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    full = s.write(base.mapInArrow(_fingerprints(space), "doc_id bigint, n_shingles bigint, cls bigint, keys array<bigint>"),
-                   "fingerprints")
-    prints = s.write(full.drop("keys"), "prints")
+    prints = s.write(base.mapInArrow(_prints(space), "doc_id bigint, n_shingles bigint, cls bigint"), "prints")
     # doc_id is null only where no other row of the class has one
     classes = s.write(prints.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep")), "classes")
-    region = _regions(full.select(F.explode("keys").alias("key"), "cls"), s, "regions0")
-    s.drop("fingerprints")
+    # the texts are read a second time: keys on disk would be as large as they
+    region = _regions(base.select("text").mapInArrow(_keys(space), "key bigint, cls bigint"), s, "regions0")
+    s.free()
     texts = s.write(region.select("cls").distinct().join(classes, "cls")
                     .join(base.withColumnRenamed("doc_id", "rep"), "rep").select("cls", "text"), "texts")
+    s.free()
     links, r = None, 0
     while not region.isEmpty():
         star = region.where("cls <> pivot").select("cls", "pivot").distinct()
         dist = _compare(space, star, texts, s, f"star{r}")
+        s.free()
         found = dist.where("link").select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
         links = found if links is None else links.unionByName(found)
         if dist.where("NOT link").isEmpty():
