@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import itertools
 import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import language_spans as ls
@@ -50,13 +52,13 @@ def best_path(score, switch):
     return max(best.values())
 
 
-def test_viterbi_is_optimal():
-    rng = np.random.default_rng(4)
-    sizes = [1, 7, 0, 3, 7, 5]
+@pytest.mark.parametrize("seed,scale", [(4, 1.0), (5, 0.3), (6, 0.1)])
+def test_viterbi_is_optimal(seed, scale):
+    rng = np.random.default_rng(seed)
+    sizes = [1, 7, 0, 3, 7, 5, 0]
     first = np.concatenate([[0], np.cumsum(sizes)])
-    score = rng.normal(size=(first[-1], 3))
-    got = ls.viterbi(score, first, 1.0)
-    for a, b in zip(first[:-1], first[1:]):
+    score = rng.normal(size=(first[-1], 3)) * scale
+    for got, (a, b) in itertools.product((ls.viterbi(score, first, 1.0), ls.decode(score, first, 1.0)), zip(first[:-1], first[1:])):
         if b > a:
             value = sum(score[i, got[i]] for i in range(a, b)) - sum(got[i] != got[i - 1] for i in range(a + 1, b))
             assert abs(value - best_path(score[a:b].tolist(), 1.0)[0]) < 1e-9

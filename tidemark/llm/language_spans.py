@@ -99,7 +99,7 @@ def grams(cp: np.ndarray) -> list[np.ndarray]:
 def _texts(col: pa.Array, langs: int) -> Iterator[tuple[int, int, str, np.ndarray]]:
     """Chunks of rows as one string, rows apart by a blank, with the offset of
     each row in code points; many languages take smaller chunks."""
-    for lo, hi, data, offs in tx.text_chunks(col, 4 * tx.CHUNK // max(4, langs)):
+    for lo, hi, data, offs in tx.text_chunks(col, 8 * tx.CHUNK // max(4, langs)):
         rows = [data[offs[i]:offs[i + 1]].tobytes().decode("utf-8", "replace") for i in range(hi - lo)]
         yield lo, hi, " ".join(rows) + " ", np.concatenate([[0], np.cumsum([len(t) + 1 for t in rows])])
 
@@ -116,13 +116,13 @@ def _counts(langs: tuple[str, ...]):
                 cp, script, starts, ends = words_of(text)
                 inside = script > 0
                 inside[ends] = True  # the blank after a word closes its grams
-                row = np.repeat(np.arange(hi - lo), np.diff(offs))
-                own = np.array([at.get(lang[lo + i], -1) for i in range(hi - lo)])[row]
+                own = np.array([at.get(lang[lo + i], -1) for i in range(hi - lo)], np.int64)
+                own = np.repeat(own, np.diff(offs))
+                use = np.flatnonzero(inside & (own >= 0))
+                base = own[use] * BUCKETS
                 for g in grams(cp):
-                    for i in np.unique(own[own >= 0]):
-                        table[i] += np.bincount(g[inside & (own == i)], minlength=BUCKETS)
-                for i in np.unique(own[own >= 0]):
-                    writes[i] += np.bincount(script[own == i], minlength=SCRIPTS)
+                    table += np.bincount(base + g[use], minlength=table.size).reshape(table.shape)
+                writes += np.bincount(own[use] * SCRIPTS + script[use], minlength=writes.size).reshape(writes.shape)
         i, j = np.nonzero(table)
         a, c = np.nonzero(writes)
         yield pa.RecordBatch.from_arrays(
@@ -155,11 +155,16 @@ def train(docs: DataFrame, langs: int = 64, text: str = "text", lang: str = "lan
 
 def word_scores(model: Model, cp, script, starts, ends) -> np.ndarray:
     """Score of each word for each language (mean over the orders)."""
-    total = np.zeros((len(cp) + 1, len(model.langs)))
+    if not len(starts):
+        return np.zeros((0, len(model.langs)))
+    inside = script > 0
+    inside[ends] = True
+    at = np.flatnonzero(inside)
+    total = np.zeros((len(at), len(model.langs)), np.float32)
     for g in grams(cp):
-        total[1:] += model.table[g]
-    np.cumsum(total, axis=0, out=total)
-    score = (total[np.minimum(ends + 1, len(cp))] - total[starts]) / len(ORDERS)
+        total += np.take(model.table, g[at], axis=0)
+    # the kept positions of a word run from its start to the blank after it
+    score = np.add.reduceat(total, np.searchsorted(at, starts), axis=0).astype(np.float64) / len(ORDERS)
     # languages that do not write the script of the word are out, if any does
     can = model.writes[script[starts]]
     some = can.any(axis=1)
@@ -199,6 +204,39 @@ def viterbi(score: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
     return out
 
 
+def decode(score: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
+    """``viterbi``, but for rows where one language throughout is surely
+    best.  Leaving language k for j over a run of words gains the sum of
+    score_j - score_k there and costs a switch; if no run gains more than one
+    switch, no path beats staying."""
+    out = np.zeros(len(score), np.int16)
+    rows = np.flatnonzero(np.diff(first) > 0)
+    if not len(rows):
+        return out
+    a, size = first[rows], np.diff(first)[rows]
+    best = np.add.reduceat(score, a, axis=0).argmax(axis=1)
+    owner = np.repeat(np.arange(len(rows)), size)
+    gain = np.maximum(score - score[np.arange(len(score)), best[owner]][:, None], -100.0)
+    # prefix sums per row, each row lower than the one before, so that the
+    # running minimum starts anew with every row
+    prefix = np.zeros((len(score) + len(rows), score.shape[1]))
+    place = np.arange(len(score)) + owner + 1
+    prefix[place] = gain
+    head = np.arange(len(rows)) + np.concatenate([[0], np.cumsum(size)[:-1]])
+    np.cumsum(prefix, axis=0, out=prefix)
+    low = (100.0 * (size.max() + 2) * 2) * np.repeat(np.arange(len(rows)), size + 1)
+    prefix -= prefix[head][np.repeat(np.arange(len(rows)), size + 1)] + low[:, None]
+    rise = np.maximum.reduceat(prefix - np.minimum.accumulate(prefix, axis=0), head, axis=0).max(axis=1)
+    stays = rise <= switch
+    out[:] = best[owner]
+    for_viterbi = np.flatnonzero(~stays)
+    if len(for_viterbi):
+        words = np.flatnonzero(~stays[owner])
+        bounds = np.concatenate([[0], np.cumsum(size[for_viterbi])])
+        out[words] = viterbi(score[words], bounds, switch)
+    return out
+
+
 def _predict(model: Model, switch: float, spans: bool):
     names = np.array([*model.langs, "und"], object)
 
@@ -209,7 +247,7 @@ def _predict(model: Model, switch: float, spans: bool):
                 cp, script, starts, ends = words_of(text)
                 first = np.searchsorted(starts, offs)
                 size = ends - starts
-                label = viterbi(word_scores(model, cp, script, starts, ends), first, switch) if model.langs else np.zeros(len(starts), int)
+                label = decode(word_scores(model, cp, script, starts, ends), first, switch) if model.langs else np.zeros(len(starts), int)
                 for i in range(hi - lo):
                     a, e = first[i], first[i + 1]
                     if a == e or not model.langs:
