@@ -281,6 +281,34 @@ def test_lateness_bound_beyond_the_ladder(spark):
     assert r.bound_s == 518_400 and r.dropped == 0
 
 
+def test_schema_gate_follows_the_schema(spark):
+    from tidemark.operators.events import conforms
+    good = '{"event_id": "1", "event_type": "a", "tenant": "t", "amount": 1.5, "event_time": "x"}'
+    rows = {good: None, good.replace("1.5", "3"): None, good.replace("1.5", "true"): "wrong_type", good.replace('"1"', "7"): "wrong_type",
+            good.replace('"a"', "[1]"): "wrong_type", good.replace('"x"', "null"): "missing_key", good.replace(', "amount": 1.5', ""): None,
+            good.replace('"t"', '"t", "sub": {"amount": "s"}'): None, good[:20]: "not_json", "[1]": "not_json", "": "not_json"}
+    df = spark.createDataFrame([(t,) for t in rows] + [(None,)], "raw string")
+    got = {r.raw: r.schema_reason for r in conforms(df).collect()}
+    assert got == {**rows, None: "not_json"}
+    assert conforms(df, "amount boolean", required=[]).where("raw LIKE '%true%'").first().schema_ok
+
+
+def test_evaluation_equals_the_library(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+
+    from tidemark.operators import ml
+    from tidemark.sources.fixtures import v_events
+    from tidemark.sources.tables import Tables
+
+    from .conftest import SMALL
+    f = ml.daily_features(v_events(Tables(spark, SMALL)))
+    model = ml.train_logistic(f)
+    got, pred = ml.evaluate(model, f).first(), model.transform(f)
+    assert got.roc_auc == pytest.approx(BinaryClassificationEvaluator(labelCol="purchased").evaluate(pred), abs=0.02)
+    for name, col in (("accuracy", "accuracy"), ("weightedPrecision", "precision"), ("weightedRecall", "recall"), ("f1", "f1"), ("logLoss", "log_loss")):
+        assert got[col] == pytest.approx(MulticlassClassificationEvaluator(labelCol="purchased", metricName=name).evaluate(pred), abs=1e-6)
+
+
 def test_parent_sampling_decision_stands(spark):
     from tidemark.operators.events import head_sample
     df = spark.createDataFrame([(f"{i:032x}", p) for i, p in enumerate([True, False, None] * 200)], "trace_id string, parent boolean")

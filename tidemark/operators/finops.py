@@ -176,6 +176,16 @@ def budget_crossings(df: DataFrame, thresholds: Sequence[float] = (0.5, 0.9, 1.0
             .agg(F.min("day").alias("first_day")))
 
 
+def budget_alerts(messages: DataFrame, budget: str = "budget_id", at: str = "publish_time",
+                  threshold: str = "alert_threshold") -> DataFrame:
+    """AG18 (messages): of a budget's notifications, which come several times
+    a day whatever the spend, the first one per threshold crossed.  Messages
+    without a threshold (nothing crossed yet) raise no alert."""
+    crossed = messages.where(F.col(threshold).isNotNull())
+    return (crossed.groupBy(budget, threshold)
+            .agg(F.min(at).alias("first_alert"), F.count(F.lit(1)).alias("messages")))
+
+
 def replay_days(df: DataFrame, days: int, ts: str = "usage_start_time") -> DataFrame:
     """JO7: each row repeated for day offsets 0..days-1 (row x array join via
     ``explode(sequence())``, generated per row, no join operator)."""
@@ -215,18 +225,27 @@ def token_cost(df: DataFrame, key: str, in_tok: str = "input_tokens", out_tok: s
                     F.round(cost / F.col("requests") * 1000, 6).alias("usd_per_1000"))
 
 
-def node_crossover(df: DataFrame, key: str, in_tok: str = "input_tokens", out_tok: str = "output_tokens") -> DataFrame:
-    """AG24: node cost per 1000 requests at full duty, per 1M output tokens,
-    API cost per 1000, and the duty cycle where the node becomes cheaper
-    (NULL when it never is)."""
+def node_crossover(df: DataFrame, key: str, in_tok: str = "input_tokens", out_tok: str = "output_tokens",
+                   duty: float = 1.0, prices: DataFrame | None = None) -> DataFrame:
+    """AG24: node cost per 1000 requests and per 1M output tokens at a duty
+    cycle (the share of the hour the node is busy), API cost per 1000, and the
+    duty cycle where the node becomes cheaper (NULL when it never is).
+
+    ``prices`` has per key ``usd_in`` and ``usd_out`` (USD per 1M tokens),
+    ``usd_hour`` and ``tokens_s`` of the node; keys it does not name, and calls without it, take the
+    published figures."""
     g = df.groupBy(key).agg(F.avg(in_tok).alias("_in"), F.avg(out_tok).alias("_out"))
-    api = 1000 * (F.col("_in") * API_USD_PER_M_IN + F.col("_out") * API_USD_PER_M_OUT) / 1e6
-    node_per_m = NODE_USD_PER_HOUR / (NODE_TOKENS_PER_S * 3600.0) * 1e6
-    node = F.lit(node_per_m) * F.col("_out") * 1000 / 1e6
-    duty = node / api
+    fixed = {"usd_in": API_USD_PER_M_IN, "usd_out": API_USD_PER_M_OUT, "usd_hour": NODE_USD_PER_HOUR, "tokens_s": NODE_TOKENS_PER_S}
+    if prices is not None:
+        g = g.join(prices.select(key, *fixed), key, "left")
+    p = {c: F.coalesce(F.col(c), F.lit(float(v))) if prices is not None else F.lit(float(v)) for c, v in fixed.items()}
+    api = 1000 * (F.col("_in") * p["usd_in"] + F.col("_out") * p["usd_out"]) / 1e6
+    full = p["usd_hour"] / (p["tokens_s"] * 3600.0) * 1e6
+    per_m = full / duty
+    node = per_m * F.col("_out") * 1000 / 1e6
+    at = full * F.col("_out") * 1000 / 1e6 / api
     return g.select(key, F.round(api, 6).alias("api_usd_per_1000"), F.round(node, 6).alias("node_usd_per_1000"),
-                    F.lit(round(node_per_m, 6)).alias("node_usd_per_m_out"),
-                    F.when(duty <= 1, F.round(duty * 100, 2)).alias("crossover_duty_pct"))
+                    F.round(per_m, 6).alias("node_usd_per_m_out"), F.when(at <= 1, F.round(at * 100, 2)).alias("crossover_duty_pct"))
 
 
 def perf_per_dollar(df: DataFrame, key: str, price: DataFrame, ts: str, baseline: str) -> DataFrame:

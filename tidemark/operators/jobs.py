@@ -22,11 +22,20 @@ def query_snippet(q, n: int) -> Column:
     return F.substring(F.regexp_replace(c, r"\s+", " "), 1, n)
 
 
-def job_cost_top(jobs: DataFrame, n: int = 20, bytes_col: str = "total_bytes_billed") -> DataFrame:
-    """AG19: top ``n`` jobs by bytes billed, with USD and a 60-char snippet."""
-    return (jobs.select("job_id", "user_email", F.col(bytes_col).alias("bytes_billed"),
-                        on_demand_usd(bytes_col).alias("usd"), "total_slot_ms",
-                        query_snippet("query", 60).alias("snippet"))
+def job_cost_top(jobs: DataFrame, n: int = 20, bytes_col: str = "total_bytes_billed", lo: str | None = None,
+                 hi: str | None = None) -> DataFrame:
+    """AG19: top ``n`` finished query jobs created in ``[lo, hi)`` by bytes
+    billed: bytes processed and billed, USD, slot and elapsed milliseconds and
+    a 60-char snippet."""
+    j = jobs.where((F.col("job_type") == "QUERY") & (F.col("state") == "DONE"))
+    if lo:
+        j = j.where(F.col("creation_time") >= F.to_timestamp_ntz(F.lit(lo)))
+    if hi:
+        j = j.where(F.col("creation_time") < F.to_timestamp_ntz(F.lit(hi)))
+    ms = lambda c: F.unix_millis(F.col(c).cast("timestamp"))
+    return (j.select("job_id", "user_email", "total_bytes_processed", F.col(bytes_col).alias("bytes_billed"),
+                     on_demand_usd(bytes_col).alias("usd"), "total_slot_ms",
+                     (ms("end_time") - ms("start_time")).alias("elapsed_ms"), query_snippet("query", 60).alias("snippet"))
             .orderBy(F.desc("bytes_billed"), F.asc("job_id")).limit(n))
 
 

@@ -54,7 +54,11 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 SELECT o.o_orderkey AS job_id, c.c_name AS user_email, o.o_orderdate AS creation_time,
        CONCAT('SELECT ', o.o_orderpriority, '  FROM  t') AS query,
        CAST(FLOOR(o.o_totalprice) AS BIGINT) * 1000000 AS total_bytes_billed,
-       o.o_orderkey % 97 * 1000 AS total_slot_ms
+       o.o_orderkey % 97 * 1000 AS total_slot_ms, CAST(FLOOR(o.o_totalprice) AS BIGINT) * 999000 AS total_bytes_processed,
+       CASE WHEN o.o_orderkey % 11 = 0 THEN 'LOAD' ELSE 'QUERY' END AS job_type,
+       CASE WHEN o.o_orderkey % 13 = 0 THEN 'RUNNING' ELSE 'DONE' END AS state,
+       o.o_orderdate + to_seconds(o.o_orderkey % 5) AS start_time,
+       o.o_orderdate + to_seconds(o.o_orderkey % 5 + o.o_orderkey % 301) AS end_time
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
     "v_job_stages": """
 SELECT l_orderkey AS job_id, l_linenumber AS stage_id,

@@ -139,7 +139,12 @@ def v_jobs(t: Tables, nested: bool = False) -> DataFrame:
         F.col("o_orderdate").alias("creation_time"),
         F.concat(F.lit("SELECT "), F.col("o_orderpriority"), F.lit("  FROM  t")).alias("query"),
         (F.floor("o_totalprice").cast("bigint") * 1000000).alias("total_bytes_billed"),
-        (F.col("o_orderkey") % 97 * 1000).alias("total_slot_ms"))
+        (F.col("o_orderkey") % 97 * 1000).alias("total_slot_ms"),
+        (F.floor("o_totalprice").cast("bigint") * 999000).alias("total_bytes_processed"),
+        F.when(F.col("o_orderkey") % 11 == 0, "LOAD").otherwise("QUERY").alias("job_type"),
+        F.when(F.col("o_orderkey") % 13 == 0, "RUNNING").otherwise("DONE").alias("state"),
+        (F.col("o_orderdate") + F.make_dt_interval(secs=(F.col("o_orderkey") % 5).cast("int"))).alias("start_time"),
+        (F.col("o_orderdate") + F.make_dt_interval(secs=(F.col("o_orderkey") % 5 + F.col("o_orderkey") % 301).cast("int"))).alias("end_time"))
     if not nested:
         return jobs
     # job_stages ARRAY<STRUCT> as in the job history view: stages per job

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import cents, label_value
 from ..operators import finops as fo
 from ..registry import register
-from ..sources.fixtures import v_billing, v_calls, v_jobs, v_requests
+from ..sources.fixtures import v_events, v_billing, v_calls, v_jobs, v_requests
 from ..sources.tables import Tables
 
 # SQL fragments mirroring the integer-cents arithmetic of the operators
@@ -154,6 +154,29 @@ def ag24(spark, sf):
     return fo.node_crossover(v_calls(_t(spark, sf)), "option_name")
 
 
+@register("ag24b_node_at_duty", """
+WITH g AS (SELECT option_name, avg(input_tokens) AS i, avg(output_tokens) AS o FROM v_calls GROUP BY option_name),
+p AS (SELECT g.*, CASE WHEN option_name = 'api' THEN 0.15 ELSE 0.075 END AS pi, CASE WHEN option_name = 'api' THEN 0.60 ELSE 0.30 END AS po,
+             CASE WHEN option_name = 'api' THEN 1.42 ELSE 0.71 END AS h, CASE WHEN option_name = 'api' THEN 3000.0 ELSE 1200.0 END AS t FROM g),
+c AS (SELECT option_name, 1000 * (i * pi + o * po) / 1e6 AS api, h / (t * 3600.0) * 1e6 AS fm, o FROM p)
+SELECT option_name, round(api, 6) AS api_usd_per_1000, round(fm / 0.25 * o * 1000 / 1e6, 6) AS node_usd_per_1000,
+       round(fm / 0.25, 6) AS node_usd_per_m_out, CASE WHEN fm * o * 1000 / 1e6 / api <= 1 THEN round(fm * o * 1000 / 1e6 / api * 100, 2) END AS crossover_duty_pct
+FROM c""")
+def ag24b(spark, sf):
+    own = spark.createDataFrame([("api", 0.15, 0.60, 1.42, 3000.0)], "option_name string, usd_in double, usd_out double, usd_hour double, tokens_s double")
+    return fo.node_crossover(v_calls(_t(spark, sf)), "option_name", duty=0.25, prices=own)
+
+
+@register("ag18b_budget_messages", """
+WITH m AS (SELECT tenant_id AS budget_id, ts AS publish_time, CASE WHEN event_id % 7 = 0 THEN 0.5 WHEN event_id % 31 = 0 THEN 0.9 END AS alert_threshold FROM v_events)
+SELECT budget_id, CAST(alert_threshold AS DOUBLE) AS alert_threshold, min(publish_time) AS first_alert, count(*) AS messages FROM m WHERE alert_threshold IS NOT NULL GROUP BY 1, 2""")
+def ag18b(spark, sf):
+    e = v_events(_t(spark, sf))
+    m = e.select(F.col("tenant_id").alias("budget_id"), F.col("ts").alias("publish_time"),
+                 F.when(F.col("event_id") % 7 == 0, F.lit(0.5)).when(F.col("event_id") % 31 == 0, F.lit(0.9)).alias("alert_threshold"))
+    return fo.budget_alerts(m)
+
+
 def _pod_rows(t):
     r = v_requests(t)
     return r.select(F.col("endpoint").alias("workload"), ((F.col("request_id") % 8) * 0.125).alias("cpu"),

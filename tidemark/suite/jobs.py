@@ -20,11 +20,12 @@ def _t(spark, sf):
 
 
 @register("ag19_job_cost_top", f"""
-SELECT job_id, user_email, total_bytes_billed AS bytes_billed, {USD.format(b='total_bytes_billed')} AS usd,
-       total_slot_ms, {SNIP.format(q='query', n=60)} AS snippet
-FROM v_jobs ORDER BY bytes_billed DESC, job_id LIMIT 20""")
+SELECT job_id, user_email, total_bytes_processed, total_bytes_billed AS bytes_billed, {USD.format(b='total_bytes_billed')} AS usd,
+       total_slot_ms, epoch_ms(end_time) - epoch_ms(start_time) AS elapsed_ms, {SNIP.format(q='query', n=60)} AS snippet
+FROM v_jobs WHERE job_type = 'QUERY' AND state = 'DONE' AND creation_time >= TIMESTAMP '1997-01-01' AND creation_time < TIMESTAMP '1998-01-01'
+ORDER BY bytes_billed DESC, job_id LIMIT 20""")
 def ag19(spark, sf):
-    return jo.job_cost_top(v_jobs(_t(spark, sf)), 20)
+    return jo.job_cost_top(v_jobs(_t(spark, sf)), 20, lo="1997-01-01", hi="1998-01-01")
 
 
 @register("ag20_user_spend_7d", f"""
