@@ -39,13 +39,73 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "ratio", "odd_chunks")
 
 
-@query("op8_secret_scan")
+def _secret_sql() -> str:
+    """The scan in SQL: offsets by window sums over matches and the text
+    between them, entropies by recounting every window."""
+    quote = lambda p: "'" + p.replace("'", "''") + "'"
+
+    def located(kind: int, pattern: str, group: int, keep: str) -> str:
+        p = quote(pattern)
+        return f"""SELECT doc_id, {kind} AS k, s, s + length(hit) AS e, hit FROM (
+            SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id ORDER BY i) - length(hit) AS s FROM (
+                SELECT doc_id, unnest(regexp_extract_all(t, {p})) AS hit, unnest(regexp_extract_all(t, {p}, {group})) AS part,
+                       unnest(list_slice(string_split_regex(t, {p}), 1, -2)) AS gap,
+                       unnest(range(len(regexp_extract_all(t, {p})))) AS i
+                FROM d WHERE regexp_matches(t, {p}))) WHERE {keep}"""
+    allowed = " OR ".join(f"regexp_matches(hit, {quote(p)})" for p in secret_scan.ALLOWED if "\\1" not in p)
+    limit = " ".join(f"WHEN regexp_matches(hit, {quote(p)}) THEN {b}" for p, b in secret_scan.LIMITS if p)
+    w = secret_scan.WINDOW
+    names = " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(secret_scan.KINDS))
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    base AS ({located(0, secret_scan.ASSIGN, 2, 'length(part) >= 6')}
+        UNION ALL {located(1, secret_scan.ACCESS, 0, 'true')} UNION ALL {located(2, secret_scan.HEX, 0, 'true')}),
+    c AS ({located(3, secret_scan.CANDIDATE, 0, 'true')}),
+    free AS (SELECT * FROM c WHERE NOT ({allowed} OR len(list_distinct(string_split(hit, ''))) = 1)),
+    win AS (SELECT doc_id, s, hit, unnest(range(1, length(hit) - {w} + 2)) AS i FROM free),
+    chars AS (SELECT doc_id, s, hit, i, unnest(string_split(substr(hit, CAST(i AS INTEGER), {w}), '')) AS ch FROM win),
+    cnt AS (SELECT doc_id, s, hit, i, ch, count(*) AS n FROM chars GROUP BY ALL),
+    bits AS (SELECT doc_id, s, hit, i, -sum(n / {w}.0 * log2(n / {w}.0)) AS h FROM cnt GROUP BY ALL),
+    hot AS (SELECT doc_id, s, hit FROM bits GROUP BY ALL
+            HAVING max(h) >= CASE {limit} ELSE {secret_scan.LIMITS[-1][1]} END - 1e-9),
+    spans AS (SELECT doc_id, k, s, e FROM base UNION ALL SELECT doc_id, 3, s, s + length(hit) FROM hot),
+    named AS (SELECT *, CASE k {names} END || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT) AS name FROM spans),
+    g AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access,
+                 count(*) FILTER (WHERE k = 2) AS n_hex, count(*) FILTER (WHERE k = 3) AS n_entropy,
+                 string_agg(name, ',' ORDER BY s, k) FILTER (WHERE k < 3) AS b, string_agg(name, ',' ORDER BY s, k) AS a
+          FROM named GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(b, '')) AS base_sha256, coalesce(a, '') AS spans, coalesce(n_entropy, 0) AS n_entropy
+    FROM d LEFT JOIN g ON d.doc_id = g.doc_id"""
+
+
+@query("op8_secret_scan", _secret_sql())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy")
 
 
-@query("op7_source_mix")
+@query("op7_source_mix", """
+    WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t,
+                      len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+    k AS (SELECT *, pow((CAST('0x' || substr(md5(concat_ws(chr(1), '7', coalesce(CAST(doc_id AS VARCHAR), chr(2)), md5(t))), 1, 13) AS BIGINT) + 1)
+                        / 4503599627370496.0,
+                        1 / greatest(0.05, least(1.0, length(regexp_replace(t, '[^\\p{L}\\s]+', '', 'g')) / greatest(length(t), 1)))) AS key FROM d),
+    s AS (SELECT source, sum(size) AS words, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
+    w AS (SELECT source, words, CAST(2 * words AS DOUBLE) AS most, CAST([5, 2, 1][(rank - 1) % 3 + 1] AS DOUBLE) AS weight FROM s),
+    c AS (SELECT *, sum(most) OVER o - most AS capped, sum(weight) OVER () - (sum(weight) OVER o - weight) AS open
+          FROM w WINDOW o AS (ORDER BY most / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+    l AS (SELECT max((1.5 * (SELECT sum(words) FROM w) - capped) / open) AS level FROM c),
+    g AS (SELECT source, words, CAST(least(most, weight * (SELECT level FROM l)) AS DOUBLE) AS target FROM w),
+    b AS (SELECT k.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key DESC, doc_id NULLS LAST, size
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k),
+    e AS (SELECT b.doc_id, b.size, b.source, b.before, g.words AS source_size, g.target,
+                 CASE WHEN g.words > 0 THEN CAST(floor(g.target / g.words) AS BIGINT) ELSE 0 END AS epochs
+          FROM b JOIN g ON b.source IS NOT DISTINCT FROM g.source),
+    p AS (SELECT *, greatest(0, least(size, CAST(round(target - epochs * source_size) AS BIGINT) - before)) AS part FROM e)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+           CAST(epochs * size + part AS BIGINT) AS taken, source, epochs, CAST(part AS BIGINT) AS part
+    FROM p""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = source_mix.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "epochs", "part")
