@@ -27,7 +27,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op4_ngram_jaccard_join")
+@query("op4_ngram_jaccard_join", """
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                           '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+    x AS (SELECT DISTINCT doc_id, CASE WHEN len(words) < 4 THEN array_to_string(words, ' ')
+                                       ELSE array_to_string(list_slice(words, i, i + 3), ' ') END AS shingle
+          FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM x GROUP BY doc_id),
+    i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter FROM x a JOIN x b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    l AS (SELECT a, b, inter, na.n AS na, nb.n AS nb FROM i JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+          WHERE 100 * inter >= 85 * (na.n + nb.n - inter)),
+    r AS (SELECT doc_id, doc_id AS root FROM w UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.doc_id WHERE r.root < l.b),
+    c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id),
+    s AS (SELECT b AS doc_id, min(a) AS same FROM l WHERE inter = na AND inter = nb GROUP BY b)
+    SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, least(w.doc_id, coalesce(s.same, w.doc_id)) AS class_id
+    FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN c ON c.doc_id = w.doc_id LEFT JOIN s ON s.doc_id = w.doc_id""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_documents(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
 
