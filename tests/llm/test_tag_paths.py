@@ -56,6 +56,13 @@ def test_pages_without_an_article_are_empty():
         assert main_text(page)[0] in ("", "<", "&"), page
 
 
+def test_names_of_layout_do_not_hide_the_article():
+    for name in ("overflow-hidden", "print-area", "has-sidebar", "no-comments", "with-banner"):
+        assert main_text(f"<div class='{name}'><p>One text, and more.</p><p>Two texts, and more.</p></div>")[1] == 2, name
+    page = "<article><p>Kept, <span class='ad'><span>x</span> y</span>and kept.</p><div class='hidden'>z</div></article>"
+    assert main_text(page)[0] == "Kept, and kept."
+
+
 def test_broken_and_very_long_pages():
     deep = "<div>" * 3000 + "<p>deep text, here.</p>"
     assert main_text(deep)[0] == "deep text, here."

@@ -85,7 +85,7 @@ def running_total(df: DataFrame, group: list[str], slot: Column, order: list[Col
     return d.drop("__slot", "__val", "__in", "__s", "__before", *[f"__g{i}" for i in range(len(group))])
 
 
-def slots_for(n_rows: int, per_slot: int = 20_000) -> int:
+def slots_for(n_rows: int, per_slot: int = 5_000) -> int:
     """Number of pieces that keep a piece near ``per_slot`` rows."""
     return max(1, -(-int(n_rows) // per_slot))
 

@@ -43,8 +43,9 @@ NAMES = frozenset("""
     nav navbar navigation menu breadcrumb breadcrumbs pagination pager paging toolbar topbar masthead sidebar sidenav rail
     footer foot colophon copyright legal disclaimer cookie cookies consent gdpr notice notices notification alert popup modal
     overlay newsletter subscribe subscription signup login signin register search share sharing social follow related
-    recommended recommendations recirculation trending popular comment comments commentlist disqus respond replies reply
-    discussion feedback reviews widget widgets tags tagcloud skip hidden paywall print""".split())
+    recommended recommendations recirculation trending comment comments commentlist disqus respond replies reply
+    discussion feedback widget widgets tagcloud""".split())
+WHOLE = frozenset("hidden print skip".split())  # only as a whole name: parts of layout names as well
 SPOKEN = frozenset("comment comments commentlist disqus replies discussion".split())
 STATES = frozenset("has with without no is show hide open enable disable".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar "
@@ -68,7 +69,7 @@ def is_noise(tag: str, attrs: dict[str, str | None]) -> bool:
         words = [w.lower() for w in _WORDS.findall(name)]
         if not words or words[0] in STATES or words[-1] in STATES:
             continue
-        if words[0] in NAMES or words[-1] in NAMES or SPOKEN.intersection(words):
+        if words[0] in NAMES or words[-1] in NAMES or SPOKEN.intersection(words) or name.lower() in WHOLE:
             return True
         if words[-1] == "header" and tag != "article":
             return True
@@ -121,8 +122,8 @@ class PageParser(HTMLParser):
             if tag == "hr":
                 self.current = None
             return
-        if tag not in BLOCK and not drop:
-            return
+        if tag not in BLOCK and not drop and not (self.stack and self.stack[-1][2]):
+            return  # inline markup; inside a dropped element it is kept count of
         if tag in BLOCK:
             for i in range(len(self.stack) - 1, -1, -1):
                 t = self.stack[i][0]
