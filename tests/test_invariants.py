@@ -39,7 +39,10 @@ def test_salted_equals_direct(spark):
 
 def test_lag_sessions_equal_session_windows(spark):
     e = v_events(Tables(spark, SMALL))
-    a = ev.sessions(e, "user_id", "ts", "2 hours")
+    a = (e.groupBy("user_id", F.session_window(F.col("ts").cast("timestamp"), "2 hours").alias("s"))
+         .agg(F.count(F.lit(1)).alias("events"))
+         .select("user_id", F.col("s.start").cast("timestamp_ntz").alias("session_start"),
+                 F.col("s.end").cast("timestamp_ntz").alias("session_end"), "events"))
     b = ev.sessions_by_gap(e, "user_id", "ts", "event_id", 7200)
     assert _sorted(a) == _sorted(b)
 

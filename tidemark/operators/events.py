@@ -105,23 +105,11 @@ def sliding_sum(df: DataFrame, ts: str, value: Column, size: str, slide: str) ->
                     F.col("w.end").cast("timestamp_ntz").alias("window_end"), "total", "elements"))
 
 
-def sessions(df: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
-    """SS3: session windows per key: a gap larger than ``gap`` splits.
-
-    Spark merges sessions after sorting each key's rows in one task; for
-    batch backfills over keys that may hold a large share of the rows use
-    ``sessions_by_gap`` (same result, bucket-split)."""
-    return (df.groupBy(key, F.session_window(F.col(ts).cast("timestamp"), gap).alias("s"))
-            .agg(F.count(F.lit(1)).alias("events"))
-            .select(key, F.col("s.start").cast("timestamp_ntz").alias("session_start"),
-                    F.col("s.end").cast("timestamp_ntz").alias("session_end"), "events"))
-
-
 def sessions_by_gap(df: DataFrame, key: str, ts: str, tie: str, gap_s: int) -> DataFrame:
-    """WI10: batch sessionization by ``lag`` + running count of session
-    starts; same result as ``sessions`` (checked in the tests).  Both the lag
-    and the running count are bucket-split (per hour), so one key with many
-    events is not sorted in one task."""
+    """SS3, WI10: session windows per key over a batch: a gap larger than
+    ``gap_s`` splits.  By ``lag`` and a running count of session starts, both
+    bucket-split (per hour), so one key with many events is not sorted in one
+    task (the stream form is ``streaming.windows.session_counts``)."""
     b = time_bucket(ts)
     d = prev_within(df.select(key, ts, tie), [key], [ts, tie], [ts], b)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
@@ -220,19 +208,58 @@ def window_labels(windows: DataFrame) -> DataFrame:
         F.date_format("window_end", "yyyy-MM-dd HH:mm:ss")))
 
 
-@F.pandas_udf(T.LongType())
-def cents_sum(v: pd.Series) -> int:
-    """UD4: a custom combiner as a grouped-aggregate Arrow UDF (sum of
-    integer cents).  Spark runs it after the shuffle, one call per group."""
-    return int((v * 100).round().astype("int64").sum())
+class CentsSum:
+    """UD4: a combiner: an accumulator per group, values added in batches,
+    accumulators merged, the result read off."""
+
+    def create(self) -> int:
+        return 0
+
+    def add(self, acc: int, values: pd.Series) -> int:
+        return acc + int((values * 100).round().astype("int64").sum())
+
+    def merge(self, a: int, b: int) -> int:
+        return a + b
+
+    def extract(self, acc: int) -> int:
+        return acc
+
+
+def custom_combine(df: DataFrame, ts: str, value: str, size: str, combiner=None) -> DataFrame:
+    """UD4: per-window combine with a Python combiner; empty windows give no
+    row.  Every map task folds its Arrow batches to one accumulator per window
+    before the shuffle; after it only accumulators are merged, so a window
+    with any share of the rows is one small row per task."""
+    c = combiner or CentsSum()
+    rows = df.select(F.window(F.col(ts).cast("timestamp"), size).start.alias("w"), F.col(value).alias("v"))
+
+    def fold(batches):
+        acc: dict = {}
+        for pdf in batches:
+            for w, v in pdf.groupby("w")["v"]:
+                acc[w] = c.add(acc.get(w, c.create()), v)
+        yield pd.DataFrame({"w": list(acc), "acc": list(acc.values())})
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        acc = c.create()
+        for x in pdf["acc"]:
+            acc = c.merge(acc, int(x))
+        return pd.DataFrame({"w": pdf["w"][:1], "total_cents": [c.extract(acc)]})
+
+    parts = rows.mapInPandas(fold, "w timestamp, acc long")
+    out = parts.groupBy("w").applyInPandas(merge, "w timestamp, total_cents long")
+    return out.select(F.col("w").cast("timestamp_ntz").alias("window_start"), "total_cents")
 
 
-def custom_combine(df: DataFrame, ts: str, value: str, size: str) -> DataFrame:
-    """UD4: per-window combine with a grouped Arrow UDF; empty windows give
-    no row."""
-    return (df.groupBy(F.window(F.col(ts).cast("timestamp"), size).alias("w"))
-            .agg(cents_sum(F.col(value)).alias("total_cents"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "total_cents"))
+def count_firings(df: DataFrame, key: str, order: Sequence[str], value: str, n: int, bucket: Column) -> DataFrame:
+    """SS4 (batch form): the firings of a global window per key that emits
+    (count, running total) every ``n`` elements, accumulating.  Totals in
+    cents; count and total are running sums split by ``bucket``."""
+    d = df.select(key, *order, F.round(F.col(value) * 100).cast("bigint").alias("_c"), F.lit(1).alias("_one"))
+    d = running_sum(d, [key], order, "_one", bucket, "fired_at_count")
+    d = running_sum(d, [key], order, "_c", bucket, "_cents")
+    return d.where(F.col("fired_at_count") % n == 0).select(
+        key, F.col("fired_at_count").cast("bigint").alias("fired_at_count"), (F.col("_cents") / 100.0).alias("running_total"))
 
 
 def payload_keys(df: DataFrame, payload: str) -> DataFrame:

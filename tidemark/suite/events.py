@@ -131,7 +131,7 @@ FROM n GROUP BY user_id, sn"""
 
 @register("ss3_session_windows", f"WITH {_SESSIONS}")
 def ss3(spark, sf):
-    return ev.sessions(v_events(_t(spark, sf)), "user_id", "ts", "6 hours")
+    return ev.sessions_by_gap(v_events(_t(spark, sf)), "user_id", "ts", "event_id", 6 * 3600)
 
 
 @register("wi10_sessionize_by_gap", f"WITH {_SESSIONS}")

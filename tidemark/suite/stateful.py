@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.events import held_delivery
+from ..operators.events import count_firings, held_delivery
+from ..operators.sequence import time_bucket
 from ..registry import register
 from ..sources.fixtures import v_attempts, v_calls, v_changes, v_events, v_requests
 from ..sources.tables import Tables
@@ -18,12 +19,12 @@ def _t(spark, sf):
 
 @register("ss4_count_trigger", """
 WITH r AS (SELECT tenant_id, row_number() OVER (PARTITION BY tenant_id ORDER BY ts, event_id) AS rn,
-                  sum(amount) OVER (PARTITION BY tenant_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS tot
+                  sum(CAST(round(amount * 100) AS BIGINT)) OVER (PARTITION BY tenant_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS c
            FROM v_events)
-SELECT tenant_id, rn AS fired_at_count, round(tot, 6) AS running_total FROM r WHERE rn % 100 = 0""")
+SELECT tenant_id, rn AS fired_at_count, CAST(c AS DOUBLE) / 100 AS running_total FROM r WHERE rn % 100 = 0""")
 def ss4(spark, sf):
     e = v_events(_t(spark, sf)).select("tenant_id", "ts", "event_id", "amount")
-    return st.apply_rule(e, ["tenant_id"], st.CountTrigger(100, "amount", ["ts", "event_id"]))
+    return count_firings(e, "tenant_id", ["ts", "event_id"], "amount", 100, time_bucket("ts"))
 
 
 @register("ss13_delivery_attempts_stateful", """
