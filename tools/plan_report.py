@@ -19,28 +19,39 @@ from tidemark.registry import load_all  # noqa: E402
 from tidemark.session import get_session  # noqa: E402
 
 
-def final_plan(df) -> str:
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    # keep the final plan of adaptive queries
-    if "== Final Plan ==" in plan:
-        plan = plan.split("== Initial Plan ==")[0]
-    return plan
+def nodes(df) -> list[tuple[str, str]]:
+    """(class, description) of every node of the plan that ran, subqueries
+    included, adaptive wrappers taken off."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    items = lambda seq: [seq.apply(i) for i in range(seq.size())]
+    while todo:
+        n = todo.pop()
+        name = n.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(n.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(n.plan())
+        else:
+            out.append((name, n.simpleString(10_000) if name == "FileSourceScanExec" else ""))
+            if name != "ReusedExchangeExec":
+                todo += items(n.children()) + items(n.subqueries())
+    return out
 
 
-def shape(plan: str) -> dict:
+def shape(plan: list[tuple[str, str]]) -> dict:
+    names = [n for n, _ in plan]
     return {
-        "shuffles": len(re.findall(r"\bExchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan)),
-        "reused": plan.count("ReusedExchange"),
-        "scans": plan.count("FileScan parquet"),
-        "bhj": plan.count("BroadcastHashJoin"),
-        "smj": plan.count("SortMergeJoin"),
-        "shj": plan.count("ShuffledHashJoin"),
-        "nlj": plan.count("BroadcastNestedLoopJoin") + plan.count("CartesianProduct"),
-        "pushed": len(re.findall(r"PushedFilters: \[[^\]]+\]", plan)),
-        "codegen": len(set(re.findall(r"\*\((\d+)\)", plan))),
-        "python": len(re.findall(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas|"
-                                 r"AggregateInPandas|TransformWithStateIn|ArrowAggregatePython", plan)),
-        "window_group_limit": plan.count("WindowGroupLimit"),
+        "shuffles": names.count("ShuffleExchangeExec"),
+        "reused": names.count("ReusedExchangeExec"),
+        "scans": names.count("FileSourceScanExec"),
+        "bhj": names.count("BroadcastHashJoinExec"),
+        "smj": names.count("SortMergeJoinExec"),
+        "shj": names.count("ShuffledHashJoinExec"),
+        "nlj": names.count("BroadcastNestedLoopJoinExec") + names.count("CartesianProductExec"),
+        "pushed": sum(bool(re.search(r"PushedFilters: \[[^\]]+\]", d)) for n, d in plan if n == "FileSourceScanExec"),
+        "codegen": names.count("WholeStageCodegenExec"),
+        "python": sum(bool(re.search("Python|Pandas|Arrow", n)) for n in names),
+        "window_group_limit": names.count("WindowGroupLimitExec"),
     }
 
 
@@ -64,7 +75,7 @@ def main() -> int:
         # so the adaptive plan read below is the final one
         df._jdf.queryExecution().toRdd().count()
         el = time.perf_counter() - t0
-        s = shape(final_plan(df))
+        s = shape(nodes(df))
         lines.append(f"| {n} | {s['shuffles']} | {s['reused']} | {s['scans']} | {s['bhj']} | {s['smj']} | {s['shj']} | "
                      f"{s['nlj']} | {s['pushed']} | {s['codegen']} | {s['python']} | {s['window_group_limit']} | "
                      f"{el:.2f} |")
