@@ -13,7 +13,7 @@ from tidemark.operators import jobs as jo
 from tidemark.operators import security as sec
 from tidemark.operators import slo
 from tidemark.operators import warehouse as wh
-from tidemark.operators.events import sessions, sessions_by_gap
+from tidemark.operators.events import sessions_by_gap
 from tidemark.operators.serving import latency_percentiles
 from tidemark.streaming import stateful as st
 
@@ -157,11 +157,9 @@ def test_nearest_rank_rule(spark, n):
 def test_session_gap_equal_does_not_split(spark):
     df = spark.createDataFrame([(1, 1, T0), (2, 1, T0 + dt.timedelta(seconds=600)),
                                 (3, 1, T0 + dt.timedelta(seconds=1199))], "event_id long, user_id long, ts timestamp_ntz")
-    a = sessions(df, "user_id", "ts", "600 seconds").collect()
-    b = sessions_by_gap(df, "user_id", "ts", "event_id", 600).collect()
-    for out in (a, b):
-        assert len(out) == 1 and out[0].events == 3
-        assert out[0].session_end - out[0].session_start == dt.timedelta(seconds=1799)
+    out = sessions_by_gap(df, "user_id", "ts", "event_id", 600).collect()
+    assert len(out) == 1 and out[0].events == 3
+    assert out[0].session_end - out[0].session_start == dt.timedelta(seconds=1799)
 
 
 def test_hysteresis_timeline(spark):
