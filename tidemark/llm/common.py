@@ -4,6 +4,7 @@ shared folder, exact distributed numbering and component labelling."""
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -46,9 +47,11 @@ class Scratch:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def free(self) -> None:
-        """Let go of the shuffle files of finished steps: Spark deletes them
-        once the driver has collected the plans that made them."""
+        """Let go of the shuffle files of finished steps.  Spark deletes them
+        once the driver has collected the plans that made them; the Python
+        references to those are released by a thread that needs a moment."""
         gc.collect()
+        time.sleep(0.5)
         self.spark._jvm.System.gc()
 
     def drop(self, *names: str) -> None:
