@@ -128,7 +128,8 @@ def test_a_pivot_shared_by_many_is_dealt_over_tasks(spark):
     from tidemark.llm import textops as tx
     sets = list(tx.shingle_sets(pa.array([t for _, t in rows]), 4))
     cls = [jj.class_hash(u) for u in sets]
-    texts = spark.createDataFrame([(c, t) for c, (_, t) in zip(cls, rows)], "cls bigint, text string")
+    texts = spark.createDataFrame([(c, t) for c, (_, t) in zip(cls, rows)], "cls bigint, text string").mapInArrow(
+        jj._pack, "cls bigint, text binary")
     pairs = spark.createDataFrame([(c, cls[0]) for c in cls[1:]], "cls bigint, pivot bigint")
     d = jj._compare(space, pairs, texts, s, "d").collect()
     assert len(d) == len(rows) - 1 and all(r.link and r.inter == 46 for r in d)

@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,6 +116,19 @@ class Space:
         return self.den * inter >= self.num * (a + b - inter)
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one: pairs and groups send them several times."""
+    z = zstandard.ZstdCompressor(level=3)
+    for b in batches:
+        raw = b.column(1).cast(pa.binary()).to_pylist()
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([z.compress(x) for x in raw], pa.binary())], names=["cls", "text"])
+
+
+def _unpack(col: pa.Array) -> pa.Array:
+    z = zstandard.ZstdDecompressor()
+    return pa.array([z.decompress(x) for x in col.to_pylist()], pa.large_binary())
+
+
 def class_hash(u: np.ndarray) -> int:
     """64-bit hash of a shingle set."""
     both = np.array([u.sum(dtype=U), np.bitwise_xor.reduce(tx.mix(u ^ U(0x5851F42D4C957F2D))), len(u)], U)
@@ -202,7 +216,7 @@ def _distances(space: Space):
             g = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
             mine = b.column(2).to_pylist()
             out = []
-            for i, u in enumerate(tx.shingle_sets(b.column(3), space.n)):
+            for i, u in enumerate(tx.shingle_sets(_unpack(b.column(3)), space.n)):
                 if mine[i] is None or g[i] != group:
                     if g[i] != group:
                         group, pivot = g[i], None
@@ -242,7 +256,7 @@ def _reslice(space: Space, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cls = b.column(0).to_pylist()
-            sets = list(tx.shingle_sets(b.column(1), space.n))
+            sets = list(tx.shingle_sets(_unpack(b.column(1)), space.n))
             keep = [i for i, u in enumerate(sets) if class_hash(u) == cls[i]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([cls[i] for i in keep], pa.int64()),
@@ -255,8 +269,8 @@ def _group_links(space: Space):
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         cls = table.column("cls").to_numpy()
-        text = table.column("text").chunk(0) if len(table) else pa.array([], pa.string())
-        sets = list(tx.shingle_sets(text, space.n))
+        text = table.column("text").chunk(0) if len(table) else pa.array([], pa.binary())
+        sets = list(tx.shingle_sets(_unpack(text), space.n))
         right = [i for i, u in enumerate(sets) if class_hash(u) == cls[i]]
         cls, sets = cls[right], [sets[i] for i in right]
         m = len(sets)
@@ -323,7 +337,8 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, t
     region = _regions(base.select("text").mapInArrow(_keys(space), "key bigint, cls bigint"), s, "regions0")
     s.free()
     texts = s.write(region.select("cls").distinct().join(classes, "cls")
-                    .join(base.withColumnRenamed("doc_id", "rep"), "rep").select("cls", "text"), "texts")
+                    .join(base.withColumnRenamed("doc_id", "rep"), "rep").where("text IS NOT NULL").select("cls", "text")
+                    .mapInArrow(_pack, "cls bigint, text binary"), "texts")
     s.free()
     links, r = None, 0
     while not region.isEmpty():
@@ -355,6 +370,7 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, t
         rest = far.join(size, "key")
         apart = rest.where(F.col("m") <= MANY).select(F.xxhash64(F.lit("far"), "key").alias("grp"), "cls", "parts")
         groups = s.write(cell.unionByName(apart), f"groups{r}")
+        s.free()
         links = comp.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
             _join_groups(space, groups, texts, s, f"found{r}"))
         large = s.write(rest.where(F.col("m") > MANY).select("key", "cls"), f"large{r}")
