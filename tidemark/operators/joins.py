@@ -146,7 +146,7 @@ def convergence(source: DataFrame, target: DataFrame, key: str, written: str, ar
     """JO14 (batch form): match each source write to its target arrival
     within ``[written, written + max_lag]``; lag in seconds.  The streaming
     form runs the same condition on two watermarked streams
-    (``tidemark.streaming.joins.match_arrivals``)."""
+    (``tidemark.streaming.windows.match_arrivals``)."""
     s = source.select(key, written)
     t = target.select(F.col(key).alias("_k"), arrived)
     cond = ((F.col(key) == F.col("_k")) & (F.col(arrived) >= F.col(written))
