@@ -70,3 +70,28 @@ def test_odd_rows(spark):
     got = run(d)
     assert {q: [a for a, _ in f] for q, f in got.items()} == {0: [1, 50], 50: [0, 1]}
     assert run(frame(spark, [])) == {} and run(frame(spark, [(0, [1.0])])) == {}
+
+
+def test_a_query_that_is_a_centroid_finds_its_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(20, 32))
+    rows = [(i, centre[i % 20] + rng.normal(size=32) * 0.3) for i in range(2000)]
+    x = pl.unit(np.array([v for _, v in rows], np.float32))
+    fit = pl.fit_centroids
+    # forty queries are centroids, each of a list of its own
+    monkeypatch.setattr(pl, "fit_centroids", lambda s, n: np.concatenate([fit(s, n), x[::50]]))
+    got, want = run(frame(spark, rows), list_size=100), brute(rows)
+    assert set(got) == set(want) and all(len(f) == 5 for f in got.values())
+    assert np.mean([len({a for a, _ in got[q]} & {a for a, _ in w}) / 5 for q, w in want.items()]) >= 0.95
+
+
+def test_queries_read_lists_until_they_own_enough():
+    rng = np.random.default_rng(7)
+    c = pl.unit(rng.normal(size=(400, 16)))
+    owned = np.zeros(400, int)
+    owned[rng.choice(400, 3, replace=False)] = 2
+    g = pl.Graph(c, 4, 2)
+    for lists in pl.choose_lists(g, c[:20], pl.Rules(), owned):
+        assert len(set(lists)) == 400  # six vectors in all: everything is read
+    owned[:] = 300
+    assert all(8 <= len(set(x)) == len(x) for x in pl.choose_lists(g, c[:20], pl.Rules(), owned))

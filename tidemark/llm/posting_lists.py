@@ -8,7 +8,9 @@ list of its nearest centroid and is replicated to others within ``1 + rim``
 of that distance, unless a chosen centroid lies nearer to them than the vector
 does.  Centroids are found by best-first search over an in-memory neighbour
 graph.  A query reads the lists whose centroid lies within ``1 + reach`` of its
-nearest one.  Lists are cut into shards of at most about ``shard`` entries and the
+nearest one, but at least its ``fewest`` nearest lists, and further ones until
+those it reads own ``enough`` vectors, or all lists are read: a query that is
+a centroid itself has no distance to multiply.  Lists are cut into shards of at most about ``shard`` entries and the
 queries of a list into parts, so no list is one task.  Scores are exact: the
 cosine of the original vectors in double precision.
 """
@@ -36,6 +38,8 @@ class Rules:
     rim: float = 0.15
     copies: int = 6            # most lists of a vector, its nearest first
     reach: float = 0.22
+    fewest: int = 8            # nearest lists that a query reads at any distance
+    enough: int = 400          # vectors that its lists own at least, without copies
     beam: int = 96             # centroids that the graph search expands
     degree: int = 16
     shard: int = 4096
@@ -49,16 +53,18 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 def fit_centroids(x: np.ndarray, n: int, rounds: int = 12, seed: int = 11) -> np.ndarray:
     """Spherical k-means; an empty or tiny cluster is started anew at a member
-    of the largest one, which keeps the lists balanced."""
+    of the largest one, which keeps the lists balanced.  The last rounds only
+    refit, so that a centroid started late can move to the mean of its members;
+    where it keeps none but itself, ``_probed`` reads the lists around."""
     rng = np.random.default_rng(seed)
     c = x[rng.choice(len(x), n, replace=False)]
-    for _ in range(rounds):
+    for turn in range(rounds):
         own = np.concatenate([np.argmax(x[i:i + 4096] @ c.T, axis=1) for i in range(0, len(x), 4096)])
         size = np.bincount(own, minlength=n)
         total = np.zeros_like(c)
         np.add.at(total, own, x)
         small = np.flatnonzero(size < max(1, len(x) // n // 8))
-        for j, big in zip(small, np.argsort(-size)):
+        for j, big in zip(small if turn < rounds - 3 else (), np.argsort(-size)):
             total[j] = x[rng.choice(np.flatnonzero(own == big))]
         norm = np.sqrt((total * total).sum(axis=1, keepdims=True))
         c = np.where(norm > 0, total / np.where(norm > 0, norm, 1), c)
@@ -103,20 +109,27 @@ def _distance(cos):
     return np.sqrt(np.maximum(0.0, 2 - 2 * cos))
 
 
-def choose_lists(graph: Graph, x: np.ndarray, r: Rules, query: bool) -> list[list[int]]:
-    """Lists of each vector (replication) or query (ratio pruning)."""
+def usual_distance(x: np.ndarray, c: np.ndarray) -> float:
+    """Tenth percentile of the distances to the nearest centroid."""
+    near = [(x[i:i + 4096] @ c.T).max(axis=1) for i in range(0, len(x), 4096)]
+    return float(np.quantile(_distance(np.concatenate(near)), 0.1)) if len(x) else 0.0
+
+
+def choose_lists(graph: Graph, x: np.ndarray, r: Rules, owned: np.ndarray | None = None, usual: float = 0.0) -> list[list[int]]:
+    """Lists of each vector (replication) or, given the number of vectors that
+    each list owns and a usual distance to the nearest centroid, of each query
+    (ratio pruning)."""
     out = []
     between = _distance(graph.c @ graph.c.T)
     for lo in range(0, len(x), 512):
         score = graph.search(x[lo:lo + 512])
         d = np.where(np.isneginf(score), np.inf, _distance(np.where(np.isneginf(score), 0, score)))
-        for row in d:
+        for i, row in enumerate(d):
             order = np.argsort(row, kind="stable")
-            limit = row[order[0]] * (1 + (r.reach if query else r.rim)) + 1e-9
-            order = order[row[order] <= limit]
-            if query:
-                out.append(order.tolist())
+            if owned is not None:
+                out.append(_probed(graph, x[lo + i], row, order, r, owned, usual))
                 continue
+            order = order[row[order] <= row[order[0]] * (1 + r.rim) + 1e-9]
             mine = [int(order[0])]
             for c in order[1:]:
                 if len(mine) >= r.copies:
@@ -127,16 +140,36 @@ def choose_lists(graph: Graph, x: np.ndarray, r: Rules, query: bool) -> list[lis
     return out
 
 
+def _probed(graph: Graph, x: np.ndarray, row: np.ndarray, order: np.ndarray, r: Rules, owned: np.ndarray, usual: float) -> list[int]:
+    """Lists a query reads.  Each vector is owned by one list, so the lists
+    hold at least as many vectors as they own together.  A query unusually
+    near to a centroid is pruned as if at the usual distance, or that of the
+    second centroid if less."""
+    wanted = max(r.enough, r.k + 1)
+
+    def least(order: np.ndarray) -> int:
+        return max(r.fewest, int(np.searchsorted(np.cumsum(owned[order]), wanted)) + 1)
+
+    n = least(order)
+    if not np.isfinite(row[order[:n]]).all():  # beyond what the search has seen
+        row = _distance(graph.c @ x)
+        order = np.argsort(row, kind="stable")
+        n = least(order)
+    base = max(row[order[0]], min(usual, row[order[min(1, len(order) - 1)]]))
+    near = int((row <= base * (1 + r.reach) + 1e-9).sum())
+    return order[:max(n, near)].tolist()
+
+
 def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def _assign(centroids: np.ndarray, dim: int, r: Rules, query: bool):
+def _assign(centroids: np.ndarray, dim: int, r: Rules, owned: np.ndarray | None = None, usual: float = 0.0):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = Graph(centroids, r.degree, r.beam)
         for b in batches:
             if b.num_rows:
-                lists = choose_lists(graph, unit(_matrix(b.column(1), dim)), r, query)
+                lists = choose_lists(graph, unit(_matrix(b.column(1), dim)), r, owned, usual)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lists, pa.list_(pa.int32()))], names=["cls", "lists"])
     return run
 
@@ -197,10 +230,14 @@ def search(vectors: DataFrame, is_query, rules: Rules = Rules()) -> DataFrame:
     x = unit(np.array([row[0] for row in sample.collect()], np.float64).reshape(-1, dim))
     lists = int(max(1, min(r.most_lists, n // r.list_size, len(x))))
     centroids = fit_centroids(x, lists)
-    placed = s.write(classes.select("cls", "embedding").mapInArrow(_assign(centroids, dim, r, False), "cls bigint, lists array<int>")
-                     .select("cls", F.explode("lists").alias("list")), "lists")
+    usual = usual_distance(x, centroids)
+    placed = s.write(classes.select("cls", "embedding").mapInArrow(_assign(centroids, dim, r), "cls bigint, lists array<int>")
+                     .select("cls", F.posexplode("lists").alias("place", "list")), "lists")
+    owned = np.zeros(len(centroids), np.int64)
+    for row in placed.where("place = 0").groupBy("list").count().collect():  # at most most_lists rows
+        owned[row["list"]] = row["count"]
     wanted = s.write(classes.select("cls", "embedding").join(ask.select("cls").distinct(), "cls", "left_semi")
-                     .mapInArrow(_assign(centroids, dim, r, True), "cls bigint, lists array<int>")
+                     .mapInArrow(_assign(centroids, dim, r, owned, usual), "cls bigint, lists array<int>")
                      .select("cls", F.explode("lists").alias("list")), "probes")
     shards = placed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / r.shard).cast("int").alias("shards"))
     parts = wanted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / r.part).cast("int").alias("parts"))
