@@ -72,3 +72,17 @@ def test_odd_rows_and_all_columns(docs_of):
     assert good.columns == d.columns
     assert [(r.doc_id, r.lang, r.kept, r.ratio) for r in good.collect()] == [(8, "en", "x", 1)]
     assert qb.score(docs_of([])).count() == 0 and qb.keep_good(docs_of([])).count() == 0
+
+
+def test_every_byte_of_a_text_longer_than_a_chunk_is_judged(docs_of):
+    rng = random.Random(9)
+    lexicon = prose(rng, 900, "etaoinshrdlu")
+    words = lambda n: (" ".join(rng.choice(lexicon) for _ in range(n)))[:n]
+    coded = lambda n: "\n".join(base64.b64encode(rng.randbytes(57)).decode() for _ in range(n // 76 + 1))[:n]
+    again = lambda n: ("the same line of a menu over and over again\n" * n)[:n]
+    good = [words(n) for n in (4000, 4097, 4200, 6000, 8100, 8191, 12_200, 100_000)]
+    bad = [words(3600) + coded(2400), words(4455) + coded(3645), words(8192) + coded(4008), words(8192) + again(4008)]
+    assert verdicts(docs_of, good) == [True] * 8
+    assert verdicts(docs_of, bad) == [False] * 4
+    r = qb.score(docs_of([(1, bad[2], None, None)])).first()
+    assert abs(r.odd_chunks - 4008 / 12_200) < 1e-12

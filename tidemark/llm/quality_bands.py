@@ -4,8 +4,10 @@ Repetitive text compresses far better than prose and random text (encoded
 binaries, key material) hardly at all.  The zstandard ratio (bytes before /
 after) of the whole document must lie inside a band that depends on its
 length, since short text always compresses badly and long text better.  The
-same holds for fixed chunks of the text: a document with too large a share of
-chunks outside the chunk band is rejected although its whole ratio is fine.
+same holds for fixed chunks of a text longer than one: a document with too
+large a share of its bytes in chunks outside the chunk band is rejected although
+its whole ratio is fine.  What remains after the last full chunk is a chunk
+too, held against the band of its own length.
 Cheap base rules (too few words, too many words inside repeated three-word
 windows) come first.
 """
@@ -105,17 +107,18 @@ def base_counts(data: np.ndarray, offs: np.ndarray):
 
 
 def ratios(raw: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple[float, float, bool]:
-    """Whole ratio, share of full chunks outside the chunk band, verdict."""
+    """Whole ratio, share of bytes in chunks outside their band, verdict."""
     if not raw:
         return 0.0, 0.0, False
     whole = len(raw) / len(packer.compress(raw))
-    odd = total = 0
-    if len(raw) >= 2 * bands.chunk:
-        for k in range(0, len(raw) - bands.chunk + 1, bands.chunk):
-            r = bands.chunk / len(packer.compress(raw[k:k + bands.chunk]))
-            odd += not bands.chunk_low <= r <= bands.chunk_high
-            total += 1
-    share = odd / total if total else 0.0
+    odd = 0
+    if len(raw) > bands.chunk:
+        for k in range(0, len(raw), bands.chunk):
+            part = raw[k:k + bands.chunk]
+            low, high = (bands.chunk_low, bands.chunk_high) if len(part) == bands.chunk else bands.limits(len(part))
+            if not low <= len(part) / len(packer.compress(part)) <= high:
+                odd += len(part)
+    share = odd / len(raw)
     low, high = bands.limits(len(raw))
     return whole, share, low <= whole <= high and share <= bands.chunk_share
 
