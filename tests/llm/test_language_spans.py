@@ -88,3 +88,21 @@ def test_odd_rows(docs_of):
     unlabelled = docs_of([(1, "some words", None, None)])
     assert [(r.lang_pred, r.score) for r in ls.split_and_identify(unlabelled).collect()] == [("und", 0.0)]
     assert ls.split_and_identify(docs_of([])).count() == 0
+
+
+def test_rare_labels_beyond_the_first_64_are_learned(docs_of):
+    rng = random.Random(11)
+    alphabet = {f"l{k:03d}": "".join(chr(0x4E00 + 8 * k + j) for j in range(8)) for k in range(150)}
+    rows = [(i, " ".join(prose(rng, 30, a)), la, None) for i, (la, a) in enumerate(itertools.chain(*[alphabet.items()] * 6))]
+    model = ls.train(docs_of([r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]))
+    known = {la for i, _, la, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert set(model.langs) == known and len(known) > 128
+    lang = {i: la for i, _, la, _ in rows}
+    got = ls.split_and_identify(docs_of(rows)).where("held_out").collect()
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in got if lang[r.doc_id] in known]) >= 0.97
+
+
+def test_sparse_counts_give_the_same_model(docs_of):
+    d = docs_of(corpus(200))
+    a, b = ls.train(d), ls.train(d, langs=3)
+    assert a.langs == b.langs and np.allclose(a.table, b.table, atol=1e-4) and (a.writes == b.writes).all()

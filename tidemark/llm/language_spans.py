@@ -2,7 +2,8 @@
 
 Training counts, per language, hashed character n-grams (1 to 4 characters,
 word edges included) and the scripts of the letters, in Spark over all the
-labelled rows, and keeps log probabilities in a table of fixed size.
+labelled rows and all their labels, and keeps log probabilities in a table with
+a fixed number of rows and a column per label.
 
 Prediction scores every word of a text for every language.  The script of a
 word narrows its candidates to languages that write it.  Viterbi decoding with
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as tx
-from .common import prepare
+from .common import Scratch, prepare
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3, 4)
@@ -42,6 +43,7 @@ RANGES = [
     (0x1F000, 0), (0x20000, 12), (0xE0000, 0),
 ]
 SCRIPTS = 14
+SLICE = 64  # languages scored at a time
 _STARTS = np.array([a for a, _ in RANGES], np.uint32)
 _SCRIPT = np.array([b for _, b in RANGES], np.int8)
 _PLANE = _SCRIPT[np.searchsorted(_STARTS, np.arange(0x10000, dtype=np.uint32), "right") - 1]
@@ -104,6 +106,29 @@ def _texts(col: pa.Array, langs: int) -> Iterator[tuple[int, int, str, np.ndarra
         yield lo, hi, " ".join(rows) + " ", np.concatenate([[0], np.cumsum([len(t) + 1 for t in rows])])
 
 
+def _sparse_counts(langs: tuple[str, ...]):
+    """``_counts`` for many labels: a chunk gives only the counts it holds."""
+    at = {x: i for i, x in enumerate(langs)}
+    width = BUCKETS + SCRIPTS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lang = b.column(1).to_pylist()
+            for lo, hi, text, offs in _texts(b.column(0), SLICE):
+                cp, script, starts, ends = words_of(text)
+                inside = script > 0
+                inside[ends] = True  # the blank after a word closes its grams
+                own = np.repeat(np.array([at[x] for x in lang[lo:hi]], np.int64), np.diff(offs))
+                use = np.flatnonzero(inside)
+                base = own[use] * width
+                keys = [base + g[use] for g in grams(cp)] + [base + BUCKETS + script[use]]
+                key, n = np.unique(np.concatenate(keys), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key // width, pa.int32()), pa.array(key % width, pa.int32()), pa.array(n, pa.int64())],
+                    names=["lang", "bucket", "n"])
+    return run
+
+
 def _counts(langs: tuple[str, ...]):
     at = {x: i for i, x in enumerate(langs)}
 
@@ -133,24 +158,37 @@ def _counts(langs: tuple[str, ...]):
 
 def train(docs: DataFrame, langs: int = 64, text: str = "text", lang: str = "lang", share: float = 0.001,
           smooth: float = 0.5) -> Model:
-    """Model of the ``langs`` most frequent labels (a bound on the size of the
-    model, which is broadcast) from all rows with a label and a text."""
+    """Model of all labels from all rows with a label and a text.  Up to
+    ``langs`` labels are counted in one table per task, more as sparse counts;
+    the driver takes the counts of ``langs`` labels at a time."""
     prepare(docs.sparkSession)
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    names = tuple(sorted(r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(langs).collect()))
+    names = tuple(sorted(r[0] for r in rows.select("lang").distinct().collect()))
     if not names:
         return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros((SCRIPTS, 0), bool))
-    sums = (rows.mapInArrow(_counts(names), "lang int, bucket int, n bigint").groupBy("lang", "bucket")
-            .agg(F.sum("n").alias("n")).toPandas())  # at most langs * (BUCKETS + SCRIPTS) rows
-    n = np.zeros((len(names), BUCKETS + SCRIPTS))
-    n[sums["lang"].to_numpy(), sums["bucket"].to_numpy()] = sums["n"].to_numpy()
-    table = n[:, :BUCKETS] + smooth
-    table = np.log(table / table.sum(axis=1, keepdims=True))
-    seen = n[:, BUCKETS:]
-    seen[:, 0] = 0
-    writes = seen > share * np.maximum(1, seen.sum(axis=1, keepdims=True))
+    few = len(names) <= langs
+    counted = rows.mapInArrow((_counts if few else _sparse_counts)(names), "lang int, bucket int, n bigint")
+    sums = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    scratch = Scratch(docs.sparkSession, "languages")
+    if not few:
+        sums = scratch.write(sums, "counts")
+    table = np.empty((len(names), BUCKETS), np.float64 if few else np.float32)
+    writes = np.empty((len(names), SCRIPTS), bool)
+    for lo in range(0, len(names), langs):
+        hi = min(lo + langs, len(names))
+        part = (sums if few else sums.where(F.col("lang").between(lo, hi - 1))).toPandas()  # at most langs * (BUCKETS + SCRIPTS) rows
+        n = np.zeros((hi - lo, BUCKETS + SCRIPTS))
+        n[part["lang"].to_numpy() - lo, part["bucket"].to_numpy()] = part["n"].to_numpy()
+        t = n[:, :BUCKETS] + smooth
+        table[lo:hi] = np.log(t / t.sum(axis=1, keepdims=True))
+        seen = n[:, BUCKETS:]
+        seen[:, 0] = 0
+        writes[lo:hi] = seen > share * np.maximum(1, seen.sum(axis=1, keepdims=True))
+    if not few:
+        scratch.drop("counts")
     # scores relative to the mean of the languages keep sums small
-    return Model(names, np.ascontiguousarray((table - table.mean(axis=0)).T, np.float32), writes.T)
+    table -= table.mean(axis=0, dtype=np.float64).astype(table.dtype)
+    return Model(names, np.ascontiguousarray(table.T, np.float32), writes.T)
 
 
 def word_scores(model: Model, cp, script, starts, ends) -> np.ndarray:
@@ -160,11 +198,15 @@ def word_scores(model: Model, cp, script, starts, ends) -> np.ndarray:
     inside = script > 0
     inside[ends] = True
     at = np.flatnonzero(inside)
-    total = np.zeros((len(at), len(model.langs)), np.float32)
-    for g in grams(cp):
-        total += np.take(model.table, g[at], axis=0)
-    # the kept positions of a word run from its start to the blank after it
-    score = np.add.reduceat(total, np.searchsorted(at, starts), axis=0).astype(np.float64) / len(ORDERS)
+    buckets, first = [g[at] for g in grams(cp)], np.searchsorted(at, starts)
+    score = np.empty((len(starts), len(model.langs)))
+    for lo in range(0, len(model.langs), SLICE):
+        part = model.table[:, lo:lo + SLICE]
+        total = np.zeros((len(at), part.shape[1]), np.float32)
+        for g in buckets:
+            total += np.take(part, g, axis=0)
+        # the kept positions of a word run from its start to the blank after it
+        score[:, lo:lo + SLICE] = np.add.reduceat(total, first, axis=0).astype(np.float64) / len(ORDERS)
     # languages that do not write the script of the word are out, if any does
     can = model.writes[script[starts]]
     some = can.any(axis=1)
