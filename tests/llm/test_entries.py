@@ -20,11 +20,14 @@ COLUMNS = {
     "op8": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op9": ["query_id", "rank", "vec_id", "score"],
     "op10": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11": ["word", "form", "root", "n", "n_near", "form_n"],
+    "op12": ["doc_id", "n_features", "weight", "score", "rank"],
+    "op13": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
 }
 
 
 def test_one_query_per_operator():
-    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{i}" for i in range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -36,7 +39,7 @@ def test_query(spark, name):
     assert rows
     if name in ORACLES:
         con = duckdb.connect()
-        for t in ("documents", "pages", "embeddings", "conversations"):
+        for t in ("documents", "pages", "embeddings", "conversations", "benchmark"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
         got = con.execute(ORACLES[name])
         names = [d[0] for d in got.description]

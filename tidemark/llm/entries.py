@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (jaccard_join, language_spans, length_buckets, posting_lists, quality_bands, quote_links, secret_scan, source_mix, tag_paths,
-               warc_index)
+from . import (jaccard_join, language_spans, length_buckets, posting_lists, quality_bands, quote_links, secret_scan, source_mix,
+               spelling_forms, tag_paths, target_resample, warc_index, winnow_prints)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -162,3 +162,77 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = language_spans.split_and_identify(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("bigint").alias("n_spans"))
+
+
+# crc32 in SQL: the table of the polynomial, then a byte at a time over hex
+CRC_TABLE = """crc_table AS MATERIALIZED (
+        SELECT list(c ORDER BY i) AS t
+        FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                                    lambda c, z: CASE WHEN c % 2 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) AS c
+              FROM range(256) r(i)))"""
+
+
+def _crc_sql(hex_: str) -> str:
+    return f"""xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+            list_transform(range(1, length({hex_}), 2), lambda i: CAST('0x' || substr({hex_}, i, 2) AS BIGINT))),
+            lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8)))"""
+
+
+LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+# near words by deletion: equal after dropping the same place of both (a
+# replacement), or one equal to the other with a place dropped
+@query("op11_spelling_tiles", f"""
+    WITH RECURSIVE {CRC_TABLE},
+    runs AS (SELECT id, run, count(*) AS m
+             FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+                          {LOWER_SQL.format("unnest(regexp_extract_all(text, '[A-Za-z\\x{00C0}-\\x{00FF}]+'))")} AS run FROM documents) GROUP BY ALL),
+    hashed AS (SELECT run, m, {_crc_sql('x')} AS h FROM (SELECT run, m, hex(encode(id || ':' || run)) AS x FROM runs), crc_table),
+    edited AS (SELECT m, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+               FROM hashed),
+    words AS (SELECT word, CAST(sum(m) AS BIGINT) AS n FROM edited WHERE length(word) >= 5 GROUP BY word HAVING sum(m) >= 3),
+    cut AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+            FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+    pairs AS (SELECT a.word AS a, b.word AS b, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+              UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+              UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+    best AS (SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, encode(b)) AS b, max(n) AS bn FROM pairs GROUP BY a),
+    forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 2 * w.n THEN b END AS form,
+                     CASE WHEN bn >= 2 * w.n THEN bn END AS form_n FROM words w LEFT JOIN best ON best.word = w.word),
+    walk AS (SELECT word, word AS at FROM forms UNION SELECT walk.word, f.form FROM walk JOIN forms f ON f.word = walk.at WHERE f.form IS NOT NULL),
+    roots AS (SELECT walk.word, walk.at AS root FROM walk JOIN forms f ON f.word = walk.at WHERE f.form IS NULL)
+    SELECT f.word, f.n, f.n_near, f.form, f.form_n, r.root FROM forms f JOIN roots r ON r.word = f.word""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_target_resample", f"""
+    WITH {CRC_TABLE},
+    texts AS (SELECT doc_id AS id, text, 0 AS side FROM documents UNION ALL SELECT item_id, text, 1 FROM benchmark),
+    rows AS (SELECT row_number() OVER () AS row, id, side, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")},
+                                                                             '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM texts),
+    feats AS (SELECT row, side, word, count(*) AS m FROM (SELECT row, side, unnest(words) AS word FROM rows) GROUP BY ALL),
+    vocab AS (SELECT word, {_crc_sql('x')} % 10000 AS bucket
+              FROM (SELECT word, hex(encode(word)) AS x FROM (SELECT DISTINCT word FROM feats)), crc_table),
+    counts AS (SELECT bucket, coalesce(sum(m) FILTER (WHERE side = 0), 0) AS s, coalesce(sum(m) FILTER (WHERE side = 1), 0) AS t
+               FROM feats JOIN vocab ON vocab.word = feats.word GROUP BY bucket),
+    gains AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * ((SELECT sum(s) FROM counts) + 10000) AS DOUBLE)
+                                            / CAST((s + 1) * ((SELECT sum(t) FROM counts) + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM counts),
+    weights AS (SELECT row, CAST(floor(sum(m * gain) / sum(m)) AS BIGINT) AS weight
+                FROM feats JOIN vocab ON vocab.word = feats.word JOIN gains ON gains.bucket = vocab.bucket WHERE side = 0 GROUP BY row),
+    scored AS (SELECT id AS doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                      coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(id AS VARCHAR), '')), 1, 8)
+                                                                       AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+               FROM rows LEFT JOIN weights ON weights.row = rows.row WHERE side = 0),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS r,
+                      n_features >= 20 AS able, count(*) FILTER (WHERE n_features >= 20) OVER () * 10 // 100 AS drawn FROM scored)
+    SELECT doc_id, n_features, weight, score, CASE WHEN able AND r <= drawn THEN r END AS rank FROM ranked""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = target_resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_winnowing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow_prints.compare_with_next(table(spark, sf_dir, "documents"))
