@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import target_resample as tr
+from tidemark.llm import textops as tx
 
 from .conftest import ODD, prose
 
@@ -60,7 +61,9 @@ def test_crc_matrices():
     rng = np.random.default_rng(1)
     for n in (1, 2, 7, 31):
         m = rng.integers(0, 256, (50, n), np.uint8)
-        assert tr.crc_matrix(m).tolist() == [zlib.crc32(r.tobytes()) for r in m]
+        assert tx.crc_matrix(m).tolist() == [zlib.crc32(r.tobytes()) for r in m]
+        before = rng.integers(0, 1 << 32, 50, np.uint32)
+        assert tx.crc_matrix(m, before).tolist() == [zlib.crc32(r.tobytes(), int(b)) for r, b in zip(m, before)]
     some = [bytes(rng.integers(0, 256, k, np.uint8)) for k in (0, 1, 1, 5, 9, 5, 3000, 1024, 1025)]
     assert tr.crc_distinct(pa.array(some, pa.large_binary())).tolist() == [zlib.crc32(x) for x in some]
     assert len(tr.crc_distinct(pa.array([], pa.large_binary()))) == 0
@@ -69,8 +72,8 @@ def test_crc_matrices():
 @pytest.mark.parametrize("order,chunk", [(1, 1 << 20), (1, 40), (3, 1 << 20), (3, 40)])
 def test_features_of_pieces(monkeypatch, order, chunk):
     """Whole texts, and long texts in pieces, have the same features."""
-    monkeypatch.setattr(tr, "CHUNK", chunk)
-    monkeypatch.setattr(tr, "text_chunks", lambda col: tr_chunks(col, chunk))
+    whole = tx.cut_chunks
+    monkeypatch.setattr(tx, "cut_chunks", lambda col, inside: whole(col, inside, chunk))
     rows = [t for _, t in texts(3, 60)] + [None, "", " ", "one", "a" * 500 + " b", "x y z " * 200]
     n_words, found = [0] * len(rows), [[] for _ in rows]
     for of_word, of_feature, crc in tr.features(pa.array(rows), order):
@@ -83,11 +86,6 @@ def test_features_of_pieces(monkeypatch, order, chunk):
         assert n == want[0] and sorted(f) == sorted(zlib.crc32(g.encode()) for g in want[1])
 
 
-def tr_chunks(col, limit):
-    from tidemark.llm.textops import text_chunks
-    return text_chunks(col, limit)
-
-
 @pytest.mark.parametrize("order,buckets", [(1, 10_000), (2, 97)])
 def test_against_brute_force(spark, docs_of, order, buckets):
     docs = texts(1, 400)

@@ -27,60 +27,31 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import textops as tx
 from .common import Scratch, prepare, running_total
-from .textops import CHUNK, lower_ascii, text_chunks
 
 BUCKETS = 10_000
 RESULTS = ("n_words", "n_features", "weight", "score", "rank")
 LONG = 1024  # features of more bytes are hashed one by one, a matrix of them would have one row
-_POLY = np.uint32(0xEDB88320)
 # bytes of words: digits, letters and all of any non-ASCII character
 _WORD = np.ones(256, bool)
 _WORD[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = False
-
-
-def _crc_table() -> np.ndarray:
-    t = np.arange(256, dtype=np.uint32)
-    for _ in range(8):
-        t = np.where(t & np.uint32(1), (t >> np.uint32(1)) ^ _POLY, t >> np.uint32(1))
-    return t
-
-
-_TABLE = _crc_table()
-
-
-def crc_matrix(rows: np.ndarray) -> np.ndarray:
-    """CRC-32 of each row of a matrix of bytes, all rows a column at a time."""
-    crc = np.full(len(rows), 0xFFFFFFFF, np.uint32)
-    for column in np.ascontiguousarray(rows.T):
-        crc = _TABLE[(crc ^ column) & np.uint32(255)] ^ (crc >> np.uint32(8))
-    return ~crc
+_INSIDE = _WORD | _WORD[tx.lower_ascii(np.arange(256, dtype=np.uint8))]  # with capitals
 
 
 def crc_distinct(features: pa.LargeBinaryArray) -> np.ndarray:
     """CRC-32 of each string of bytes, one matrix per length."""
     offs = np.frombuffer(features.buffers()[1], np.int64)[features.offset:features.offset + len(features) + 1]
     data = np.frombuffer(features.buffers()[2] or b"", np.uint8)
-    size = np.diff(offs)
-    out = np.empty(len(size), np.uint32)
-    order = np.argsort(size, kind="stable")
-    cut = np.flatnonzero(np.diff(size[order])) + 1
-    for at in np.split(order, cut) if len(order) else ():
-        n = int(size[at[0]])
+    out = np.empty(len(features), np.uint32)
+    for n, at in tx.by_length(np.diff(offs)):
         if n > LONG:
             out[at] = [zlib.crc32(data[offs[i]:offs[i + 1]]) for i in at]
         else:
-            out[at] = crc_matrix(data[offs[at][:, None] + np.arange(n)])
+            out[at] = tx.crc_matrix(data[offs[at][:, None] + np.arange(n)])
     return out
 
 
-def _spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
-    """Spans of a buffer, which may overlap, as Arrow strings."""
-    offs = np.concatenate([np.zeros(1, np.int64), np.cumsum(ends - starts)])
-    at = np.repeat(starts - offs[:-1], ends - starts) + np.arange(offs[-1])
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offs), pa.py_buffer(data[at])])
-
-
 def find_words(data: np.ndarray, offs: np.ndarray):
     """Starts and ends of the words of lower-cased rows ``offs``, and the row
     of each word."""
@@ -95,29 +66,12 @@ def find_words(data: np.ndarray, offs: np.ndarray):
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(offs, starts, "right") - 1
 
 
-def _pieces(col: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool]]:
-    """``(first row, bytes, offsets, goes on)`` of chunks of whole rows; a row
-    beyond the chunk size comes in pieces that end where a word ends."""
-    for lo, _, data, offs in text_chunks(col):
-        if len(offs) > 2 or len(data) <= 2 * CHUNK:
-            yield lo, lower_ascii(data), offs, False
-            continue
-        at = 0
-        while at < len(data):
-            end = min(at + CHUNK, len(data))
-            while end < len(data) and _WORD[lower_ascii(data[end:end + 1])[0]]:
-                window = _WORD[lower_ascii(data[end:end + CHUNK])]
-                end += len(window) if window.all() else int(window.argmin())
-            yield lo, lower_ascii(data[at:end]), np.array([0, end - at]), at > 0
-            at = end
-
-
 def features(col: pa.Array, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(rows of the words, rows of the features, crc32 of the features)`` by
     chunks; features are runs of 1 to ``order`` words, joined by a blank."""
     carry = np.zeros(0, np.uint8)  # the last order - 1 words of a row that goes on
-    for lo, data, offs, on in _pieces(col):
-        old = 0
+    for lo, data, offs, on in tx.cut_chunks(col, _INSIDE):
+        data, old = tx.lower_ascii(data), 0
         if on and len(carry):
             data = np.concatenate([carry, data])
             offs = np.array([0, len(data)])
@@ -136,7 +90,7 @@ def features(col: pa.Array, order: int) -> Iterator[tuple[np.ndarray, np.ndarray
             last = last[row[last] == row[last - k + 1]]
             if not len(last):
                 continue
-            found = _spans(joined, to[last - k + 1], to[last] + size[last]).dictionary_encode()
+            found = tx.take_spans(joined, to[last - k + 1], to[last] + size[last]).dictionary_encode()
             crcs.append(crc_distinct(found.dictionary)[found.indices.to_numpy()])
             rows.append(row[last])
         keep = order - 1

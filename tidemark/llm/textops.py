@@ -125,3 +125,54 @@ def shingle_sets(col: pa.Array, n: int) -> Iterator[np.ndarray]:
                 yield mix((words[a:b] * _POSITION[:b - a]).sum(dtype=U, keepdims=True) + U(b - a))
             else:
                 yield np.zeros(0, U)
+
+
+def cut_chunks(col: pa.Array, inside: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool]]:
+    """``(first row, bytes, offsets, goes on)`` of chunks of whole rows; a row
+    of over two chunks comes in pieces, cut at a byte that ``inside`` (a table
+    of 256) does not mark, so no word is cut."""
+    for lo, _, data, offs in text_chunks(col, limit):
+        if len(offs) > 2 or len(data) <= 2 * limit:
+            yield lo, data, offs, False
+            continue
+        at = 0
+        while at < len(data):
+            end = min(at + limit, len(data))
+            while end < len(data) and inside[data[end]]:
+                window = inside[data[end:end + limit]]
+                end += len(window) if window.all() else int(window.argmin())
+            yield lo, data[at:end], np.array([0, end - at]), at > 0
+            at = end
+
+
+def take_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """Spans of a buffer, which may overlap, as Arrow strings of bytes."""
+    offs = np.concatenate([np.zeros(1, np.int64), np.cumsum(ends - starts)])
+    at = np.repeat(starts - offs[:-1], ends - starts) + np.arange(offs[-1])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offs), pa.py_buffer(data[at])])
+
+
+def _crc_table() -> np.ndarray:
+    t = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        t = np.where(t & np.uint32(1), (t >> np.uint32(1)) ^ np.uint32(0xEDB88320), t >> np.uint32(1))
+    return t
+
+
+_CRC = _crc_table()
+
+
+def crc_matrix(rows: np.ndarray, before: np.ndarray | int = 0) -> np.ndarray:
+    """CRC-32 of each row of a matrix of bytes, all rows a column at a time;
+    ``before`` is the CRC of what comes before the row."""
+    crc = ~(np.zeros(len(rows), np.uint32) + np.asarray(before, np.uint32))
+    for column in np.ascontiguousarray(rows.T):
+        crc = _CRC[(crc ^ column) & np.uint32(255)] ^ (crc >> np.uint32(8))
+    return ~crc
+
+
+def by_length(size: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """``(length, indices)`` of the items of each length."""
+    order = np.argsort(size, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(size[order])) + 1) if len(order) else ():
+        yield int(size[at[0]]), at
