@@ -5,10 +5,12 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import spelling_forms as sp
+from tidemark.llm import textops as tx
 
 from .conftest import ODD
 
@@ -133,6 +135,24 @@ def test_words_of_texts(docs_of):
     assert plain == brute(count(rows, 0))
 
 
+@pytest.mark.parametrize("chunk,merge", [(1 << 20, 1 << 18), (16, 4)])
+def test_counts_by_chunk(monkeypatch, chunk, merge):
+    """Long texts in pieces, letters on both sides of the range, words that
+    end where a text ends."""
+    whole = tx.cut_chunks
+    monkeypatch.setattr(tx, "cut_chunks", lambda col, inside: whole(col, inside, chunk))
+    monkeypatch.setattr(sp, "MERGE", merge)
+    rng = random.Random(7)
+    bits = ["Straße", "naïve", "ÀÿÖ×÷", "¿abcde", "żółwie", "日本語words", "\U0001F600smile", "abcdef", "ABCDEF", "x" * 40, "-", "\n"]
+    rows = [(i, rng.choice(["", " ", "."]).join(rng.choice(bits) for _ in range(rng.randint(0, 30)))) for i in range(80)] + [(None, None), (7, "")]
+    n = Counter()
+    table = pa.record_batch({"id": [None if i is None else str(i) for i, _ in rows], "text": [t for _, t in rows]})
+    for b in sp._counts(5, 5)(iter([table, table.slice(3, 20)])):
+        for r in b.to_pylist():
+            n[r["word"]] += r["n"]
+    assert {w: c for w, c in n.items() if c >= 3} == count(rows + rows[3:23], 5)
+
+
 def test_roots_follow_chains(spark):
     chain = [("aaaaaa", 3), ("aaaaab", 6), ("aaaabb", 12), ("aaabbb", 24), ("aabbbb", 48), ("abbbbb", 96), ("bbbbbb", 192)]
     got = result(sp.group_variants(spark.createDataFrame(chain, "word string, n bigint")))

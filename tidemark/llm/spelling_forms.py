@@ -22,6 +22,7 @@ grow along forms, so following them ends; it is done by pointer doubling.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +30,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import textops as tx
 from .common import Scratch, prepare
 
-RUN = "[A-Za-z\\u00C0-\\u00FF]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# words are runs of [A-Za-z\u00C0-\u00FF]
+_ASCII = np.zeros(256, bool)
+_ASCII[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_INSIDE = _ASCII.copy()  # bytes at which no chunk may start
+_INSIDE[[0xC3, *range(0x80, 0xC0)]] = True
+LONG = 1024           # words of more bytes are hashed one by one
+MERGE = 1 << 18       # counted words a task holds before it merges them
 PIECES = (3, 8)       # least and most parts of a word
 TILE = 512            # words of a block
 CHARS = 1 << 20       # code points of a block
@@ -40,26 +47,86 @@ CELLS = 1 << 22       # cells of a matrix, or of a comparison, at a time
 SMALL = 32            # tiles up to this size are compared many at once
 
 
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to code points of the words: ASCII letters, and the
+    two bytes of U+00C0 to U+00FF (C3 and what follows it)."""
+    out = _ASCII[data]
+    lead = data == 0xC3
+    out |= lead
+    out[1:] |= lead[:-1]
+    return out
+
+
+def _words(data: np.ndarray, offs: np.ndarray, ids: list[bytes], every: int, min_length: int) -> pa.Array:
+    """The words of the rows ``offs`` of a chunk, as Arrow strings of bytes."""
+    data = tx.lower_ascii(data)
+    solid = _letters(data)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offs] = True
+    first, last = solid.copy(), solid.copy()
+    first[1:] &= ~solid[:-1] | edge[1:-1]
+    last[:-1] &= ~solid[1:] | edge[1:-1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    wide = np.concatenate([np.zeros(1, np.int64), np.cumsum(data == 0xC3)])
+    size = ends - starts - (wide[ends] - wide[starts])  # code points
+    keep = size >= min_length
+    starts, ends, size = starts[keep], ends[keep], size[keep]
+    if not every or not len(starts):
+        return tx.take_spans(data, starts, ends)
+    prefix = np.array([zlib.crc32(i + b":") for i in ids], np.uint32)
+    prefix = prefix[np.searchsorted(offs, starts, "right") - 1]
+    h = np.empty(len(starts), np.uint32)
+    for n, at in tx.by_length(ends - starts):
+        if n > LONG:
+            h[at] = [zlib.crc32(data[starts[i]:ends[i]], int(prefix[i])) for i in at]
+        else:
+            h[at] = tx.crc_matrix(data[starts[at][:, None] + np.arange(n)], prefix[at])
+    hit = h % np.uint32(every) == 0
+    changed = []
+    for i in np.flatnonzero(hit & (size > min_length)):
+        word, at = data[starts[i]:ends[i]].tobytes().decode(), int(h[i] % size[i])
+        changed.append((word[:at] + word[at + 1:]).encode())
+    return pa.concat_arrays([tx.take_spans(data, starts[~hit], ends[~hit]), pa.array(changed, pa.large_binary())])
+
+
+def _counts(every: int, min_length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, counted = [(i or "").encode() for i in b.column(0).to_pylist()], []
+            for lo, data, offs, _ in tx.cut_chunks(b.column(1), _INSIDE):
+                c = _words(data, offs, ids[lo:lo + len(offs) - 1], every, min_length).value_counts()
+                counted.append(pa.table({"word": c.field("values"), "n": c.field("counts")}))
+                if sum(map(len, counted)) > MERGE:
+                    counted = [_merged(counted)]
+                    if len(counted[0]) > MERGE // 2:
+                        yield from _as_words(counted.pop())
+            if counted:
+                yield from _as_words(_merged(counted))
+    return run
+
+
+def _merged(tables: list[pa.Table]) -> pa.Table:
+    t = pa.concat_tables(tables).group_by("word").aggregate([("n", "sum")])
+    return pa.table({"word": t.column("word"), "n": t.column("n_sum")})
+
+
+def _as_words(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    return iter(pa.table({"word": t.column("word").cast(pa.large_string()).cast(pa.string()), "n": t.column("n")}).to_batches(10_000))
+
+
 def count_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", every: int = 97, min_length: int = 5,
                min_count: int = 3) -> DataFrame:
     """Rows ``(word, n)``: the words of whole texts with their occurrences.
 
-    Words are maximal runs of ``RUN``, A-Z lower cased.  If ``every`` divides
+    Words are maximal runs of ``[A-Za-z\u00C0-\u00FF]``, A-Z lower cased.  If ``every`` divides
     the crc32 of ``<doc_id>:<word>`` (a null doc_id counts as empty text), the
     code point at crc32 mod length goes; ``every`` 0 leaves all words alone.
     Words of under ``min_length`` code points or ``min_count`` occurrences are
-    no words here.  Null and empty texts have none."""
-    runs = docs.select(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("id"),
-                       F.explode(F.regexp_extract_all(F.col(text), F.lit(RUN), F.lit(0))).alias("run"))
-    runs = runs.where(F.length("run") >= min_length).withColumn("run", F.translate("run", UPPER, LOWER))
-    word = F.col("run")
-    if every:
-        runs = runs.withColumn("h", F.crc32(F.concat("id", F.lit(":"), "run")))
-        at = (F.col("h") % F.length("run")).cast("int")
-        word = F.when(F.col("h") % every == 0, F.concat(F.substring("run", F.lit(1), at),
-                                                        F.substring("run", at + 2, F.length("run")))).otherwise(word)
-    return (runs.select(word.alias("word")).where(F.length("word") >= min_length)
-            .groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count))
+    no words here.  Null and empty texts have none.  Tasks count by chunk, so
+    the shuffle holds a row per distinct word of a batch, not per occurrence."""
+    rows = docs.select(F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text"))
+    return (rows.mapInArrow(_counts(every, min_length), "word string, n bigint")
+            .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count))
 
 
 def pieces(length):
