@@ -66,8 +66,12 @@ def _secret_sql() -> str:
                        unnest(list_slice(string_split_regex(t, {p}), 1, -2)) AS gap,
                        unnest(range(len(regexp_extract_all(t, {p})))) AS i
                 FROM d WHERE regexp_matches(t, {p}))) WHERE {keep}"""
-    allowed = " OR ".join(f"regexp_matches(hit, {quote(p)})" for p in secret_scan.ALLOWED if "\\1" not in p)
-    limit = " ".join(f"WHEN regexp_matches(hit, {quote(p)}) THEN {b}" for p, b in secret_scan.LIMITS if p)
+    # the allow-list and the limits told a second time
+    part = "([A-Za-z]?[a-z]{1,17}[0-9]{0,4}|[A-Z]{1,12}|[0-9]{1,4})"
+    allowed = f"""regexp_matches(hit, '^[-_/=+]*{part}([-_/=+]+{part})*[-_/=+]*$') OR regexp_matches(hit, 'EXAMPLE(KEY)?$')
+                  OR regexp_matches(hit, '^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$') OR translate(hit, '-_=+/', '') = ''"""
+    limit = """CASE WHEN regexp_full_match(hit, '[0-9]+') THEN 3.1 WHEN regexp_full_match(hit, '[0-9a-fA-F]+') THEN 3.0
+                    WHEN regexp_full_match(hit, '[a-z]+') THEN 3.6 WHEN regexp_full_match(hit, '[A-Za-z]+') THEN 3.8 ELSE 3.5 END"""
     w = secret_scan.WINDOW
     names = " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(secret_scan.KINDS))
     return f"""
@@ -81,7 +85,7 @@ def _secret_sql() -> str:
     cnt AS (SELECT doc_id, s, hit, i, ch, count(*) AS n FROM chars GROUP BY ALL),
     bits AS (SELECT doc_id, s, hit, i, -sum(n / {w}.0 * log2(n / {w}.0)) AS h FROM cnt GROUP BY ALL),
     hot AS (SELECT doc_id, s, hit FROM bits GROUP BY ALL
-            HAVING max(h) >= CASE {limit} ELSE {secret_scan.LIMITS[-1][1]} END - 1e-9),
+            HAVING max(h) >= {limit} - 1e-9),
     spans AS (SELECT doc_id, k, s, e FROM base UNION ALL SELECT doc_id, 3, s, s + length(hit) FROM hot),
     named AS (SELECT *, CASE k {names} END || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT) AS name FROM spans),
     g AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access,

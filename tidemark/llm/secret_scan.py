@@ -7,9 +7,11 @@ count of the entering and the leaving character change, and with them the sum
 of c * log2(c) from which the Shannon entropy of the window follows, so a step
 costs the same wherever it is.  The best window is held against the limit of
 the candidate's character class.  Candidates that look like an allow-listed
-form (words, paths, UUIDs, documented examples) are left alone.
+form (words, paths of words, UUIDs, documented examples) are left alone.
 
-Offsets count code points, ends are exclusive.
+Offsets count code points, ends are exclusive.  What depends on the matches
+before (offsets, covered text) is a running value over blocks of matches, so a
+text with many secrets costs in proportion to them.
 """
 
 from __future__ import annotations
@@ -31,35 +33,63 @@ WINDOW = 20
 CANDIDATE = f"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # limits in bits of the best window, by the characters of the candidate
-LIMITS = (("^[0-9]+$", 9.9), ("^[0-9a-fA-F]+$", 3.0), ("^[A-Za-z]+$", 3.8), ("", 3.5))
+LIMITS = (("^[0-9]+$", 3.1), ("^[0-9a-fA-F]+$", 3.0), ("^[a-z]+$", 3.6), ("^[A-Za-z]+$", 3.8), ("", 3.5))
+# a word with an ending number, or a short number
+_PART = "([A-Za-z]?[a-z]{1,17}[0-9]{0,4}|[A-Z]{1,12}|[0-9]{1,4})"
 ALLOWED = (
-    "^[A-Za-z]?[a-z]+([-_/=+]+[A-Za-z]?[a-z]*)*$",                              # words, hyphenated words, paths of words
-    "^/?([A-Za-z0-9_=+-]{1,19}/){2,}[A-Za-z0-9_=+-]{0,19}$",                     # paths of short parts
+    f"^[-_/=+]*{_PART}([-_/=+]+{_PART})*[-_/=+]*$",                             # hyphenated words, paths of words
     "^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",                     # UUIDs
-    "EXAMPLE|example",                                                          # documented samples
+    "EXAMPLE(KEY)?$",                                                           # documented sample keys
     "^(.)\\1+$|^[-_=+/]+$",                                                      # rules and padding
 )
+BLOCK = 256  # matches whose running values are built in one array
 SPAN = "array<struct<s:bigint,k:int,e:bigint>>"
 
 
+def running(rows: Column, zero: Column, total, add, emit, kind: str) -> Column:
+    """``emit(value before x, x)`` for each x of an array, ``value`` being
+    ``zero`` moved on by ``add(value, x)``.
+
+    Arrays that grow by a step are copied at every step; here only those of a
+    block of rows are, and one of the blocks, whose ``total(block)`` is joined
+    to a value by ``add(value, total)`` as a row is."""
+    def build(r):
+        n = F.size(r)
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")),
+                             lambda i: F.slice(r, i * BLOCK + 1, F.lit(BLOCK)))
+        return F.transform(F.array(blocks), inside)[0]
+
+    def inside(blocks):
+        begin = F.aggregate(F.transform(blocks, total), F.array(zero),
+                            lambda acc, t: F.concat(acc, F.array(add(F.element_at(acc, -1), t))))
+        start = lambda v: F.struct(v.alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+        step = lambda acc, x: F.struct(add(acc["at"], x).alias("at"),
+                                       F.concat(acc["out"], F.array(emit(acc["at"], x))).alias("out"))
+        return F.flatten(F.zip_with(blocks, F.slice(begin, F.lit(1), F.size(blocks)),
+                                    lambda b, v: F.aggregate(b, start(v), step, lambda acc: acc["out"])))
+
+    return F.when(F.size(rows) == 0, F.array().cast(f"array<{kind}>")).otherwise(F.transform(F.array(rows), build)[0])
+
+
 def _located(text: Column, pattern: str, kind: int, keep, group: int = 0) -> Column:
     """Spans of the kept matches of a pattern.  Matches and the text between
     them alternate, so the offsets are running sums of their lengths."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     inner = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    start = F.struct(F.lit(0).cast("bigint").alias("pos"), F.array().cast(SPAN).alias("out"))
-
-    def step(acc, x):
-        s = acc["pos"] + F.length(x["gap"])
-        e = s + F.length(x["hit"])
-        span = F.struct(s.alias("s"), F.lit(kind).alias("k"), e.alias("e"))
-        return F.struct(e.alias("pos"),
-                        F.when(keep(x["inner"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
-
-    rows = F.arrays_zip(gaps.alias("gap"), found.alias("hit"), inner.alias("inner"))
-    return F.when(text.rlike(pattern), F.aggregate(rows, start, step, lambda acc: acc["out"])) \
-        .otherwise(F.array().cast(SPAN))
+    rows = F.transform(F.arrays_zip(gaps.alias("gap"), found.alias("hit"), inner.alias("inner")),
+                       lambda x: F.struct(F.length(x["gap"]).cast("bigint").alias("gap"), F.length(x["hit"]).cast("bigint").alias("hit"),
+                                          keep(x["inner"]).alias("keep")))
+    nothing = F.lit(False).alias("keep")
+    spans_ = running(
+        rows, F.lit(0).cast("bigint"),
+        lambda b: F.aggregate(b, F.struct(F.lit(0).cast("bigint").alias("gap"), F.lit(0).cast("bigint").alias("hit"), nothing),
+                              lambda acc, x: F.struct((acc["gap"] + x["gap"]).alias("gap"), (acc["hit"] + x["hit"]).alias("hit"), nothing)),
+        lambda v, x: v + x["gap"] + x["hit"],
+        lambda v, x: F.struct((v + x["gap"]).alias("s"), F.lit(kind).alias("k"), (v + x["gap"] + x["hit"]).alias("e"), x["keep"].alias("keep")),
+        "struct<s:bigint,k:int,e:bigint,keep:boolean>")
+    kept = F.transform(F.filter(spans_, lambda x: x["keep"]), lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e")))
+    return F.when(text.rlike(pattern), kept).otherwise(F.array().cast(SPAN))
 
 
 def window_entropy(text: Column, window: int = WINDOW) -> Column:
@@ -125,8 +155,9 @@ def _named(found: Column) -> Column:
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every row of ``docs`` with ``secrets`` (array of spans), the counts
     ``n_assign``, ``n_access``, ``n_hex``, ``n_entropy``, ``base_sha256`` and
-    ``spans``.  Null and empty texts have no spans; the digest is then that of
-    the empty string.  Repeated rows give repeated results."""
+    ``spans``.  Columns of ``docs`` with the name of a result give way to it.
+    Null and empty texts have no spans; the digest is then that of the empty
+    string.  Repeated rows give repeated results."""
     prepare(docs.sparkSession)
     d = docs.withColumn("secrets", spans(F.col(text)))
     for i, k in enumerate(KINDS):
@@ -138,22 +169,33 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The rows of ``docs`` with every secret span of ``text`` replaced by
     ``mark`` (overlapping spans by one) and ``n_chars`` following the text;
-    texts without secrets, and nulls, stay as they are."""
+    texts without secrets, and nulls, stay as they are, and so do all other
+    columns, whatever their names."""
     prepare(docs.sparkSession)
     cols = docs.columns
-    text = F.col("text")
-    found = docs.withColumn("__secrets", spans(text))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("pos"))
-
-    def step(acc, x):
-        gap = F.substring(text, (acc["pos"] + 1).cast("int"), (x["s"] - acc["pos"]).cast("int"))
-        return F.when(x["s"] >= acc["pos"], F.struct(F.concat(acc["out"], gap, F.lit(mark)).alias("out"), x["e"].alias("pos"))) \
-            .otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["pos"], x["e"]).alias("pos")))
-
-    clean = F.aggregate("__secrets", start, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, (acc["pos"] + 1).cast("int"), F.length(text))))
-    out = found.withColumn("text", F.when(F.size("__secrets") > 0, clean).otherwise(text))
+    name = "secrets"
+    while name in cols:
+        name = f"_{name}"
+    text, found = F.col("text"), F.col(name)
+    # code points of equal width, so that a place in the text is one step away
+    wide = F.encode(text, "UTF-32")
+    # the byte order mark in front is taken off again by the decoder, and only it
+    piece = lambda b, lo, n: F.decode(F.concat(F.unhex(F.lit("0000FEFF")),
+                                               F.substring(b, (4 * lo + 1).cast("int"), (4 * n).cast("int"))), "UTF-32")
+
+    def rebuilt(b):
+        ends = lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"))
+        gaps = running(
+            found, F.lit(0).cast("bigint"),
+            lambda block: F.aggregate(block, block[0], lambda acc, x: F.when(x["e"] > acc["e"], ends(x)).otherwise(ends(acc))),
+            lambda v, x: F.greatest(v, x["e"]),
+            lambda v, x: F.struct(v.alias("lo"), (x["s"] - v).alias("n")), "struct<lo:bigint,n:bigint>")
+        kept = F.transform(F.filter(gaps, lambda g: g["n"] >= 0), lambda g: F.concat(piece(b, g["lo"], g["n"]), F.lit(mark)))
+        last = F.array_max(F.transform(found, lambda x: x["e"]))
+        return F.concat(F.array_join(kept, ""), piece(b, last, F.length(text) - last))
+
+    clean = F.when(F.size(found) > 0, F.transform(F.array(wide), rebuilt)[0]).otherwise(text)
+    out = docs.withColumn(name, spans(text)).withColumn("text", clean)
     if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.when(F.size("__secrets") > 0, F.length("text").cast("bigint"))
-                             .otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.size(found) > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
     return out.select(*cols)
