@@ -105,6 +105,32 @@ def test_odd_rows(docs_of):
     assert rows == sorted([(1, 0, 1), (2, 0, 2), (3, 0, 3), (None, 1, None), (4, 1, 4), (5, 1, 5), (5, 1, 5), (6, 1, 6)], key=str)
 
 
+def nameless_families():
+    """Twelve bases without a doc_id, each with two edited texts that are
+    linked, and texts that only rows without a doc_id have."""
+    rng, rows = random.Random(21), []
+    for k in range(12):
+        base = prose(rng, 120)
+        x, y = list(base), list(base)
+        x[30], y[90] = f"xx{k}", f"yy{k}"
+        rows += [(None, " ".join(base)), (None, " ".join(base)), (10 * k + 5, " ".join(x)), (10 * k + 2, " ".join(y))]
+        lone = prose(rng, 60)
+        rows += [(None, " ".join(lone)), (None, " ".join([*lone, "more"])), (None, " ".join(lone))]
+    return rows
+
+
+def test_texts_without_an_id_keep_their_links(docs_of):
+    rows = nameless_families()
+    d = docs_of([(i, t, None, None) for i, t in rows])
+    got = sorted((r.component_id, r.doc_id) for r in jj.link_documents(d, 4, 85, 100).collect() if r.doc_id is not None)
+    assert got == sorted((10 * k + 2, 10 * k + j) for k in range(12) for j in (2, 5))
+    kept = jj.keep_one(d.withColumn("key", F.lit("k")), 4, 85, 100)
+    assert kept.columns == [*d.columns, "key"]
+    left = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(i for i, _ in left if i is not None) == [10 * k + 2 for k in range(12)]
+    assert len({t for i, t in left if i is None}) == len([t for i, t in left if i is None]) == 12
+
+
 def test_empty_table(docs_of):
     assert jj.link_documents(docs_of([])).count() == 0
     assert jj.keep_one(docs_of([])).count() == 0

@@ -13,8 +13,10 @@ Documents of one text are one *class*; the join works on classes.
    (distance 0 to the same pivot part).  A region is (cell, slice, part).
    A class with too few filled slices for that argument also joins the
    regions of its empty slices.
-3. **Document pivots.**  In each region the class of least hash is the pivot
-   and the exact distance of every member to it is computed.  Members within
+3. **Document pivots.**  In each region the class of least hash is the pivot.
+   Each class is first compared with the least of its pivots; in regions that
+   still hold several components the exact distance of every member to the
+   pivot is computed.  Members within
    eps of it are linked to it (one component).  The cell of a pivot holds the
    classes that meet it and lie within ``CELL`` of it; by the triangle
    inequality the window up to ``CELL`` + eps is replicated to it, and of its
@@ -147,6 +149,23 @@ def _prints(space: Space):
     return run
 
 
+def _class_texts(space: Space):
+    """Texts to (class, compressed text), once per class and task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        z = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            cls, text = [], []
+            for i, u in enumerate(tx.shingle_sets(b.column(0), space.n)):
+                c = class_hash(u) if len(u) else None
+                if c is not None and c not in seen:
+                    seen.add(c)
+                    cls.append(c)
+                    text.append(z.compress(b.column(0)[i].as_py().encode()))
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(text, pa.binary())], names=["cls", "text"])
+    return run
+
+
 def _keys(space: Space):
     """Texts to the region keys of their classes, once per class and task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,23 +355,43 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, t
     # the texts are read a second time: keys on disk would be as large as they
     region = _regions(base.select("text").mapInArrow(_keys(space), "key bigint, cls bigint"), s, "regions0")
     s.free()
-    texts = s.write(region.select("cls").distinct().join(classes, "cls")
-                    .join(base.withColumnRenamed("doc_id", "rep"), "rep").where("text IS NOT NULL").select("cls", "text")
-                    .mapInArrow(_pack, "cls bigint, text binary"), "texts")
+    wanted = region.select("cls").distinct().join(classes, "cls")
+    texts = (wanted.join(base.withColumnRenamed("doc_id", "rep"), "rep").where("text IS NOT NULL").select("cls", "text")
+             .mapInArrow(_pack, "cls bigint, text binary"))
+    # a class all of whose rows lack a doc_id has its text from any of them
+    nameless = (base.where("doc_id IS NULL AND text IS NOT NULL").select("text")
+                .mapInArrow(_class_texts(space), "cls bigint, text binary")
+                .join(wanted.where("rep IS NULL").select("cls"), "cls", "left_semi")
+                .groupBy("cls").agg(F.min("text").alias("text")))
+    texts = s.write(texts.unionByName(nameless), "texts")
     s.free()
     links, r = None, 0
     while not region.isEmpty():
+        # one pivot of each class first: most regions then hold one component
         star = region.where("cls <> pivot").select("cls", "pivot").distinct()
-        dist = _compare(space, star, texts, s, f"star{r}")
+        one = _compare(space, star.groupBy("cls").agg(F.min("pivot").alias("pivot")), texts, s, f"one{r}")
         s.free()
-        found = dist.where("link").select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
+        found = one.where("link").select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
         links = found if links is None else links.unionByName(found)
+        root = components(links, s, f"one{r}").select(F.col("node").alias("cls"), "root")
+        labelled = region.join(root, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        several = labelled.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
+        # then all pairs with a pivot in the regions of several components
+        region = s.write(region.join(several, "key", "left_semi"), f"mixed{r}")
+        s.drop(*([f"regions{r}"] if r else ["regions0"]))
+        star = region.where("cls <> pivot").select("cls", "pivot").distinct()
+        known = one.join(star, ["cls", "pivot"], "left_semi")
+        rest = _compare(space, star.join(one.select("cls", "pivot"), ["cls", "pivot"], "left_anti"), texts, s, f"star{r}")
+        s.free()
+        dist = known.unionByName(rest)
+        links = links.unionByName(rest.where("link").select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
         if dist.where("NOT link").isEmpty():
             break
         comp = components(links, s, f"r{r}")
         root = comp.select(F.col("node").alias("cls"), "root")
         dist = s.write(dist.select("cls", "pivot", "n", "link", "d").join(root, "cls", "left")
                        .withColumn("root", F.coalesce("root", "cls")), f"dist{r}")
+        s.drop(f"one{r}", f"star{r}")
         # cells of pivots: outsiders, their window and the ball's rim
         near = dist.where(F.col("d") <= CELL + eps + TINY)
         rim = near.where("NOT link").groupBy("pivot").agg((F.min("d") - eps - TINY).alias("rim"))
@@ -374,6 +413,7 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, t
         links = comp.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
             _join_groups(space, groups, texts, s, f"found{r}"))
         large = s.write(rest.where(F.col("m") > MANY).select("key", "cls"), f"large{r}")
+        s.drop(f"dist{r}", f"far{r}", f"groups{r}", f"mixed{r}")
         if large.isEmpty():
             break
         r += 1
@@ -391,7 +431,7 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, t
         least = known.groupBy("root").agg(F.min("rep").alias("component_id"))
         group = known.join(least, "root").select("cls", F.col("rep").alias("class_id"), "component_id")
     group = s.write(group, "groups")
-    s.drop("texts", "regions0")
+    s.drop("texts", "regions0", "mixed0")
     return (prints.select("doc_id", "n_shingles", "cls").join(group, "cls", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
                     F.coalesce("class_id", "doc_id").alias("class_id")))
@@ -399,7 +439,22 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, t
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component,
-    with all their columns; rows without words, or without a doc_id, stay."""
-    ids = link_documents(docs.select("doc_id", "text"), n, num, den)
-    gone = ids.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    with all their columns; rows without words stay.
+
+    Rows without a doc_id come after all others (they are named by 2**62 and a
+    hash of their text, which no doc_id should reach): they go if their
+    component holds a row with one, else one of them stays."""
+    if docs.where("doc_id IS NULL").isEmpty():
+        ids = link_documents(docs.select("doc_id", "text"), n, num, den)
+        gone = ids.where("doc_id <> component_id").select("doc_id").distinct()
+        return docs.join(gone, "doc_id", "left_anti")
+    name = "key"
+    while name in docs.columns:
+        name = f"_{name}"
+    nameless = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 3)
+    rows = docs.withColumn(name, F.coalesce(F.col("doc_id").cast("bigint"), nameless))
+    ids = link_documents(rows.select(name, "text"), n, num, den, doc_id=name)
+    rows = rows.join(ids.where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct(), name, "left_anti")
+    worded = F.col("doc_id").isNull() & F.col("text").rlike("[^\\x20\\x09-\\x0D]")
+    once = rows.where(worded).dropDuplicates([name])
+    return rows.where(~F.coalesce(worded, F.lit(False))).unionByName(once).select(*docs.columns)
