@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import ml
@@ -23,6 +24,27 @@ def test_train_evaluate_predict(spark):
     assert len(p) == 20 and all(0 <= r.probability <= 1 for r in p)
 
 
+def test_one_class(spark):
+    """AUC is null without both classes, and such a training set is refused."""
+    one = spark.createDataFrame([(1, 1, 0.9), (1, 0, 0.2)], "label int, prediction int, probability double")
+    m = ml.metrics(one).first()
+    assert m.roc_auc is None and m.accuracy == 0.5 and m.log_loss > 0
+    none = ml.metrics(one.where("label = 2")).first()
+    assert none.roc_auc is None and none.accuracy is None
+    f = ml.daily_features(v_events(Tables(spark, MEDIUM)), unit=["tenant_id", "user_id"])
+    assert 0 < f.where("purchased = 1").count() < f.count()
+    with pytest.raises(ValueError, match="both classes"):
+        ml.train_logistic(f.where("purchased = 1"))
+
+
+def test_auc_against_all_pairs(spark):
+    rows = [(int(i * 7 % 5 < 2), 0, (i * 37 % 11) / 10) for i in range(200)]
+    got = ml.metrics(spark.createDataFrame(rows, "label int, prediction int, probability double")).first().roc_auc
+    pos, neg = ([p for y, _, p in rows if y == k] for k in (1, 0))
+    want = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
+    assert abs(got - want) < 1e-12
+
+
 def test_feature_info_median(spark):
     df = spark.createDataFrame([(float(x), "a" if x % 2 else None) for x in range(1, 11)], "x double, c string")
     r = {x.feature: x for x in ml.feature_info(df, ["x"], ["c"]).collect()}

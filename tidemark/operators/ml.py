@@ -1,11 +1,12 @@
 """Batch model training, evaluation and scoring on MLlib (ML1-ML6), and
 batch scoring with a primary and a fallback path (ML5).
 
-Feature rows are built with DataFrame aggregates (one row per tenant and
-day); training and scoring are MLlib pipelines, distributed over the
-feature rows.  The purchase label of the reference's model is per tenant
-and day and is visible through the event-type counts it is built from (the
-label leaks); ``daily_features(drop_leaky=True)`` removes that column.
+Feature rows are built with DataFrame aggregates (one row per unit and day,
+by default a tenant's); training and scoring are MLlib pipelines, distributed
+over the feature rows.  The purchase label of the reference's model is visible
+through the event-type counts it is built from (the label leaks);
+``daily_features(drop_leaky=True)`` removes that column.  Where every tenant
+buys something every day the label has one class, and the unit must be finer.
 """
 
 from __future__ import annotations
@@ -30,13 +31,13 @@ EVENT_TYPES = ["click", "view", "signup", "error", "purchase"]
 NUMERIC = ["events", "n_click", "n_view", "n_signup", "n_error", "amount", "active_hours"]
 
 
-def daily_features(events: DataFrame, drop_leaky: bool = True) -> DataFrame:
-    """Tenant-day feature rows and the label ``purchased`` (any purchase)."""
+def daily_features(events: DataFrame, drop_leaky: bool = True, unit: Sequence[str] = ("tenant_id",)) -> DataFrame:
+    """Feature rows per unit and day and the label ``purchased`` (any purchase)."""
     aggs = [F.count(F.lit(1)).alias("events"), F.sum("amount").alias("amount"),
             F.countDistinct(F.hour("ts")).alias("active_hours"),
             F.max((F.col("event_type") == "purchase").cast("int")).cast("double").alias("purchased")]
     aggs += [F.count_if(F.col("event_type") == t).alias(f"n_{t}") for t in EVENT_TYPES if t != "purchase"]
-    d = events.groupBy("tenant_id", "event_date").agg(*aggs)
+    d = events.groupBy(*unit, "event_date").agg(*aggs)
     d = d.withColumn("dow", F.dayofweek("event_date"))
     if not drop_leaky:
         d = d.withColumn("n_purchase_leak", F.col("purchased"))
@@ -50,12 +51,12 @@ def split(df: DataFrame, keys: Sequence[str], train_pct: int = 80) -> tuple[Data
 
 
 def with_balanced_weights(df: DataFrame, label: str = "purchased") -> DataFrame:
-    """Class weights n / (2 * n_class): each class contributes equally."""
-    n = df.select(F.count(F.lit(1))).scalar()
-    pos = df.select(F.count_if(F.col(label) == 1)).scalar()
-    w_pos = n / (pos * 2.0)
-    w_neg = n / ((n - pos) * 2.0)
-    return df.withColumn("weight", F.when(F.col(label) == 1, w_pos).otherwise(w_neg))
+    """Class weights n / (2 * n_class): each class contributes equally.
+    Rows of one class only teach nothing and are refused."""
+    n, pos = df.agg(F.count(F.lit(1)), F.count_if(F.col(label) == 1)).first()
+    if not 0 < pos < n:
+        raise ValueError(f"label {label}: {pos} of {n} rows are positive; both classes are needed")
+    return df.withColumn("weight", F.when(F.col(label) == 1, n / (pos * 2.0)).otherwise(n / ((n - pos) * 2.0)))
 
 
 def train_logistic(train: DataFrame, label: str = "purchased", numeric: Sequence[str] = NUMERIC,
@@ -70,14 +71,21 @@ def train_logistic(train: DataFrame, label: str = "purchased", numeric: Sequence
 
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str = "purchased") -> DataFrame:
-    """ML2: ROC AUC, accuracy, weighted precision and recall, f1 and log loss
-    (one row), by SQL over one pass of predictions.
+    """ML2: ``metrics`` of a model's predictions."""
+    p = F.element_at(vector_to_array(F.col("probability")), 2)
+    return metrics(model.transform(test).select(F.col(label).alias("label"), "prediction", p.alias("probability")))
+
+
+def metrics(scored: DataFrame) -> DataFrame:
+    """ROC AUC, accuracy, weighted precision and recall, f1 and log loss (one
+    row) of rows ``(label, prediction, probability)``, by SQL over one pass.
 
     The scores are histogrammed with their labels; AUC is the share of
     (positive, negative) pairs ranked right, ties half, from running sums over
-    the distinct scores, cut into ranges of the score."""
-    p = F.element_at(vector_to_array(F.col("probability")), 2)
-    pred = model.transform(test).select(F.col(label).cast("int").alias("y"), F.col("prediction").cast("int").alias("z"), p.alias("p"))
+    the distinct scores, cut into ranges of the score.  Without both classes
+    AUC is null; without rows all measures are."""
+    pred = scored.select(F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("z"),
+                         F.col("probability").cast("double").alias("p"))
     h = pred.groupBy("y", "z", "p").agg(F.count(F.lit(1)).alias("n"))
     pos, neg = F.sum(F.col("n") * F.col("y")), F.sum(F.col("n") * (1 - F.col("y")))
     scores = h.groupBy("p").agg(pos.alias("pos"), neg.alias("neg")).withColumn("cut", F.floor(F.col("p") * 1024))
@@ -85,8 +93,8 @@ def evaluate(model: PipelineModel, test: DataFrame, label: str = "purchased") ->
     cuts = cuts.select(F.col("cut").alias("c"), (F.sum("cn").over(Window.orderBy("cut")) - F.col("cn")).alias("before"))
     inside = F.sum("neg").over(Window.partitionBy("cut").orderBy("p")) - F.col("neg")
     auc = (scores.withColumn("inside", inside).join(cuts, F.col("cut") == F.col("c"))
-           .agg((F.sum(F.col("pos") * (F.col("before") + F.col("inside") + F.col("neg") / 2))
-                 / (F.sum("pos") * F.sum("neg"))).alias("roc_auc")))
+           .agg(F.try_divide(F.sum(F.col("pos") * (F.col("before") + F.col("inside") + F.col("neg") / 2)),
+                            F.sum("pos") * F.sum("neg")).alias("roc_auc")))
     q = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), F.when(F.col("y") == 1, F.col("p")).otherwise(1 - F.col("p"))))
     cell = lambda y, z: F.sum(F.when((F.col("y") == y) & (F.col("z") == z), F.col("n")).otherwise(0))
     m = h.agg(cell(1, 1).alias("tp"), cell(0, 0).alias("tn"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"),
@@ -95,9 +103,9 @@ def evaluate(model: PipelineModel, test: DataFrame, label: str = "purchased") ->
     total = tp + tn + fp + fn
     div = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
     p1, p0, r1, r0 = div(tp, tp + fp), div(tn, tn + fn), div(tp, tp + fn), div(tn, tn + fp)
-    weigh = lambda a1, a0: (a1 * (tp + fn) + a0 * (tn + fp)) / total
+    weigh = lambda a1, a0: F.try_divide(a1 * (tp + fn) + a0 * (tn + fp), total)
     f = lambda p, r: div(2 * p * r, p + r)
-    m = m.select(((tp + tn) / total).alias("accuracy"), weigh(p1, p0).alias("precision"), weigh(r1, r0).alias("recall"),
+    m = m.select(F.try_divide(tp + tn, total).alias("accuracy"), weigh(p1, p0).alias("precision"), weigh(r1, r0).alias("recall"),
                  weigh(f(p1, r1), f(p0, r0)).alias("f1"), "log_loss")
     return m.select(auc.scalar().alias("roc_auc"), "accuracy", "precision", "recall", "f1", "log_loss")
 
@@ -129,10 +137,10 @@ def feature_info(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     return out
 
 
-def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
+def predict(model: PipelineModel, features: DataFrame, keys: Sequence[str] = ("tenant_id", "event_date")) -> DataFrame:
     """ML4: label and probability of the positive class."""
     p = model.transform(features)
-    return p.select("tenant_id", "event_date", F.col("prediction").alias("predicted_label"),
+    return p.select(*keys, F.col("prediction").alias("predicted_label"),
                     F.element_at(vector_to_array(F.col("probability")), 2).alias("probability"))
 
 

@@ -115,3 +115,42 @@ def answer_fresh(spark: SparkSession, rollup_path: str, base: DataFrame, group_c
     u = old.unionByName(new)
     return (u.groupBy(*group_cols).agg(F.sum("events").alias("events"), F.sum("amount").alias("amount"),
                                        F.sum("purchases").alias("purchases")), "rollup+base")
+
+
+# ---- measures that do not add up: distinct users, percentiles ----------------
+
+HLL_BITS = 12   # relative standard error of a distinct count: 1.04 / sqrt(2 ** bits) = 1.6 %
+KLL_K = 400     # rank error of a quantile: about 0.7 % with 99 % certainty
+_SKETCHES = ("distinct_sketch", "value_sketch")
+
+
+def build_sketches(events: DataFrame, distinct: str, value: str, keys: Sequence[str] = ROLLUP_KEYS) -> DataFrame:
+    """AG36 with mergeable sketches: per rollup key a HyperLogLog of
+    ``distinct`` (any type, compared as text) and a KLL sketch of ``value``."""
+    return events.groupBy(*keys).agg(F.hll_sketch_agg(F.col(distinct).cast("string"), HLL_BITS).alias(_SKETCHES[0]),
+                                     F.kll_sketch_agg_double(F.col(value).cast("double"), KLL_K).alias(_SKETCHES[1]))
+
+
+def answer_sketches(sketches: DataFrame, group_cols: Sequence[str], ranks: dict[str, float]) -> DataFrame:
+    """AG38 for distinct counts and percentiles of a coarser grouping, from
+    ``build_sketches`` rows alone: ``distinct_count`` and one column per
+    wanted quantile.  Sketches merge in any order and partly, so a group is
+    combined map-side like a sum; the errors are those of one sketch over the
+    group's events."""
+    merged = sketches.groupBy(*group_cols).agg(F.hll_union_agg(_SKETCHES[0]).alias("_d"), F.kll_merge_agg_double(_SKETCHES[1]).alias("_v"))
+    return merged.select(*group_cols, F.hll_sketch_estimate("_d").alias("distinct_count"),
+                         *[F.kll_sketch_get_quantile_double("_v", F.lit(q)).alias(n) for n, q in ranks.items()])
+
+
+def build_presence(events: DataFrame, number: str, keys: Sequence[str] = ROLLUP_KEYS) -> DataFrame:
+    """AG36 with exact distinct counts of a whole-number id: per rollup key and
+    range of 32,768 ids a bitmap of those that occur (null ids do not)."""
+    e = events.where(F.col(number).isNotNull()).withColumn("_range", F.bitmap_bucket_number(F.col(number)))
+    return e.groupBy(*keys, "_range").agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(number))).alias("_ids"))
+
+
+def answer_presence(presence: DataFrame, group_cols: Sequence[str], name: str = "distinct_count") -> DataFrame:
+    """AG38: exact distinct counts of a coarser grouping from ``build_presence``
+    rows: bitmaps of a range are united, their bits added over the ranges."""
+    united = presence.groupBy(*group_cols, "_range").agg(F.bitmap_or_agg("_ids").alias("_ids"))
+    return united.groupBy(*group_cols).agg(F.sum(F.bitmap_count("_ids")).cast("bigint").alias(name))

@@ -37,30 +37,54 @@ def ml3(spark, sf):
     return ml.feature_info(v_events(_t(spark, sf)), ["amount", "skew_s"], ["tenant_id", "event_type"])
 
 
-def _trained(spark, sf):
-    """Features written once, and one model per table and session: ML2 and
-    ML4 use the same."""
-    kept = spark.__dict__.setdefault("_tidemark_models", {})
-    if sf not in kept:
-        path = scratch_path(spark, f"features-{uuid.uuid4().hex}")
-        ml.daily_features(v_events(_t(spark, sf))).write.parquet(path)
-        f = spark.read.parquet(path)
-        train, test = ml.split(f, ["tenant_id", "event_date"])
-        kept[sf] = (ml.train_logistic(train), f, test)
-    return kept[sf]
+KEYS = ["tenant_id", "user_id", "event_date"]
+
+
+def _features(spark, sf):
+    """User-day rows, written once per query: some of them buy and some do
+    not at every scale (of a tenant's days all may have a purchase)."""
+    path = scratch_path(spark, f"features-{uuid.uuid4().hex}")
+    ml.daily_features(v_events(_t(spark, sf)), unit=KEYS[:2]).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @register("ml2_train_evaluate")
 def ml2(spark, sf):
-    model, _, test = _trained(spark, sf)
-    return ml.evaluate(model, test)
+    train, test = ml.split(_features(spark, sf), KEYS)
+    return ml.evaluate(ml.train_logistic(train), test)
+
+
+@register("ml2b_metrics_of_predictions", """
+WITH d AS (SELECT user_id, event_date, count(*) AS events, sum(CAST(round(amount * 100) AS BIGINT)) AS cents,
+                  max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS y FROM v_events GROUP BY 1, 2),
+s AS (SELECT y, greatest(1, least(99, events * 20 + cents % 7)) / 100.0 AS p FROM d),
+z AS (SELECT y, p, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS z FROM s),
+r AS (SELECT y, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS r FROM z),
+c AS (SELECT count(*) AS n, sum(y) AS pos, count(*) FILTER (WHERE y = 1 AND z = 1) AS tp, count(*) FILTER (WHERE y = 0 AND z = 0) AS tn,
+             count(*) FILTER (WHERE y = 0 AND z = 1) AS fp, count(*) FILTER (WHERE y = 1 AND z = 0) AS fn,
+             -sum(ln(CASE WHEN y = 1 THEN p ELSE 1 - p END)) / count(*) AS log_loss FROM z),
+m AS (SELECT *, tp / (tp + fp) AS p1, tn / (tn + fn) AS p0, tp / (tp + fn) AS r1, tn / (tn + fp) AS r0 FROM c)
+SELECT round((SELECT (sum(r) FILTER (WHERE y = 1) - any_value(pos) * (any_value(pos) + 1) / 2) / (any_value(pos) * (any_value(n) - any_value(pos))) FROM r, m), 9) AS roc_auc,
+       round((tp + tn) / n, 9) AS accuracy, round((p1 * pos + p0 * (n - pos)) / n, 9) AS precision, round((r1 * pos + r0 * (n - pos)) / n, 9) AS recall,
+       round((2 * p1 * r1 / (p1 + r1) * pos + 2 * p0 * r0 / (p0 + r0) * (n - pos)) / n, 9) AS f1, round(log_loss, 9) AS log_loss FROM m""")
+def ml2b(spark, sf):
+    """ML2: the measures of written predictions; a rule of two features
+    stands for the model."""
+    path = scratch_path(spark, f"predictions-{uuid.uuid4().hex}")
+    p = F.greatest(F.lit(1), F.least(F.lit(99), F.col("events") * 20 + F.col("cents") % 7)) / 100.0
+    (v_events(_t(spark, sf)).groupBy("user_id", "event_date")
+     .agg(F.count(F.lit(1)).alias("events"), F.sum(F.round(F.col("amount") * 100).cast("bigint")).alias("cents"),
+          F.max((F.col("event_type") == "purchase").cast("int")).alias("label"))
+     .select("label", p.alias("probability"), (p > 0.5).cast("int").alias("prediction")).write.parquet(path))
+    m = ml.metrics(spark.read.parquet(path))
+    return m.select(*[F.round(c, 9).alias(c) for c in m.columns])
 
 
 @register("ml4_predict_day")
 def ml4(spark, sf):
-    model, f, _ = _trained(spark, sf)
+    f = _features(spark, sf)
     day = f.select(F.max("event_date")).scalar()
-    return ml.predict(model, f.where(F.col("event_date") == day))
+    return ml.predict(ml.train_logistic(ml.split(f, KEYS)[0]), f.where(F.col("event_date") == day), KEYS)
 
 
 @register("ml5_ticket_scoring")
@@ -75,9 +99,9 @@ def ml6(spark, sf):
     """ML6: each family's prediction for every feature row (and, for the
     factorisation, every user and item that occur)."""
     e = v_events(_t(spark, sf))
-    _, f, _ = _trained(spark, sf)
+    f = _features(spark, sf)
     num = ["events", "n_click", "n_view", "n_signup", "n_error", "active_hours"]
-    key = F.concat_ws("|", "tenant_id", "event_date").alias("row_key")
+    key = F.concat_ws("|", *KEYS).alias("row_key")
     out = [m.transform(f).select(F.lit(name).alias("model"), key, F.col("prediction").cast("double").alias("prediction"))
            for name, m in (("linear_regression", ml.train_linear(f, "amount", num)), ("kmeans", ml.train_kmeans(f, num)),
                            ("gbt_classifier", ml.train_gbt(f, "purchased", num)))]
@@ -105,6 +129,33 @@ def ag38(spark, sf):
 
 
 
+@register("ag38b_distinct_and_p99_from_rollup", """
+SELECT tenant_id, count(DISTINCT user_id) AS users, count(*) AS events, true AS users_near, true AS p50_near, true AS p99_near
+FROM v_events WHERE event_date >= DATE '2024-01-05' AND event_date < DATE '2024-01-20' GROUP BY tenant_id""")
+def ag38b(spark, sf):
+    """AG36, AG38: users and percentiles per tenant from a daily rollup.  The
+    users by bitmaps are exact; the estimates from sketches are held against
+    the events: the count within three standard errors, the share of values
+    up to a percentile within the rank error (and what ties add)."""
+    e = v_events(_t(spark, sf))
+    days = lambda d: d.where((F.col("event_date") >= F.lit(dt.date(2024, 1, 5))) & (F.col("event_date") < F.lit(dt.date(2024, 1, 20))))
+    stored = []
+    for name, r in (("presence", rollup.build_presence(e, "user_id")), ("sketches", rollup.build_sketches(e, "user_id", "amount"))):
+        path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+        r.write.partitionBy("event_date").parquet(path)
+        stored.append(days(spark.read.parquet(path)))
+    exact = rollup.answer_presence(stored[0], ["tenant_id"], "users")
+    near = rollup.answer_sketches(stored[1], ["tenant_id"], {"p50": 0.5, "p99": 0.99})
+    shares = lambda p: [F.avg((F.col("amount") < F.col(p)).cast("double")).alias(f"{p}_lo"),
+                        F.avg((F.col("amount") <= F.col(p)).cast("double")).alias(f"{p}_hi")]
+    seen = days(e).join(near, "tenant_id").groupBy("tenant_id").agg(
+        F.count(F.lit(1)).alias("events"), F.first("distinct_count").alias("guess"), *shares("p50"), *shares("p99"))
+    inside = lambda p, q: ((F.col(f"{p}_lo") <= q + 0.01) & (F.col(f"{p}_hi") >= q - 0.01)).alias(f"{p}_near")
+    return exact.join(seen, "tenant_id").select(
+        "tenant_id", "users", "events", (F.abs(F.col("guess") - F.col("users")) <= F.greatest(F.lit(1.0), 0.05 * F.col("users"))).alias("users_near"),
+        inside("p50", 0.5), inside("p99", 0.99))
+
+
 @register("pf12_unenriched_batch_pull", """
 SELECT conv_id, turn, length(text) AS n_chars
 FROM conversations WHERE role <> 'assistant' ORDER BY conv_id, turn, n_chars LIMIT 100""")
