@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import commits
+from ..keyed import KeyedTable
 from ..session import ensure_checkpoint_dir
 
 
@@ -80,20 +81,29 @@ def upsert(target_path: str, keys: Sequence[str], order: str, partition_col: str
     Per batch: the last value per key (by ``order``), merged over the
     existing rows of the affected partitions (anti-join + union) and
     committed as one replacement.  Re-running a batch gives the same table.
-    A batch whose columns differ from the table's is refused."""
+    Null keys are equal; a key that moves to another partition leaves its old
+    one, which is rewritten too.  A batch whose columns differ from the
+    table's is refused.  ``keyed_upsert`` does not rewrite the rest."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         last = batch.groupBy(*keys).agg(F.max_by(F.struct(*batch.columns), F.col(order)).alias("_r")).select("_r.*")
         cur = commits.read(spark, target_path)
-        merged = last
+        merged, emptied = last, ()
         if cur is not None:
+            gone = last.select(*[F.col(k).alias(f"__{k}") for k in keys])
+            same = F.lit(True)
+            for k in keys:
+                same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
             if partition_col:
-                # only the partitions this batch touches (semi-join: the
-                # partition values stay in the cluster)
-                cur = cur.join(last.select(partition_col).distinct(), partition_col, "left_semi")
-            merged = cur.join(last.select(*keys), list(keys), "left_anti").unionByName(last)
+                # the partitions the batch goes to, and those its keys are in
+                # (semi-joins: the rows stay in the cluster)
+                left = cur.join(gone, same, "left_semi").select(partition_col).distinct()
+                emptied = tuple(r[0] for r in left.collect())
+                both = left.union(last.select(partition_col)).distinct().withColumnRenamed(partition_col, "__part")
+                cur = cur.join(both, F.col(partition_col).eqNullSafe(F.col("__part")), "left_semi")
+            merged = cur.join(gone, same, "left_anti").unionByName(last)
         if partition_col:
-            commits.replace_partitions(merged, target_path, partition_col)
+            commits.replace_partitions(merged, target_path, partition_col, emptied)
         else:
             commits.replace(merged, target_path)
     return write
@@ -139,6 +149,42 @@ def read_deltas(spark: SparkSession, path: str, keys: Sequence[str], value: str)
     return spark.read.parquet(path).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
+def keyed_upsert(target_path: str, keys: Sequence[str], order: str, keep_newer: bool = False,
+                 rows_per_piece: int = 1_000_000) -> Callable:
+    """SO10 / SS8: ``upsert`` into a ``KeyedTable``: a batch rewrites only the
+    pieces that hold one of its keys.  With ``keep_newer`` a stored row with a
+    greater ``order`` stays, so batches may come in any order.
+    ``KeyedTable.read`` reads the table."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        KeyedTable(batch.sparkSession, target_path, keys, rows_per_piece).upsert(batch, order, order if keep_newer else None)
+    return write
+
+
+def keyed_changes(target_path: str, key: str, version: str, op: str = "op", rows_per_piece: int = 1_000_000) -> Callable:
+    """SS20: ``cdc_apply`` into a ``KeyedTable``: the latest change per key,
+    deletes as tombstones; ``read_keyed_changes`` hides them."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn(TOMBSTONES, F.coalesce(F.col(op) == "D", F.lit(False))).drop(op)
+        KeyedTable(batch.sparkSession, target_path, [key], rows_per_piece).upsert(rows, newer_by=version)
+    return write
+
+
+def read_keyed_changes(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """SS20 reader: the live rows of a ``keyed_changes`` table."""
+    return KeyedTable(spark, path, [key]).read().where(~F.col(TOMBSTONES)).drop(TOMBSTONES)
+
+
+def exactly_once_ever(target_path: str, id_col: str, rows_per_piece: int = 1_000_000) -> Callable:
+    """SO12 / SS9: every id lands once, however late a copy comes and in
+    whatever run: the landed table is its own index (key ranges and Bloom
+    filters of its pieces, then an exact look-up), so rows and index are one
+    commit.  The state grows with the table, on disk; an id without a value
+    lands once too."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        KeyedTable(batch.sparkSession, target_path, [id_col], rows_per_piece).insert_new(batch)
+    return write
+
+
 def exactly_once(target_path: str, id_col: str) -> Callable:
     """SO12: every id lands once across restarts: duplicates inside the batch
     are dropped, the batch is written into its own ``batch_id`` partition
@@ -181,7 +227,8 @@ def route(routes: dict[str, tuple[Callable[[DataFrame], DataFrame], str]]) -> Ca
 def merge_enrichment(spark: SparkSession, target_path: str, updates: DataFrame, key: str) -> None:
     """SO15: idempotent write-back of enrichment columns by key: rows of the
     target not updated are kept, updated rows replaced; a rerun with the
-    same updates leaves the same table."""
+    same updates leaves the same table.  ``KeyedTable.merge_columns`` rewrites
+    only the pieces that hold a key of the updates."""
     commits.recover(spark, target_path)
     cur = spark.read.parquet(target_path)
     upd = updates.dropDuplicates([key])
