@@ -21,6 +21,7 @@ import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -145,6 +146,11 @@ def _ts(us: int) -> pd.Timestamp:
     return pd.Timestamp(us, unit="us")
 
 
+def _whole(v) -> int | None:
+    """An id or version; null stays null."""
+    return None if pd.isna(v) else int(v)
+
+
 # ---- SS4: global window with a count trigger ---------------------------------
 
 class CountTrigger(Rule):
@@ -210,7 +216,8 @@ class DeliveryAttempts(Rule):
 class RateLimit(Rule):
     """More than ``limit`` requests in ``window_s`` from one key: the request
     is denied and (mode ``ban``) the key is banned for ``ban_s``; mode
-    ``throttle`` only denies over the limit.  Exact sliding window."""
+    ``throttle`` only denies over the limit.  Exact sliding window.  Requests
+    without a time take no part; a null id stays null."""
 
     def __init__(self, limit: int = 100, window_s: int = 60, ban_s: int = 600, mode: str = "ban",
                  ts: str = "ts", tie: str = "request_id"):
@@ -225,9 +232,9 @@ class RateLimit(Rule):
     def step(self, st, rows):
         outs = []
         recent = st["recent"]
-        for r in rows.itertuples(index=False):
+        for r in rows[rows[self.ts].notna()].itertuples(index=False):
             us = _us(getattr(r, self.ts))
-            rid = int(getattr(r, self.tie))
+            rid = _whole(getattr(r, self.tie))
             if st["ban_until"] is not None and us < st["ban_until"]:
                 outs.append({self.tie: rid, "decision": "deny", "reason": "banned"})
                 continue
@@ -250,7 +257,8 @@ class CircuitBreaker(Rule):
     open routes to the fallback; after ``cooldown_s`` one trial call goes to
     the primary (half-open): success closes, failure re-opens.  A slow
     success is not a failure.  A success in the closed state forgets the
-    failures before it, so the threshold counts failures in a row."""
+    failures before it, so the threshold counts failures in a row.  Calls
+    without a time take no part; one of unknown outcome is no failure."""
 
     def __init__(self, threshold: int = 5, window_s: int = 60, cooldown_s: int = 30,
                  ts: str = "ts", tie: str = "call_id", failed: str = "failed"):
@@ -264,10 +272,11 @@ class CircuitBreaker(Rule):
 
     def step(self, st, rows):
         outs = []
-        for r in rows.itertuples(index=False):
+        for r in rows[rows[self.ts].notna()].itertuples(index=False):
             us = _us(getattr(r, self.ts))
-            cid = int(getattr(r, self.tie))
-            bad = bool(getattr(r, self.failed))
+            cid = _whole(getattr(r, self.tie))
+            bad = getattr(r, self.failed)
+            bad = False if pd.isna(bad) else bool(bad)
             trans = None
             if st["mode"] == "open" and us - st["opened"] >= self.cool:
                 st["mode"] = "half_open"
@@ -297,11 +306,12 @@ class CircuitBreaker(Rule):
 
 class VersionedUpsert(Rule):
     """Counters and versioned upserts: a change whose ``expected_version``
-    differs from the stored version is rejected (optimistic concurrency)."""
+    differs from the stored version is rejected (optimistic concurrency), a
+    null one always; changes without a time take no part."""
 
     def __init__(self, expected: str = "expected_version", payload: str = "payload", ts: str = "ts",
                  tie: str = "change_id"):
-        self.expected, self.payload, self.tie = expected, payload, tie
+        self.expected, self.payload, self.ts, self.tie = expected, payload, ts, tie
         self.order = [ts, tie]
         self.out_schema = f"{tie} long, accepted boolean, version long, payload double"
 
@@ -310,12 +320,13 @@ class VersionedUpsert(Rule):
 
     def step(self, st, rows):
         outs = []
-        for r in rows.itertuples(index=False):
-            exp = int(getattr(r, self.expected))
-            cid = int(getattr(r, self.tie))
+        for r in rows[rows[self.ts].notna()].itertuples(index=False):
+            exp = _whole(getattr(r, self.expected))
+            cid = _whole(getattr(r, self.tie))
             if exp == st["version"]:
                 st["version"] += 1
-                st["payload"] = float(getattr(r, self.payload))
+                new = getattr(r, self.payload)
+                st["payload"] = None if pd.isna(new) else float(new)
                 outs.append({self.tie: cid, "accepted": True, "version": st["version"], "payload": st["payload"]})
             else:
                 outs.append({self.tie: cid, "accepted": False, "version": st["version"], "payload": st["payload"]})
@@ -418,71 +429,99 @@ def tail_sampling(spans: DataFrame, trace: str = "trace_id", **kw) -> DataFrame:
 class WindowFiringsProcessor(StatefulProcessor):
     """Per event-time window (the grouping key is the window start):
 
-    * every arrival re-emits the running total -- ``early`` while the
-      on-time watermark is before the window end, ``late`` after it;
+    * while the on-time watermark is before the window end, the running total
+      is emitted as ``early`` once ``early_s`` seconds of processing time have
+      passed since the first element that no firing has told yet (0: with every
+      micro-batch that brings some); a micro-batch brings the check, so the
+      trigger interval is its resolution;
     * when the on-time watermark passes the window end, the total is emitted
-      once more as ``on_time`` (an event-time timer);
-    * state is dropped when the window end is ``lateness`` behind.
+      as ``on_time`` (an event-time timer, or the first later element);
+    * elements after that re-emit it as ``late``;
+    * state is dropped when the window end is ``lateness`` behind, and so are
+      elements that come later still.
 
-    The input stream carries ``withWatermark(ts, lateness)``, so Spark keeps
-    late rows up to the allowed lateness; the on-time watermark is that
-    watermark plus the lateness.  ``accumulate=False`` emits each firing's
-    own increment instead (discarding mode)."""
+    The input stream carries ``withWatermark(ts, lateness)``; the on-time
+    watermark is that watermark plus the lateness.  ``accumulate=False`` emits
+    each firing's own increment instead (discarding mode)."""
 
-    def __init__(self, size_s: int, lateness_s: int, value: str = "value", accumulate: bool = True):
-        self.size_ms, self.late_ms, self.value, self.acc = size_s * 1000, lateness_s * 1000, value, accumulate
+    def __init__(self, size_s: int, lateness_s: int, value: str = "value", accumulate: bool = True, early_s: float = 0):
+        self.size_ms, self.late_ms, self.value, self.acc, self.early_ms = size_s * 1000, lateness_s * 1000, value, accumulate, early_s * 1000
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("w", "total double, emitted double, firing long")
+        # total so far, total told, firings, time of the first element not told
+        # (-1: none), on-time firing done
+        self.state = handle.getValueState("w", "total double, emitted double, firing long, opened long, closed boolean")
 
-    def _out(self, key, total, kind, firing):
-        return pd.DataFrame({"window_start": [key[0]], "total": [total], "kind": [kind], "firing": [firing]})
+    def _fire(self, key, st, kind):
+        total, emitted, firing, _, closed = st
+        st[:] = [total, total, firing + 1, -1, closed]
+        return pd.DataFrame({"window_start": [key[0]], "total": [total if self.acc else total - emitted], "kind": [kind],
+                             "firing": [firing + 1]})
 
     def handleInputRows(self, key, rows, timerValues):
-        add = float(sum(float(pdf[self.value].sum()) for pdf in rows))
-        start_ms = _ms(key[0])
-        end_ms = start_ms + self.size_ms
-        if self.state.exists():
-            total, emitted, firing = self.state.get()
-        else:
-            total, emitted, firing = 0.0, 0.0, 0
-            self.handle.registerTimer(end_ms - self.late_ms)   # on-time firing
-            self.handle.registerTimer(end_ms)                  # lateness over: drop state
-        total += add
-        firing += 1
-        on_time_wm = timerValues.getCurrentWatermarkInMs() + self.late_ms
-        kind = "early" if on_time_wm < end_ms else "late"
-        out = total if self.acc else total - emitted
-        self.state.update((total, total, firing))
-        yield self._out(key, out, kind, firing)
+        add = sum(float(pdf[self.value].sum()) for pdf in rows)
+        end_ms = _ms(key[0]) + self.size_ms
+        watermark = timerValues.getCurrentWatermarkInMs()
+        if watermark >= end_ms:
+            return
+        past = watermark + self.late_ms >= end_ms
+        new = not self.state.exists()
+        st = [0.0, 0.0, 0, -1, past] if new else list(self.state.get())
+        if new:
+            if not past:
+                self.handle.registerTimer(end_ms - self.late_ms)   # on-time firing
+            self.handle.registerTimer(end_ms)                      # lateness over: drop state
+        if past and not st[4]:
+            st[4] = True
+            yield self._fire(key, st, "on_time")
+        st[0] += add
+        now = timerValues.getCurrentProcessingTimeInMs()
+        if st[3] < 0:
+            st[3] = now
+        if past or now - st[3] >= self.early_ms:
+            yield self._fire(key, st, "late" if past else "early")
+        self.state.update(tuple(st))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        end_ms = _ms(key[0]) + self.size_ms
         if not self.state.exists():
             return
-        total, emitted, firing = self.state.get()
-        if expiredTimerInfo.getExpiryTimeInMs() < end_ms:
-            firing += 1
-            self.state.update((total, total, firing))
-            yield self._out(key, total if self.acc else total - emitted, "on_time", firing)
-        else:
+        if expiredTimerInfo.getExpiryTimeInMs() >= _ms(key[0]) + self.size_ms:
             self.state.clear()
+            return
+        st = list(self.state.get())
+        if not st[4]:
+            st[4] = True
+            yield self._fire(key, st, "on_time")
+            self.state.update(tuple(st))
 
     def close(self) -> None:
         pass
 
 
+def _partial_sums(value: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = pa.Table.from_batches([b]).group_by("window_start").aggregate([(value, "sum")])
+            yield from pa.table({"window_start": t.column("window_start"), value: t.column(f"{value}_sum")}).cast(b.schema).to_batches()
+    return run
+
+
 def window_firings(stream: DataFrame, ts: str, value: str, size_s: int, lateness_s: int,
-                   accumulate: bool = True) -> DataFrame:
+                   accumulate: bool = True, early_s: float = 0) -> DataFrame:
     """SS7 / SS8: early / on-time / late firings per tumbling window, accumulating or discarding (see
     ``WindowFiringsProcessor``).  ``stream`` must carry
-    ``withWatermark(ts, f"{lateness_s} seconds")``."""
+    ``withWatermark(ts, f"{lateness_s} seconds")``.
+
+    Tasks sum their rows per window and Arrow batch first, so a window's task
+    reads a row per batch of the input, and its state is the running total."""
     from pyspark.sql import functions as F
     _ = stream.sparkSession.streams.active
-    keyed = stream.select(F.window(F.col(ts), f"{size_s} seconds").start.alias("window_start"), ts, value)
+    start = F.window(F.col(ts), f"{size_s} seconds").start.alias("window_start")
+    keyed = stream.select(start, F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias(value))
+    keyed = keyed.mapInArrow(_partial_sums(value), f"window_start timestamp, `{value}` double")
     return keyed.groupBy("window_start").transformWithStateInPandas(
-        statefulProcessor=WindowFiringsProcessor(size_s, lateness_s, value, accumulate),
+        statefulProcessor=WindowFiringsProcessor(size_s, lateness_s, value, accumulate, early_s),
         outputStructType="window_start timestamp, total double, kind string, firing long",
         outputMode="Append", timeMode="EventTime")
 
