@@ -37,6 +37,17 @@ def _rename(spark: SparkSession, a: str, b: str) -> None:
         raise OSError(f"cannot rename {a} to {b}")
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, whole or not at all: under another name first."""
+    fs, target = _fs(spark, path), _path(spark, path)
+    draft = _path(spark, str(target.getParent().toString()) + f"/.{target.getName()}")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(target, False)
+    _rename(spark, draft.toString(), path)
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     fs = _fs(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(_path(spark, path)) if s.isDirectory()]

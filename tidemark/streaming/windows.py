@@ -13,12 +13,15 @@ each batch), so tests feed one file per arrival step.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from .. import commits
+
 
 def windowed_sum(stream: DataFrame, ts: str, value: Column | str, size: str, slide: str | None = None,
                  keys: Sequence[str] = (), lateness: str | None = None) -> DataFrame:
@@ -90,12 +93,20 @@ def drain(make: Callable[[DataFrame], DataFrame], source: DataFrame, flush: Call
     run_available(make(source), sink, checkpoint, mode="append")
 
 
+PROGRESS = "query_id string, run_id string, batch_id long, at string, input_rows long, watermark string"
+
+
 class ProgressRecorder(StreamingQueryListener):
     """SS22: keep each micro-batch's progress (batch id, input rows,
-    watermark) so stuck watermarks can be found with a DataFrame query."""
+    watermark) so stuck watermarks can be found with a DataFrame query.
 
-    def __init__(self):
+    With a ``path`` every report is a small file there, named by query and
+    batch, so it outlives the driver and a batch that ran again is told once;
+    ``read_progress`` reads them.  Without one they are kept in memory."""
+
+    def __init__(self, spark: SparkSession | None = None, path: str | None = None):
         self.rows: list[tuple] = []
+        self.spark, self.path = spark, path
 
     def onQueryStarted(self, event):
         pass
@@ -103,7 +114,12 @@ class ProgressRecorder(StreamingQueryListener):
     def onQueryProgress(self, event):
         p = event.progress
         wm = (p.eventTime or {}).get("watermark")
-        self.rows.append((str(p.id), int(p.batchId), p.timestamp, int(p.numInputRows), wm))
+        row = (str(p.id), str(p.runId), int(p.batchId), p.timestamp, int(p.numInputRows), wm)
+        if self.path is None:
+            self.rows.append(row)
+        else:
+            commits.put_text(self.spark, f"{self.path}/{p.id}-{p.batchId}.json",
+                             json.dumps(dict(zip((f.split()[0] for f in PROGRESS.split(", ")), row))))
 
     def onQueryIdle(self, event):
         pass
@@ -112,7 +128,12 @@ class ProgressRecorder(StreamingQueryListener):
         pass
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, "query_id string, batch_id long, at string, input_rows long, watermark string")
+        return read_progress(spark, self.path) if self.path else spark.createDataFrame(self.rows, PROGRESS)
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """SS22: the progress that ``ProgressRecorder`` wrote to ``path``."""
+    return spark.read.schema(PROGRESS).json(path)
 
 
 def stuck_watermarks(progress: DataFrame, min_batches: int = 3) -> DataFrame:

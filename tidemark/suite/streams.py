@@ -7,9 +7,11 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..keyed import KeyedTable
 from ..operators import events as ev
 from ..operators import joins, layout, rollup
 from ..operators.slo import severity_filter
@@ -19,6 +21,7 @@ from ..session import scratch_path
 from ..sources.fixtures import v_changes, v_events, v_logs, v_requests
 from ..sources.tables import Tables
 from ..streaming import io as sio
+from ..streaming import stateful as st
 from ..streaming import windows as sw
 from .events import raw_messages
 
@@ -78,6 +81,22 @@ def so10(spark, sf):
     return spark.read.parquet(run.path("t")).select(_hour(), "total", "elements")
 
 
+@register("so10b_keyed_upsert", """
+SELECT CASE WHEN user_id % 50 = 0 THEN NULL ELSE user_id END AS user_key, event_type, max(event_id) AS event_id,
+       arg_max(event_date, event_id) AS event_date, arg_max(amount, event_id) AS amount
+FROM v_events GROUP BY 1, 2""")
+def so10b(spark, sf):
+    """SO10: the latest event per user and type, some users null, keys that
+    move to other days; every slice is delivered twice and out of order."""
+    e, run = v_events(_t(spark, sf)), _Run(spark, "so10b")
+    e = e.select(F.when(F.col("user_id") % 50 != 0, F.col("user_id")).alias("user_key"), "event_type", "event_id", "event_date", "amount")
+    a, b, c = _thirds(e, "event_id")
+    run.arrive(b, a, c, a, b)
+    keys = ["user_key", "event_type"]
+    run.land(run.stream(e.schema), sio.keyed_upsert(run.path("t"), keys, "event_id", keep_newer=True))
+    return KeyedTable(spark, run.path("t"), keys).read()
+
+
 @register("so11_discarding_deltas", f"""
 SELECT event_type, CAST({CENTS} AS BIGINT) AS cents FROM v_events GROUP BY event_type""")
 def so11(spark, sf):
@@ -112,6 +131,23 @@ def so12(spark, sf):
         F.count(F.lit(1)).alias("landed"), F.countDistinct("event_id").alias("ids"))
 
 
+@register("so12b_exactly_once_ever", """
+SELECT event_type, count(*) AS landed, count(DISTINCT event_id) AS ids, CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM v_events GROUP BY event_type""")
+def so12b(spark, sf):
+    """SO12, SS9: ids delivered again by a later run that has no state of the
+    first one, with other amounts; the first delivery stays."""
+    e, run = _events(spark, sf).select("event_id", "event_type", "cents"), _Run(spark, "so12b")
+    a, b, c = _thirds(e, "event_id")
+    sink = sio.exactly_once_ever(run.path("t"), "event_id")
+    run.arrive(a, b)
+    run.land(run.stream(e.schema), sink)
+    run.arrive(a.withColumn("cents", F.lit(0).cast("bigint")), c, b, name="later")
+    run.land(run.stream(e.schema, "later"), sink, name="other")
+    return KeyedTable(spark, run.path("t"), ["event_id"]).read().groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("landed"), F.countDistinct("event_id").alias("ids"), F.sum("cents").alias("cents"))
+
+
 @register("so13_dead_letters", """
 WITH x AS (SELECT event_id, event_type,
                   CASE WHEN event_id % 97 = 0 THEN 'corrupt' WHEN event_id % 89 = 0 THEN 'missing_field'
@@ -167,6 +203,21 @@ def so15(spark, sf):
     return spark.read.parquet(run.path("t")).groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))
 
 
+@register("so15b_keyed_enrichment", """
+SELECT CASE WHEN c_custkey % 4 = 0 THEN 'vip' WHEN c_custkey % 3 = 0 THEN 'old' END AS label, count(*) AS n,
+       CAST(sum(c_custkey) AS BIGINT) AS keys FROM customer GROUP BY 1""")
+def so15b(spark, sf):
+    """SO15: labels written back into a keyed table, twice; keys that it does
+    not have are left out."""
+    c, run = _t(spark, sf).customer, _Run(spark, "so15b")
+    t = KeyedTable(spark, run.path("t"), ["c_custkey"], rows_per_piece=5_000)
+    t.upsert(c.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.lit("old")).alias("label")))
+    new = c.where(F.col("c_custkey") % 4 == 0).select("c_custkey", F.lit("vip").alias("label"))
+    for _ in range(2):
+        t.merge_columns(new.unionByName(new.select((-F.col("c_custkey")).alias("c_custkey"), "label")))
+    return t.read().groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))
+
+
 @register("so16_replay_range", f"""
 SELECT {HOUR} AS window_start, CASE WHEN ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-12' THEN 2 ELSE 1 END * {CENTS} AS total
 FROM v_events GROUP BY 1, ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-12'""")
@@ -229,6 +280,17 @@ def ss20s(spark, sf):
     return sio.read_changes(spark, run.path("t")).select("id", "version", "payload")
 
 
+@register("ss20c_keyed_changes", """
+WITH last AS (SELECT id, max(version) AS version, arg_max(op, version) AS op, arg_max(payload, version) AS payload FROM v_changes GROUP BY id)
+SELECT id, version, payload FROM last WHERE op <> 'D'""")
+def ss20c(spark, sf):
+    """SS20 into a keyed table, changes in the wrong order."""
+    c, run = v_changes(_t(spark, sf)).select("id", "version", "op", "payload"), _Run(spark, "ss20c")
+    run.arrive(*reversed(_thirds(c, "version")))
+    run.land(run.stream(c.schema), sio.keyed_changes(run.path("t"), "id", "version"))
+    return sio.read_keyed_changes(spark, run.path("t"), "id").select("id", "version", "payload")
+
+
 @register("jo8_stream_enrichment", """
 SELECT c_mktsegment AS segment, count(*) AS requests FROM v_requests LEFT JOIN customer ON c_custkey = request_id % 500 GROUP BY 1""")
 def jo8(spark, sf):
@@ -321,3 +383,180 @@ def pf4(spark, sf):
             ("limit leaves the scan", guards.limit_does_not_cut_scan(t.orderBy("amount"), 10)),
             ("aggregate is priced", _refused(lambda: guards.max_bytes_guard(t.groupBy("tenant_id").count(), 0)))]
     return spark.createDataFrame(rows, "check string, passed boolean")
+
+
+# batch in which an event arrives: early days in parts 0, 1, 3 and 4, late
+# days in 2, 3 and 5
+_PART = """CASE WHEN day(ts) <= 15 THEN CASE event_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 3 ELSE 4 END
+                ELSE CASE event_id % 4 WHEN 2 THEN 3 WHEN 3 THEN 5 ELSE 2 END END"""
+_LATE_DAYS = 10
+
+
+def _parts(e: DataFrame, run: _Run) -> None:
+    """Six arrivals, one file each, so that a micro-batch is one of them."""
+    for i in range(6):
+        run.arrive(e.where(F.expr(_PART) == i).coalesce(1))
+
+
+def _clock(before: int = 1) -> str:
+    """The clock of a batch is the latest event time up to so many batches
+    before it; ``kept`` is what is not too late by it."""
+    return f"""
+b AS (SELECT *, {_PART} AS batch, date_trunc('day', ts) AS w, CAST(round(amount * 100) AS BIGINT) AS cents FROM v_events),
+k AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND {before} PRECEDING) AS clock FROM b GROUP BY batch),
+g AS (SELECT w, b.batch, sum(cents) AS cents, count(*) AS n, any_value(date_trunc('millisecond', clock)) AS clock FROM b JOIN k ON k.batch = b.batch GROUP BY 1, 2),
+kept AS (SELECT * FROM g WHERE clock IS NULL OR clock - INTERVAL {_LATE_DAYS} DAY < w + INTERVAL 1 DAY)"""
+
+
+@register("ss7_window_firings", f"""
+WITH {_clock()},
+told AS (SELECT w, batch, 1 AS turn, CASE WHEN clock IS NULL OR clock < w + INTERVAL 1 DAY THEN 'early' ELSE 'late' END AS kind,
+                sum(cents) OVER (PARTITION BY w ORDER BY batch ROWS UNBOUNDED PRECEDING) AS total FROM kept),
+clocks AS (SELECT batch, date_trunc('millisecond', clock) AS clock FROM k UNION ALL SELECT 6, date_trunc('millisecond', max(ts)) FROM b),
+closed AS (SELECT w, min(c.batch) AS batch FROM (SELECT DISTINCT w FROM kept) JOIN clocks c ON c.clock >= w + INTERVAL 1 DAY GROUP BY w),
+on_time AS (SELECT t.w, c.batch, 0 AS turn, 'on_time' AS kind, arg_max(t.total, t.batch) AS total
+            FROM told t JOIN closed c ON c.w = t.w AND t.batch < c.batch GROUP BY 1, 2),
+x AS (SELECT * FROM told UNION ALL SELECT * FROM on_time)
+SELECT w AS window_start, kind, row_number() OVER (PARTITION BY w ORDER BY batch, turn) AS firing, CAST(total AS DOUBLE) AS total FROM x""")
+def ss7(spark, sf):
+    """SS5-SS8: early, on-time and late firings of daily windows over six
+    arrivals, ten days of allowed lateness, later elements dropped."""
+    e, run = _events(spark, sf).select("event_id", "ts", "cents"), _Run(spark, "ss7")
+    _parts(e, run)
+    s = run.stream(e.schema).withWatermark("ts", f"{_LATE_DAYS} days")
+    run.land(st.window_firings(s, "ts", "cents", 86_400, _LATE_DAYS * 86_400), sio.append_deltas(run.path("t")))
+    out = spark.read.parquet(run.path("t"))
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "kind", "firing", "total")
+
+
+@register("ss8_discarding_firings", f"""
+WITH {_clock()}
+SELECT w AS window_start, CAST(sum(cents) AS DOUBLE) AS total FROM kept GROUP BY w""")
+def ss8(spark, sf):
+    """SS8: firings of increments, appended and summed at read."""
+    e, run = _events(spark, sf).select("event_id", "ts", "cents"), _Run(spark, "ss8")
+    _parts(e, run)
+    s = run.stream(e.schema).withWatermark("ts", f"{_LATE_DAYS} days")
+    run.land(st.window_firings(s, "ts", "cents", 86_400, _LATE_DAYS * 86_400, accumulate=False), sio.append_deltas(run.path("t")))
+    return sio.read_deltas(spark, run.path("t"), [F.col("window_start").cast("timestamp_ntz").alias("window_start")], "total")
+
+
+@register("ss6_allowed_lateness", f"""
+WITH {_clock(2)} SELECT w AS window_start, CAST(sum(cents) AS BIGINT) AS total, CAST(sum(n) AS BIGINT) AS elements FROM kept GROUP BY w""")
+def ss6(spark, sf):
+    """SS5, SS6: windows corrected by elements up to ten days late.  The
+    engine drops an element by the watermark of the batch before its own."""
+    e, run = _events(spark, sf).select("event_id", "ts", "cents"), _Run(spark, "ss6")
+    _parts(e, run)
+    agg = sw.windowed_sum(run.stream(e.schema), "ts", "cents", "1 day", lateness=f"{_LATE_DAYS} days")
+    run.land(agg, sio.upsert(run.path("t"), ["window"], "elements"), mode="update")
+    return spark.read.parquet(run.path("t")).select(_hour(), "total", "elements")
+
+
+@register("ss12_recovery", """
+SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS ids FROM v_events GROUP BY event_type""")
+def ss12(spark, sf):
+    """SS12: the writer is lost after the rows of its second batch are down
+    and before the batch is committed; a second run goes on."""
+    e, run = _events(spark, sf).select("event_id", "event_type"), _Run(spark, "ss12")
+    run.arrive(*_thirds(e, "event_id"))
+    put, lost = sio.append_deltas(run.path("t")), []
+
+    def once_lost(batch, batch_id):
+        put(batch, batch_id)
+        if batch_id == 1 and not lost:
+            lost.append(batch_id)
+            raise OSError("writer lost")
+
+    try:
+        run.land(run.stream(e.schema), once_lost)
+    except StreamingQueryException:
+        run.land(run.stream(e.schema), once_lost)
+    return spark.read.parquet(run.path("t")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"))
+
+
+@register("ss21_second_output", f"""
+WITH good AS (SELECT * FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0 AND event_id % 79 <> 0)
+SELECT 'rows' AS output, CAST(NULL AS TIMESTAMP) AS window_start, event_type, count(*) AS n FROM good GROUP BY event_type
+UNION ALL SELECT 'counts', date_trunc('day', ts), event_type, count(*) FROM good GROUP BY 2, 3""")
+def ss21(spark, sf):
+    """SS21: daily counts by type as second output of the batches that land
+    the parsed rows."""
+    m, run = raw_messages(_t(spark, sf)).select("msg_id", "raw"), _Run(spark, "ss21")
+    run.arrive(*_thirds(m, "msg_id"))
+
+    def counts(parsed, batch_id):
+        day = F.date_trunc("day", F.col("event_time")).cast("timestamp_ntz").alias("window_start")
+        sio.append_deltas(run.path("counts"))(parsed.where(F.col("error").isNull()).groupBy(day, "event_type")
+                                              .agg(F.count(F.lit(1)).alias("n")), batch_id)
+
+    run.land(run.stream(m.schema), sio.parse_and_route(run.path("good"), run.path("dead"), ev.parse_events, extra=counts))
+    rows = spark.read.parquet(run.path("good")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    seen = sio.read_deltas(spark, run.path("counts"), ["window_start", "event_type"], "n")
+    return (rows.select(F.lit("rows").alias("output"), F.lit(None).cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+            .unionByName(seen.select(F.lit("counts").alias("output"), "window_start", "event_type", "n")))
+
+
+@register("ss22_progress_table", f"""
+WITH s AS (SELECT ts, CASE WHEN day(ts) <= 10 THEN 0 WHEN day(ts) <= 20 THEN 1 ELSE 4 END AS batch FROM v_events
+           UNION ALL SELECT ts, 2 FROM v_events WHERE day(ts) <= 20 AND event_id % 2 = 0
+           UNION ALL SELECT ts, 3 FROM v_events WHERE day(ts) <= 20 AND event_id % 2 = 1),
+c AS (SELECT batch, count(*) AS input_rows, max(ts) AS latest FROM s GROUP BY batch),
+w AS (SELECT batch, input_rows, date_trunc('millisecond', max(latest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) - INTERVAL 1 HOUR AS m FROM c)
+SELECT CAST(batch AS BIGINT) AS batch_id, input_rows, coalesce(m, TIMESTAMP '1970-01-01') AS watermark, batch IN (3, 4) AS stuck FROM w""")
+def ss22(spark, sf):
+    """SS22: progress kept as a table; two redeliveries leave the watermark
+    where it was, and the detector tells the batches."""
+    e, run = _events(spark, sf).select("event_id", "ts", "cents"), _Run(spark, "ss22")
+    day = F.dayofmonth("ts")
+    again = e.where(day <= 20)
+    for part in (e.where(day <= 10), e.where((day > 10) & (day <= 20)), again.where("event_id % 2 = 0"), again.where("event_id % 2 = 1"),
+                 e.where(day > 20)):
+        run.arrive(part.coalesce(1))
+    recorder = sw.ProgressRecorder(spark, run.path("progress"))
+    spark.streams.addListener(recorder)
+    try:
+        agg = sw.windowed_sum(run.stream(e.schema), "ts", "cents", "1 hour", lateness="1 hour")
+        run.land(agg, sio.append_deltas(run.path("t")))
+        spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(recorder)
+    seen = sw.read_progress(spark, run.path("progress")).where("input_rows > 0")
+    still = sw.stuck_watermarks(seen, 2).select(F.col("query_id").alias("q"), "from_batch", "to_batch")
+    near = (F.col("query_id") == F.col("q")) & F.col("batch_id").between(F.col("from_batch"), F.col("to_batch"))
+    return seen.join(still, near, "left").select(
+        "batch_id", "input_rows", F.col("watermark").cast("timestamp").cast("timestamp_ntz").alias("watermark"),
+        F.col("q").isNotNull().alias("stuck"))
+
+
+@register("so9_expire_partitions", """
+SELECT event_date, count(*) AS events FROM v_events WHERE event_date >= DATE '2024-01-11' GROUP BY event_date""")
+def so9(spark, sf):
+    """SO9: day partitions more than 20 days older than January 31 go."""
+    path = _Run(spark, "so9").path("t")
+    layout.write_partitioned(v_events(_t(spark, sf)), path, "event_date", cluster=["tenant_id"])
+    sio.expire_partitions(spark, path, "event_date", "2024-01-31", 20)
+    return spark.read.parquet(path).groupBy("event_date").agg(F.count(F.lit(1)).alias("events"))
+
+
+@register("so18_fan_out", """
+SELECT c AS consumer, event_type, count(*) AS events, count(DISTINCT event_id) AS ids FROM v_events, (VALUES ('billing'), ('fraud'), ('late')) t(c) GROUP BY 1, 2""")
+def so18(spark, sf):
+    """SO18: three consumers, one of them subscribed after the others had read
+    everything; each sees every message once."""
+    e, run = _events(spark, sf).select("event_id", "event_type"), _Run(spark, "so18")
+    tag = uuid.uuid4().hex
+
+    def consume(*names):
+        sinks = {f"{n}-{tag}": sio.append_deltas(run.path(n)) for n in names}
+        for q in sio.fan_out(run.stream(e.schema), sinks, run.path("ck")):
+            q.awaitTermination()
+
+    a, b, c = _thirds(e, "event_id")
+    run.arrive(a, b)
+    consume("billing", "fraud")
+    run.arrive(c)
+    consume("billing", "fraud", "late")
+    out = [spark.read.parquet(run.path(n)).select(F.lit(n).alias("consumer"), "event_type", "event_id") for n in ("billing", "fraud", "late")]
+    return out[0].unionByName(out[1]).unionByName(out[2]).groupBy("consumer", "event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids"))
