@@ -106,3 +106,23 @@ def test_sparse_counts_give_the_same_model(docs_of):
     d = docs_of(corpus(200))
     a, b = ls.train(d), ls.train(d, langs=3)
     assert a.langs == b.langs and np.allclose(a.table, b.table, atol=1e-4) and (a.writes == b.writes).all()
+
+
+def test_letters_are_unicode_letters(docs_of):
+    """Digits, marks and signs of any script make no word, letters of any
+    block do, and marks stay inside their words."""
+    import sys
+    import unicodedata
+    kind = [unicodedata.category(chr(i)) for i in range(sys.maxunicode + 1)]
+    for i in itertools.chain(range(0x3000), range(0xA000, 0xAC00), range(0xF900, 0x11000)):
+        if kind[i] == "Cs":
+            continue
+        _, _, starts, ends = ls.words_of(f"{chr(i)} ")
+        assert (len(starts) == 1) == (kind[i][0] == "L"), hex(i)
+    marks = "\u0301"
+    for text, words in ((f"a{marks}b {marks} c", 2), ("\u0939\u093f\u0928\u094d\u0926\u0940", 1), ("\u0966\u0967 \u0e51", 0), (f"{marks}{marks}", 0)):
+        cp, script, starts, ends = ls.words_of(text + " ")
+        assert len(starts) == words and ((script > 0).sum() == (ends - starts).sum())
+    model = ls.train(docs_of(corpus(100)))
+    rows = [(1, "\u0966\u0967\u0968\u0969", None, None), (2, "\u0e51\u0e52\u0e53", None, None), (3, marks * 3, None, None), (4, "12 \u0660 -", None, None)]
+    assert [(r.lang_pred, r.score) for r in ls.identify(docs_of(rows), model).collect()] == [("und", 0.0)] * 4

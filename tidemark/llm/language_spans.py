@@ -13,6 +13,7 @@ with most letters in its spans is that of the text.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from .common import Scratch, prepare
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3, 4)
 # fixed values: first code points of script ranges and the script's number
-# (0: no letter); Latin 1, Greek 2, Cyrillic 3, Armenian 4, Hebrew 5, Arabic 6,
+# (0: none of these); Latin 1, Greek 2, Cyrillic 3, Armenian 4, Hebrew 5, Arabic 6,
 # Indic 7, Thai and Lao 8, Georgian 9, Hangul 10, Kana 11, Han 12, other 13
 RANGES = [
     (0x0000, 0), (0x0041, 1), (0x005B, 0), (0x0061, 1), (0x007B, 0), (0x00AA, 1), (0x00AB, 0), (0x00B5, 1), (0x00B6, 0),
@@ -44,21 +45,19 @@ RANGES = [
 ]
 SCRIPTS = 14
 SLICE = 64  # languages scored at a time
-_STARTS = np.array([a for a, _ in RANGES], np.uint32)
-_SCRIPT = np.array([b for _, b in RANGES], np.int8)
-_PLANE = _SCRIPT[np.searchsorted(_STARTS, np.arange(0x10000, dtype=np.uint32), "right") - 1]
+# letters are the code points of the Unicode categories L*, whatever their
+# block; marks (M*) go on with a word and do not make one
+_KIND = np.array([{"L": 2, "M": 1}.get(unicodedata.category(chr(i))[0], 0) for i in range(0x110000)], np.int8)
+_SCRIPT = np.array([b for _, b in RANGES], np.int8)[np.searchsorted([a for a, _ in RANGES], np.arange(0x110000), "right") - 1]
+_SCRIPT = np.where(_KIND > 0, np.where(_SCRIPT > 0, _SCRIPT, 13), 0).astype(np.int8)
 _LOWER = np.array([ord(c.lower()) if len(c.lower()) == 1 else i for i, c in enumerate(map(chr, range(0x10000)))
                    ], np.uint32)
 U32 = np.uint32
 
 
 def script_of(cp: np.ndarray) -> np.ndarray:
-    out = _PLANE[np.minimum(cp, 0xFFFF)]
-    high = cp >= 0x10000
-    if high.any():
-        out = out.copy()
-        out[high] = _SCRIPT[np.searchsorted(_STARTS, cp[high], "right") - 1]
-    return out
+    """Script of letters and marks, 0 for everything else."""
+    return _SCRIPT[cp]
 
 
 @dataclass(frozen=True)
@@ -74,17 +73,27 @@ class Model:
 def words_of(text: str):
     """Code points in lower case, word bounds and grams of a text.
 
-    Words are runs of letters; grams are hashed with the characters before a
-    position, the edge of a word counting as a blank."""
+    Words are runs of letters and marks that hold a letter; grams are hashed
+    with the characters before a position, the edge of a word counting as a
+    blank."""
     cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), U32)
     low = cp < 0x10000
     cp = np.where(low, _LOWER[np.where(low, cp, 0)], cp).astype(U32)
     script = script_of(cp)
-    letter = script > 0
-    pad = np.concatenate([[False], letter, [False]])
+    solid = script > 0
+    pad = np.concatenate([[False], solid, [False]])
     starts = np.flatnonzero(pad[1:-1] & ~pad[:-2])
     ends = np.flatnonzero(pad[1:-1] & ~pad[2:]) + 1
-    return np.where(letter, cp, U32(32)).astype(U32), script, starts, ends
+    letters = np.concatenate([[0], np.cumsum(_KIND[cp] == 2)])
+    real = letters[ends] > letters[starts]
+    if not real.all():  # marks alone
+        bare = np.zeros(len(cp) + 1, np.int8)
+        bare[starts[~real]] += 1
+        bare[ends[~real]] -= 1
+        solid &= np.cumsum(bare[:-1]) == 0
+        script = np.where(solid, script, 0)
+        starts, ends = starts[real], ends[real]
+    return np.where(solid, cp, U32(32)).astype(U32), script, starts, ends
 
 
 def grams(cp: np.ndarray) -> list[np.ndarray]:
@@ -172,7 +181,7 @@ def train(docs: DataFrame, langs: int = 64, text: str = "text", lang: str = "lan
     scratch = Scratch(docs.sparkSession, "languages")
     if not few:
         sums = scratch.write(sums, "counts")
-    table = np.empty((len(names), BUCKETS), np.float64 if few else np.float32)
+    table = np.empty((len(names), BUCKETS), np.float32)
     writes = np.empty((len(names), SCRIPTS), bool)
     for lo in range(0, len(names), langs):
         hi = min(lo + langs, len(names))
