@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import regeneration as rg
+from tidemark.operators.sequence import carry_within
 from tidemark.streaming import stateful as st
 
 START = dt.datetime(2024, 1, 1)
@@ -109,7 +110,7 @@ def test_nulls_in_the_rules(spark):
 def test_carry_within(spark):
     rows = [("k", h, i, v) for h, i, v in [(0, 1, 5), (0, 2, None), (1, 3, None), (3, 4, 7), (3, 5, None), (5, 6, 8)]]
     df = spark.createDataFrame(rows, "k string, h int, i int, v int")
-    back = rg.carry_within(df, ["k"], ["i"], F.col("v"), F.col("h"), "c").orderBy("i").collect()
+    back = carry_within(df, ["k"], ["i"], F.col("v"), F.col("h"), "c").orderBy("i").collect()
     assert [r.c for r in back] == [None, 5, 5, 5, 7, 7]
-    ahead = rg.carry_within(df, ["k"], ["i"], F.col("v"), F.col("h"), "c", following=True).orderBy("i").collect()
+    ahead = carry_within(df, ["k"], ["i"], F.col("v"), F.col("h"), "c", following=True).orderBy("i").collect()
     assert [r.c for r in ahead] == [7, 7, 7, 8, 8, None]

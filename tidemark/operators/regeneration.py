@@ -21,32 +21,12 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import delete_path, scratch_path
 from ..streaming.stateful import CircuitBreaker, RateLimit, Rule
-from .sequence import prev_within, running_sum, time_bucket
-
-
-def carry_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, bucket: Column, name: str,
-                 following: bool = False) -> DataFrame:
-    """Add ``name``: the last non-null ``value`` on the rows of the key before
-    this one (``following``: the first on the rows after it), split by a
-    bucket that does not decrease along ``order``."""
-    d = df.withColumn("_bkt", bucket).withColumn("_val", value)
-    turn = (lambda c: F.col(c).desc()) if following else (lambda c: F.col(c).asc())
-    inside = Window.partitionBy(*keys, "_bkt").orderBy(*map(turn, order)).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_in", F.last("_val", ignorenulls=True).over(inside))
-    ends = d.where(F.col("_val").isNotNull()).groupBy(*keys, "_bkt").agg(
-        (F.min_by if following else F.max_by)("_val", F.struct(*order)).alias("_end"))
-    # every bucket of the key looks at the buckets before it
-    every = d.select(*keys, "_bkt").distinct().join(ends.select(*[F.col(k).alias(f"_r{k}") for k in [*keys, "_bkt"]], "_end"),
-                                                    _same([*keys, "_bkt"]), "left")
-    across = Window.partitionBy(*keys).orderBy(turn("_bkt")).rowsBetween(Window.unboundedPreceding, -1)
-    every = every.select(*[F.col(k).alias(f"_r{k}") for k in [*keys, "_bkt"]], F.last("_end", ignorenulls=True).over(across).alias("_carry"))
-    d = d.join(every, _same([*keys, "_bkt"]), "left").withColumn(name, F.coalesce("_in", "_carry"))
-    return d.drop("_bkt", "_val", "_in", "_carry", *[f"_r{k}" for k in [*keys, "_bkt"]])
+from .sequence import carry_within, prev_within, running_sum, time_bucket
 
 
 def _same(cols: Sequence[str]) -> Column:

@@ -8,6 +8,8 @@ work inside ``(key, bucket)``, and repair the bucket boundaries with a small
 per-bucket summary table (one row per key and bucket).  The result is exact.
 
 * ``prev_within``  -- LAG over a key, bucket-split.
+* ``carry_within`` -- the last non-null value before a row, or the first after
+  it, bucket-split.
 * ``rank_values``  -- exact k-th smallest value per group: the values are cut
   into ranges by a quantile sketch, and only the ranges that hold a wanted
   rank are ordered.
@@ -82,6 +84,26 @@ def prev_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
     return d.drop(b, "_is_first", "_carry", "_rn", "_rows")
 
 
+def carry_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, bucket: Column, name: str,
+                 following: bool = False) -> DataFrame:
+    """Add ``name``: the last non-null ``value`` on the rows of the key before
+    this one (``following``: the first on the rows after it), split by a
+    bucket that does not decrease along ``order``."""
+    keys = list(keys)
+    d = df.withColumn("_bkt", bucket).withColumn("_val", value)
+    turn = (lambda c: F.col(c).desc()) if following else (lambda c: F.col(c).asc())
+    inside = Window.partitionBy(*keys, "_bkt").orderBy(*map(turn, order)).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_in", F.last("_val", ignorenulls=True).over(inside))
+    # one row per bucket: its value nearest to the buckets that look at it
+    nearest = F.min_by if following else F.max_by
+    at = F.when(F.col("_val").isNotNull(), F.struct(*order))
+    ends = d.groupBy(*keys, "_bkt").agg(nearest("_val", at).alias("_end"))
+    across = Window.partitionBy(*keys).orderBy(turn("_bkt")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(*keys, "_bkt", F.last("_end", ignorenulls=True).over(across).alias("_carry"))
+    d = _join_back(d, carry, [*keys, "_bkt"])
+    return d.withColumn(name, F.coalesce("_in", "_carry")).drop("_bkt", "_val", "_in", "_carry")
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, bucket: Column,
                 name: str = "running") -> DataFrame:
     """Running ``sum(value)`` per key along ``order`` (inclusive of the
