@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sequence import carry_within
 from .common import Scratch, prepare, running_total
 
 _MARK = re.compile(r"^[ \t]*((?:>[ \t]?)+)")
-# lines that announce a quote
+# lines that announce a quote: up to 80 characters and a verb of saying in one
+# of four languages, or "On ... wrote:"; longer lines are text of the message
 _SAYS = re.compile(r"^\s*(on\b.*\bwrote:|.{0,80}\b(wrote|writes|said|schrieb|escribió|a écrit)\s*:)\s*$", re.I)
 _SPACE = re.compile(r"\s+")
-SLOT = 1000  # turns of a conversation that one task numbers together
+SLOT = 1000  # turns, or steps of a thread, that one task handles together
 
 
 def levels(text: str) -> list[tuple[int, str]]:
@@ -144,10 +146,14 @@ def link_quotes(chats: DataFrame) -> DataFrame:
               .select("conv_id", "turn", "q.run", "q.level", "q.hash", "q.chars").distinct())
     written = rows.where("turn IS NOT NULL").select(F.col("conv_id").alias("c"), F.col("turn").alias("from"),
                                                     F.explode("own_hashes").alias("h")).distinct()
-    hits = s.write(quoted.join(written, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("hash") == F.col("h"))
-                               & (F.col("from") < F.col("turn"))).select("conv_id", "turn", "run", "level", "hash", "chars", "from"), "hits")
-    # of several writers of a passage the last one before counts
-    last = hits.groupBy("conv_id", "turn", "run", "level", "hash").agg(F.max("from").alias("from"), F.max("chars").alias("chars"))
+    # the last one to write a passage before it was quoted, found along the
+    # turns that quote or write it; a turn does not quote itself
+    along = (quoted.withColumn("from", F.lit(None).cast("bigint")).withColumn("writes", F.lit(False))
+             .unionByName(written.select(F.col("c").alias("conv_id"), F.col("from").alias("turn"), F.col("h").alias("hash"), "from",
+                                         F.lit(True).alias("writes")), allowMissingColumns=True))
+    last = carry_within(along, ["conv_id", "hash"], ["turn", "writes"], F.col("from"), F.floor(F.col("turn") / SLOT), "by")
+    last = s.write(last.where("NOT writes AND by IS NOT NULL")
+                   .select("conv_id", "turn", "run", "level", "hash", "chars", F.col("by").alias("from")), "hits")
     score = last.groupBy("conv_id", "turn", "from").agg(F.min("level").alias("level"), F.sum("chars").alias("chars"))
     best = (score.groupBy("conv_id", "turn")
             .agg(F.max(F.struct(-F.col("level"), "chars", "from"))["from"].alias("parent")))
@@ -161,8 +167,14 @@ def link_quotes(chats: DataFrame) -> DataFrame:
            .withColumn("thread", F.coalesce("thread", "turn")).withColumn("depth", F.coalesce("depth", F.lit(0).cast("bigint")))
            .withColumn("n_linked", F.coalesce("n_linked", F.lit(0).cast("bigint")))
            .withColumn("n_quotes", F.size(F.array_distinct(F.transform("quotes", lambda q: q["run"]))).cast("bigint")))
-    order = [F.col("thread").asc_nulls_last(), F.col("depth"), F.col("turn").asc_nulls_last(), F.col("role"), F.xxhash64("own"), F.col("own")]
+    # messages are numbered inside their thread, threads inside the conversation
+    order = [F.col("depth"), F.col("turn").asc_nulls_last(), F.col("role"), F.xxhash64("own"), F.col("own")]
+    threads = out.groupBy("conv_id", "thread").agg(F.count(F.lit(1)).alias("n"))
     slot = F.coalesce(F.floor(F.col("thread") / SLOT), F.lit((1 << 63) - 1)).cast("bigint")
-    out = running_total(out, ["conv_id"], slot, order, F.lit(1), "position")
+    threads = running_total(threads, ["conv_id"], slot, [F.col("thread").asc_nulls_last()], F.col("n"), "ahead").select(
+        F.col("conv_id").alias("c3"), F.col("thread").alias("t3"), "ahead")
+    out = running_total(out, ["conv_id", "thread"], F.floor(F.col("depth") / SLOT), order, F.lit(1), "inside")
+    out = out.join(threads, F.col("conv_id").eqNullSafe(F.col("c3")) & F.col("thread").eqNullSafe(F.col("t3")), "left")
+    out = out.withColumn("position", F.col("ahead") + F.col("inside"))
     return out.select("conv_id", F.col("position").cast("bigint").alias("position"), "turn", "role", F.col("own").alias("text"),
                       "n_quotes", "max_level", "n_linked", F.col("parent").alias("reply_to"), "thread", "depth")
