@@ -385,3 +385,28 @@ def test_rule_state_carries_across_micro_batches(spark, tmp_path):
     d = {r.request_id: (r.decision, r.reason) for r in out}
     assert d[3] == ("deny", "rate_exceeded")
     assert d[10] == ("deny", "banned") and d[11][0] == "allow"
+
+
+@pytest.mark.parametrize("split", ["1", "7", "64", "10m"])
+def test_objects_of_any_split_size(spark, tmp_path, split):
+    """Newlines equal a plain count whatever the byte ranges are."""
+    src = tmp_path / "objects"
+    src.mkdir()
+    bodies = {"a.bin": b"one\ntwo\n", "b [x]{1}*.bin": b"no end", "c.bin": b"", "d.bin": b"\n\n\n", "e.bin": b"cr\r\nlf\n\xff\xfe raw\nlast",
+              "f.bin": b"x" * 90 + b"\n"}
+    for name, body in bodies.items():
+        (src / name).write_bytes(body)
+    (src / "g.skip").write_bytes(b"\n")
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        for _ in range(2):
+            sw.run_available(sio.watch_objects(spark, str(src), "*.bin", 4), sio.count_objects(out), ck, mode="append")
+        (src / "h.bin").write_bytes(b"later\n")
+        sw.run_available(sio.watch_objects(spark, str(src), "*.bin", 4), sio.count_objects(out), ck, mode="append")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    bodies["h.bin"] = b"later\n"
+    got = sorted((r.path.rsplit("/", 1)[1], r.bytes, r.newlines) for r in spark.read.parquet(out).collect())
+    assert got == sorted((n, len(b), b.count(b"\n")) for n, b in bodies.items() if b)

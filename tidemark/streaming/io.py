@@ -11,6 +11,7 @@ anything of the old one goes.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +57,9 @@ def with_event_time(df: DataFrame, event_time: str, lateness: str, time_format:
 
 def read_new_objects(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """SO2: each newly written object processed once (the checkpoint records
-    which files were seen), with its size in bytes and newline count."""
+    which files were seen), with its size in bytes and newline count.  An
+    object is one row with its content; ``watch_objects`` with
+    ``count_objects`` takes objects of any size."""
     df = (spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
           .schema("path string, modificationTime timestamp, length long, content binary").load(path))
     text = F.col("content").cast("string")
@@ -64,6 +67,44 @@ def read_new_objects(spark: SparkSession, path: str, glob: str = "*") -> DataFra
                      (F.length(text) - F.length(F.regexp_replace(text, "\n", ""))).alias("newlines"))
 
 
+def watch_objects(spark: SparkSession, path: str, glob: str = "*", max_objects: int = 1000) -> DataFrame:
+    """SO2: each newly written object once -- ``path``, ``modificationTime``,
+    ``bytes`` and its URL -- without reading it; at most ``max_objects`` in a
+    micro-batch.  Spark's file source leaves empty objects out."""
+    df = (spark.readStream.format("binaryFile").option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_objects)
+          .option("recursiveFileLookup", "true")
+          .schema("path string, modificationTime timestamp, length long, content binary").load(path))
+    return df.select("path", "modificationTime", F.col("length").alias("bytes"), F.col("_metadata.file_path").alias("url"))
+
+
+def count_objects(target_path: str) -> Callable:
+    """SO2 sink for ``watch_objects``: a row per object with its ``newlines``.
+
+    Objects are read as lines, in byte ranges of ``spark.sql.files.maxPartitionBytes``
+    that run in tasks of their own, so an object may be of any size; its row is
+    written when all its ranges are counted.  The bytes of the lines tell
+    whether the last one ended."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        found = _staged(batch)
+        paths = [r.path for r in found.select("path").collect()]  # at most max_objects
+        counts = found.select("url", F.lit(0).cast("bigint").alias("lines"), F.lit(0).cast("bigint").alias("spelt")).limit(0)
+        if paths:
+            lines = spark.read.option("lineSep", "\n").text([_literal(p) for p in paths])
+            counts = (lines.groupBy(F.col("_metadata.file_path").alias("url"))
+                      .agg(F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value") + 1).alias("spelt")))
+        done = found.join(counts, "url", "left").select(
+            "path", "modificationTime", "bytes",
+            F.coalesce(F.col("lines") - (F.col("spelt") - F.col("bytes")), F.lit(0)).cast("bigint").alias("newlines"))
+        _put(done, target_path, batch_id)
+    return write
+
+
+def _literal(path: str) -> str:
+    """A path whose special characters are no pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def _staged(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

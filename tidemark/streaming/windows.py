@@ -81,6 +81,16 @@ def run_available(df: DataFrame, sink, checkpoint: str, mode: str = "update", na
     return q
 
 
+def run_caught_up(df: DataFrame, sink, checkpoint: str, mode: str = "append") -> None:
+    """SS11: process batch after batch until the source has no more, then
+    stop; for sources that hand out a limited batch at a time."""
+    q = df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint).start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+
+
 def drain(make: Callable[[DataFrame], DataFrame], source: DataFrame, flush: Callable[[], None], sink,
           checkpoint: str) -> None:
     """SS11 (drain): consume what is there, then close the windows still

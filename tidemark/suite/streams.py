@@ -18,6 +18,7 @@ from ..operators.slo import severity_filter
 from ..plans import guards
 from ..registry import register
 from ..session import scratch_path
+from ..sources import segment_log
 from ..sources.fixtures import v_changes, v_events, v_logs, v_requests
 from ..sources.tables import Tables
 from ..streaming import io as sio
@@ -560,3 +561,42 @@ def so18(spark, sf):
     out = [spark.read.parquet(run.path(n)).select(F.lit(n).alias("consumer"), "event_type", "event_id") for n in ("billing", "fraud", "late")]
     return out[0].unionByName(out[1]).unionByName(out[2]).groupBy("consumer", "event_type").agg(
         F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids"))
+
+
+@register("so1_message_log", """
+SELECT CAST(user_id % 4 AS INTEGER) AS "partition", event_type, count(*) AS messages, count(*) AS offsets,
+       CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) AS cents FROM v_events GROUP BY 1, 2""")
+def so1(spark, sf):
+    """SO1: JSON messages in a partitioned log, read with an admission limit;
+    the consumer stops, the log grows, and a second run goes on from the
+    offsets of the checkpoint."""
+    e, run = v_events(_t(spark, sf)), _Run(spark, "so1")
+    fmt = segment_log.register(spark)
+    body = F.to_json(F.struct("event_id", "event_type", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_time"), "amount"))
+    m = e.select("ts", F.col("user_id").cast("string").alias("key"), body.alias("value"), "event_id")
+
+    def consume():
+        options = {"path": run.path("log"), "limit": str(max(1, n // 8)), "group": "rows"}
+        s = sio.read_events(spark, None, "event_id long, event_type string, event_time string, amount double", "event_time", "60 days", fmt, options=options)
+        sw.run_caught_up(s, sio.append_deltas(run.path("t")), run.path("ck"))
+
+    n = 0
+    for part in (e.event_id % 5 < 3, e.event_id % 5 >= 3):
+        n = segment_log.append(m.where(part), run.path("log"), F.col("key").cast("int") % 4, ["ts", "event_id"], F.date_trunc("day", "ts"), 500)
+        consume()
+    return spark.read.parquet(run.path("t")).groupBy("partition", "event_type").agg(
+        F.count(F.lit(1)).alias("messages"), F.countDistinct("offset").alias("offsets"),
+        F.sum(F.round(F.col("amount") * 100).cast("bigint")).alias("cents"))
+
+
+@register("so2_new_objects", """
+SELECT event_date, CAST(sum(length(CAST(event_id AS VARCHAR)) + 1) AS BIGINT) AS bytes, count(*) AS newlines FROM v_events GROUP BY event_date""")
+def so2(spark, sf):
+    """SO2: an object of lines per day, half of them there when the watcher
+    starts, the others before its second run; each counted once."""
+    e, run = v_events(_t(spark, sf)).select("event_date", F.col("event_id").cast("string").alias("value")), _Run(spark, "so2")
+    for half in (F.dayofmonth("event_date") <= 15, F.dayofmonth("event_date") > 15):
+        e.where(half).repartition("event_date").write.mode("append").partitionBy("event_date").text(run.path("objects"))
+        run.land(sio.watch_objects(spark, run.path("objects"), "*.txt", 10), sio.count_objects(run.path("t")))
+    seen = spark.read.parquet(run.path("t"))
+    return seen.select(F.to_date(F.regexp_extract("path", "event_date=([0-9-]+)", 1)).alias("event_date"), "bytes", "newlines")
