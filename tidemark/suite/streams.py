@@ -21,6 +21,7 @@ from ..session import scratch_path
 from ..sources import segment_log
 from ..sources.fixtures import v_changes, v_events, v_logs, v_requests
 from ..sources.tables import Tables
+from ..streaming import enrich
 from ..streaming import io as sio
 from ..streaming import stateful as st
 from ..streaming import windows as sw
@@ -600,3 +601,29 @@ def so2(spark, sf):
         run.land(sio.watch_objects(spark, run.path("objects"), "*.txt", 10), sio.count_objects(run.path("t")))
     seen = spark.read.parquet(run.path("t"))
     return seen.select(F.to_date(F.regexp_extract("path", "event_date=([0-9-]+)", 1)).alias("event_date"), "bytes", "newlines")
+
+
+@register("jo8b_enrichment_as_of", """
+WITH r AS (SELECT request_id, ts, request_id % 500 AS k FROM v_requests)
+SELECT CASE WHEN c_custkey IS NULL THEN NULL WHEN ts >= TIMESTAMP '2024-01-20' AND k % 7 = 0 THEN 'late' WHEN ts >= TIMESTAMP '2024-01-12' AND k % 5 = 0 THEN 'new'
+            ELSE c_mktsegment END AS segment, count(*) AS requests
+FROM r LEFT JOIN customer ON c_custkey = k GROUP BY 1""")
+def jo8b(spark, sf):
+    """JO8: requests take the segment of their time.  Some segments change on
+    the 12th; those of the 20th are told after all requests have landed."""
+    r = v_requests(_t(spark, sf)).select("request_id", "ts", (F.col("request_id") % 500).alias("c_custkey"))
+    run, c = _Run(spark, "jo8b"), _t(spark, sf).customer
+
+    def versions(day, label, keys):
+        return c.where(keys).select("c_custkey", F.lit(dt.datetime(2024, 1, day)).cast("timestamp_ntz").alias("valid_from"), label.alias("segment"))
+
+    told = enrich.version_sink(run.path("versions"), "c_custkey", "valid_from", {"segment": "string"}, run.path("t"), "request_id", "ts")
+    land = enrich.enrich_sink(run.path("t"), run.path("versions"), "request_id", "c_custkey", "ts", "valid_from", {"segment": "string"})
+    first = versions(1, F.col("c_mktsegment"), "true").unionByName(versions(12, F.lit("new"), "c_custkey % 5 = 0"))
+    run.arrive(first, name="changes")
+    run.land(run.stream(first.schema, "changes"), told, name="told")
+    run.arrive(*_thirds(r, "request_id"))
+    run.land(run.stream(r.schema), land)
+    run.arrive(versions(20, F.lit("late"), "c_custkey % 7 = 0"), name="changes")
+    run.land(run.stream(first.schema, "changes"), told, name="told")
+    return KeyedTable(spark, run.path("t"), ["request_id"]).read().groupBy("segment").agg(F.count(F.lit(1)).alias("requests"))
