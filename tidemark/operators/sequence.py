@@ -124,7 +124,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     return d.withColumn(name, F.col("_before") + F.col("_in")).drop(b, "_in", "_before", "_bt", "_rn1")
 
 
-CUTS = 128  # ranges that the values of a group are cut into
+CUTS = 128  # ranges that the values of a group are cut into, a power of two
 
 
 def _ranged(df: DataFrame, group: list[str], value: str) -> DataFrame:
@@ -141,8 +141,14 @@ def _ranged(df: DataFrame, group: list[str], value: str) -> DataFrame:
         d = base.join(sk, _same(group), "left").drop(*[f"{c}__r" for c in group])
     else:
         d = base.withColumn("_cuts", base.select(cuts).scalar())
-    below = F.aggregate("_cuts", F.lit(0), lambda n, c: n + (c < F.col(value)).cast("int"))
-    return d.withColumn("_b", below).drop("_cuts")
+    # the cuts are sorted: their number below the value by halving steps
+    d = d.withColumn("_b", F.lit(0))
+    step = CUTS // 2
+    while step:
+        below = F.coalesce(F.try_element_at("_cuts", F.col("_b") + step) < F.col(value), F.lit(False))
+        d = d.withColumn("_b", F.col("_b") + F.when(below, step).otherwise(0))
+        step //= 2
+    return d.drop("_cuts")
 
 
 def _same(cols: Sequence[str]) -> Column:
