@@ -227,26 +227,32 @@ class CentsSum:
 
 def custom_combine(df: DataFrame, ts: str, value: str, size: str, combiner=None) -> DataFrame:
     """UD4: per-window combine with a Python combiner; empty windows give no
-    row.  Every map task folds its Arrow batches to one accumulator per window
-    before the shuffle; after it only accumulators are merged, so a window
-    with any share of the rows is one small row per task."""
+    row, windows of nulls alone a null total.  Every map task folds its Arrow
+    batches to one accumulator per window before the shuffle; after it only
+    accumulators are merged, so a window with any share of the rows is one
+    small row per task.  A task without rows yields nothing."""
     c = combiner or CentsSum()
     rows = df.select(F.window(F.col(ts).cast("timestamp"), size).start.alias("w"), F.col(value).alias("v"))
 
     def fold(batches):
         acc: dict = {}
+        seen: dict = {}
         for pdf in batches:
             for w, v in pdf.groupby("w")["v"]:
+                v = v.dropna()
                 acc[w] = c.add(acc.get(w, c.create()), v)
-        yield pd.DataFrame({"w": list(acc), "acc": list(acc.values())})
+                seen[w] = seen.get(w, 0) + len(v)
+        if acc:
+            yield pd.DataFrame({"w": list(acc), "acc": list(acc.values()), "seen": list(seen.values())})
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         acc = c.create()
         for x in pdf["acc"]:
             acc = c.merge(acc, int(x))
-        return pd.DataFrame({"w": pdf["w"][:1], "total_cents": [c.extract(acc)]})
+        total = c.extract(acc) if pdf["seen"].sum() else None
+        return pd.DataFrame({"w": pdf["w"][:1], "total_cents": pd.array([total], dtype="Int64")})
 
-    parts = rows.mapInPandas(fold, "w timestamp, acc long")
+    parts = rows.mapInPandas(fold, "w timestamp, acc long, seen long")
     out = parts.groupBy("w").applyInPandas(merge, "w timestamp, total_cents long")
     return out.select(F.col("w").cast("timestamp_ntz").alias("window_start"), "total_cents")
 
