@@ -91,8 +91,10 @@ def manifest_check(published: DataFrame, landed: DataFrame, id_col: str,
 
 
 def lost_ids(published: DataFrame, landed: DataFrame, id_col: str) -> DataFrame:
-    """SE2: set difference of ids (``left_anti``)."""
-    return published.select(id_col).join(landed.select(id_col), id_col, "left_anti").distinct()
+    """SE2: set difference of ids (``left_anti``).  Both sides are whole
+    tables, whose ids take many times their size on disk in memory, so they
+    meet by shuffle and none is gathered in the driver."""
+    return published.select(id_col).join(landed.select(id_col).hint("merge"), id_col, "left_anti").distinct()
 
 
 def reconcile(stream: DataFrame, batch: DataFrame, key: Sequence[str], value: str, tol: float = 0.01) -> DataFrame:
@@ -146,12 +148,13 @@ def convergence(source: DataFrame, target: DataFrame, key: str, written: str, ar
     """JO14 (batch form): match each source write to its target arrival
     within ``[written, written + max_lag]``; lag in seconds.  The streaming
     form runs the same condition on two watermarked streams
-    (``tidemark.streaming.windows.match_arrivals``)."""
+    (``tidemark.streaming.windows.match_arrivals``).  The copies are tables of
+    one size, so they meet by shuffle (see ``lost_ids``)."""
     s = source.select(key, written)
     t = target.select(F.col(key).alias("_k"), arrived)
     cond = ((F.col(key) == F.col("_k")) & (F.col(arrived) >= F.col(written))
             & (F.col(arrived) <= F.col(written) + F.expr(f"INTERVAL {int(max_lag_s)} SECONDS")))
-    j = s.join(t, cond, "left")
+    j = s.join(t.hint("merge"), cond, "left")
     lag = (F.unix_micros(F.col(arrived).cast("timestamp")) - F.unix_micros(F.col(written).cast("timestamp"))) / 1e6
     return j.select(key, written, arrived, lag.alias("lag_s"))
 
