@@ -195,6 +195,8 @@ def rank_values(df: DataFrame, group: Sequence[str], value: str,
     wanted = hit.groupBy(*group, "_b").agg(F.first("_from").alias("_from"), F.first(n_name).alias(n_name),
                                            F.collect_list("_w").alias("_w"))
     ren = wanted.select(*[F.col(c).alias(f"{c}__r") for c in [*group, "_b"]], "_from", n_name, "_w")
+    if not group:
+        ren = F.broadcast(ren)  # a row per rank at most; without the hint the rows may be the side that is sent
     h = (rows.join(ren, _same([*group, "_b"]), "inner")
          .groupBy(*group, "_b", value).agg(F.count(F.lit(1)).alias("_cnt"), F.first("_from").alias("_from"),
                                            F.first(n_name).alias(n_name), F.first("_w").alias("_w")))

@@ -199,5 +199,5 @@ def ag43(spark, sf):
     m = _arrivals(t)
     src = v_source(t).select("order_id", F.col("total_cents").alias("_s"))
     tgt = v_target(t).select("order_id", F.col("total_cents").alias("_t"))
-    b = m.join(src, "order_id").join(tgt, "order_id", "left")
+    b = m.join(src.hint("merge"), "order_id").join(tgt.hint("merge"), "order_id", "left")
     return jn.shadow_stats(b, "order_id", F.coalesce(F.col("_s") == F.col("_t"), F.lit(False)), "lag_s")
