@@ -53,6 +53,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(_path(spark, path)) if s.isDirectory()]
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    fs = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(_path(spark, path)) if s.isFile()]
+
+
 def recover(spark: SparkSession, path: str) -> None:
     """Finish a commit that was ready when its writer died."""
     path = path.rstrip("/")

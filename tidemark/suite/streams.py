@@ -11,6 +11,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import commits
 from ..keyed import KeyedTable
 from ..operators import events as ev
 from ..operators import joins, layout, rollup
@@ -35,21 +36,35 @@ def _t(spark, sf):
 
 
 class _Run:
-    """Scratch folders of one run, and the source that its rows arrive by."""
+    """Scratch folders of one run, and the source that its rows arrive by.
+
+    A slice arrives as one file per task that wrote it.  A micro-batch takes
+    as many files as a slice of its source has at most, so the batches, and
+    what each costs, do not grow in number with the input, and the files of a
+    slice are read side by side."""
 
     def __init__(self, spark: SparkSession, tag: str):
         self.spark = spark
         self.root = scratch_path(spark, f"stream-{tag}-{uuid.uuid4().hex}")
+        self.files: dict[str, int] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def arrive(self, *slices: DataFrame, name: str = "source") -> None:
         for s in slices:
+            before = self._count(name)
             s.write.mode("append").parquet(self.path(name))
+            self.files[name] = max(self.files.get(name, 1), self._count(name) - before)
+
+    def _count(self, name: str) -> int:
+        path = self.path(name)
+        if not commits.exists(self.spark, path):
+            return 0
+        return sum(f.endswith(".parquet") for f in commits.files(self.spark, path))
 
     def stream(self, schema, name: str = "source") -> DataFrame:
-        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(self.path(name))
+        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", self.files.get(name, 1)).parquet(self.path(name))
 
     def land(self, df: DataFrame, sink, mode: str = "append", name: str = "ckpt") -> None:
         sw.run_available(df, sink, self.path(name), mode=mode)
