@@ -93,13 +93,15 @@ class KeyedTable:
         return F.xxhash64(*[c for k in self.keys for c in (F.col(k), F.col(k).isNull())])
 
     def _same(self, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-        """Join on the keys, nulls equal; ``right`` holds distinct keys."""
+        """Join on the keys, nulls equal; ``right`` holds distinct keys.  Both
+        sides grow with the batch, whose size on disk hides that in memory, so
+        they meet by shuffle."""
         r = right.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(self.keys)],
                          *[F.col(c).alias(f"__new_{c}") for c in right.columns if c not in self.keys])
         cond = F.lit(True)
         for i, k in enumerate(self.keys):
             cond = cond & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-        return left.join(r, cond, how)
+        return left.join(r.hint("merge"), cond, how)
 
     @staticmethod
     def _probe(h: Column, segs: Column) -> tuple[Column, list[Column]]:
@@ -114,13 +116,13 @@ class KeyedTable:
         h, lo, hi = (F.shiftright(c, PREFIX) for c in ("h", "lo", "hi"))
         pieces = self.spark.createDataFrame(live, MANIFEST).withColumn("prefix", F.explode(F.sequence(lo, hi)))
         asked = batch.select(self.hash().alias("h")).distinct().withColumn("prefix", h)
-        near = asked.join(pieces, "prefix").where("h BETWEEN lo AND hi")
+        near = asked.join(F.broadcast(pieces), "prefix").where("h BETWEEN lo AND hi")  # the manifest is the driver's already
         seg, bits = self._probe(F.col("h"), F.col("segs"))
         near = near.select("piece", seg.alias("seg"), F.array(*bits).alias("asked"))
         versions = sorted({p.piece.split("/")[0] for p in live})
         filters = self.spark.read.parquet(*[f"{self.path}/filters/{v}" for v in versions])
         byte = lambda b: F.conv(F.hex(F.substring("bits", (b / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
-        may = near.join(filters, ["piece", "seg"]).where(F.forall("asked", lambda b: F.getbit(byte(b), b % 8) == 1))
+        may = near.join(filters.hint("merge"), ["piece", "seg"]).where(F.forall("asked", lambda b: F.getbit(byte(b), b % 8) == 1))
         maybe = [r.piece for r in may.select("piece").distinct().collect()]
         if not maybe:
             return []
@@ -242,7 +244,7 @@ class KeyedTable:
             segs = F.ceil(F.count(F.lit(1)) * BITS_PER_KEY / BITS).cast("int").alias("segs")
             stats = _staged(keys.groupBy("piece").agg(F.count(F.lit(1)).alias("rows"), F.min("h").alias("lo"), F.max("h").alias("hi"), segs))
             seg, bits = self._probe(F.col("h"), F.col("segs"))
-            marks = keys.join(stats.select("piece", "segs"), "piece").select("piece", seg.alias("seg"), F.explode(F.array(*bits)).alias("bit"))
+            marks = keys.join(F.broadcast(stats.select("piece", "segs")), "piece").select("piece", seg.alias("seg"), F.explode(F.array(*bits)).alias("bit"))
             (marks.groupBy("piece", "seg").agg(F.bitmap_construct_agg(F.col("bit").cast("bigint")).alias("bits"))
              .write.parquet(f"{self.path}/filters/{folder}"))
             added = stats.collect()
