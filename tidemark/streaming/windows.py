@@ -47,10 +47,12 @@ def dedup(stream: DataFrame, id_col: str, ts: str, lateness: str) -> DataFrame:
     return stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([id_col])
 
 
-def enrich(stream: DataFrame, static: DataFrame, key: str) -> DataFrame:
-    """JO8: stream-static enrichment by key; the engine picks the join from
-    the size of the dimension."""
-    return stream.join(static, key, "left")
+def enrich(stream: DataFrame, static: DataFrame, key: str, broadcast_rows: int = 100_000) -> DataFrame:
+    """JO8: stream-static enrichment by key.  A dimension of more than
+    ``broadcast_rows`` is met by shuffle, or every micro-batch would gather it
+    in the driver; with fewer the engine picks the join."""
+    small = static.select(key).limit(broadcast_rows + 1).count() <= broadcast_rows
+    return stream.join(static if small else static.hint("merge"), key, "left")
 
 
 def match_arrivals(source: DataFrame, target: DataFrame, key: str, written: str, arrived: str,
