@@ -159,3 +159,46 @@ def test_a_pivot_shared_by_many_is_dealt_over_tasks(spark):
     pairs = spark.createDataFrame([(c, cls[0]) for c in cls[1:]], "cls bigint, pivot bigint")
     d = jj._compare(space, pairs, texts, s, "d").collect()
     assert len(d) == len(rows) - 1 and all(r.link and r.inter == 46 for r in d)
+
+
+def test_linked_sets_share_as_many_regions_as_they_need():
+    import numpy as np
+    rng = np.random.default_rng(8)
+    space = jj.Space(5, 80, 100)
+    for size in [*range(4, 40), 90, 300, 1500]:
+        for _ in range(12):
+            u = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            apart = int(rng.integers(1, max(2, int(0.2223 * len(u)) + 1)))
+            drop = int(rng.integers(0, apart + 1))
+            v = np.unique(np.concatenate([u[rng.permutation(len(u))[drop:]], rng.integers(0, 2**64, apart - drop, dtype=np.uint64)]))
+            inter = len(np.intersect1d(u, v))
+            if not space.linked(inter, len(u), len(v)) or inter == len(np.union1d(u, v)):
+                continue
+            met = np.intersect1d(space.regions(u), space.regions(v)) & np.uint64(jj.CELL_BITS)
+            j = min(space.cells(len(u))[0], space.cells(len(v))[0])
+            for need in ({x % 64: x // 64 for x in space.needs(w)} for w in (u, v)):
+                assert need[j] <= int((met == j).sum())
+
+
+def test_a_common_passage_moves_no_text(spark, monkeypatch):
+    rng = random.Random(4)
+    passage = prose(rng, 40)
+    texts = [" ".join(prose(rng, 120) + passage + prose(rng, 120)) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100, texts[0] + " tail")]
+    moved, join = [], jj._compare
+    monkeypatch.setattr(jj, "_compare", lambda space, pairs, texts, s, name: moved.append(texts.count()) or join(space, pairs, texts, s, name))
+    got = jj.link_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), 4, 85, 100)
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [*((i, i) for i in range(60)), (100, 0)]
+    assert moved and max(moved) == 2
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    from tidemark.llm.common import CLEANUP, Scratch
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in found.split("\n") if "shuffle_" in f}
+    before, was = files(), spark.conf.get(CLEANUP)
+    rows = spark.range(20000).withColumn("k", F.xxhash64("id")).repartition(5, "k")
+    got = Scratch(spark, "test").write(rows, "rows")
+    assert not files() - before
+    assert got.count() == 20000 and spark.conf.get(CLEANUP) == was

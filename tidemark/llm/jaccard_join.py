@@ -12,7 +12,10 @@ Documents of one text are one *class*; the join works on classes.
    linked pair has a slice on which both parts are equal and not empty
    (distance 0 to the same pivot part).  A region is (cell, slice, part).
    A class with too few filled slices for that argument also joins the
-   regions of its empty slices.
+   regions of its empty slices.  Of f > D filled slices a linked partner
+   shares at least f - D, so a class that meets others in fewer regions of a
+   cell has no link there and leaves it (``needs``); texts that only have some
+   common passage go before any text is moved.
 3. **Document pivots.**  In each region the class of least hash is the pivot.
    Each class is first compared with the least of its pivots; in regions that
    still hold several components the exact distance of every member to the
@@ -53,6 +56,7 @@ BLOCK = 256
 RATIO = 1.6
 PER_TASK = 200  # members of a pivot's group that one task compares
 TINY = 1e-9
+CELL_BITS = 63  # bits of a region key that hold its cell
 U = np.uint64
 
 
@@ -92,11 +96,8 @@ class Space:
         """Most shingles in which a linked pair that meets in cell j differs."""
         return (self.den - self.num) * self.top(j) // self.num
 
-    def regions(self, u: np.ndarray, seed: int = 0) -> np.ndarray:
-        """Region keys of a sorted distinct shingle set."""
-        out = []
-        if seed:
-            u = np.sort(tx.mix(u ^ tx.mix(np.array([seed], U))))
+    def _slices(self, u: np.ndarray) -> Iterator[tuple]:
+        """``(cell, D, number of slices, filled slices, where they start)``."""
         high = u >> U(32)
         for j in self.cells(len(u)):
             d = self.most_apart(j)
@@ -106,14 +107,28 @@ class Space:
             part = (high * U(k)) >> U(32)
             at = np.flatnonzero(part[1:] != part[:-1]) + 1
             at = np.concatenate([np.zeros(1, np.int64), at])
+            yield j, d, k, part[at], at
+
+    def regions(self, u: np.ndarray, seed: int = 0) -> np.ndarray:
+        """Region keys of a sorted distinct shingle set; the cell is in the
+        low bits (``CELL_BITS``)."""
+        out = []
+        if seed:
+            u = np.sort(tx.mix(u ^ tx.mix(np.array([seed], U))))
+        for j, d, k, here, at in self._slices(u):
             sums = np.add.reduceat(u, at)
-            here = part[at]
             if len(at) <= d:  # too few filled slices: the empty ones count too
                 empty = np.setdiff1d(np.arange(k, dtype=U), here)
                 here, sums = np.concatenate([here, empty]), np.concatenate([sums, np.zeros(len(empty), U)])
-            out.append(tx.mix(sums ^ tx.mix(here + U(j << 32) + U(1))))
+            out.append(tx.mix(sums ^ tx.mix(here + U(j << 32) + U(1))) & U(~CELL_BITS & (1 << 64) - 1) | U(j & CELL_BITS))
         return np.concatenate(out) if out else np.zeros(0, U)
 
+    def needs(self, u: np.ndarray) -> list[int]:
+        """Per cell the fewest regions that a class of this set shares with a
+        class linked to it there, times 64, plus the cell.  With too few
+        filled slices a partner may share just one."""
+        return [max(1, len(at) - d) * (CELL_BITS + 1) + (j & CELL_BITS) for j, d, _, _, at in self._slices(u)]
+
     def linked(self, inter, a, b):
         return self.den * inter >= self.num * (a + b - inter)
 
@@ -138,14 +153,15 @@ def class_hash(u: np.ndarray) -> int:
 
 
 def _prints(space: Space):
-    """(doc_id, text) to (doc_id, set size, class)."""
+    """(doc_id, text) to (doc_id, set size, class, needs of its cells)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = tx.shingle_sets(b.column(1), space.n)
-            rows = [(len(u), class_hash(u) if len(u) else None) for u in sets]
-            n, cls = zip(*rows) if rows else ((), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64())],
-                                             names=["doc_id", "n_shingles", "cls"])
+            rows = [(len(u), class_hash(u), space.needs(u)) if len(u) else (0, None, None) for u in sets]
+            n, cls, needs = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
+                                              pa.array(needs, pa.list_(pa.int64()))],
+                                             names=["doc_id", "n_shingles", "cls", "needs"])
     return run
 
 
@@ -228,6 +244,18 @@ def _regions(rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return scratch.write(r, name)
 
 
+def _likely(shared: DataFrame, prints: DataFrame) -> DataFrame:
+    """The rows of ``shared`` (regions of two or more classes) whose class
+    meets others in as many regions of the cell as a link would need."""
+    cell = F.col("key").bitwiseAND(F.lit(CELL_BITS).cast("bigint"))
+    need = (prints.select("cls", F.explode("needs").alias("need")).distinct()
+            .select("cls", F.pmod("need", F.lit(CELL_BITS + 1)).alias("cell"), F.floor(F.col("need") / (CELL_BITS + 1)).alias("need")))
+    rows = shared.withColumn("cell", cell)
+    met = rows.groupBy("cls", "cell").agg(F.count(F.lit(1)).alias("m"))
+    enough = met.join(need, ["cls", "cell"]).where("m >= need").select("cls", "cell")
+    return rows.join(enough, ["cls", "cell"], "left_semi").select("key", "cls")
+
+
 def _distances(space: Space):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, pivot = None, None
@@ -349,12 +377,14 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, t
     eps = (den - num) / den
     s = Scratch(spark, "jaccard")
     base = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    prints = s.write(base.mapInArrow(_prints(space), "doc_id bigint, n_shingles bigint, cls bigint"), "prints")
+    prints = s.write(base.mapInArrow(_prints(space), "doc_id bigint, n_shingles bigint, cls bigint, needs array<bigint>"), "prints")
     # doc_id is null only where no other row of the class has one
     classes = s.write(prints.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep")), "classes")
     # the texts are read a second time: keys on disk would be as large as they
-    region = _regions(base.select("text").mapInArrow(_keys(space), "key bigint, cls bigint"), s, "regions0")
+    shared = _regions(base.select("text").mapInArrow(_keys(space), "key bigint, cls bigint"), s, "shared")
     s.free()
+    region = _regions(_likely(shared, prints), s, "regions0")
+    s.drop("shared")
     wanted = region.select("cls").distinct().join(classes, "cls")
     texts = (wanted.join(base.withColumnRenamed("doc_id", "rep"), "rep").where("text IS NOT NULL").select("cls", "text")
              .mapInArrow(_pack, "cls bigint, text binary"))
